@@ -101,3 +101,137 @@ SELECT pair_id, {prompt_sql('prompt')} AS prompt,
        {prompt_sql('prompt')} || {pair_sql('prompt', 'chosen')} AS chosen_input,
        {prompt_sql('prompt')} || {pair_sql('prompt', 'rejected')} AS rejected_input
 FROM c2"""
+
+# ---------------------------------------------------------------- tokens (TK1-TK11)
+
+TOK = r"regexp_extract_all({t}, '[^ \t\r\n]+')"
+
+
+def tok(t: str) -> str:
+    return TOK.format(t=t)
+
+
+VOCAB = f"""
+v_tok AS (SELECT unnest({tok('text')}) AS token FROM conversations),
+v_cnt AS (SELECT token, count(*) AS count FROM v_tok
+          WHERE token NOT IN ('<pad>', '<unk>', '<bos>', '<eos>') GROUP BY token HAVING count(*) >= 2),
+vocab AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY count DESC, token) + 3 AS BIGINT) AS id, CAST(count AS BIGINT) AS count
+  FROM v_cnt
+  UNION ALL SELECT '<pad>', 0, 0 UNION ALL SELECT '<unk>', 1, 0 UNION ALL SELECT '<bos>', 2, 0
+  UNION ALL SELECT '<eos>', 3, 0)"""
+
+
+def encoded(name: str, source: str, keys: str, text: str, max_length: int | None = None) -> str:
+    """CTE ``name(keys..., ids INT list, n_tokens)``: word ids by vocabulary lookup, unknown -> 1."""
+    lim = f"WHERE e.pos <= {max_length}" if max_length else ""
+    return f"""
+{name}_t AS (SELECT {keys}, {tok(text)} AS toks FROM {source}),
+{name}_x AS (SELECT {keys}, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos, len(toks) AS n_tokens
+             FROM {name}_t),
+{name}_j AS (SELECT e.*, coalesce(v.id, 1) AS id FROM {name}_x e LEFT JOIN vocab v ON e.token = v.token {lim}),
+{name} AS (SELECT {keys}, list(CAST(id AS INTEGER) ORDER BY pos) AS ids, CAST(max(n_tokens) AS BIGINT) AS n_tokens
+           FROM {name}_j GROUP BY {keys})"""
+
+
+def ids_str(x: str) -> str:
+    return f"array_to_string({x}, ' ')"
+
+
+SQL["vocab"] = f"WITH {VOCAB} SELECT token, id, count FROM vocab"
+
+SQL["encode"] = f"""
+WITH {VOCAB}, {encoded('enc', 'conversations', 'conv_id, turn', 'text')}
+SELECT conv_id, turn, {ids_str('ids')} AS input_ids, n_tokens FROM enc"""
+
+SQL["truncate"] = f"""
+WITH {VOCAB}, {encoded('enc', 'conversations', 'conv_id, turn', 'text', 32)}
+SELECT conv_id, turn, {ids_str('ids')} AS input_ids, CAST(len(ids) AS BIGINT) AS length, n_tokens FROM enc"""
+
+SQL["decode"] = f"""
+WITH {VOCAB},
+d_t AS (SELECT conv_id, turn, {tok('text')} AS toks FROM conversations),
+d_x AS (SELECT conv_id, turn, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM d_t)
+SELECT d.conv_id, d.turn, coalesce(string_agg(v.token, ' ' ORDER BY d.pos), '') AS text
+FROM d_x d LEFT JOIN vocab v ON d.token = v.token AND v.id > 3
+GROUP BY d.conv_id, d.turn"""
+
+SQL["prompt_length"] = f"""
+WITH {C2}
+SELECT pair_id, CAST(len({tok(prompt_sql('prompt'))}) AS BIGINT) AS prompt_len FROM c2"""
+
+SQL["pad_batch"] = f"""
+WITH {VOCAB},
+chat AS (SELECT conv_id, string_agg({block('role', 'text')}, {NL} ORDER BY turn) || {NL} AS text
+         FROM conversations GROUP BY conv_id),
+{encoded('enc', 'chat', 'conv_id', 'text', 64)},
+b AS (SELECT conv_id, ids,
+             (row_number() OVER (ORDER BY md5(CAST(conv_id AS VARCHAR) || ':42'), conv_id) - 1) // 4 AS batch_id
+      FROM enc),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM b)
+SELECT conv_id, CAST(batch_id AS BIGINT) AS batch_id,
+       {ids_str('list_resize(ids, width, 0)')} AS input_ids,
+       {ids_str('list_resize(list_transform(ids, lambda x: 1), width, 0)')} AS attention_mask,
+       {ids_str('list_transform(list_resize(ids, width, 0), lambda x: CASE WHEN x = 0 THEN -100 ELSE x END)')} AS labels
+FROM m"""
+
+PAIR_TEXTS = f"""
+pt AS (SELECT pair_id, {pair_sql('prompt', 'chosen')} AS chosen, {pair_sql('prompt', 'rejected')} AS rejected
+       FROM c2)"""
+
+
+def shaped(max_length: int) -> str:
+    return f"""{PAIR_TEXTS},
+{encoded('ec', 'pt', 'pair_id', 'chosen', max_length)},
+{encoded('er', 'pt', 'pair_id', 'rejected', max_length)},
+sp AS (SELECT ec.pair_id, ec.ids AS c_ids, er.ids AS r_ids FROM ec JOIN er ON ec.pair_id = er.pair_id)"""
+
+
+SQL["shape_pairs"] = f"""
+WITH {C2}, {VOCAB}, {shaped(48)}
+SELECT pair_id, {ids_str('c_ids')} AS input_ids_chosen, {ids_str('list_transform(c_ids, lambda x: 1)')} AS attention_mask_chosen,
+       {ids_str('r_ids')} AS input_ids_rejected, {ids_str('list_transform(r_ids, lambda x: 1)')} AS attention_mask_rejected,
+       CAST(c_ids = r_ids AS BIGINT) AS degenerate
+FROM sp"""
+
+SQL["pad_pairs"] = f"""
+WITH {C2}, {VOCAB}, {shaped(48)},
+b AS (SELECT *, (row_number() OVER (ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 4 AS batch_id
+      FROM sp),
+m AS (SELECT *, max(greatest(len(c_ids), len(r_ids))) OVER (PARTITION BY batch_id) AS width FROM b)
+SELECT pair_id, CAST(batch_id AS BIGINT) AS batch_id,
+       {ids_str('list_resize(c_ids, width, 0)')} AS input_ids_chosen,
+       {ids_str('list_resize(list_transform(c_ids, lambda x: 1), width, 0)')} AS attention_mask_chosen,
+       {ids_str('list_resize(r_ids, width, 0)')} AS input_ids_rejected,
+       {ids_str('list_resize(list_transform(r_ids, lambda x: 1), width, 0)')} AS attention_mask_rejected
+FROM m"""
+
+SQL["degenerate_pairs"] = f"""
+WITH {C2}, {VOCAB}, {shaped(8)}
+SELECT pair_id, CAST(c_ids = r_ids AS BIGINT) AS degenerate FROM sp"""
+
+SQL["response_tokens"] = f"""
+WITH {C2}, {VOCAB},
+{encoded('ep', 'c2', 'pair_id', 'prompt')},
+{encoded('ea', 'c2', 'pair_id', 'chosen')}
+SELECT ep.pair_id, {ids_str('list_concat(ep.ids, ea.ids)')} AS full_ids, {ids_str('ea.ids')} AS new_ids,
+       CAST(len(ea.ids) AS BIGINT) AS n_new
+FROM ep JOIN ea ON ep.pair_id = ea.pair_id"""
+
+# ---------------------------------------------------------------- batching (BA1-BA3)
+
+SQL["assign_batches"] = f"""
+WITH {C2},
+e AS (SELECT pair_id, CAST(r.range AS BIGINT) AS epoch FROM c2, range(0, 2) r),
+i AS (SELECT pair_id, epoch,
+             row_number() OVER (PARTITION BY epoch ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42:' || CAST(epoch AS VARCHAR)),
+                                pair_id) - 1 AS idx
+      FROM e)
+SELECT pair_id, epoch, CAST(idx AS BIGINT) AS idx, CAST(idx // 4 AS BIGINT) AS batch_id,
+       CAST(epoch * ((SELECT count(*) FROM c2) + 3) // 4 + idx // 4 + 1 AS BIGINT) AS step
+FROM i"""
+
+SQL["plan_steps"] = f"""
+WITH {C2}
+SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS batch_size, CAST(10 AS BIGINT) AS num_epochs,
+       CAST(ceil(count(*) / 2) * 10 AS BIGINT) AS steps FROM c2"""

@@ -73,3 +73,130 @@ def q_preference_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fx.c2_message_pairs(spark, sf_dir)
     texts = chat.preference_texts(pairs, keep=("pair_id",))
     return chat.model_inputs(texts, "conversation")
+
+
+# ---------------------------------------------------------------- tokens and batching
+
+from prefspark.functions.exprs import ids_string  # noqa: E402
+from prefspark.operators import batching, tokens  # noqa: E402
+
+
+def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word vocabulary over all conversation turns, tokens seen at least twice."""
+    return tokens.build_vocab(fx.table(spark, sf_dir, "conversations"), "text", min_count=2)
+
+
+@query("vocab")
+def q_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK1: specials first, then tokens by (count desc, token)."""
+    v = _vocab(spark, sf_dir)
+    return v.select("token", F.col("id").cast("bigint").alias("id"), "count")
+
+
+@query("encode")
+def q_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK2: every turn encoded in full (unknown words -> unk)."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    enc = tokens.encode(conv, "text", _vocab(spark, sf_dir), ["conv_id", "turn"])
+    return enc.select("conv_id", "turn", ids_string("input_ids").alias("input_ids"),
+                      F.col("n_tokens").cast("bigint").alias("n_tokens"))
+
+
+@query("truncate")
+def q_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK3: encode with truncation to 32 ids (truncated before the vocabulary join)."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    enc = tokens.encode(conv, "text", _vocab(spark, sf_dir), ["conv_id", "turn"], max_length=32)
+    return enc.select("conv_id", "turn", ids_string("input_ids").alias("input_ids"),
+                      F.size("input_ids").cast("bigint").alias("length"),
+                      F.col("n_tokens").cast("bigint").alias("n_tokens"))
+
+
+@query("decode")
+def q_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK11: encode then decode, skipping special tokens (so unknown words drop out)."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    v = _vocab(spark, sf_dir)
+    enc = tokens.encode(conv, "text", v, ["conv_id", "turn"])
+    return tokens.decode(enc, "input_ids", v, ["conv_id", "turn"])
+
+
+@query("prompt_length")
+def q_prompt_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK9: untruncated token length of the rendered prompt."""
+    pairs = fx.c2_pairs(spark, sf_dir)
+    return pairs.select("pair_id", tokens.token_count(chat.render_prompt(F.col("prompt")))
+                        .cast("bigint").alias("prompt_len"))
+
+
+@query("pad_batch")
+def q_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB1 tail: ChatML texts -> encode (max 64) -> shuffled batches of 4 -> pad, mask, LM labels
+    (TK4, TK5, TK7, BA2, WN3)."""
+    texts = chat.conversations_to_chatml(fx.table(spark, sf_dir, "conversations"))
+    enc = tokens.encode(texts, "text", _vocab(spark, sf_dir), ["conv_id"], max_length=64)
+    b = batching.assign_batches(enc, 4, "conv_id", seed=42, step_col=None)
+    padded = batching.pad_batch(b)
+    return padded.select(
+        "conv_id", "batch_id", ids_string("input_ids").alias("input_ids"),
+        ids_string("attention_mask").alias("attention_mask"),
+        ids_string(tokens.causal_labels("input_ids")).alias("labels"),
+    )
+
+
+def _pair_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fx.c2_message_pairs(spark, sf_dir)
+    return chat.preference_texts(pairs, keep=("pair_id",))
+
+
+@query("shape_pairs")
+def q_shape_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK8: both sides of a pair tokenized independently (max 48) into four columns."""
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], 48)
+    return shaped.select("pair_id", *[ids_string(c).alias(c) for c in (
+        "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")],
+        F.col("degenerate").cast("bigint").alias("degenerate"))
+
+
+@query("pad_pairs")
+def q_pad_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB2: shaped pairs -> shuffled batches of 4 -> shared per-batch padding (TK6)."""
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], 48)
+    b = batching.assign_batches(shaped, 4, "pair_id", seed=42, step_col=None)
+    padded = batching.pad_pairs(b)
+    return padded.select("pair_id", "batch_id", *[ids_string(c).alias(c) for c in (
+        "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")])
+
+
+@query("degenerate_pairs")
+def q_degenerate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs identical after independent truncation to 8 ids."""
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], 8)
+    return shaped.select("pair_id", F.col("degenerate").cast("bigint").alias("degenerate"))
+
+
+@query("response_tokens")
+def q_response_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TK10: prompt ids + response ids, and the new tokens sliced back out."""
+    pairs = fx.c2_pairs(spark, sf_dir)
+    v = _vocab(spark, sf_dir)
+    p = tokens.encode(pairs, "prompt", v, ["pair_id"], "prompt_ids").drop("n_tokens")
+    r = tokens.encode(pairs, "chosen", v, ["pair_id"], "response_ids").drop("n_tokens")
+    full, new = tokens.response_tokens("prompt_ids", "response_ids")
+    return p.join(r, "pair_id").select("pair_id", ids_string(full).alias("full_ids"),
+                                       ids_string(new).alias("new_ids"), F.size(new).cast("bigint").alias("n_new"))
+
+
+@query("assign_batches")
+def q_assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA1 + BA2 + WN4: two epochs, each shuffled by md5(pair_id:42:epoch), sliced into batches of 4."""
+    pairs = fx.c2_pairs(spark, sf_dir).select("pair_id")
+    e = batching.with_epochs(pairs, 2).withColumn("epoch", F.col("epoch").cast("bigint"))
+    return batching.assign_batches(e, 4, "pair_id", seed=42, epoch_col="epoch").select(
+        "pair_id", "epoch", "idx", "batch_id", "step")
+
+
+@query("plan_steps")
+def q_plan_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA3 + SF6: ceil(N / batch) * epochs for batch 2, 10 epochs."""
+    return batching.plan_steps(fx.c2_pairs(spark, sf_dir), 2, 10)
