@@ -41,7 +41,8 @@ def unit_uniform(*parts) -> Column:
 
 
 def round6(x) -> Column:
-    return F.round(_c(x).cast("double"), 6)
+    """Round to 6 decimals for hash-stable output; ``+ 0.0`` turns -0.0 into 0.0."""
+    return F.round(_c(x).cast("double"), 6) + F.lit(0.0)
 
 
 def ids_string(arr) -> Column:

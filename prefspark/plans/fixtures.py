@@ -142,3 +142,38 @@ def c5_long_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["TOKEN_PATTERN", "c1_tree_nodes", "c2_pairs", "c2_message_pairs", "c3_unigram_logps",
            "c5_logits", "c5_long_logits", "table"]
+
+
+def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size: int = 2,
+                seed: int = 42) -> DataFrame:
+    """C4: a padded rollout table ``(batch_id, seq_id, pos, token, policy_lp, ref_lp, value, is_pad, reward)``.
+
+    Responses are the first ``max_new`` words of C2 chosen; reward = distinct / total
+    words; batches of ``batch_size`` by md5(pair_id:seed) order; each batch is padded to
+    its longest response and, as in the reference, its last column is dropped (S9), so
+    positions run 0..width-2. Log-probs come from C3 (0 at pads); value = word length / 10
+    at tokens and 0.5 at pads (masked later by RO7).
+    """
+    from prefspark.operators.batching import assign_batches
+    from prefspark.operators.tokens import _maybe_broadcast
+
+    pairs = c2_pairs(spark, sf_dir)
+    lps, dp, dr = c3_unigram_logps(spark, sf_dir)
+    seqs = pairs.select(F.col("pair_id").alias("seq_id"), F.slice(tokens("chosen"), 1, max_new).alias("toks"))
+    seqs = seqs.withColumn("n", F.size("toks")).withColumn(
+        "reward", F.coalesce(F.try_divide(F.size(F.array_distinct("toks")), F.col("n")), F.lit(0.0)).cast("double"))
+    b = assign_batches(seqs, batch_size, "seq_id", seed=seed, step_col=None)
+    b = b.withColumn("width", F.max("n").over(Window.partitionBy("batch_id")))
+    positions = F.when(F.col("width") >= 2, F.sequence(F.lit(0), F.col("width") - 2)).otherwise(
+        F.array().cast("array<int>"))
+    rows = b.select("batch_id", "seq_id", "reward", "n", "toks", F.explode(positions).alias("pos"))
+    rows = rows.withColumn("is_pad", F.col("pos") >= F.col("n")).withColumn(
+        "token", F.when(~F.col("is_pad"), F.element_at("toks", F.col("pos") + 1)))
+    looked = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left")
+    return looked.select(
+        "batch_id", "seq_id", "pos", "token",
+        F.when(F.col("is_pad"), F.lit(0.0)).otherwise(F.coalesce("policy_lp", F.lit(dp))).alias("policy_lp"),
+        F.when(F.col("is_pad"), F.lit(0.0)).otherwise(F.coalesce("ref_lp", F.lit(dr))).alias("ref_lp"),
+        F.when(F.col("is_pad"), F.lit(0.5)).otherwise(F.length("token") / F.lit(10.0)).alias("value"),
+        "is_pad", "reward",
+    )

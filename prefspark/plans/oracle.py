@@ -235,3 +235,183 @@ SQL["plan_steps"] = f"""
 WITH {C2}
 SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS batch_size, CAST(10 AS BIGINT) AS num_epochs,
        CAST(ceil(count(*) / 2) * 10 AS BIGINT) AS steps FROM c2"""
+
+# ---------------------------------------------------------------- sampling, log-probs, losses
+
+C3 = f"""
+c3_p AS (SELECT token, count(*) AS n_policy
+         FROM (SELECT unnest({tok('text')}) AS token FROM conversations WHERE role = 'assistant') GROUP BY token),
+c3_r AS (SELECT token, count(*) AS n_ref FROM (SELECT unnest({tok('text')}) AS token FROM documents) GROUP BY token),
+c3_u AS (SELECT coalesce(p.token, r.token) AS token, coalesce(n_policy, 0) AS n_policy, coalesce(n_ref, 0) AS n_ref
+         FROM c3_p p FULL OUTER JOIN c3_r r ON p.token = r.token),
+c3_s AS (SELECT CAST(sum(n_policy) AS DOUBLE) AS np, CAST(sum(n_ref) AS DOUBLE) AS nr, CAST(count(*) AS DOUBLE) AS v
+         FROM c3_u),
+c3 AS (SELECT token, ln((n_policy + 1) / (np + v)) AS policy_lp, ln((n_ref + 1) / (nr + v)) AS ref_lp FROM c3_u, c3_s),
+c3_d AS (SELECT ln(1 / (np + v)) AS dp, ln(1 / (nr + v)) AS dr FROM c3_s)"""
+
+LONG_LOGITS = """
+e_long AS (SELECT vec_id AS seq_id, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS item,
+                  CAST(unnest(embedding) AS DOUBLE) AS logit, len(embedding) AS width FROM embeddings)"""
+
+NUCLEUS = f"""{LONG_LOGITS},
+n_z AS (SELECT *, exp(logit / 0.7 - max(logit / 0.7) OVER (PARTITION BY seq_id)) AS ez FROM e_long),
+n_p AS (SELECT seq_id, item, ez / sum(ez) OVER (PARTITION BY seq_id) AS prob FROM n_z),
+n_r AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY seq_id ORDER BY prob DESC, item
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+               row_number() OVER (PARTITION BY seq_id ORDER BY prob DESC, item) AS rank FROM n_p),
+nucleus AS (SELECT * FROM n_r WHERE before < 0.9)"""
+
+
+def r6(x: str) -> str:
+    return f"(round(CAST({x} AS DOUBLE), 6) + 0.0)"
+
+
+SQL["nucleus"] = f"""
+WITH {NUCLEUS}
+SELECT seq_id, item, {r6('prob')} AS prob, CAST(rank AS BIGINT) AS rank FROM nucleus"""
+
+SQL["sample_one"] = f"""
+WITH {NUCLEUS},
+g AS (SELECT seq_id, item,
+             ln(prob) - ln(-ln((CAST(('0x' || substr(md5(CAST(seq_id AS VARCHAR) || ':' || CAST(item AS VARCHAR) || ':42'),
+                                              1, 8)) AS UBIGINT) + 0.5) / 4294967296.0)) AS score
+      FROM nucleus)
+SELECT seq_id, arg_max(item, score) AS item FROM g GROUP BY seq_id"""
+
+SQL["token_logps"] = f"""
+WITH {LONG_LOGITS},
+m AS (SELECT seq_id, max(logit) AS mx FROM e_long GROUP BY seq_id),
+s AS (SELECT x.seq_id, m.mx + ln(sum(exp(x.logit - m.mx))) AS lse FROM e_long x JOIN m ON x.seq_id = m.seq_id
+      GROUP BY x.seq_id, m.mx)
+SELECT x.seq_id, x.item AS label, {r6('x.logit - s.lse')} AS logp
+FROM e_long x JOIN s ON x.seq_id = s.seq_id WHERE x.item = x.seq_id % x.width"""
+
+SQL["shift_labels"] = f"""
+WITH {VOCAB}, {encoded('enc', 'conversations', 'conv_id, turn', 'text')},
+x AS (SELECT conv_id, turn, CAST(generate_subscripts(ids, 1) - 1 AS BIGINT) AS pos, unnest(ids) AS token FROM enc),
+l AS (SELECT *, lead(token) OVER (PARTITION BY conv_id, turn ORDER BY pos) AS label FROM x)
+SELECT conv_id, turn, pos, CAST(token AS BIGINT) AS token, CAST(label AS BIGINT) AS label FROM l
+WHERE label IS NOT NULL"""
+
+SEQ = f"""
+s_in AS (SELECT pair_id, 0 AS side, {prompt_sql('prompt')} AS ptxt,
+                {prompt_sql('prompt')} || {pair_sql('prompt', 'chosen')} AS inp FROM c2
+         UNION ALL
+         SELECT pair_id, 1 AS side, {prompt_sql('prompt')} AS ptxt,
+                {prompt_sql('prompt')} || {pair_sql('prompt', 'rejected')} AS inp FROM c2),
+s_t AS (SELECT pair_id, side, len({tok('ptxt')}) AS plen, list_slice({tok('inp')}, 1, 256) AS toks FROM s_in),
+s_x AS (SELECT pair_id, side, plen, len(toks) AS slen, unnest(toks) AS token,
+               generate_subscripts(toks, 1) - 1 AS pos FROM s_t),
+s_a AS (SELECT x.pair_id, x.side, x.plen, x.slen,
+               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.policy_lp, d.dp) END) AS pl,
+               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.ref_lp, d.dr) END) AS rl
+        FROM s_x x LEFT JOIN c3 c ON x.token = c.token CROSS JOIN c3_d d
+        GROUP BY x.pair_id, x.side, x.plen, x.slen),
+seqlp AS (SELECT pair_id, side, coalesce(pl, 0.0) AS policy_logp, coalesce(rl, 0.0) AS ref_logp,
+                 CAST(plen >= slen - 1 AS BIGINT) AS response_cut FROM s_a),
+dpo AS (SELECT pair_id,
+               max(CASE WHEN side = 0 THEN policy_logp END) AS policy_chosen,
+               max(CASE WHEN side = 1 THEN policy_logp END) AS policy_rejected,
+               max(CASE WHEN side = 0 THEN ref_logp END) AS ref_chosen,
+               max(CASE WHEN side = 1 THEN ref_logp END) AS ref_rejected
+        FROM seqlp GROUP BY pair_id),
+dpo_l AS (SELECT *, (policy_chosen - policy_rejected) - (ref_chosen - ref_rejected) AS margin FROM dpo),
+dpo_loss AS (SELECT *, -(CASE WHEN 0.1 * margin < 0 THEN 0.1 * margin - ln(1 + exp(0.1 * margin))
+                              ELSE -ln(1 + exp(-0.1 * margin)) END) AS loss FROM dpo_l)"""
+
+SQL["sequence_logps"] = f"""
+WITH {C2}, {C3}, {SEQ}
+SELECT pair_id, CAST(side AS BIGINT) AS side, {r6('policy_logp')} AS policy_logp, {r6('ref_logp')} AS ref_logp,
+       response_cut FROM seqlp"""
+
+SQL["dpo_loss"] = f"""
+WITH {C2}, {C3}, {SEQ}
+SELECT pair_id, {r6('policy_chosen')} AS policy_chosen, {r6('policy_rejected')} AS policy_rejected,
+       {r6('ref_chosen')} AS ref_chosen, {r6('ref_rejected')} AS ref_rejected,
+       {r6('margin')} AS margin, {r6('loss')} AS loss FROM dpo_loss"""
+
+SQL["eval_loss"] = f"""
+WITH {C2}, {C3}, {SEQ},
+sp AS (SELECT CASE WHEN CAST(('0x' || substr(md5(CAST(pair_id AS VARCHAR)), 1, 2)) AS INTEGER) < 51
+                   THEN 'test' ELSE 'train' END AS split, loss FROM dpo_loss)
+SELECT split, {r6('avg(loss)')} AS mean_loss, count(*) AS n_rows FROM sp GROUP BY split"""
+
+SQL["pairwise_loss"] = f"""
+WITH d AS (SELECT d.doc_id, l.quality, {tok('d.text')} AS toks FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+s AS (SELECT doc_id, quality,
+             CASE WHEN len(toks) = 0 THEN 0.0 ELSE 10.0 * len(list_distinct(toks)) / len(toks) END AS score,
+             row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS k FROM d),
+p AS (SELECT g.k AS pair_id, g.doc_id AS chosen_doc, b.doc_id AS rejected_doc, g.score AS rc, b.score AS rr
+      FROM s g JOIN s b ON g.k = b.k AND g.quality = 1 AND b.quality = 0)
+SELECT CAST(pair_id AS BIGINT) AS pair_id, chosen_doc, rejected_doc, {r6('rc')} AS reward_chosen,
+       {r6('rr')} AS reward_rejected, {r6('ln(1 + exp(-(rc - rr)))')} AS loss FROM p"""
+
+SQL["score_texts"] = f"""
+SELECT conv_id, turn,
+       {r6(f"CASE WHEN len({tok('text')}) = 0 THEN 0.0 ELSE len(list_distinct({tok('text')})) / len({tok('text')}) END")}
+       AS score
+FROM conversations WHERE role = 'assistant'"""
+
+# ---------------------------------------------------------------- rollouts (C4, RO1-RO13)
+
+GL = repr(0.99 * 0.95)
+
+ROLL = f"""
+r_seq AS (SELECT pair_id AS seq_id, list_slice({tok('chosen')}, 1, 64) AS toks FROM c2),
+r_b AS (SELECT seq_id, toks, len(toks) AS n,
+               CASE WHEN len(toks) = 0 THEN 0.0 ELSE len(list_distinct(toks)) / len(toks) END AS reward,
+               (row_number() OVER (ORDER BY md5(CAST(seq_id AS VARCHAR) || ':42'), seq_id) - 1) // 2 AS batch_id
+        FROM r_seq),
+r_w AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS width FROM r_b),
+r_p AS (SELECT batch_id, seq_id, reward, n, toks, unnest(range(0, width - 1)) AS pos FROM r_w),
+r_t AS (SELECT batch_id, seq_id, reward, pos, pos >= n AS is_pad, CASE WHEN pos < n THEN toks[pos + 1] END AS token
+        FROM r_p),
+ro AS (SELECT r.batch_id, r.seq_id, r.pos, r.reward,
+              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.policy_lp, d.dp) END AS policy_lp,
+              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.ref_lp, d.dr) END AS ref_lp,
+              CASE WHEN r.is_pad THEN 0.0 ELSE 1.0 END AS mask,
+              CASE WHEN r.is_pad THEN 0.0 ELSE length(r.token) / 10.0 END AS value
+       FROM r_t r LEFT JOIN c3 c ON r.token = c.token CROSS JOIN c3_d d),
+ce AS (SELECT *, reward - avg(CASE WHEN pos = 0 THEN reward END) OVER (PARTITION BY batch_id) AS rc,
+              max(pos) OVER (PARTITION BY batch_id) AS last_col FROM ro),
+td AS (SELECT *, CASE WHEN pos = last_col THEN rc ELSE 0.0 END AS reward_t FROM ce),
+dl AS (SELECT *, reward_t + 0.99 * coalesce(lead(value) OVER (PARTITION BY seq_id ORDER BY pos), 0.0) - value AS delta
+       FROM td),
+ga AS (SELECT a.seq_id, a.pos, sum(b.delta * pow({GL}, b.pos - a.pos)) AS advantage
+       FROM dl a JOIN dl b ON a.seq_id = b.seq_id AND b.pos >= a.pos GROUP BY a.seq_id, a.pos),
+fa AS (SELECT d.*, g.advantage, g.advantage + d.value AS returns,
+              CASE WHEN d.mask > 0 THEN exp(d.policy_lp - d.ref_lp) ELSE 1.0 END AS ratio
+       FROM dl d JOIN ga g ON d.seq_id = g.seq_id AND d.pos = g.pos),
+pb AS (SELECT batch_id,
+              -avg(least(ratio * advantage, greatest(least(ratio, 1.2), 0.8) * advantage)) AS policy_loss,
+              avg(pow(value - returns, 2)) AS value_loss,
+              sum((policy_lp - ref_lp) * mask) / nullif(sum(mask), 0) AS kl,
+              avg(CASE WHEN pos = 0 THEN rc END) AS reward_mean,
+              avg(CASE WHEN pos = 0 THEN reward END) AS raw_reward_mean
+       FROM fa GROUP BY batch_id)"""
+
+SQL["center_rewards"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, seq_id, {r6('reward')} AS reward, {r6('rc')} AS reward_centered
+FROM ce WHERE pos = 0"""
+
+SQL["td_residuals"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, seq_id, CAST(pos AS BIGINT) AS pos, {r6('mask')} AS mask,
+       {r6('value')} AS value, {r6('reward_t')} AS reward_t, {r6('delta')} AS delta FROM dl"""
+
+SQL["gae"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, seq_id, CAST(pos AS BIGINT) AS pos, {r6('advantage')} AS advantage,
+       {r6('returns')} AS returns FROM fa"""
+
+SQL["ppo_loss"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, {r6('policy_loss')} AS policy_loss, {r6('value_loss')} AS value_loss,
+       {r6('kl')} AS kl, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss FROM pb"""
+
+SQL["rollout_metrics"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss,
+       {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean,
+       CAST((batch_id + 1) % 10 = 0 AS BIGINT) AS logged FROM pb"""

@@ -200,3 +200,216 @@ def q_assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_plan_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BA3 + SF6: ceil(N / batch) * epochs for batch 2, 10 epochs."""
     return batching.plan_steps(fx.c2_pairs(spark, sf_dir), 2, 10)
+
+
+# ---------------------------------------------------------------- sampling, log-probs, losses, rollouts
+
+import re  # noqa: E402
+
+import numpy as np  # noqa: E402
+
+from prefspark.functions.exprs import TOKEN_PATTERN, md5_key, round6  # noqa: E402
+from prefspark.operators import logps, losses, rollout, sampling  # noqa: E402
+from prefspark.operators.indexing import rank_within as _rank_within  # noqa: E402
+
+
+@query("nucleus")
+def q_nucleus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA4: top-p 0.9 / temperature 0.7 candidate sets over every embedding row as logits."""
+    n = sampling.nucleus(fx.c5_long_logits(spark, sf_dir), top_p=0.9, temperature=0.7)
+    return n.select("seq_id", F.col("item").cast("bigint").alias("item"), round6("prob").alias("prob"),
+                    F.col("rank").cast("bigint").alias("rank"))
+
+
+@query("sample_one")
+def q_sample_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA5: one seeded Gumbel-max draw per row from its nucleus."""
+    n = sampling.nucleus(fx.c5_long_logits(spark, sf_dir), top_p=0.9, temperature=0.7)
+    s = sampling.sample_one(n, seed=42)
+    return s.select("seq_id", F.col("item").cast("bigint").alias("item"))
+
+
+@query("token_logps")
+def q_token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP1 + JN2: log-softmax of each logits row gathered at its label (row layout, no shuffle)."""
+    t = logps.token_logps(fx.c5_logits(spark, sf_dir))
+    return t.select("seq_id", F.col("label").cast("bigint").alias("label"), round6("logp").alias("logp"))
+
+
+@query("shift_labels")
+def q_shift_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP2 + WN1: next-token labels over every encoded turn."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    enc = tokens.encode(conv, "text", _vocab(spark, sf_dir), ["conv_id", "turn"])
+    long = enc.select("conv_id", "turn", F.posexplode("input_ids").alias("pos", "token"))
+    s = logps.shift_labels(long, ["conv_id", "turn"])
+    return s.select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("token").cast("bigint").alias("token"), F.col("label").cast("bigint").alias("label"))
+
+
+def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = 256) -> DataFrame:
+    """LP3/LP4 on C2 with C3 scorers: the S3-literal DPO inputs, truncated, prompt length untruncated.
+
+    With a context-free scorer, the shifted log-prob at position j is the token log-prob
+    at j+1, so the response mean needs no window: it averages the tokens after the
+    first response token (S4) -- the response slice is cut out *before* the scorer join.
+    """
+    from prefspark.operators.tokens import _maybe_broadcast
+
+    texts = chat.preference_texts(fx.c2_message_pairs(spark, sf_dir), keep=("pair_id",))
+    inputs = chat.model_inputs(texts, "conversation")
+    sides = inputs.select(
+        "pair_id", "prompt",
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), F.col("chosen_input").alias("inp")),
+            F.struct(F.lit(1).alias("side"), F.col("rejected_input").alias("inp")),
+        )).alias("s"),
+    )
+    seqs = sides.select(
+        "pair_id", F.col("s.side").alias("side"),
+        tokens.token_count(F.col("prompt")).alias("prompt_len"),
+        F.slice(fx.tokens(F.col("s.inp")), 1, max_length).alias("toks"),
+    ).withColumn("length", F.size("toks"))
+    resp = seqs.select("pair_id", "side", "prompt_len", "length",
+                       F.explode_outer(F.slice("toks", F.col("prompt_len") + 2, F.col("length"))).alias("token"))
+    lps, dp, dr = fx.c3_unigram_logps(spark, sf_dir)
+    scored = resp.join(_maybe_broadcast(lps, 2_000_000), "token", "left").select(
+        "pair_id", "side", "prompt_len", "length",
+        F.when(F.col("token").isNotNull(), F.coalesce("policy_lp", F.lit(dp))).alias("policy_lp"),
+        F.when(F.col("token").isNotNull(), F.coalesce("ref_lp", F.lit(dr))).alias("ref_lp"),
+    )
+    return scored.groupBy("pair_id", "side").agg(
+        F.coalesce(F.avg("policy_lp"), F.lit(0.0)).alias("policy_logp"),
+        F.coalesce(F.avg("ref_lp"), F.lit(0.0)).alias("ref_logp"),
+        (F.first("prompt_len") >= F.first("length") - 1).alias("response_cut"),
+    )
+
+
+@query("sequence_logps")
+def q_sequence_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP3 + LP4 + S4 + S7: mean response log-prob per side, 0.0 when the response was cut off."""
+    s = _sequence_logps(spark, sf_dir)
+    return s.select("pair_id", F.col("side").cast("bigint").alias("side"), round6("policy_logp").alias("policy_logp"),
+                    round6("ref_logp").alias("ref_logp"), F.col("response_cut").cast("bigint").alias("response_cut"))
+
+
+def _dpo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _sequence_logps(spark, sf_dir)
+    side0, side1 = F.col("side") == 0, F.col("side") == 1
+    per_pair = s.groupBy("pair_id").agg(
+        F.max(F.when(side0, F.col("policy_logp"))).alias("policy_chosen"),
+        F.max(F.when(side1, F.col("policy_logp"))).alias("policy_rejected"),
+        F.max(F.when(side0, F.col("ref_logp"))).alias("ref_chosen"),
+        F.max(F.when(side1, F.col("ref_logp"))).alias("ref_rejected"),
+    )
+    return losses.dpo_loss(per_pair, beta=0.1)
+
+
+@query("dpo_loss")
+def q_dpo_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LS3: per-pair DPO margin and loss (beta 0.1)."""
+    d = _dpo(spark, sf_dir)
+    return d.select("pair_id", *[round6(c).alias(c) for c in (
+        "policy_chosen", "policy_rejected", "ref_chosen", "ref_rejected", "margin", "loss")])
+
+
+@query("eval_loss")
+def q_eval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LS4 + IO6 + U4: mean DPO loss per split; the split is a hash bucket of pair_id (all rows kept)."""
+    d = _dpo(spark, sf_dir)
+    bucket = F.conv(F.substring(F.md5(F.col("pair_id").cast("string")), 1, 2), 16, 10).cast("int")
+    d = d.withColumn("split", F.when(bucket < 51, F.lit("test")).otherwise(F.lit("train")))
+    e = losses.eval_loss(d)
+    return e.select("split", round6("mean_loss").alias("mean_loss"), "n_rows")
+
+
+def _doc_score(text) -> "F.Column":
+    toks = fx.tokens(text)
+    return F.coalesce(F.lit(10.0) * F.try_divide(F.size(F.array_distinct(toks)), F.size(toks)), F.lit(0.0))
+
+
+@query("pairwise_loss")
+def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LS1 + LS2: k-th good document vs k-th bad document (doc_id order), stable -log sigmoid."""
+    docs = fx.table(spark, sf_dir, "documents").join(fx.table(spark, sf_dir, "labels"), "doc_id")
+    scored = docs.select("doc_id", "quality", _doc_score(F.col("text")).alias("score"))
+    ranked = _rank_within(scored, ["quality"], ["doc_id"], "k")
+    good = ranked.where(F.col("quality") == 1).select("k", F.col("doc_id").alias("chosen_doc"),
+                                                       F.col("score").alias("reward_chosen"))
+    bad = ranked.where(F.col("quality") == 0).select("k", F.col("doc_id").alias("rejected_doc"),
+                                                      F.col("score").alias("reward_rejected"))
+    pl = losses.pairwise_loss(good.join(bad, "k"))
+    return pl.select(F.col("k").cast("bigint").alias("pair_id"), "chosen_doc", "rejected_doc",
+                     round6("reward_chosen").alias("reward_chosen"),
+                     round6("reward_rejected").alias("reward_rejected"), round6("loss").alias("loss"))
+
+
+def _distinct_ratio_model():
+    """Fixture scorer for the LP5 hook: distinct / total words of each text (numpy, per batch)."""
+    pat = re.compile(TOKEN_PATTERN)
+
+    def predict(texts: np.ndarray) -> np.ndarray:
+        out = np.empty(len(texts), dtype=np.float64)
+        for i, t in enumerate(texts):
+            w = pat.findall(t)
+            out[i] = len(set(w)) / len(w) if w else 0.0
+        return out
+
+    return predict
+
+
+@query("score_texts")
+def q_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP5 + U5: every assistant turn scored by a user model through ``predict_batch_udf``."""
+    conv = fx.table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    s = logps.score_texts(conv, "text", _distinct_ratio_model)
+    return s.select("conv_id", "turn", round6("score").alias("score"))
+
+
+def _rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollout.advantages(fx.c4_rollouts(spark, sf_dir))
+
+
+@query("center_rewards")
+def q_center_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO1: batch-centred rewards, one row per sequence."""
+    r = rollout.center_rewards(fx.c4_rollouts(spark, sf_dir)).where(F.col("pos") == 0)
+    return r.select("batch_id", "seq_id", round6("reward").alias("reward"),
+                    round6("reward_centered").alias("reward_centered"))
+
+
+@query("td_residuals")
+def q_td_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO2 + RO3 + RO7: reward on the last column, masked values, TD residuals."""
+    r = fx.c4_rollouts(spark, sf_dir)
+    r = rollout.td_residuals(rollout.place_reward(rollout.mask_values(rollout.center_rewards(r))))
+    return r.select("batch_id", "seq_id", F.col("pos").cast("bigint").alias("pos"), round6("mask").alias("mask"),
+                    round6("value").alias("value"), round6("reward_t").alias("reward_t"),
+                    round6("delta").alias("delta"))
+
+
+@query("gae")
+def q_gae(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO4 + RO5 + WN2: generalized advantages (gamma 0.99, lam 0.95) and returns."""
+    r = _rollouts(spark, sf_dir)
+    return r.select("batch_id", "seq_id", F.col("pos").cast("bigint").alias("pos"),
+                    round6("advantage").alias("advantage"), round6("returns").alias("returns"))
+
+
+@query("ppo_loss")
+def q_ppo_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO8-RO12 + PR6 + SF7/SF8: clipped surrogate, value loss, masked KL and total per batch."""
+    p = rollout.ppo_loss(_rollouts(spark, sf_dir))
+    return p.select("batch_id", *[round6(c).alias(c) for c in ("policy_loss", "value_loss", "kl", "loss")])
+
+
+@query("rollout_metrics")
+def q_rollout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO13 + PR7: per-step loss, KL and mean reward; ``logged`` marks every 10th step."""
+    m = rollout.rollout_metrics(_rollouts(spark, sf_dir)).withColumn("step", F.col("batch_id") + 1)
+    return m.select(F.col("step").cast("bigint").alias("step"), round6("loss").alias("loss"), round6("kl").alias("kl"),
+                    round6("reward_mean").alias("reward_mean"), round6("raw_reward_mean").alias("raw_reward_mean"),
+                    rollout.logged_step("step", 10).cast("bigint").alias("logged"))
+
+
+_ = md5_key  # re-exported helper kept for query authors
