@@ -6,14 +6,15 @@ ranges when the order key is unique), each row gets ``monotonically_increasing_i
 (partition id in the high bits, local position in the low 33 bits), the frame is
 checkpointed so the numbering is fixed and survives executor loss, and one offset per
 partition -- a table bounded by the partition count, safe to broadcast -- turns the local
-position into a contiguous global index.
+position into a contiguous global index. Only the per-partition counts (one integer per
+partition) reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.session import materialize
@@ -30,19 +31,14 @@ def global_index(df: DataFrame, order: Sequence[Column | str], idx_col: str = "i
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     staged = materialize(df.orderBy(*cols).withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    # One row per non-empty partition: bounded by the partition count, not by the data.
-    offsets = (
-        staged.groupBy(pid.alias("_pid"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_off",
-            F.coalesce(
-                F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .select("_pid", "_off")
-    )
+    # One count per non-empty partition: bounded by the partition count, not by the data,
+    # so the prefix sum runs on the driver and the offsets go back as a broadcast table.
+    counts = sorted(tuple(r) for r in staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
+    running, rows = 0, []
+    for p, n in counts:
+        rows.append((int(p), running))
+        running += int(n)
+    offsets = df.sparkSession.createDataFrame(rows, "_pid bigint, _off bigint")
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
         staged.join(F.broadcast(offsets), pid == F.col("_pid"))
