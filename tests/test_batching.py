@@ -1,0 +1,60 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from prefspark.functions.exprs import md5_key
+from prefspark.operators import batching
+from prefspark.operators.indexing import global_index, rank_within
+
+
+def test_global_index_equals_row_number(spark):
+    df = spark.range(0, 1000, numPartitions=7).withColumn("h", md5_key("id"))
+    got = {r["id"]: r["idx"] for r in global_index(df, ["h", "id"]).collect()}
+    ref = {r["id"]: r["rn"] - 1 for r in df.withColumn("rn", F.row_number().over(Window.orderBy("h", "id"))).collect()}
+    assert got == ref
+
+
+def test_rank_within_hot_group(spark):
+    df = spark.range(0, 600).withColumn("g", F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 3))
+    got = {r["id"]: r["rank"] for r in rank_within(df, ["g"], ["id"]).collect()}
+    ref = {r["id"]: r["rn"] - 1 for r in
+           df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id"))).collect()}
+    assert got == ref
+
+
+def test_assign_batches_last_partial_and_steps(spark):
+    df = spark.range(0, 10).withColumnRenamed("id", "k")
+    b = batching.assign_batches(df, 4, "k", seed=7)
+    sizes = sorted(r["count"] for r in b.groupBy("batch_id").count().collect())
+    assert sizes == [2, 4, 4]
+    assert sorted(r["idx"] for r in b.collect()) == list(range(10))
+    e = batching.assign_batches(batching.with_epochs(df, 3), 4, "k", seed=7, epoch_col="epoch")
+    assert e.agg(F.max("step")).first()[0] == 9
+    assert e.where("epoch = 2").agg(F.min("step")).first()[0] == 7
+    # different epochs shuffle differently, the same seed repeats
+    o0 = [r["k"] for r in e.where("epoch = 0").orderBy("idx").collect()]
+    o1 = [r["k"] for r in e.where("epoch = 1").orderBy("idx").collect()]
+    again = [r["k"] for r in batching.assign_batches(batching.with_epochs(df, 3), 4, "k", seed=7,
+                                                     epoch_col="epoch").where("epoch = 0").orderBy("idx").collect()]
+    assert o0 != o1 and o0 == again
+
+
+def test_plan_steps(spark):
+    r = batching.plan_steps(spark.range(0, 13), 4, 2).first()
+    assert (r["n_rows"], r["steps"]) == (13, 8)
+
+
+def test_pad_batch_and_pairs(spark):
+    df = spark.createDataFrame([(0, [1, 2, 3]), (0, [4]), (1, [5, 6])], "batch_id long, input_ids array<int>")
+    out = sorted((r["batch_id"], r["input_ids"], r["attention_mask"]) for r in batching.pad_batch(df).collect())
+    assert out == [(0, [1, 2, 3], [1, 1, 1]), (0, [4, 0, 0], [1, 0, 0]), (1, [5, 6], [1, 1])]
+    left = sorted(r["input_ids"] for r in batching.pad_batch(df, side="left").collect())
+    assert [0, 0, 4] in left
+    p = spark.createDataFrame([(0, [1], [2, 3, 4]), (0, [5, 6], [7])],
+                              "batch_id long, input_ids_chosen array<int>, input_ids_rejected array<int>")
+    for r in batching.pad_pairs(p).collect():
+        assert len(r["input_ids_chosen"]) == len(r["input_ids_rejected"]) == 3
+
+
+def test_log_steps(spark):
+    df = spark.range(1, 31).withColumnRenamed("id", "step")
+    assert [r["step"] for r in batching.log_steps(df, 10).orderBy("step").collect()] == [10, 20, 30]
