@@ -77,7 +77,7 @@ def join_blocks(df: DataFrame, key: list[str], position: str, block: str = "bloc
     ``collect_list`` has no order guarantee, so the list is sorted on a struct whose first
     field is the position (an int or an ARRAY<INT> tree path: arrays sort prefix-first).
     """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(block).alias("b"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(block).alias("b"))))
     return df.groupBy(*key).agg(
         F.concat(F.lit(system_block(system)), F.array_join(ordered.getField("b"), "\n"), F.lit("\n")).alias(out),
         F.count(F.lit(1)).alias("n_messages"),

@@ -5,9 +5,9 @@ range-partitioned and sorted (Spark samples the keys, so hot values are split ac
 ranges when the order key is unique), each row gets ``monotonically_increasing_id``
 (partition id in the high bits, local position in the low 33 bits), the frame is
 checkpointed so the numbering is fixed and survives executor loss, and one offset per
-partition -- a table bounded by the partition count, safe to broadcast -- turns the local
+partition -- bounded by the partition count, not by the data -- turns the local
 position into a contiguous global index. Only the per-partition counts (one integer per
-partition) reach the driver.
+partition) reach the driver; the offsets go back into the plan as a literal array.
 """
 
 from __future__ import annotations
@@ -32,19 +32,18 @@ def global_index(df: DataFrame, order: Sequence[Column | str], idx_col: str = "i
     staged = materialize(df.orderBy(*cols).withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     # One count per non-empty partition: bounded by the partition count, not by the data,
-    # so the prefix sum runs on the driver and the offsets go back as a broadcast table.
-    counts = sorted(tuple(r) for r in staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
-    running, rows = 0, []
-    for p, n in counts:
-        rows.append((int(p), running))
-        running += int(n)
-    offsets = df.sparkSession.createDataFrame(rows, "_pid bigint, _off bigint")
+    # so the prefix sum runs on the driver and comes back as a literal array indexed by
+    # partition id -- a plain expression, no join and no Python-side table.
+    counts = dict(tuple(r) for r in staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for p in range(int(max(counts, default=-1)) + 1):
+        offsets.append(running)
+        running += int(counts.get(p, 0))
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (
-        staged.join(F.broadcast(offsets), pid == F.col("_pid"))
-        .withColumn(idx_col, (F.col("_off") + local).cast("bigint"))
-        .drop("_mid", "_pid", "_off")
-    )
+    if not offsets:
+        return staged.withColumn(idx_col, local.cast("bigint")).drop("_mid")
+    table = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    return staged.withColumn(idx_col, (F.element_at(table, (pid + 1).cast("int")) + local).cast("bigint")).drop("_mid")
 
 
 def rank_within(

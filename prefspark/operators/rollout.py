@@ -90,7 +90,7 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     heads = staged.groupBy(batch, seq, "_blk").agg(F.sum(F.col(delta) * weight).alias("_h"))
     g_block = gl ** chunk
     per_seq = heads.groupBy(batch, seq).agg(
-        F.reverse(F.array_sort(F.collect_list(F.struct("_blk", "_h")))).alias("_hs"))
+        F.reverse(F.sort_array(F.collect_list(F.struct("_blk", "_h")))).alias("_hs"))
     init = F.struct(F.lit(0.0).alias("b"),
                     F.array().cast("array<struct<_blk:int,_carry:double>>").alias("out"))
     folded = F.aggregate(

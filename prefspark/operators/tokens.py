@@ -51,14 +51,31 @@ def build_vocab(texts: DataFrame, text_col: str = "text", specials: Sequence[str
     if max_size is not None:
         numbered = numbered.where(F.col("_i") < max_size - k)
     words = numbered.select("token", (F.col("_i") + k).cast("int").alias("id"), F.col("count").cast("bigint"))
-    special_rows = spark.createDataFrame([(s, i, 0) for i, s in enumerate(specials)],
-                                         "token string, id int, count bigint")
+    special_rows = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(s).alias("token"), F.lit(i).alias("id"), F.lit(0).cast("bigint").alias("count"))
+        for i, s in enumerate(specials)])))
     return special_rows.unionByName(words)
 
 
 def _maybe_broadcast(vocab: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast the vocabulary only behind a counted size bound."""
-    return F.broadcast(vocab) if vocab.count() <= max_rows else vocab
+    return F.broadcast(vocab) if _small(vocab, max_rows) else vocab
+
+
+def _small(vocab: DataFrame, max_rows: int) -> bool:
+    return vocab.count() <= max_rows
+
+
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition the (compact) input rows on the grouping keys before exploding them.
+
+    With a broadcast lookup the exploded rows then stay in place and the regrouping
+    needs no second exchange, so the shuffle moves raw text instead of exploded
+    (key, pos, id) tuples. The explicit partition count keeps AQE from folding the
+    CPU-heavy explode into one task when the text itself is small.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
 def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str], out: str = "input_ids",
@@ -72,6 +89,9 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     (or ``[bos]``), never a dropped row.
     """
     budget = None if max_length is None else max_length - (1 if add_bos else 0)
+    small = _small(vocab, broadcast_max_rows)
+    if small:
+        df = _spread(df.select(*keys, text_col), keys)
     exploded = df.select(*keys, F.size(tokens(text_col)).alias("n_tokens"),
                          F.posexplode_outer(tokens(text_col)).alias("pos", "token"))
     if budget is not None:
@@ -82,11 +102,11 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
         else:
             raise ValueError(f"unknown truncation side {side!r}")
         exploded = exploded.where(F.col("pos").isNull() | keep)
-    v = _maybe_broadcast(vocab.select("token", F.col("id").alias("_id")), broadcast_max_rows)
-    looked = exploded.join(v, "token", "left")
+    v = vocab.select("token", F.col("id").alias("_id"))
+    looked = exploded.join(F.broadcast(v) if small else v, "token", "left")
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_id", F.lit(unk_id)).alias("id")))
     grouped = looked.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(item)).alias("_items"),
+        F.sort_array(F.collect_list(item)).alias("_items"),
         F.first("n_tokens").alias("n_tokens"),
     )
     ids = F.transform("_items", lambda x: x["id"])
@@ -152,15 +172,18 @@ def decode(df: DataFrame, ids_col: str, vocab: DataFrame, keys: Sequence[str], o
            skip_special: bool = True, specials: Sequence[str] = SPECIALS,
            broadcast_max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
     """TK11: ids -> text, tokens joined by one space, special tokens dropped when asked."""
+    small = _small(vocab, broadcast_max_rows)
+    if small:
+        df = _spread(df.select(*keys, ids_col), keys)
     exploded = df.select(*keys, F.posexplode_outer(ids_col).alias("pos", "_id"))
-    v = _maybe_broadcast(vocab.select(F.col("id").alias("_id"), "token"), broadcast_max_rows)
-    looked = exploded.join(v, "_id", "left")
+    v = vocab.select(F.col("id").alias("_id"), "token")
+    looked = exploded.join(F.broadcast(v) if small else v, "_id", "left")
     keep = F.col("pos").isNotNull()
     if skip_special:
         keep = keep & ~F.col("token").isin(list(specials))
     item = F.when(keep, F.struct("pos", "token"))
     return looked.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["token"]), " ").alias(out))
+        F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["token"]), " ").alias(out))
 
 
 # ---------------------------------------------------------------- U1: user encoder hook
