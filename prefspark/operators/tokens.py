@@ -92,8 +92,11 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     small = _small(vocab, broadcast_max_rows)
     if small:
         df = _spread(df.select(*keys, text_col), keys)
-    exploded = df.select(*keys, F.size(tokens(text_col)).alias("n_tokens"),
-                         F.posexplode_outer(tokens(text_col)).alias("pos", "token"))
+    # Tokenize and count once per text, *before* the generator: a per-row expression left
+    # above the Generate would be re-evaluated (and the text carried) for every token.
+    split = df.select(*keys, tokens(text_col).alias("_toks")).select(
+        *keys, F.size("_toks").alias("n_tokens"), "_toks")
+    exploded = split.select(*keys, "n_tokens", F.posexplode_outer("_toks").alias("pos", "token"))
     if budget is not None:
         if side == "right":
             keep = F.col("pos") < budget

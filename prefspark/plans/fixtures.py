@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import TOKEN_PATTERN, tokens
 from prefspark.operators.indexing import global_index
-from prefspark.session import materialize
+from prefspark.session import materialize, spread_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,7 +106,7 @@ def c3_unigram_logps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float
     (two corpus sizes, vocabulary size) are the only values that reach the driver.
     """
     conv = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_scan(table(spark, sf_dir, "documents").select("text"))
     pc = _token_counts(conv, "text", "n_policy")
     rc = _token_counts(docs, "text", "n_ref")
     joined = materialize(pc.join(rc, "token", "full_outer").na.fill(0, ["n_policy", "n_ref"]))
@@ -164,11 +164,11 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size:
         "reward", F.coalesce(F.try_divide(F.size(F.array_distinct("toks")), F.col("n")), F.lit(0.0)).cast("double"))
     b = assign_batches(seqs, batch_size, "seq_id", seed=seed, step_col=None)
     b = b.withColumn("width", F.max("n").over(Window.partitionBy("batch_id")))
-    positions = F.when(F.col("width") >= 2, F.sequence(F.lit(0), F.col("width") - 2)).otherwise(
-        F.array().cast("array<int>"))
-    rows = b.select("batch_id", "seq_id", "reward", "n", "toks", F.explode(positions).alias("pos"))
-    rows = rows.withColumn("is_pad", F.col("pos") >= F.col("n")).withColumn(
-        "token", F.when(~F.col("is_pad"), F.element_at("toks", F.col("pos") + 1)))
+    # The padded token row of the batch matrix without its last column: NULL marks a pad.
+    padded = F.slice(F.concat("toks", F.array_repeat(F.lit(None).cast("string"), F.col("width") - F.col("n"))),
+                     1, F.greatest(F.col("width") - 1, F.lit(0)))
+    rows = b.select("batch_id", "seq_id", "reward", "n", F.posexplode(padded).alias("pos", "token"))
+    rows = rows.withColumn("is_pad", F.col("pos") >= F.col("n"))
     looked = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left")
     return looked.select(
         "batch_id", "seq_id", "pos", "token",

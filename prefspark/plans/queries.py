@@ -265,6 +265,7 @@ def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = 256) ->
             F.struct(F.lit(1).alias("side"), F.col("rejected_input").alias("inp")),
         )).alias("s"),
     )
+    sides = tokens._spread(sides, ["pair_id"])
     seqs = sides.select(
         "pair_id", F.col("s.side").alias("side"),
         tokens.token_count(F.col("prompt")).alias("prompt_len"),

@@ -18,6 +18,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Tokenizing stages explode a few KB of shuffled text into many rows; a small minimum
+        # keeps them parallel (large shuffles are still sized by the 64 MB advisory size).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -57,3 +60,17 @@ def materialize(df):
     """Cut lineage with a reliable checkpoint (never a local one): the result survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_scan(df):
+    """Input-parallelism guard for a *raw file scan* about to be exploded into many rows.
+
+    Only when the scan yields fewer splits than the cluster has cores (a few large row
+    groups) is it spread round-robin; a real input with thousands of splits is returned
+    untouched, so the guard costs nothing at scale. Call it on scans only: asking an
+    adaptive (shuffled) plan for its partition count would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
