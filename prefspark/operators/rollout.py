@@ -59,16 +59,26 @@ def td_residuals(df: DataFrame, gamma: float = GAMMA, reward_t: str = "reward_t"
     return df.withColumn(out, F.col(reward_t) + F.lit(gamma) * nxt - F.col(value))
 
 
-def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "gae", chunk: int = 512,
+def _block_size(gl: float, cap: int = 1 << 20) -> int:
+    """Largest block whose weights ``gl**k`` stay normal doubles (>= 1e-300)."""
+    import math
+
+    return max(1, min(cap, int(300 * math.log(10) / -math.log(gl))))
+
+
+def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "gae", chunk: int | None = None,
         delta: str = "delta", value: str = "value", reward: str = "reward_centered", mask: str = "mask",
         batch: str = "batch_id", seq: str = "seq_id", pos: str = "pos") -> DataFrame:
     """RO4 + RO5 (+ RO6 with ``method='simple'``): advantages and returns.
 
     ``A_t = sum_{s >= t} (gamma*lam)^(s-t) delta_s`` as a running window sum in descending
-    position order (an O(n) frame, WN2). Exponents are taken relative to the start of a
-    ``chunk``-long block so ``(gamma*lam)^k`` never underflows; each block then adds the
-    carried advantage of the block after it, computed exactly per sequence from one
-    number per block. ``simple``: ``A = (r - V) * mask``, ``returns = r * mask``.
+    position order (an O(n) frame, WN2). Weights are taken relative to the start of a
+    block of K positions, with K chosen so ``(gamma*lam)^K`` stays a normal double, so no
+    weight underflows and no division blows up. A block adds the head sum of the next
+    block through a ``RANGE 1 FOLLOWING`` frame over block numbers; blocks further on are
+    scaled by ``(gamma*lam)^K`` or less (<= 1e-17 relative) and drop out below double
+    precision. When ``gamma*lam`` is so close to 1 that this bound fails, the carries are
+    computed exactly per sequence instead. ``simple``: ``A = (r - V) * mask``, ``ret = r * mask``.
     """
     if method == "simple":
         r = F.col(reward)
@@ -79,20 +89,32 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     gl = gamma * lam
     if gl == 0.0:
         return df.withColumn("advantage", F.col(delta)).withColumn("returns", F.col(delta) + F.col(value))
-    blk = F.floor(F.col(pos) / chunk).cast("int")
-    staged = df.withColumn("_blk", blk).withColumn("_off", F.col(pos) - F.col("_blk") * chunk)
+    k = chunk or _block_size(gl)
+    staged = df.withColumn("_blk", F.floor(F.col(pos) / k).cast("long")).withColumn(
+        "_off", F.col(pos) - F.col("_blk") * k)
     weight = F.pow(F.lit(gl), F.col("_off"))
     # Strictly later positions of the block, rescaled; the row's own delta is added exactly.
     later = _w(batch, seq, "_blk").orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    staged = staged.withColumn(
-        "_local", F.col(delta) + F.coalesce(F.sum(F.col(delta) * weight).over(later), F.lit(0.0)) / weight)
-    # One row per (sequence, block): its block-start sum; carries run from the last block back.
-    heads = staged.groupBy(batch, seq, "_blk").agg(F.sum(F.col(delta) * weight).alias("_h"))
-    g_block = gl ** chunk
+    staged = staged.withColumn("_u", F.col(delta) * weight).withColumn(
+        "_local", F.col(delta) + F.coalesce(F.sum("_u").over(later), F.lit(0.0)) / weight)
+    tail = F.pow(F.lit(gl), F.lit(k) - F.col("_off"))
+    if gl ** k <= 1e-17:
+        nxt = _w(batch, seq).orderBy("_blk").rangeBetween(1, 1)
+        out = staged.withColumn("advantage", F.col("_local") + tail * F.coalesce(F.sum("_u").over(nxt), F.lit(0.0)))
+    else:
+        out = _exact_carries(staged, gl ** k, batch, seq).withColumn(
+            "advantage", F.col("_local") + tail * F.coalesce("_carry", F.lit(0.0)))
+    return out.withColumn("returns", F.col("advantage") + F.col(value)).drop(
+        "_blk", "_off", "_u", "_local", "_carry")
+
+
+def _exact_carries(staged: DataFrame, g_block: float, batch: str, seq: str) -> DataFrame:
+    """Exact block carries ``B_c = H_c + G B_{c+1}`` from one number per (sequence, block)."""
+    heads = staged.groupBy(batch, seq, "_blk").agg(F.sum("_u").alias("_h"))
     per_seq = heads.groupBy(batch, seq).agg(
         F.reverse(F.sort_array(F.collect_list(F.struct("_blk", "_h")))).alias("_hs"))
     init = F.struct(F.lit(0.0).alias("b"),
-                    F.array().cast("array<struct<_blk:int,_carry:double>>").alias("out"))
+                    F.array().cast("array<struct<_blk:bigint,_carry:double>>").alias("out"))
     folded = F.aggregate(
         "_hs", init,
         lambda acc, x: F.struct(
@@ -102,13 +124,7 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     )
     carries = per_seq.select(batch, seq, F.explode(folded["out"]).alias("_c")).select(
         batch, seq, F.col("_c._blk").alias("_blk"), F.col("_c._carry").alias("_carry"))
-    out = staged.join(carries, [batch, seq, "_blk"], "left")
-    adv = F.col("_local") + F.pow(F.lit(gl), F.lit(chunk) - F.col("_off")) * F.coalesce("_carry", F.lit(0.0))
-    return (
-        out.withColumn("advantage", adv)
-        .withColumn("returns", F.col("advantage") + F.col(value))
-        .drop("_blk", "_off", "_local", "_carry")
-    )
+    return staged.join(carries, [batch, seq, "_blk"], "left")
 
 
 def ppo_terms(df: DataFrame, clip: float = CLIP, policy_lp: str = "policy_lp", ref_lp: str = "ref_lp",
@@ -171,8 +187,15 @@ def rollout_metrics(df: DataFrame, clip: float = CLIP, kl_coef: float = KL_COEF,
 
 def advantages(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, reward_at: str = "last_column",
                method: str = "gae") -> DataFrame:
-    """RO1 -> RO7 -> RO2 -> RO3 -> RO4/RO5 on a raw rollout table."""
-    out = center_rewards(df)
+    """RO1 -> RO7 -> RO2 -> RO3 -> RO4/RO5 on a raw rollout table.
+
+    The one exchange of the whole chain is placed here, on ``batch_id``, with the
+    session's shuffle-partition count; every later window, the block-carry join and the
+    per-batch aggregation reuse it.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    out = center_rewards(df.repartition(n, "batch_id"))
     out = mask_values(out)
     out = place_reward(out, at=reward_at)
     out = td_residuals(out, gamma)

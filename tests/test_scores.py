@@ -90,13 +90,14 @@ def _roll(spark, seqs, pads=None):
                                        "value double, is_pad boolean, reward double")
 
 
-def test_gae_matches_recursion_across_blocks(spark):
+@pytest.mark.parametrize("chunk", [None, 256, 700])
+def test_gae_matches_recursion_across_blocks(spark, chunk):
     rng = np.random.default_rng(0)
     n = 1300
     vals = rng.normal(size=n).tolist()
     df = _roll(spark, {1: (0, 0.7, vals, [(0.0, 0.0)] * n)})
     out = rollout.gae(rollout.td_residuals(rollout.place_reward(rollout.mask_values(
-        rollout.center_rewards(df)))), chunk=256).orderBy("pos").collect()
+        rollout.center_rewards(df)))), chunk=chunk).orderBy("pos").collect()
     delta = np.array([r["delta"] for r in out])
     want = _gae_np(delta, 0.99 * 0.95)
     got = np.array([r["advantage"] for r in out])
@@ -104,6 +105,18 @@ def test_gae_matches_recursion_across_blocks(spark):
     assert all(abs(r["returns"] - r["advantage"] - r["value"]) < 1e-12 for r in out)
 
 
+def test_gae_exact_carries_near_one(spark):
+    # gamma*lam close to 1: blocks are capped and the exact per-sequence carry path runs
+    vals = np.linspace(-1, 1, 40).tolist()
+    df = _roll(spark, {1: (0, 0.3, vals, [(0.0, 0.0)] * 40)})
+    base = rollout.td_residuals(rollout.place_reward(rollout.mask_values(rollout.center_rewards(df)), ),
+                                gamma=0.9999)
+    out = rollout.gae(base, gamma=0.9999, lam=0.9999, chunk=7).orderBy("pos").collect()
+    delta = np.array([r["delta"] for r in out])
+    want = _gae_np(delta, 0.9999 * 0.9999)
+    assert np.max(np.abs(np.array([r["advantage"] for r in out]) - want)) < 1e-9
+
+
 def test_ppo_invariants(spark):
     seqs = {1: (0, 1.0, [0.1, 0.2, 0.3], [(-1.0, -1.0)] * 3), 2: (0, 3.0, [0.3, 0.1, 0.5], [(-2.0, -2.0)] * 3),
             3: (1, 5.0, [0.2, 0.2, 0.2], [(-1.0, -1.5)] * 3)}
