@@ -71,34 +71,60 @@ def system_block(system: str | None) -> str:
 
 
 def join_blocks(df: DataFrame, key: list[str], position: str, block: str = "block", out: str = "text",
-                system: str | None = None) -> DataFrame:
-    """TR5: blocks of each group in ``position`` order, joined by '\\n', plus one trailing '\\n'.
+                system: str | None = None, hot_group_rows: int = 100_000) -> DataFrame:
+    """TR5: blocks of each group in ``position`` order, joined by '\n', plus one trailing '\n'.
 
-    ``collect_list`` has no order guarantee, so the list is sorted on a struct whose first
+    ``collect_list`` has no order guarantee, so lists are sorted on a struct whose first
     field is the position (an int or an ARRAY<INT> tree path: arrays sort prefix-first).
+
+    A group is one output text, so its final row is whole by definition; the work to
+    build it need not be. A partial-aggregate count finds the largest group first. Up to
+    ``hot_group_rows`` blocks per group, one grouped aggregation renders each text. Above
+    it, rows are range-partitioned on (key, position), so a hot group spans many tasks in
+    contiguous position ranges; each range is rendered in parallel, and the final step
+    only concatenates a few partial strings per group in partition (= position) order.
     """
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(block).alias("b"))))
-    return df.groupBy(*key).agg(
-        F.concat(F.lit(system_block(system)), F.array_join(ordered.getField("b"), "\n"), F.lit("\n")).alias(out),
-        F.count(F.lit(1)).alias("n_messages"),
+    head = F.lit(system_block(system))
+    biggest = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if biggest <= hot_group_rows:
+        ordered = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(block).alias("b"))))
+        return df.groupBy(*key).agg(
+            F.concat(head, F.array_join(ordered.getField("b"), "\n"), F.lit("\n")).alias(out),
+            F.count(F.lit(1)).alias("n_messages"),
+        )
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ranged = (
+        df.select(*key, F.col(position).alias("_pos"), F.col(block).alias("_b"))
+        .repartitionByRange(n, *[F.col(k) for k in key], F.col("_pos"))
+        .withColumn("_part", F.spark_partition_id())
+    )
+    partial = ranged.groupBy(*key, "_part").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("_pos", "_b"))).getField("_b"), "\n").alias("_s"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    return partial.groupBy(*key).agg(
+        F.concat(head, F.array_join(F.sort_array(F.collect_list(F.struct("_part", "_s"))).getField("_s"), "\n"),
+                 F.lit("\n")).alias(out),
+        F.sum("_n").alias("n_messages"),
     )
 
 
-def conversations_to_chatml(conv: DataFrame, system: str | None = None) -> DataFrame:
+def conversations_to_chatml(conv: DataFrame, system: str | None = None, hot_group_rows: int = 100_000) -> DataFrame:
     """TR6 on the flat table ``(conv_id, turn, role, text)``: one ChatML text per conversation."""
     blocks = conv.select("conv_id", "turn", chatml_block("role", "text").alias("block"))
-    return join_blocks(blocks, ["conv_id"], "turn", system=system)
+    return join_blocks(blocks, ["conv_id"], "turn", system=system, hot_group_rows=hot_group_rows)
 
 
 def trees_to_chatml(messages: DataFrame, system: str | None = DEFAULT_SYSTEM_PROMPT,
-                    key: str = "tree_id") -> DataFrame:
+                    key: str = "tree_id", hot_group_rows: int = 100_000) -> DataFrame:
     """TR6: message rows ``(tree_id, path, role, text)`` (TR1/TR2 output) -> one text per tree.
 
     Roles are mapped prompter->user (PR4, unknown roles raise); the system block is added
     once per tree before the root (S2); siblings are flattened in pre-order (S1).
     """
     blocks = messages.select(key, "path", chatml_block(map_role(F.col("role")), F.col("text")).alias("block"))
-    return join_blocks(blocks, [key], "path", system=system)
+    return join_blocks(blocks, [key], "path", system=system, hot_group_rows=hot_group_rows)
 
 
 # ---------------------------------------------------------------- CT1-CT6, PR5

@@ -168,3 +168,17 @@ def test_single_node_tree(spark):
 def test_map_role(spark):
     df = spark.createDataFrame([("prompter",), ("assistant",)], "role string")
     assert [r[0] for r in df.select(trees.map_role(F.col("role"))).collect()] == ["user", "assistant"]
+
+
+def test_hot_group_path_equals_single_phase(spark):
+    """A group above the hot threshold is rendered in range-partitioned pieces; same texts."""
+    nodes = fx.c1_tree_nodes(spark, SF001)
+    msgs = trees.linearize_messages(nodes)
+    one = {r["tree_id"]: (r["text"], r["n_messages"]) for r in chat.trees_to_chatml(msgs).collect()}
+    split = {r["tree_id"]: (r["text"], r["n_messages"]) for r in
+             chat.trees_to_chatml(msgs, hot_group_rows=1).collect()}
+    assert one == split
+    conv = fx.table(spark, SF001, "conversations")
+    a = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv).collect()}
+    b = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv, hot_group_rows=1).collect()}
+    assert a == b
