@@ -8,8 +8,6 @@ tree, so one huge tree is spread over many tasks.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,9 +87,11 @@ def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int |
             .otherwise(F.array(F.col("ord").cast("int"))).alias("seg"),
         )
     )
-    pending = state.where(F.col("anc").isNotNull()).count()
+    # Each round doubles the resolved distance, so 64 rounds cover any depth a long can
+    # count; running out means a parent chain that never reaches a root.
+    pending = not state.where(F.col("anc").isNotNull()).isEmpty()
     rounds = 0
-    limit = max_rounds or (math.ceil(math.log2(max(state.count(), 2))) + 2)
+    limit = max_rounds or 64
     while pending:
         rounds += 1
         if rounds > limit:
@@ -111,6 +111,6 @@ def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int |
             )
         )
         state = materialize(done.unionByName(step))
-        pending = state.where(F.col("anc").isNotNull()).count()
+        pending = not state.where(F.col("anc").isNotNull()).isEmpty()
     paths = state.select("id", F.col("seg").alias("path"))
     return nodes.join(paths, "id").withColumn("depth", F.size("path"))

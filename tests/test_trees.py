@@ -182,3 +182,11 @@ def test_hot_group_path_equals_single_phase(spark):
     a = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv).collect()}
     b = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv, hot_group_rows=1).collect()}
     assert a == b
+
+
+def test_cycle_raises(spark):
+    df = spark.createDataFrame([(1, 1, None, 0, "prompter", "r"), (1, 2, 3, 1, "assistant", "a"),
+                                (1, 3, 2, 1, "prompter", "b")],
+                               "tree_id long, id long, parent_id long, ord int, role string, text string")
+    with pytest.raises(Exception, match="cycle"):
+        trees.linearize_messages(df, max_rounds=6).collect()
