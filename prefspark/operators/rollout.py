@@ -22,6 +22,24 @@ def _w(batch: str, seq: str, *more: str) -> Window:
     return Window.partitionBy(batch, seq, *more)
 
 
+def expand_responses(df: DataFrame, ids: str = "response_ids", batch: str = "batch_id", seq: str = "seq_id",
+                     pad_id: int | None = None, drop_last: bool = True) -> DataFrame:
+    """Response id arrays -> the rollout layout ``(batch, seq, pos, token, is_pad)``.
+
+    Each batch is padded to its longest response (pads are NULL tokens, or ``pad_id``), as
+    the padded generation output is; ``drop_last`` (S9, literal) drops the last column of
+    that matrix, because values and taken actions cover R-1 positions. Positions come
+    from ``posexplode`` over the padded row, so no array is copied per position.
+    """
+    width = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    staged = df.withColumn("_w", width).withColumn("_n", F.size(ids))
+    fill = F.lit(None).cast(df.schema[ids].dataType.elementType) if pad_id is None else F.lit(pad_id)
+    padded = F.concat(F.col(ids), F.array_repeat(fill, F.col("_w") - F.col("_n")))
+    keep = F.greatest(F.col("_w") - F.lit(1 if drop_last else 0), F.lit(0))
+    rows = staged.select("*", F.posexplode(F.slice(padded, 1, keep)).alias("pos", "token"))
+    return rows.withColumn("is_pad", F.col("pos") >= F.col("_n")).drop("_w", "_n", ids)
+
+
 def center_rewards(df: DataFrame, reward: str = "reward", batch: str = "batch_id", pos: str = "pos",
                    out: str = "reward_centered") -> DataFrame:
     """RO1: reward minus the batch mean of per-sequence rewards (each sequence counted once,

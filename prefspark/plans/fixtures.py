@@ -155,6 +155,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size:
     at tokens and 0.5 at pads (masked later by RO7).
     """
     from prefspark.operators.batching import assign_batches
+    from prefspark.operators.rollout import expand_responses
     from prefspark.operators.tokens import _maybe_broadcast
 
     pairs = c2_pairs(spark, sf_dir)
@@ -163,12 +164,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size:
     seqs = seqs.withColumn("n", F.size("toks")).withColumn(
         "reward", F.coalesce(F.try_divide(F.size(F.array_distinct("toks")), F.col("n")), F.lit(0.0)).cast("double"))
     b = assign_batches(seqs, batch_size, "seq_id", seed=seed, step_col=None)
-    b = b.withColumn("width", F.max("n").over(Window.partitionBy("batch_id")))
-    # The padded token row of the batch matrix without its last column: NULL marks a pad.
-    padded = F.slice(F.concat("toks", F.array_repeat(F.lit(None).cast("string"), F.col("width") - F.col("n"))),
-                     1, F.greatest(F.col("width") - 1, F.lit(0)))
-    rows = b.select("batch_id", "seq_id", "reward", "n", F.posexplode(padded).alias("pos", "token"))
-    rows = rows.withColumn("is_pad", F.col("pos") >= F.col("n"))
+    rows = expand_responses(b.select("batch_id", "seq_id", "reward", "toks"), "toks")
     looked = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left")
     return looked.select(
         "batch_id", "seq_id", "pos", "token",

@@ -143,3 +143,19 @@ def test_lam_zero_and_simple_and_all_pad(spark):
     assert all(r["returns"] == pytest.approx(r["reward_centered"]) for r in s)
     pad = _roll(spark, {5: (9, 1.0, [0.1, 0.1], [(-1.0, -1.0)] * 2)}, pads={5: (0, 1)})
     assert rollout.ppo_loss(rollout.advantages(pad)).first()["kl"] is None  # 0/0 -> NULL
+
+
+def test_expand_responses_drop_last(spark):
+    df = spark.createDataFrame([(0, 1, [5, 6, 7]), (0, 2, [8])], "batch_id long, seq_id long, response_ids array<int>")
+    rows = sorted((r["seq_id"], r["pos"], r["token"], r["is_pad"]) for r in rollout.expand_responses(df).collect())
+    assert rows == [(1, 0, 5, False), (1, 1, 6, False), (2, 0, 8, False), (2, 1, None, True)]  # S9: last column dropped
+    full = rollout.expand_responses(df, pad_id=0, drop_last=False).where("seq_id = 2").count()
+    assert full == 3
+
+
+def test_response_mean_mask_padding(spark):
+    lp = spark.createDataFrame([(1, j, float(j), 0, 4, j >= 2) for j in range(4)],
+                               "seq_id long, pos int, lp double, prompt_len int, length int, pad boolean")
+    lit = logps.response_mean(lp, "seq_id", ["lp"]).first()["lp"]
+    masked = logps.response_mean(lp, "seq_id", ["lp"], pad_col="pad", mask_padding=True).first()["lp"]
+    assert lit == pytest.approx(1.5) and masked == pytest.approx(0.5)  # S5 literal averages over pads
