@@ -159,3 +159,20 @@ def test_response_mean_mask_padding(spark):
     lit = logps.response_mean(lp, "seq_id", ["lp"]).first()["lp"]
     masked = logps.response_mean(lp, "seq_id", ["lp"], pad_col="pad", mask_padding=True).first()["lp"]
     assert lit == pytest.approx(1.5) and masked == pytest.approx(0.5)  # S5 literal averages over pads
+
+
+def test_reward_placement_and_mask_padding_flags(spark):
+    seqs = {1: (0, 1.0, [0.1, 0.2, 0.3], [(-1.0, -1.5)] * 3), 2: (0, 3.0, [0.3, 0.1, 0.5], [(-2.0, -2.0)] * 3)}
+    df = _roll(spark, seqs, pads={2: (1, 2)})
+    col = rollout.place_reward(rollout.mask_values(rollout.center_rewards(df)), at="last_column")
+    tok = rollout.place_reward(rollout.mask_values(rollout.center_rewards(df)), at="last_token")
+    at_col = {(r["seq_id"], r["pos"]) for r in col.where("reward_t != 0").collect()}
+    at_tok = {(r["seq_id"], r["pos"]) for r in tok.where("reward_t != 0").collect()}
+    assert at_col == {(1, 2), (2, 2)}  # S6 literal: last column, a pad for the short sequence
+    assert at_tok == {(1, 2), (2, 0)}  # last real token
+    adv = rollout.advantages(df)
+    lit = rollout.ppo_loss(adv).first()
+    masked = rollout.ppo_loss(adv, mask_padding=True).first()
+    assert lit["value_loss"] != pytest.approx(masked["value_loss"])  # S13: pads count in the literal mean
+    real = adv.where("mask > 0").agg(F.avg((F.col("value") - F.col("returns")) ** 2)).first()[0]
+    assert masked["value_loss"] == pytest.approx(real)

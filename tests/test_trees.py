@@ -190,3 +190,9 @@ def test_cycle_raises(spark):
                                "tree_id long, id long, parent_id long, ord int, role string, text string")
     with pytest.raises(Exception, match="cycle"):
         trees.linearize_messages(df, max_rounds=6).collect()
+
+
+def test_blank_line_is_skipped(spark, tmp):
+    """The JSON reader skips blank lines (the reference would raise); documented as lenient."""
+    p = _write(tmp, [TREE, "", {"prompt": {"role": "prompter", "text": "solo"}}])
+    assert chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, p))).count() == 2
