@@ -173,3 +173,21 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size:
         F.when(F.col("is_pad"), F.lit(0.5)).otherwise(F.length("token") / F.lit(10.0)).alias("value"),
         "is_pad", "reward",
     )
+
+
+def c1_nested_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested-tree input (D1) built by Spark from ``conversations``: one VARIANT tree per
+    conversation, each turn replying to the one before (system rows dropped, user ->
+    prompter). Texts are JSON-escaped by ``to_json``; the tree is parsed with ``parse_json``.
+    """
+    conv = table(spark, sf_dir, "conversations").where(F.col("role") != "system")
+    node = F.to_json(F.struct(
+        F.when(F.col("role") == "user", F.lit("prompter")).otherwise(F.col("role")).alias("role"),
+        F.col("text").alias("text")))
+    opening = F.concat(F.expr("substring(_node, 1, length(_node) - 1)"), F.lit(',"replies":['))
+    parts = conv.select("conv_id", "turn", node.alias("_node")).select("conv_id", "turn", opening.alias("_open"))
+    trees = parts.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "_open"))).alias("_o"), F.count(F.lit(1)).alias("_n"))
+    text = F.concat(F.lit('{"prompt":'), F.array_join(F.col("_o").getField("_open"), ""),
+                    F.repeat(F.lit("]}"), F.col("_n").cast("int")), F.lit("}"))
+    return trees.select("conv_id", F.parse_json(text).alias("tree"))

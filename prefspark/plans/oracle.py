@@ -415,3 +415,7 @@ WITH {C2}, {C3}, {ROLL}
 SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss,
        {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean,
        CAST((batch_id + 1) % 10 = 0 AS BIGINT) AS logged FROM pb"""
+
+SQL["tree_explode"] = """
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS depth, role, text
+FROM conversations WHERE role <> 'system'"""

@@ -414,3 +414,11 @@ def q_rollout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ = md5_key  # re-exported helper kept for query authors
+
+
+@query("tree_explode")
+def q_tree_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TR1 + SF2 + SF4: nested VARIANT trees (built from conversations) -> message rows with paths."""
+    msgs = trees.explode_tree(fx.c1_nested_chains(spark, sf_dir), key="conv_id")
+    return msgs.select("conv_id", F.size("path").cast("bigint").alias("depth"),
+                       trees.map_role(F.col("role")).alias("role"), "text")
