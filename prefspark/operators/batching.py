@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import md5_key
 from prefspark.operators.indexing import global_index
-from prefspark.operators.tokens import PAD_ID, attention_mask
+from prefspark.operators.tokens import PAD_ID
 
 
 def _c(x) -> Column:
@@ -119,5 +119,5 @@ def logged(step, every: int) -> Column:
     return (_c(step) % F.lit(every) == 0)
 
 
-__all__ = ["assign_batches", "attention_mask", "log_steps", "logged", "pad_batch", "pad_pairs", "plan_steps",
+__all__ = ["assign_batches", "log_steps", "logged", "pad_batch", "pad_pairs", "plan_steps",
            "shuffle_key", "with_epochs"]

@@ -8,12 +8,16 @@ value hashes are engine-independent.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.operators import chat, trees
+from prefspark.functions.exprs import TOKEN_PATTERN, ids_string, round6
+from prefspark.functions.exprs import tokens as word_tokens
+from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, trees
 from prefspark.operators.indexing import rank_within
 from prefspark.plans import fixtures as fx
 
@@ -77,9 +81,6 @@ def q_preference_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- tokens and batching
 
-from prefspark.functions.exprs import ids_string  # noqa: E402
-from prefspark.operators import batching, tokens  # noqa: E402
-
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word vocabulary over all conversation turns, tokens seen at least twice."""
@@ -204,14 +205,6 @@ def q_plan_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sampling, log-probs, losses, rollouts
 
-import re  # noqa: E402
-
-import numpy as np  # noqa: E402
-
-from prefspark.functions.exprs import TOKEN_PATTERN, md5_key, round6  # noqa: E402
-from prefspark.operators import logps, losses, rollout, sampling  # noqa: E402
-from prefspark.operators.indexing import rank_within as _rank_within  # noqa: E402
-
 
 @query("nucleus")
 def q_nucleus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +262,7 @@ def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = 256) ->
     seqs = sides.select(
         "pair_id", F.col("s.side").alias("side"),
         tokens.token_count(F.col("prompt")).alias("prompt_len"),
-        F.slice(fx.tokens(F.col("s.inp")), 1, max_length).alias("toks"),
+        F.slice(word_tokens(F.col("s.inp")), 1, max_length).alias("toks"),
     ).withColumn("length", F.size("toks"))
     resp = seqs.select("pair_id", "side", "prompt_len", "length",
                        F.explode_outer(F.slice("toks", F.col("prompt_len") + 2, F.col("length"))).alias("token"))
@@ -324,8 +317,8 @@ def q_eval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("split", round6("mean_loss").alias("mean_loss"), "n_rows")
 
 
-def _doc_score(text) -> "F.Column":
-    toks = fx.tokens(text)
+def _doc_score(text) -> Column:
+    toks = word_tokens(text)
     return F.coalesce(F.lit(10.0) * F.try_divide(F.size(F.array_distinct(toks)), F.size(toks)), F.lit(0.0))
 
 
@@ -334,7 +327,7 @@ def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LS1 + LS2: k-th good document vs k-th bad document (doc_id order), stable -log sigmoid."""
     docs = fx.table(spark, sf_dir, "documents").join(fx.table(spark, sf_dir, "labels"), "doc_id")
     scored = docs.select("doc_id", "quality", _doc_score(F.col("text")).alias("score"))
-    ranked = _rank_within(scored, ["quality"], ["doc_id"], "k")
+    ranked = rank_within(scored, ["quality"], ["doc_id"], "k")
     good = ranked.where(F.col("quality") == 1).select("k", F.col("doc_id").alias("chosen_doc"),
                                                        F.col("score").alias("reward_chosen"))
     bad = ranked.where(F.col("quality") == 0).select("k", F.col("doc_id").alias("rejected_doc"),
@@ -413,9 +406,6 @@ def q_rollout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rollout.logged_step("step", 10).cast("bigint").alias("logged"))
 
 
-_ = md5_key  # re-exported helper kept for query authors
-
-
 @query("tree_explode")
 def q_tree_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TR1 + SF2 + SF4: nested VARIANT trees (built from conversations) -> message rows with paths."""
