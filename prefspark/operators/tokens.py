@@ -3,8 +3,8 @@
 The pretrained subword tokenizer of the reference is re-aimed as a word vocabulary
 table plus an encode join: tokens are exploded with their positions, truncated
 *before* the join, looked up (broadcast only when the counted vocabulary is small;
-otherwise a shuffle join where AQE splits the Zipf-head partitions), and gathered back
-per row in position order. A user-supplied encoder plugs in through an Arrow
+otherwise a shuffle join with the Zipf head salted, see ``_salted_lookup``), and
+gathered back per row in position order. A user-supplied encoder plugs in through an Arrow
 ``pandas_udf`` instead (U1).
 """
 
@@ -66,6 +66,26 @@ def _small(vocab: DataFrame, max_rows: int) -> bool:
     return vocab.count() <= max_rows
 
 
+def _salted_lookup(stream: DataFrame, vocab: DataFrame, on: str, keys: Sequence[str], salt_buckets: int,
+                   hot_tokens: int) -> DataFrame:
+    """Shuffle join of exploded tokens against a vocabulary too large to broadcast.
+
+    Word frequencies are Zipfian: a handful of tokens can hold a large share of all rows
+    and would land in one join task. The vocabulary carries counts, so its ``hot_tokens``
+    most frequent entries are a set of known, bounded size -- broadcast to flag hot rows.
+    Hot rows get a deterministic salt in [0, salt_buckets) from their (row, position);
+    the vocabulary rows of hot tokens are replicated once per salt. Every other row keeps
+    salt 0, so the join is exact and only the head is spread.
+    """
+    hot = vocab.orderBy(F.col("count").desc(), F.col(on)).limit(hot_tokens).select(on, F.lit(True).alias("_hot"))
+    s = stream.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt_buckets))).otherwise(F.lit(0)))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    v = vocab.join(F.broadcast(hot), on, "left").select(
+        *[c for c in vocab.columns if c != "count"], F.explode(salts).alias("_salt"))
+    return s.drop("_hot").join(v, [on, "_salt"], "left").drop("_salt")
+
+
 def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hash-partition the (compact) input rows on the grouping keys before exploding them.
 
@@ -81,7 +101,8 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str], out: str = "input_ids",
            max_length: int | None = None, side: str = "right", add_bos: bool = False,
            unk_id: int = UNK_ID, bos_id: int = BOS_ID,
-           broadcast_max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+           broadcast_max_rows: int = BROADCAST_VOCAB_ROWS, salt_buckets: int = 64,
+           hot_tokens: int = 10_000) -> DataFrame:
     """TK2 (+ TK3 when ``max_length``): ``keys`` + ``out ARRAY<INT>`` + ``n_tokens`` (untruncated).
 
     Whole texts are tokenized; truncation keeps the first (``side='right'``) or last
@@ -105,8 +126,11 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
         else:
             raise ValueError(f"unknown truncation side {side!r}")
         exploded = exploded.where(F.col("pos").isNull() | keep)
-    v = vocab.select("token", F.col("id").alias("_id"))
-    looked = exploded.join(F.broadcast(v) if small else v, "token", "left")
+    if small:
+        looked = exploded.join(F.broadcast(vocab.select("token", F.col("id").alias("_id"))), "token", "left")
+    else:
+        looked = _salted_lookup(exploded, vocab.select("token", F.col("id").alias("_id"), "count"), "token",
+                                keys, salt_buckets, hot_tokens)
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_id", F.lit(unk_id)).alias("id")))
     grouped = looked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
@@ -173,14 +197,18 @@ def shape_pairs(pairs: DataFrame, vocab: DataFrame, keys: Sequence[str], max_len
 
 def decode(df: DataFrame, ids_col: str, vocab: DataFrame, keys: Sequence[str], out: str = "text",
            skip_special: bool = True, specials: Sequence[str] = SPECIALS,
-           broadcast_max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+           broadcast_max_rows: int = BROADCAST_VOCAB_ROWS, salt_buckets: int = 64,
+           hot_tokens: int = 10_000) -> DataFrame:
     """TK11: ids -> text, tokens joined by one space, special tokens dropped when asked."""
     small = _small(vocab, broadcast_max_rows)
     if small:
         df = _spread(df.select(*keys, ids_col), keys)
     exploded = df.select(*keys, F.posexplode_outer(ids_col).alias("pos", "_id"))
-    v = vocab.select(F.col("id").alias("_id"), "token")
-    looked = exploded.join(F.broadcast(v) if small else v, "_id", "left")
+    if small:
+        looked = exploded.join(F.broadcast(vocab.select(F.col("id").alias("_id"), "token")), "_id", "left")
+    else:
+        looked = _salted_lookup(exploded, vocab.select(F.col("id").alias("_id"), "token", "count"), "_id",
+                                keys, salt_buckets, hot_tokens)
     keep = F.col("pos").isNotNull()
     if skip_special:
         keep = keep & ~F.col("token").isin(list(specials))

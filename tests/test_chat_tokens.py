@@ -90,3 +90,19 @@ def test_encoder_hook(spark):
 
     out = tokens.encode_with(df, "text", factory).select(ids_string("input_ids")).collect()
     assert sorted(r[0] for r in out) == ["1", "1 1"]
+
+
+def test_salted_shuffle_lookup_equals_broadcast(spark):
+    """Above the broadcast bound the lookup is a salted shuffle join; results are identical."""
+    texts = spark.createDataFrame([(i, " ".join(["the"] * 30 + [f"w{i % 7}", "a", "the"])) for i in range(40)]
+                                  + [(99, "")], "k long, text string")
+    v = tokens.build_vocab(texts, "text")
+    fast = {r["k"]: r["input_ids"] for r in tokens.encode(texts, "text", v, ["k"]).collect()}
+    salted = {r["k"]: r["input_ids"] for r in tokens.encode(texts, "text", v, ["k"], broadcast_max_rows=0,
+                                                           salt_buckets=4, hot_tokens=2).collect()}
+    assert fast == salted and fast[99] == []
+    enc = tokens.encode(texts, "text", v, ["k"])
+    d1 = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", v, ["k"]).collect()}
+    d2 = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", v, ["k"], broadcast_max_rows=0,
+                                                  salt_buckets=4, hot_tokens=2).collect()}
+    assert d1 == d2 and d1[0].startswith("the the")
