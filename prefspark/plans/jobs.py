@@ -9,17 +9,21 @@ from prefspark.operators import batching, chat, losses, rollout, tokens, trees
 from prefspark.sources import io
 
 
-def prepare_sft(spark: SparkSession, trees_path: str, text_path: str, vocab: DataFrame, max_length: int = 512,
-                batch_size: int = 4, system: str | None = chat.DEFAULT_SYSTEM_PROMPT, seed: int = 42) -> DataFrame:
+def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str | None, vocab: DataFrame,
+                max_length: int = 512, batch_size: int = 4, system: str | None = chat.DEFAULT_SYSTEM_PROMPT,
+                seed: int = 42, key: str = "tree_id") -> DataFrame:
     """JB1: IO1 -> TR1 -> TR6 -> IO7, then IO3 -> TK2/TK3 -> BA2 -> TK5/TK7.
 
-    Returns ``(tree_id, batch_id, input_ids, attention_mask, labels)``; the ChatML texts
-    are written to ``text_path`` as JSONL on the way (the reference's hand-over file).
+    ``trees_path`` is a JSONL path or an already loaded VARIANT tree frame (column
+    ``tree`` plus ``key``). Returns ``(key, batch_id, input_ids, attention_mask, labels)``;
+    with ``text_path`` the ChatML texts are also written as JSONL on the way (the
+    reference's hand-over file).
     """
-    raw = io.read_trees(spark, trees_path)
-    msgs = trees.explode_tree(raw)
-    texts = chat.trees_to_chatml(msgs, system=system)
-    io.write_texts(texts, text_path)
+    raw = io.read_trees(spark, trees_path) if isinstance(trees_path, str) else trees_path
+    msgs = trees.explode_tree(raw, key=key)
+    texts = chat.trees_to_chatml(msgs, system=system, key=key).withColumnRenamed(key, "tree_id")
+    if text_path is not None:
+        io.write_texts(texts, text_path)
     keyed = texts.select("tree_id", "text")
     enc = tokens.encode(keyed, "text", vocab, ["tree_id"], max_length=max_length)
     b = batching.assign_batches(enc, batch_size, "tree_id", seed=seed, step_col=None)
