@@ -48,3 +48,14 @@ def round6(x) -> Column:
 def ids_string(arr) -> Column:
     """Render an int array as a space-joined string (hash-stable output form)."""
     return F.array_join(F.transform(_c(arr), lambda v: v.cast("string")), " ")
+
+
+def strip_line(line) -> Column:
+    """SF1: strip surrounding ASCII whitespace of a line (space, tab, LF, CR, VT, FF), as a
+    line strip does -- plain ``trim`` would only remove spaces."""
+    return F.btrim(_c(line), F.lit(" \t\n\r\x0b\x0c"))
+
+
+def last_segment(path) -> Column:
+    """SF5: last '/'-separated segment of a path or model name."""
+    return F.element_at(F.split(_c(path), "/"), -1)

@@ -65,6 +65,15 @@ def chatml_block(role, content) -> Column:
     return F.concat(F.lit(IM_START), _c(role), F.lit("\n"), _c(content), F.lit(IM_END))
 
 
+def with_system(messages, system: str | None = DEFAULT_SYSTEM_PROMPT) -> Column:
+    """TR3 on a message list: prepend ``{role: system, content: system}`` when the setting is
+    truthy (None or '' leaves the list unchanged)."""
+    m = _c(messages)
+    if not system:
+        return m
+    return F.concat(F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content"))), m)
+
+
 def system_block(system: str | None) -> str:
     """TR3 as a literal: the rendered system block, or '' when the setting is None / empty."""
     return f"{IM_START}system\n{system}{IM_END}\n" if system else ""

@@ -106,3 +106,16 @@ def test_salted_shuffle_lookup_equals_broadcast(spark):
     d2 = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", v, ["k"], broadcast_max_rows=0,
                                                   salt_buckets=4, hot_tokens=2).collect()}
     assert d1 == d2 and d1[0].startswith("the the")
+
+
+def test_with_system_and_small_helpers(spark):
+    from prefspark.functions.exprs import last_segment, strip_line
+
+    df = spark.createDataFrame([([("user", "hi")], " x \n", "org/Model-1B")],
+                               "m array<struct<role:string,content:string>>, line string, name string")
+    r = df.select(chat.with_system("m").alias("s"), chat.with_system("m", None).alias("n"),
+                  chat.render_messages(chat.with_system("m")).alias("t"),
+                  strip_line("line").alias("l"), last_segment("name").alias("seg")).first()
+    assert [x["role"] for x in r["s"]] == ["system", "user"] and len(r["n"]) == 1
+    assert r["t"].startswith("<|im_start|>system\nYou are a helpful assistant.<|im_end|>\n<|im_start|>user\nhi")
+    assert r["seg"] == "Model-1B" and r["l"] == "x"
