@@ -52,6 +52,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert srows == orows
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, duck, name):
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark_types = {f.name: str(f.type) for f in to_arrow_schema(queries()[name](spark, SF001).schema)}
+    duck_types = {f.name: str(f.type) for f in duck.sql(oracle_sql()[name]).to_arrow_table().schema}
+    assert spark_types == duck_types
+
+
 def test_every_query_has_an_oracle():
     assert set(oracle_sql()) == set(queries())
 
