@@ -222,7 +222,7 @@ FROM ep JOIN ea ON ep.pair_id = ea.pair_id"""
 
 SQL["assign_batches"] = f"""
 WITH {C2},
-e AS (SELECT pair_id, CAST(r.range AS BIGINT) AS epoch FROM c2, range(0, 2) r),
+e AS (SELECT pair_id, CAST(unnest(range(0, 2)) AS BIGINT) AS epoch FROM c2),
 i AS (SELECT pair_id, epoch,
              row_number() OVER (PARTITION BY epoch ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42:' || CAST(epoch AS VARCHAR)),
                                 pair_id) - 1 AS idx
@@ -246,7 +246,8 @@ c3_u AS (SELECT coalesce(p.token, r.token) AS token, coalesce(n_policy, 0) AS n_
          FROM c3_p p FULL OUTER JOIN c3_r r ON p.token = r.token),
 c3_s AS (SELECT CAST(sum(n_policy) AS DOUBLE) AS np, CAST(sum(n_ref) AS DOUBLE) AS nr, CAST(count(*) AS DOUBLE) AS v
          FROM c3_u),
-c3 AS (SELECT token, ln((n_policy + 1) / (np + v)) AS policy_lp, ln((n_ref + 1) / (nr + v)) AS ref_lp FROM c3_u, c3_s),
+c3 AS (SELECT token, ln((n_policy + 1) / ((SELECT np FROM c3_s) + (SELECT v FROM c3_s))) AS policy_lp,
+              ln((n_ref + 1) / ((SELECT nr FROM c3_s) + (SELECT v FROM c3_s))) AS ref_lp FROM c3_u),
 c3_d AS (SELECT ln(1 / (np + v)) AS dp, ln(1 / (nr + v)) AS dr FROM c3_s)"""
 
 LONG_LOGITS = """
@@ -303,9 +304,9 @@ s_t AS (SELECT pair_id, side, len({tok('ptxt')}) AS plen, list_slice({tok('inp')
 s_x AS (SELECT pair_id, side, plen, len(toks) AS slen, unnest(toks) AS token,
                generate_subscripts(toks, 1) - 1 AS pos FROM s_t),
 s_a AS (SELECT x.pair_id, x.side, x.plen, x.slen,
-               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.policy_lp, d.dp) END) AS pl,
-               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.ref_lp, d.dr) END) AS rl
-        FROM s_x x LEFT JOIN c3 c ON x.token = c.token CROSS JOIN c3_d d
+               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.policy_lp, (SELECT dp FROM c3_d)) END) AS pl,
+               avg(CASE WHEN x.pos >= x.plen + 1 THEN coalesce(c.ref_lp, (SELECT dr FROM c3_d)) END) AS rl
+        FROM s_x x LEFT JOIN c3 c ON x.token = c.token
         GROUP BY x.pair_id, x.side, x.plen, x.slen),
 seqlp AS (SELECT pair_id, side, coalesce(pl, 0.0) AS policy_logp, coalesce(rl, 0.0) AS ref_logp,
                  CAST(plen >= slen - 1 AS BIGINT) AS response_cut FROM s_a),
@@ -367,11 +368,11 @@ r_p AS (SELECT batch_id, seq_id, reward, n, toks, unnest(range(0, width - 1)) AS
 r_t AS (SELECT batch_id, seq_id, reward, pos, pos >= n AS is_pad, CASE WHEN pos < n THEN toks[pos + 1] END AS token
         FROM r_p),
 ro AS (SELECT r.batch_id, r.seq_id, r.pos, r.reward,
-              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.policy_lp, d.dp) END AS policy_lp,
-              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.ref_lp, d.dr) END AS ref_lp,
+              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.policy_lp, (SELECT dp FROM c3_d)) END AS policy_lp,
+              CASE WHEN r.is_pad THEN 0.0 ELSE coalesce(c.ref_lp, (SELECT dr FROM c3_d)) END AS ref_lp,
               CASE WHEN r.is_pad THEN 0.0 ELSE 1.0 END AS mask,
               CASE WHEN r.is_pad THEN 0.0 ELSE length(r.token) / 10.0 END AS value
-       FROM r_t r LEFT JOIN c3 c ON r.token = c.token CROSS JOIN c3_d d),
+       FROM r_t r LEFT JOIN c3 c ON r.token = c.token),
 ce AS (SELECT *, reward - avg(CASE WHEN pos = 0 THEN reward END) OVER (PARTITION BY batch_id) AS rc,
               max(pos) OVER (PARTITION BY batch_id) AS last_col FROM ro),
 td AS (SELECT *, CASE WHEN pos = last_col THEN rc ELSE 0.0 END AS reward_t FROM ce),
