@@ -105,7 +105,7 @@ def c3_unigram_logps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float
     the table plus the log-probs of an unseen token for each model. The three scalars
     (two corpus sizes, vocabulary size) are the only values that reach the driver.
     """
-    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    conv = spread_scan(table(spark, sf_dir, "conversations").where(F.col("role") == "assistant").select("text"))
     docs = spread_scan(table(spark, sf_dir, "documents").select("text"))
     pc = _token_counts(conv, "text", "n_policy")
     rc = _token_counts(docs, "text", "n_ref")
