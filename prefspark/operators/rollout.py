@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Discount, GAE lambda, clip range and KL coefficient of the PPO objective.
 GAMMA, LAM, CLIP, KL_COEF = 0.99, 0.95, 0.2, 0.05
 
 

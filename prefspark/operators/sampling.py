@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import unit_uniform
 
+# Nucleus mass and sampling temperature of the rollout generator.
+TOP_P, TEMPERATURE = 0.9, 0.7
+
 
 def softmax(df: DataFrame, key: str = "seq_id", logit: str = "logit", temperature: float = 1.0,
             out: str = "prob") -> DataFrame:
@@ -26,7 +29,7 @@ def softmax(df: DataFrame, key: str = "seq_id", logit: str = "logit", temperatur
     )
 
 
-def nucleus(df: DataFrame, top_p: float = 0.9, temperature: float = 0.7, key: str = "seq_id",
+def nucleus(df: DataFrame, top_p: float = TOP_P, temperature: float = TEMPERATURE, key: str = "seq_id",
             item: str = "item", logit: str = "logit", top_k: int | None = None) -> DataFrame:
     """BA4: the smallest most-probable set whose mass reaches ``top_p``.
 

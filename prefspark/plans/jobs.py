@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from prefspark.operators import batching, chat, losses, rollout, tokens, trees
 from prefspark.sources import io
 
+# Default run settings of the pipelines -- maximum length, batch sizes
+# (SFT / RM 4, DPO / PPO 2), PPO epochs and the PPO logging cadence.
+MAX_LENGTH = 512
+SFT_BATCH, RM_BATCH, DPO_BATCH, PPO_BATCH = 4, 4, 2, 2
+PPO_EPOCHS, LOGGING_STEPS = 10, 10
+
 
 def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str | None, vocab: DataFrame,
-                max_length: int = 512, batch_size: int = 4, system: str | None = chat.DEFAULT_SYSTEM_PROMPT,
+                max_length: int = MAX_LENGTH, batch_size: int = SFT_BATCH, system: str | None = chat.DEFAULT_SYSTEM_PROMPT,
                 seed: int = 42, key: str = "tree_id") -> DataFrame:
     """JB1: IO1 -> TR1 -> TR6 -> IO7, then IO3 -> TK2/TK3 -> BA2 -> TK5/TK7.
 
@@ -32,8 +38,8 @@ def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str
                          tokens.causal_labels("input_ids").alias("labels"))
 
 
-def prepare_rm(pairs: DataFrame, vocab: DataFrame, key: str = "pair_id", max_length: int = 512,
-               batch_size: int = 4, seed: int = 42) -> DataFrame:
+def prepare_rm(pairs: DataFrame, vocab: DataFrame, key: str = "pair_id", max_length: int = MAX_LENGTH,
+               batch_size: int = RM_BATCH, seed: int = 42) -> DataFrame:
     """JB2: flat pairs -> TK8 (four columns) -> BA2 -> TK6 shared padding."""
     shaped = tokens.shape_pairs(pairs, vocab, [key], max_length)
     b = batching.assign_batches(shaped, batch_size, key, seed=seed, step_col=None)
@@ -41,7 +47,7 @@ def prepare_rm(pairs: DataFrame, vocab: DataFrame, key: str = "pair_id", max_len
 
 
 def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = "train", key: str = "pair_id",
-                template: chat.ChatTemplate = chat.CHATML, max_length: int = 512, batch_size: int = 2,
+                template: chat.ChatTemplate = chat.CHATML, max_length: int = MAX_LENGTH, batch_size: int = DPO_BATCH,
                 chosen_scope: str = "conversation", seed: int = 42) -> DataFrame:
     """JB3: IO6 -> CT4 -> CT6 -> TK2/TK3 + TK9 -> BA2 -> TK5.
 
@@ -69,7 +75,8 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = "train",
 
 
 def prepare_prompts(prompts: DataFrame, vocab: DataFrame, key: str = "prompt_id", text_col: str = "prompt",
-                    max_length: int = 512, batch_size: int = 2, num_epochs: int = 10, seed: int = 42) -> DataFrame:
+                    max_length: int = MAX_LENGTH, batch_size: int = PPO_BATCH, num_epochs: int = PPO_EPOCHS,
+                    seed: int = 42) -> DataFrame:
     """JB4: IO5 -> BA1/BA2 per epoch -> TK2/TK3 -> TK5 (prompt batches for rollouts)."""
     enc = tokens.encode(prompts, text_col, vocab, [key], max_length=max_length)
     e = batching.with_epochs(enc, num_epochs)
@@ -89,7 +96,7 @@ def evaluate_dpo(seq_logps: DataFrame, beta: float = 0.1, split: str = "split")
 
 def evaluate_rollouts(rollouts: DataFrame, gamma: float = rollout.GAMMA, lam: float = rollout.LAM,
                       clip: float = rollout.CLIP, kl_coef: float = rollout.KL_COEF,
-                      logging_steps: int | None = 10, reward_at: str = "last_column") -> DataFrame:
+                      logging_steps: int | None = LOGGING_STEPS, reward_at: str = "last_column") -> DataFrame:
     """JB6: RO1 -> RO2-RO7 -> RO8-RO13 per batch, keeping the logged steps (PR7) when asked."""
     adv = rollout.advantages(rollouts, gamma, lam, reward_at)
     m = rollout.rollout_metrics(adv, clip, kl_coef).withColumn("step", F.col("batch_id") + 1)
