@@ -41,8 +41,13 @@ def unit_uniform(*parts) -> Column:
 
 
 def round6(x) -> Column:
-    """Round to 6 decimals for hash-stable output; ``+ 0.0`` turns -0.0 into 0.0."""
-    return F.round(_c(x).cast("double"), 6) + F.lit(0.0)
+    """Round to 6 decimals for hash-stable output, as ``floor(x * 1e6 + 0.5) / 1e6``.
+
+    Engines disagree on ``round`` at exact ties of the double value (decimal vs binary
+    rounding), so output rounding is spelled as plain IEEE operations that any SQL
+    engine evaluates bit-identically; ``+ 0.0`` turns -0.0 into 0.0.
+    """
+    return F.floor(_c(x).cast("double") * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0) + F.lit(0.0)
 
 
 def ids_string(arr) -> Column:

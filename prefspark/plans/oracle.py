@@ -264,7 +264,8 @@ nucleus AS (SELECT * FROM n_r WHERE before < 0.9)"""
 
 
 def r6(x: str) -> str:
-    return f"(round(CAST({x} AS DOUBLE), 6) + 0.0)"
+    # the same IEEE operations as the Spark side (see functions.exprs.round6)
+    return f"(floor(CAST({x} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0 + 0.0)"
 
 
 SQL["nucleus"] = f"""
