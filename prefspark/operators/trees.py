@@ -31,19 +31,21 @@ def _node_fields(node: Column) -> list[Column]:
     return [
         F.when(role.isNull(), F.raise_error(F.lit("tree node without role"))).otherwise(role).alias("role"),
         F.when(text.isNull(), F.raise_error(F.lit("tree node without text"))).otherwise(text).alias("text"),
-        F.try_variant_get(node, "$.replies", "variant").alias("_replies"),
+        # a list of child nodes; a missing or null ``replies`` gives NULL (no children, S17),
+        # anything that is not a list fails the cast instead of being read as children
+        F.variant_get(node, "$.replies", "array<variant>").alias("_replies"),
     ]
 
 
 def explode_tree(trees: DataFrame, tree_col: str = "tree", key: str = "tree_id", max_depth: int = 100_000) -> DataFrame:
     """TR1: nested trees (one VARIANT per row, ``{prompt: node}``) -> ``(key, path, role, text)``.
 
-    Level by level: ``LATERAL variant_explode(replies)`` yields each child with its list
+    Level by level: ``posexplode`` of the ``replies`` list yields each child with its list
     position, which extends the path. Every level is checkpointed (lineage stays flat and
     the level survives executor loss) and the loop ends at the first empty level. A
-    missing ``replies`` or ``replies: null`` gives no children (S17, lenient).
+    missing ``replies`` or ``replies: null`` gives no children (S17, lenient); a
+    ``replies`` that is not a list raises.
     """
-    spark = trees.sparkSession
     level = materialize(
         trees.select(
             F.col(key),
@@ -54,11 +56,8 @@ def explode_tree(trees: DataFrame, tree_col: str = "tree", key: str = "tree_id",
     parts = []
     for _ in range(max_depth):
         parts.append(level.select(key, "path", "role", "text"))
-        children = spark.sql(
-            f"SELECT f.`{key}` AS `{key}`, concat(f.path, array(CAST(v.pos AS INT))) AS path, v.value AS node "
-            "FROM {frontier} f, LATERAL variant_explode(f._replies) v",
-            frontier=level.select(key, "path", "_replies").where(F.col("_replies").isNotNull()),
-        )
+        children = level.select(key, "path", F.posexplode("_replies").alias("_pos", "node")).select(
+            key, F.concat("path", F.array(F.col("_pos").cast("int"))).alias("path"), "node")
         level = materialize(children.select(key, "path", *_node_fields(F.col("node"))))
         if level.isEmpty():
             break

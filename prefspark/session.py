@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # reliable checkpoints are released once their DataFrames are garbage-collected
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", os.environ.get("PREFSPARK_CLEAN_CHECKPOINTS", "true"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PREFSPARK_DRIVER_MEMORY", "8g"))
     )

@@ -196,3 +196,9 @@ def test_blank_line_is_skipped(spark, tmp):
     """The JSON reader skips blank lines (the reference would raise); documented as lenient."""
     p = _write(tmp, [TREE, "", {"prompt": {"role": "prompter", "text": "solo"}}])
     assert chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, p))).count() == 2
+
+
+def test_replies_not_a_list_raises(spark, tmp):
+    p = _write(tmp, [{"prompt": {"role": "prompter", "text": "x", "replies": {"role": "assistant", "text": "y"}}}])
+    with pytest.raises(Exception):
+        trees.explode_tree(io.read_trees(spark, p)).collect()
