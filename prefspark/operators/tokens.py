@@ -102,9 +102,12 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
            max_length: int | None = None, side: str = "right", add_bos: bool = False,
            unk_id: int = UNK_ID, bos_id: int = BOS_ID,
            broadcast_max_rows: int = BROADCAST_VOCAB_ROWS, salt_buckets: int = 64,
-           hot_tokens: int = 10_000) -> DataFrame:
+           hot_tokens: int = 10_000, spread_keys: Sequence[str] | None = None) -> DataFrame:
     """TK2 (+ TK3 when ``max_length``): ``keys`` + ``out ARRAY<INT>`` + ``n_tokens`` (untruncated).
 
+    ``spread_keys`` (a prefix of ``keys``) sets the hash partitioning of the text before
+    the explode, so a later grouping on that prefix needs no further exchange.
+
     Whole texts are tokenized; truncation keeps the first (``side='right'``) or last
     (``'left'``) ``max_length`` ids, counting the optional BOS. Empty texts give ``[]``
     (or ``[bos]``), never a dropped row.
@@ -112,7 +115,7 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     budget = None if max_length is None else max_length - (1 if add_bos else 0)
     small = _small(vocab, broadcast_max_rows)
     if small:
-        df = _spread(df.select(*keys, text_col), keys)
+        df = _spread(df.select(*keys, text_col), list(spread_keys or keys))
     # Tokenize and count once per text, *before* the generator: a per-row expression left
     # above the Generate would be re-evaluated (and the text carried) for every token.
     split = df.select(*keys, tokens(text_col).alias("_toks")).select(
@@ -183,11 +186,19 @@ def shape_pairs(pairs: DataFrame, vocab: DataFrame, keys: Sequence[str], max_len
     """TK8: tokenize both sides independently (truncated) into the four RM columns (PR1).
 
     Also flags ``degenerate`` pairs that became identical after truncation (S16).
-    Both encodes end hash-partitioned on ``keys``, so the zip join adds no exchange.
+    Both sides are stacked as rows and encoded in one pass, spread on ``keys`` only, so
+    the per-side grouping and the pivot back to one row per pair share one exchange.
     """
-    c = encode(pairs, chosen, vocab, keys, "input_ids_chosen", max_length).drop("n_tokens")
-    r = encode(pairs, rejected, vocab, keys, "input_ids_rejected", max_length).drop("n_tokens")
-    return c.join(r, list(keys)).select(
+    sides = pairs.select(*keys, F.explode(F.array(
+        F.struct(F.lit(0).alias("_side"), F.col(chosen).alias("_text")),
+        F.struct(F.lit(1).alias("_side"), F.col(rejected).alias("_text")))).alias("_s")).select(
+        *keys, "_s._side", "_s._text")
+    enc = encode(sides, "_text", vocab, [*keys, "_side"], "_ids", max_length, spread_keys=keys)
+    both = enc.groupBy(*keys).agg(
+        F.max(F.when(F.col("_side") == 0, F.col("_ids"))).alias("input_ids_chosen"),
+        F.max(F.when(F.col("_side") == 1, F.col("_ids"))).alias("input_ids_rejected"),
+    )
+    return both.select(
         *keys,
         "input_ids_chosen", attention_mask("input_ids_chosen").alias("attention_mask_chosen"),
         "input_ids_rejected", attention_mask("input_ids_rejected").alias("attention_mask_rejected"),
