@@ -109,3 +109,22 @@ def test_streaming_tree_conversion(spark, tmp):
     assert len(texts) == 2 and all(t["text"].startswith("<|im_start|>system") for t in texts)
     turns = spark.createDataFrame([("user", "x")], "role string, text string")
     assert render_turns_stream(turns).first()["block"] == "<|im_start|>user\nx<|im_end|>"
+
+
+def test_prepare_dpo_values_match_direct_encode(spark):
+    from prefspark.operators import chat
+
+    pairs = fx.c2_message_pairs(spark, SF001)
+    vocab = tokens.build_vocab(fx.table(spark, SF001, "conversations"), "text", min_count=2)
+    out = {r["pair_id"]: r for r in jobs.prepare_dpo(pairs, vocab, split=None, max_length=40).collect()}
+    inputs = chat.model_inputs(chat.preference_texts(pairs, keep=("pair_id",)), "conversation")
+    direct_c = {r["pair_id"]: r["input_ids"] for r in tokens.encode(inputs, "chosen_input", vocab, ["pair_id"],
+                                                                    max_length=40).collect()}
+    direct_r = {r["pair_id"]: r["input_ids"] for r in tokens.encode(inputs, "rejected_input", vocab, ["pair_id"],
+                                                                    max_length=40).collect()}
+    plen = {r["pair_id"]: r["n"] for r in inputs.select("pair_id", tokens.token_count("prompt").alias("n")).collect()}
+    assert set(out) == set(direct_c)
+    for k, r in out.items():
+        assert r["chosen_ids"][:sum(r["chosen_mask"])] == direct_c[k]
+        assert r["rejected_ids"][:sum(r["rejected_mask"])] == direct_r[k]
+        assert r["prompt_len"] == plen[k]
