@@ -128,3 +128,16 @@ def test_prepare_dpo_values_match_direct_encode(spark):
         assert r["chosen_ids"][:sum(r["chosen_mask"])] == direct_c[k]
         assert r["rejected_ids"][:sum(r["rejected_mask"])] == direct_r[k]
         assert r["prompt_len"] == plen[k]
+
+
+def test_convert_trees_entry_point(spark, tmp):
+    from prefspark import convert_trees
+
+    p = _jsonl(os.path.join(tmp, "t.jsonl"), TREES)
+    out = os.path.join(tmp, "chatml")
+    assert convert_trees.run(spark, p, out) == 2
+    texts = sorted(r["text"] for r in io.read_texts(spark, out).collect())
+    assert texts[0].startswith("<|im_start|>system\nYou are a helpful assistant.<|im_end|>\n<|im_start|>user\n")
+    out2 = os.path.join(tmp, "chatml_nosys")
+    convert_trees.run(spark, p, out2, system="")
+    assert all(not r["text"].startswith("<|im_start|>system") for r in io.read_texts(spark, out2).collect())
