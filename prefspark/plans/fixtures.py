@@ -91,13 +91,6 @@ def c2_message_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("pair_id", "prompt", msgs("chosen").alias("chosen"), msgs("rejected").alias("rejected"))
 
 
-def _token_counts(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    return (
-        df.select(F.explode(tokens(text_col)).alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias(name))
-    )
-
-
 def c3_unigram_logps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float, float]:
     """Add-one unigram log-probs ``(token, policy_lp, ref_lp)`` over the union vocabulary.
 
@@ -107,9 +100,12 @@ def c3_unigram_logps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float
     """
     conv = spread_scan(table(spark, sf_dir, "conversations").where(F.col("role") == "assistant").select("text"))
     docs = spread_scan(table(spark, sf_dir, "documents").select("text"))
-    pc = _token_counts(conv, "text", "n_policy")
-    rc = _token_counts(docs, "text", "n_ref")
-    joined = materialize(pc.join(rc, "token", "full_outer").na.fill(0, ["n_policy", "n_ref"]))
+    # One aggregation over both corpora (a source flag per token), not two counts and a
+    # full outer join: a single partial-aggregated shuffle on token.
+    flagged = conv.select(F.explode(tokens("text")).alias("token"), F.lit(1).alias("_p")).unionByName(
+        docs.select(F.explode(tokens("text")).alias("token"), F.lit(0).alias("_p")))
+    joined = materialize(flagged.groupBy("token").agg(
+        F.sum("_p").cast("long").alias("n_policy"), F.sum(1 - F.col("_p")).cast("long").alias("n_ref")))
     stats = joined.agg(F.sum("n_policy").alias("np"), F.sum("n_ref").alias("nr"),
                        F.count(F.lit(1)).alias("v")).first()
     npol, nref, v = float(stats["np"]), float(stats["nr"]), float(stats["v"])
