@@ -181,23 +181,34 @@ def response_tokens(prompt_ids, response_ids) -> tuple[Column, Column]:
     return full, new
 
 
+def encode_columns(df: DataFrame, columns: dict[str, str], vocab: DataFrame, keys: Sequence[str],
+                   max_length: int | None = None, carry: Sequence[str] = (), **encode_args) -> DataFrame:
+    """Encode several text columns of each row in one pass: ``keys`` + ``carry`` + one id array per entry
+    of ``columns`` (output name -> text column).
+
+    The texts are stacked as rows, spread once on ``keys`` and encoded together; the pivot
+    back to one row per key groups on the same keys, so the whole step has one exchange
+    instead of one per column plus a zip join. ``carry`` columns ride along unchanged.
+    """
+    names = list(columns)
+    stacked = df.select(*keys, *carry, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_col"), F.col(columns[n]).alias("_text")) for i, n in enumerate(names)
+    ])).alias("_s")).select(*keys, *carry, "_s._col", "_s._text")
+    enc = encode(stacked, "_text", vocab, [*keys, *carry, "_col"], "_ids", max_length, spread_keys=keys,
+                 **encode_args)
+    return enc.groupBy(*keys, *carry).agg(
+        *[F.max(F.when(F.col("_col") == i, F.col("_ids"))).alias(n) for i, n in enumerate(names)])
+
+
 def shape_pairs(pairs: DataFrame, vocab: DataFrame, keys: Sequence[str], max_length: int,
                 chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """TK8: tokenize both sides independently (truncated) into the four RM columns (PR1).
 
     Also flags ``degenerate`` pairs that became identical after truncation (S16).
-    Both sides are stacked as rows and encoded in one pass, spread on ``keys`` only, so
-    the per-side grouping and the pivot back to one row per pair share one exchange.
+    Both sides are encoded in one pass (``encode_columns``), so the whole step has one exchange.
     """
-    sides = pairs.select(*keys, F.explode(F.array(
-        F.struct(F.lit(0).alias("_side"), F.col(chosen).alias("_text")),
-        F.struct(F.lit(1).alias("_side"), F.col(rejected).alias("_text")))).alias("_s")).select(
-        *keys, "_s._side", "_s._text")
-    enc = encode(sides, "_text", vocab, [*keys, "_side"], "_ids", max_length, spread_keys=keys)
-    both = enc.groupBy(*keys).agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_ids"))).alias("input_ids_chosen"),
-        F.max(F.when(F.col("_side") == 1, F.col("_ids"))).alias("input_ids_rejected"),
-    )
+    both = encode_columns(pairs, {"input_ids_chosen": chosen, "input_ids_rejected": rejected}, vocab, keys,
+                          max_length)
     return both.select(
         *keys,
         "input_ids_chosen", attention_mask("input_ids_chosen").alias("attention_mask_chosen"),

@@ -58,18 +58,10 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = "train",
         pairs = io.select_split(pairs, split)
     texts = chat.preference_texts(pairs, template, keep=(key,))
     inputs = chat.model_inputs(texts, chosen_scope, template, raw=pairs if chosen_scope == "completion" else None)
-    # Both sides stacked and encoded in one pass; the untruncated prompt length rides along
-    # as a grouping key, and the pivot back to one row per pair reuses the same exchange.
-    sides = inputs.select(
-        key, tokens.token_count(F.col("prompt")).alias("prompt_len"),
-        F.explode(F.array(F.struct(F.lit(0).alias("_side"), F.col("chosen_input").alias("_text")),
-                          F.struct(F.lit(1).alias("_side"), F.col("rejected_input").alias("_text")))).alias("_s"),
-    ).select(key, "prompt_len", "_s._side", "_s._text")
-    enc = tokens.encode(sides, "_text", vocab, [key, "prompt_len", "_side"], "_ids", max_length, spread_keys=[key])
-    joined = enc.groupBy(key, "prompt_len").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_ids"))).alias("chosen_ids"),
-        F.max(F.when(F.col("_side") == 1, F.col("_ids"))).alias("rejected_ids"),
-    )
+    # Both sides encoded in one pass; the untruncated prompt length rides along.
+    with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt")))
+    joined = tokens.encode_columns(with_len, {"chosen_ids": "chosen_input", "rejected_ids": "rejected_input"},
+                                   vocab, [key], max_length, carry=["prompt_len"])
     b = batching.assign_batches(joined, batch_size, key, seed=seed, step_col=None)
     # Each side is padded to its own batch maximum, as the two tokenizer calls do; the
     # response is cut off when the untruncated prompt fills the padded width.

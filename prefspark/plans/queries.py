@@ -181,11 +181,10 @@ def q_response_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TK10: prompt ids + response ids, and the new tokens sliced back out."""
     pairs = fx.c2_pairs(spark, sf_dir)
     v = _vocab(spark, sf_dir)
-    p = tokens.encode(pairs, "prompt", v, ["pair_id"], "prompt_ids").drop("n_tokens")
-    r = tokens.encode(pairs, "chosen", v, ["pair_id"], "response_ids").drop("n_tokens")
+    both = tokens.encode_columns(pairs, {"prompt_ids": "prompt", "response_ids": "chosen"}, v, ["pair_id"])
     full, new = tokens.response_tokens("prompt_ids", "response_ids")
-    return p.join(r, "pair_id").select("pair_id", ids_string(full).alias("full_ids"),
-                                       ids_string(new).alias("new_ids"), F.size(new).cast("bigint").alias("n_new"))
+    return both.select("pair_id", ids_string(full).alias("full_ids"),
+                       ids_string(new).alias("new_ids"), F.size(new).cast("bigint").alias("n_new"))
 
 
 @query("assign_batches")
