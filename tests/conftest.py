@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -25,7 +24,3 @@ def tmp(tmp_path_factory):
 
 def rows(df, order=None):
     return [r.asDict(recursive=True) for r in (df.orderBy(*order) if order else df).collect()]
-
-
-def scratch() -> str:
-    return tempfile.mkdtemp(prefix="pf-", dir="/tmp")
