@@ -79,10 +79,12 @@ def td_residuals(df: DataFrame, gamma: float = GAMMA, reward_t: str = "reward_t"
 
 
 def _block_size(gl: float, cap: int = 1 << 20) -> int:
-    """Largest block whose weights ``gl**k`` stay normal doubles (>= 1e-300)."""
+    """Largest block whose weights ``gl**k`` stay normal doubles (between 1e-300 and 1e300)."""
     import math
 
-    return max(1, min(cap, int(300 * math.log(10) / -math.log(gl))))
+    if gl == 1.0:
+        return cap
+    return max(1, min(cap, int(300 * math.log(10) / abs(math.log(gl)))))
 
 
 def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "gae", chunk: int | None = None,
@@ -108,7 +110,8 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     gl = gamma * lam
     if gl == 0.0:
         return df.withColumn("advantage", F.col(delta)).withColumn("returns", F.col(delta) + F.col(value))
-    k = chunk or _block_size(gl)
+    # a requested block never exceeds the size at which this gamma*lam would underflow
+    k = min(chunk, _block_size(gl)) if chunk else _block_size(gl)
     staged = df.withColumn("_blk", F.floor(F.col(pos) / k).cast("long")).withColumn(
         "_off", F.col(pos) - F.col("_blk") * k)
     weight = F.pow(F.lit(gl), F.col("_off"))

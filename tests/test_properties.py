@@ -35,3 +35,38 @@ def test_gae_equals_backward_recursion(spark, n, gamma, lam, seed, chunk):
         want[t] = acc
     got = np.array([r["advantage"] for r in out])
     assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+WORDS = st.sampled_from(["a", "bb", "été", "Ünï", "x1", "<|im_end|>", "日本", "z"])
+SEPS = st.sampled_from([" ", "  ", "\t", "\n", "\r\n", " \t "])
+
+
+@SETTINGS
+@given(texts=st.lists(st.lists(st.tuples(WORDS, SEPS), max_size=12), min_size=1, max_size=6))
+def test_encode_decode_round_trip(spark, texts):
+    from prefspark.operators import tokens
+
+    rows = [(i, "".join(w + s for w, s in t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k long, text string")
+    vocab = tokens.build_vocab(df, "text")
+    enc = tokens.encode(df, "text", vocab, ["k"])
+    got = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", vocab, ["k"]).collect()}
+    assert got == {i: " ".join(w for w, _ in t) for i, t in enumerate(texts)}
+    lengths = {r["k"]: r["n_tokens"] for r in enc.collect()}
+    assert lengths == {i: len(t) for i, t in enumerate(texts)}
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("gamma,lam,chunk", [(1.0, 1.0, None), (1.0, 5.9e-259, 3), (0.99, 0.95, 2), (1.0, 1.0, 4)])
+def test_gae_edge_discounts(spark, gamma, lam, chunk):
+    delta = [0.5, -1.0, 2.0, 0.25, -0.75, 1.5, 0.0]
+    df = spark.createDataFrame([(0, 1, p, d, 0.0, 1.0) for p, d in enumerate(delta)],
+                               "batch_id long, seq_id long, pos int, delta double, value double, mask double")
+    got = [r["advantage"] for r in rollout.gae(df, gamma=gamma, lam=lam, chunk=chunk).orderBy("pos").collect()]
+    acc, want = 0.0, []
+    for d in reversed(delta):
+        acc = d + gamma * lam * acc
+        want.append(acc)
+    assert np.allclose(got, want[::-1], rtol=1e-12, atol=1e-12)
