@@ -70,3 +70,19 @@ def test_gae_edge_discounts(spark, gamma, lam, chunk):
         acc = d + gamma * lam * acc
         want.append(acc)
     assert np.allclose(got, want[::-1], rtol=1e-12, atol=1e-12)
+
+
+@SETTINGS
+@given(logits=st.lists(st.floats(-5, 5, allow_nan=False), min_size=1, max_size=12),
+       top_p=st.floats(0.05, 0.99), temperature=st.floats(0.2, 2.0))
+def test_nucleus_reaches_mass_and_is_minimal(spark, logits, top_p, temperature):
+    from prefspark.operators import sampling
+
+    df = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(logits)], "seq_id long, item int, logit double")
+    kept = sorted((r["prob"] for r in sampling.nucleus(df, top_p, temperature).collect()), reverse=True)
+    z = np.exp((np.array(logits) - max(logits)) / temperature)
+    p = np.sort(z / z.sum())[::-1]
+    assert len(kept) >= 1
+    assert sum(kept) >= min(top_p, 1.0) - 1e-9 or len(kept) == len(logits)
+    assert sum(kept[:-1]) < top_p + 1e-12  # dropping the last kept item falls below p
+    assert np.allclose(kept, p[:len(kept)], atol=1e-12)
