@@ -86,3 +86,22 @@ def test_nucleus_reaches_mass_and_is_minimal(spark, logits, top_p, temperature):
     assert sum(kept) >= min(top_p, 1.0) - 1e-9 or len(kept) == len(logits)
     assert sum(kept[:-1]) < top_p + 1e-12  # dropping the last kept item falls below p
     assert np.allclose(kept, p[:len(kept)], atol=1e-12)
+
+
+@SETTINGS
+@given(n=st.integers(1, 50), b=st.integers(1, 9), epochs=st.integers(1, 3), seed=st.integers(0, 99))
+def test_batches_are_contiguous_and_full(spark, n, b, epochs, seed):
+    from pyspark.sql import functions as F
+
+    from prefspark.operators import batching
+
+    df = batching.with_epochs(spark.range(0, n).withColumnRenamed("id", "k"), epochs)
+    out = batching.assign_batches(df, b, "k", seed=seed, epoch_col="epoch")
+    rows = out.select("epoch", "idx", "batch_id", "step").collect()
+    for e in range(epochs):
+        idx = sorted(r["idx"] for r in rows if r["epoch"] == e)
+        assert idx == list(range(n))
+        sizes = [c for _, c in sorted(
+            (r["batch_id"], r["count"]) for r in out.where(F.col("epoch") == e).groupBy("batch_id").count().collect())]
+        assert sizes[:-1] == [b] * (len(sizes) - 1) and 1 <= sizes[-1] <= b
+    assert max(r["step"] for r in rows) == epochs * -(-n // b)
