@@ -58,3 +58,15 @@ def test_pad_batch_and_pairs(spark):
 def test_log_steps(spark):
     df = spark.range(1, 31).withColumnRenamed("id", "step")
     assert [r["step"] for r in batching.log_steps(df, 10).orderBy("step").collect()] == [10, 20, 30]
+
+
+def test_spread_scan_only_when_few_splits(spark):
+    from prefspark.session import spread_scan
+
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")  # one row group
+    assert few.rdd.getNumPartitions() < cores
+    spread = spread_scan(few)
+    assert spread.rdd.getNumPartitions() == cores and spread.count() == few.count()
+    many = spark.range(0, 100, numPartitions=cores * 2)
+    assert spread_scan(many) is many
