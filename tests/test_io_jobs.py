@@ -141,3 +141,19 @@ def test_convert_trees_entry_point(spark, tmp):
     out2 = os.path.join(tmp, "chatml_nosys")
     convert_trees.run(spark, p, out2, system="")
     assert all(not r["text"].startswith("<|im_start|>system") for r in io.read_texts(spark, out2).collect())
+
+
+def test_evaluate_rm_and_dpo(spark):
+    import math
+
+    scores = spark.createDataFrame([(1.0, 0.0, "train"), (0.0, 0.0, "train"), (2.0, -2.0, "test")],
+                                   "reward_chosen double, reward_rejected double, split string")
+    rm = {r["split"]: (r["mean_loss"], r["n_rows"]) for r in jobs.evaluate_rm(scores).collect()}
+    assert rm["train"][1] == 2 and abs(rm["train"][0] - (math.log1p(math.exp(-1)) + math.log(2)) / 2) < 1e-12
+    assert abs(rm["test"][0] - math.log1p(math.exp(-4))) < 1e-12
+    seq = spark.createDataFrame([(-1.0, -2.0, -1.0, -2.0, "test"), (-1.0, -3.0, -2.0, -2.0, "test")],
+                                "policy_chosen double, policy_rejected double, ref_chosen double, "
+                                "ref_rejected double, split string")
+    d = jobs.evaluate_dpo(seq, beta=0.1).first()
+    want = (math.log(2) + math.log1p(math.exp(-0.2))) / 2
+    assert d["n_rows"] == 2 and abs(d["mean_loss"] - want) < 1e-12
