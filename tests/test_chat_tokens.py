@@ -119,3 +119,12 @@ def test_with_system_and_small_helpers(spark):
     assert [x["role"] for x in r["s"]] == ["system", "user"] and len(r["n"]) == 1
     assert r["t"].startswith("<|im_start|>system\nYou are a helpful assistant.<|im_end|>\n<|im_start|>user\nhi")
     assert r["seg"] == "Model-1B" and r["l"] == "x"
+
+
+def test_truncate_array_and_all_ones_mask(spark):
+    df = spark.createDataFrame([([1, 2, 3, 4],), ([5],)], "ids array<int>")
+    r = sorted(((x["r"], x["l"], x["m"]) for x in df.select(
+        tokens.truncate("ids", 2).alias("r"), tokens.truncate("ids", 2, side="left").alias("l"),
+        tokens.attention_mask("ids", F.lit(5), mode="all_ones").alias("m")).collect()), key=lambda t: len(t[0]))
+    assert r[0] == ([5], [5], [1, 1, 1, 1, 1])
+    assert r[1] == ([1, 2], [3, 4], [1, 1, 1, 1, 1])
