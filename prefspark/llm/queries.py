@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import bpe, token_counts
+from prefspark.llm import bpe, simhash, token_counts
 from prefspark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles over whole documents, linked at 4 or fewer differing bits."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, words_each=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
