@@ -1 +1,48 @@
-SQL: dict[str, str] = {}
+"""DuckDB SQL for the registered queries that SQL can express."""
+
+#: Sainte-Lague over all quotients, one by one; the word ring of a source is cut where its blocks end.
+OP7 = """
+WITH docs AS (
+  SELECT doc_id, coalesce('s' || source, 't') AS src, md5(coalesce(doc_id::VARCHAR, 'null') || ':42') AS draw,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), sources AS (
+  SELECT src, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY src) AS pos FROM docs GROUP BY src
+), weighed AS (
+  SELECT *, (pos - 1) % 3 + 1 AS weight, (3 * source_size)::DOUBLE / ((pos - 1) % 3 + 1) AS ratio,
+         (SELECT sum(size) FROM docs)::BIGINT AS total
+  FROM sources
+), levels AS (
+  SELECT *, (total - coalesce((SELECT sum(3 * b.source_size) FROM weighed b WHERE (b.ratio, b.pos) < (a.ratio, a.pos)), 0))::DOUBLE
+    / (SELECT sum(b.weight) FROM weighed b WHERE (b.ratio, b.pos) >= (a.ratio, a.pos)) AS level
+  FROM weighed a
+), aimed AS (
+  SELECT *, least((3 * source_size)::DOUBLE,
+                  (SELECT level FROM levels WHERE ratio >= level ORDER BY ratio, pos LIMIT 1) * weight) AS target
+  FROM levels
+), sized AS (
+  SELECT *, greatest(1, least(256, floor((SELECT min(target) FROM aimed WHERE target > 0) / 64)))::BIGINT AS block FROM aimed
+), quotients AS (
+  SELECT src, pos, k, target / (2 * k + 1) AS quotient, floor(total / block + 0.5)::BIGINT AS houses
+  FROM sized, LATERAL (SELECT unnest(range(0, floor(total / block + 0.5)::BIGINT)) AS k) WHERE target > 0
+), seats AS (
+  SELECT src, count(*) AS seats
+  FROM (SELECT src, houses, row_number() OVER (ORDER BY quotient DESC, pos, k) AS place FROM quotients) WHERE place <= houses GROUP BY src
+), plans AS (
+  SELECT s.src, s.source_size, s.target, least(3 * s.source_size, coalesce(q.seats, 0) * s.block) AS words,
+         CASE WHEN s.source_size > 0 THEN ('0x' || substr(md5(s.src || ':42'), 1, 8))::BIGINT
+           % ceil(s.source_size / s.block)::BIGINT * s.block ELSE 0 END AS arc_from
+  FROM sized s LEFT JOIN seats q USING (src)
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
+         CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS laps
+  FROM docs JOIN plans USING (src)
+)
+SELECT doc_id, size, source_size, target,
+       (laps * size
+        + greatest(0, least(ahead + size, least(arc_from + words - laps * source_size, source_size)) - greatest(ahead, arc_from))
+        + greatest(0, least(ahead + size, arc_from + words - laps * source_size - source_size) - ahead))::BIGINT AS taken
+FROM placed
+"""
+
+SQL: dict[str, str] = {"op7_mixing": OP7}

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import bpe, simhash, token_counts
-from prefspark.llm.common import read_table
+from prefspark.llm import bpe, mixing, simhash, token_counts
+from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words_each=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources; sizes in words."""
+    docs = read_table(spark, sf_dir, "documents")
+    sized = materialized(docs.select("doc_id", "source", mixing.word_count().alias("size")))
+    mixed = mixing.mix(sized, "size")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
