@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import bpe, mixing, simhash, token_counts
+from prefspark.llm import bpe, mixing, reshard, simhash, token_counts
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = materialized(docs.select("doc_id", "source", mixing.word_count().alias("size")))
     mixed = mixing.mix(sized, "size")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_reshard")
+def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lie in 6 shards by source (so of very unequal sizes) resharded to 8 of equally many rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(6)).cast("int")
+    placed = reshard.reshard(docs.select("doc_id", "text", old.alias("old")), "old", shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+    )
