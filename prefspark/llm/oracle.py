@@ -45,4 +45,27 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-SQL: dict[str, str] = {"op7_mixing": OP7}
+#: All pairs of a label, and reachability by a recursive union.
+OP9 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), components AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN components c ON c.a = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
+"""
+
+SQL: dict[str, str] = {"op7_mixing": OP7, "op9_embed_dedup": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import bpe, mixing, reshard, simhash, token_counts
+from prefspark.llm import bpe, embed_dedup, mixing, reshard, simhash, token_counts
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )
+
+
+@query("op9_embed_dedup")
+def op9_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of equal labels linked at cosine 0.98 or more."""
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)

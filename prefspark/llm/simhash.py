@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from prefspark.llm.common import binary_list, map_batches, materialized
+from prefspark.llm.common import binary_list, group_bounds, map_batches, materialized, whole_groups
 from prefspark.llm.components import connected_components
 
 SEED = 42
@@ -188,30 +188,12 @@ def near_links(prints: DataFrame, radius: int = 4, blocks: int = 6, shard_rows:
     schema = "a long, b long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-
-        def solve(table: pa.Table) -> pa.RecordBatch:
-            col = {c: table.column(c).to_numpy() for c in table.column_names}
-            _, shard = np.unique(np.stack([col["key"], col["i"].astype(np.int64), col["j"].astype(np.int64)]), axis=1, return_inverse=True)
-            a, b = link_shards(shard.reshape(-1), col["fp"].view(np.uint64), col["rep"], col["part"] == col["i"], col["part"] == col["j"], radius)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows < 200_000:
-                continue
-            table = pa.Table.from_batches(held)
-            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
-            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
-            if len(change):  # whole shards go, the last one may go on
-                cut = int(change[-1]) + 1
-                yield solve(table.slice(0, cut))
-                table = table.slice(cut)
-            held, rows = table.to_batches(), table.num_rows
-        if rows:
-            yield solve(pa.Table.from_batches(held))
+        for table in whole_groups(batches, ("key", "i", "j")):
+            bounds = group_bounds(table, ("key", "i", "j"))
+            shard = np.repeat(np.arange(len(bounds)), [e - s for s, e in bounds])
+            col = {c: table.column(c).to_numpy() for c in ("i", "j", "part", "fp", "rep")}
+            a, b = link_shards(shard, col["fp"].view(np.uint64), col["rep"], col["part"] == col["i"], col["part"] == col["j"], radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return map_batches(grouped, run, schema)
 
