@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import bpe, embed_dedup, mixing, reshard, simhash, token_counts
+from prefspark.llm import ann, bpe, embed_dedup, mixing, reshard, simhash, token_counts
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,10 @@ def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings of equal labels linked at cosine 0.98 or more."""
     return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op8_ann")
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest embeddings found for every embedding whose id is divisible by 20."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return ann.search(table, table.where("vec_id % 20 = 0"), top=20)
