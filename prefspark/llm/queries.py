@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import ann, bpe, embed_dedup, html_text, mixing, reshard, simhash, token_counts
+from prefspark.llm import ann, bpe, embed_dedup, html_text, lm, mixing, reshard, simhash, token_counts
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,16 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest embeddings found for every embedding whose id is divisible by 20."""
     table = read_table(spark, sf_dir, "embeddings")
     return ann.search(table, table.where("vec_id % 20 = 0"), top=20)
+
+
+def subword_vocabulary(size: int = 1024) -> bpe.Vocabulary:
+    """The lowest ranks of a BPE vocabulary are a BPE vocabulary."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.Vocabulary({k: r for k, r in ranks.items() if r < size}, public_tokenizers.PATTERN)
+
+
+@query("op10_lm_score")
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document scored by the attention model and by add-one unigrams of the training documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, subword_vocabulary())
