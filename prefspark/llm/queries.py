@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import ann, bpe, embed_dedup, html_text, lm, mixing, reshard, simhash, token_counts
+from prefspark.llm import ann, bpe, embed_dedup, html_text, lm, mixing, quality, reshard, simhash, token_counts
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document scored by the attention model and by add-one unigrams of the training documents."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return lm.score(docs, subword_vocabulary())
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every whole document under the model of trusted text, and whether it is kept."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.classify(docs, read_table(spark, sf_dir, "labels"))
