@@ -62,12 +62,16 @@ TOKEN = re.compile(r"[a-z]+")
 
 @dataclass(slots=True)
 class Element:
+    """An open element; the flags hold if it or an element around it has them. block: the block it stands in."""
+
     name: str
     number: int
+    depth: int
     good: bool
     bad: bool
     head: bool
     link: bool
+    block: Element | None = None
 
 
 @dataclass(slots=True)
@@ -103,7 +107,8 @@ class PageReader:
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.stack = [Element("", 0, False, False, False, False)]
+        self.stack = [Element("", 0, 1, False, False, False, False)]
+        self.stack[0].block = self.stack[0]
         self.open: dict[str, int] = {}
         self.parts: list[str] = []
         self.linked = 0
@@ -134,11 +139,12 @@ class PageReader:
         return self.blocks
 
     def text(self, raw: str) -> None:
-        if self.stack[-1].name in ("script", "style"):
+        top = self.stack[-1]
+        if top.name in RAW or (top.bad and not top.block.bad):  # code, or an advert, button and the like inside a line
             return
         text = unescape(raw) if "&" in raw else raw
         self.parts.append(text)
-        if self.stack[-1].link:
+        if top.link:
             self.linked += len("".join(text.split()))
 
     def flush(self) -> None:
@@ -146,9 +152,10 @@ class PageReader:
             text = " ".join("".join(self.parts).split())
             self.parts = []
             if text:
-                top = self.stack[-1]
-                depth = len(self.stack)
-                distance = 0 if not self.blocks else depth + self.blocks[-1].depth - 2 * min(self.low, depth)
+                top = self.stack[-1].block
+                depth = top.depth
+                self.low = min(self.low, depth)
+                distance = 0 if not self.blocks else depth + self.blocks[-1].depth - 2 * self.low
                 self.blocks.append(Block(text, self.linked, top.good, top.bad, top.head, depth, top.number, distance))
                 self.low = depth
         self.linked = 0
@@ -186,7 +193,9 @@ class PageReader:
         good, bad, head = _judge(name, attributes)
         raw = name in RAW
         self.made += 1
-        self.stack.append(Element(name, self.made, top.good or good, top.bad or bad or raw or name == "head", top.head or head, top.link or name == "a"))
+        new = Element(name, self.made, len(self.stack) + 1, top.good or good, top.bad or bad or raw or name == "head", top.head or head, top.link or name == "a")
+        new.block = new if name in BLOCK else top.block
+        self.stack.append(new)
         self.open[name] = self.open.get(name, 0) + 1
 
     def end_tag(self, name: str) -> None:
