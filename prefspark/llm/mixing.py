@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import WORD, materialized
+from prefspark.llm.common import WORD
 
 BUCKETS = 4096
 WEIGHTS = 3
@@ -119,9 +119,9 @@ def mix(
         F.struct(*kept).alias("row"), F.col(id_col).alias("id"), F.col(size_col).cast("bigint").alias("size"),
         _source_key(source_col).alias("src"), F.md5(F.concat(ident, F.lit(f":{seed}")).cast("binary")).alias("draw"),
     ).withColumn("bucket", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int"))
-    buckets = materialized(keyed.groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size")))
+    buckets = keyed.groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size"))
     totals = buckets.groupBy("src").agg(F.sum("bucket_size").cast("bigint").alias("source_size"))
-    aimed = materialized(targets(totals, most))
+    aimed = targets(totals, most)
     seats = quotas(aimed, shards, block_words).groupBy("src").agg(F.max("upto").alias("seats"), F.max("block").alias("block"))
     start = _draw(F.concat("src", F.lit(f":{seed}"))) % F.ceil(F.col("source_size") / F.col("block")) * F.col("block")
     some = F.col("source_size") > 0
@@ -136,7 +136,7 @@ def mix(
     )
     so_far = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("src", "bucket", F.coalesce(F.sum("bucket_size").over(so_far), F.lit(0)).alias("offset"))
-    planned = materialized(offsets.join(plans, "src"))
+    planned = offsets.join(plans, "src")
     place = Window.partitionBy("src", "bucket").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     inside = lambda a, b: F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), b) - F.greatest(F.col("at"), a))
     first = inside(F.col("arc_from"), F.least("arc_to", "source_size"))
