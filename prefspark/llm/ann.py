@@ -27,10 +27,12 @@ from prefspark.llm.common import clean_vectors, group_bounds, map_batches, mater
 
 def neighbour_graph(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Undirected edges (a, b) between rows of ``x`` and their ``k`` largest inner products."""
-    product = x @ x.T
-    np.fill_diagonal(product, -np.inf)
-    k = min(k, len(x) - 1)
-    near = np.argpartition(-product, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(x), 0), np.int64)
+    k = max(0, min(k, len(x) - 1))
+    near = np.zeros((len(x), k), np.int64)
+    for at in range(0, len(x) if k else 0, 256):  # a few rows at a time: the whole product would fill the driver
+        product = x[at : at + 256] @ x.T
+        product[np.arange(len(product)), at + np.arange(len(product))] = -np.inf
+        near[at : at + 256] = np.argpartition(product, len(x) - k, axis=1)[:, len(x) - k :]
     a, b = np.repeat(np.arange(len(x)), near.shape[1]), near.reshape(-1)
     both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
     return both[0], both[1]

@@ -165,6 +165,6 @@ def take(mixed: DataFrame, text_col: str = "text") -> DataFrame:
     columns = [c for c in mixed.columns if c not in added]
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
     piece = F.array_join(F.slice(pieces, F.col("cut_from").cast("int") + 1, (F.col("cut_to") - F.col("cut_from")).cast("int")), "")
-    whole = mixed.where("laps > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("laps").cast("int")))).select(*columns)
+    whole = mixed.where("laps > 0 AND taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("laps").cast("int")))).select(*columns)
     cut = mixed.where("cut_to > cut_from").withColumn(text_col, piece).select(*columns)
     return whole.unionByName(cut)
