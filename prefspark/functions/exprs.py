@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # The word tokenizer splits on space, tab, carriage return and line feed only.
 TOKEN_PATTERN = r"[^ \t\r\n]+"
+# Fixed value: chat template markers are written ``<|name|>``.
+MARKER_PATTERN = r"(<\|[a-z_]+\|>)"
 
 
 def _c(x) -> Column:
@@ -14,8 +16,13 @@ def _c(x) -> Column:
 
 
 def tokens(text) -> Column:
-    """Whitespace word tokens of a text, in order (never ``\\s``: no Unicode-space folding)."""
-    return F.regexp_extract_all(_c(text), F.lit(TOKEN_PATTERN), 0)
+    """Whitespace word tokens of a text, in order (never ``\\s``: no Unicode-space folding).
+
+    A template marker is a token of its own, even where it touches a word.
+    """
+    t = _c(text)
+    parted = F.when(F.contains(t, F.lit("<|")), F.regexp_replace(t, MARKER_PATTERN, " $1 ")).otherwise(t)
+    return F.regexp_extract_all(parted, F.lit(TOKEN_PATTERN), 0)
 
 
 def softplus(x) -> Column:

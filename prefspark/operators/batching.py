@@ -50,13 +50,16 @@ def assign_batches(df: DataFrame, batch_size: int, key: str, seed: int | None =
     order.append(F.col(key))
     indexed = global_index(df, order, "_g")
     if epoch_col:
-        n = df.where(F.col(epoch_col) == 0).count()
-        per_epoch = -(-n // batch_size)
-        local = F.col("_g") - F.col(epoch_col).cast("bigint") * F.lit(n)
-        out = indexed.withColumn(idx_col, local)
+        # a row an epoch: its first index and how many batches the epochs before it have, however epochs are numbered
+        per = indexed.groupBy(F.col(epoch_col).alias("_e")).agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        earlier = Window.orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
+        per = per.withColumn("_before", F.coalesce(F.sum(F.ceil(F.col("_n") / batch_size)).over(earlier), F.lit(0)))
+        out = indexed.join(F.broadcast(per), F.col(epoch_col).eqNullSafe(F.col("_e")))
+        out = out.withColumn(idx_col, F.col("_g") - F.col("_first"))
         out = out.withColumn(batch_col, F.floor(F.col(idx_col) / batch_size).cast("bigint"))
         if step_col:
-            out = out.withColumn(step_col, (F.col(epoch_col) * per_epoch + F.col(batch_col) + 1).cast("bigint"))
+            out = out.withColumn(step_col, (F.col("_before") + F.col(batch_col) + 1).cast("bigint"))
+        out = out.drop("_e", "_first", "_n", "_before")
     else:
         out = indexed.withColumnRenamed("_g", idx_col).withColumn(
             batch_col, F.floor(F.col(idx_col) / batch_size).cast("bigint"))

@@ -61,8 +61,11 @@ def _c(x) -> Column:
 
 
 def chatml_block(role, content) -> Column:
-    """TR4: ``<|im_start|>{role}\\n{content}<|im_end|>`` -- markers inside content are not escaped."""
-    return F.concat(F.lit(IM_START), _c(role), F.lit("\n"), _c(content), F.lit(IM_END))
+    """TR4: ``<|im_start|>{role}\\n{content}<|im_end|>`` -- markers inside content are not escaped.
+    A NULL role or text raises (a block of NULL would vanish from the joined text)."""
+    role, content = (F.when(c.isNull(), F.raise_error(F.lit(f"message without {what}"))).otherwise(c)
+                     for c, what in ((_c(role), "role"), (_c(content), "text")))
+    return F.concat(F.lit(IM_START), role, F.lit("\n"), content, F.lit(IM_END))
 
 
 def with_system(messages, system: str | None = DEFAULT_SYSTEM_PROMPT) -> Column:
@@ -80,27 +83,18 @@ def system_block(system: str | None) -> str:
 
 
 def join_blocks(df: DataFrame, key: list[str], position: str, block: str = "block", out: str = "text",
-                system: str | None = None, hot_group_rows: int = 100_000) -> DataFrame:
+                system: str | None = None) -> DataFrame:
     """TR5: blocks of each group in ``position`` order, joined by '\n', plus one trailing '\n'.
 
     ``collect_list`` has no order guarantee, so lists are sorted on a struct whose first
     field is the position (an int or an ARRAY<INT> tree path: arrays sort prefix-first).
 
     A group is one output text, so its final row is whole by definition; the work to
-    build it need not be. A partial-aggregate count finds the largest group first. Up to
-    ``hot_group_rows`` blocks per group, one grouped aggregation renders each text. Above
-    it, rows are range-partitioned on (key, position), so a hot group spans many tasks in
-    contiguous position ranges; each range is rendered in parallel, and the final step
-    only concatenates a few partial strings per group in partition (= position) order.
+    build it need not be. Rows are range-partitioned on (key, position), so a hot group
+    spans many tasks in contiguous position ranges; each range is rendered in parallel, and
+    the final step only concatenates one partial string per range in partition (= position) order.
     """
     head = F.lit(system_block(system))
-    biggest = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if biggest <= hot_group_rows:
-        ordered = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(block).alias("b"))))
-        return df.groupBy(*key).agg(
-            F.concat(head, F.array_join(ordered.getField("b"), "\n"), F.lit("\n")).alias(out),
-            F.count(F.lit(1)).alias("n_messages"),
-        )
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     ranged = (
@@ -119,21 +113,21 @@ def join_blocks(df: DataFrame, key: list[str], position: str, block: str = "bloc
     )
 
 
-def conversations_to_chatml(conv: DataFrame, system: str | None = None, hot_group_rows: int = 100_000) -> DataFrame:
+def conversations_to_chatml(conv: DataFrame, system: str | None = None) -> DataFrame:
     """TR6 on the flat table ``(conv_id, turn, role, text)``: one ChatML text per conversation."""
     blocks = conv.select("conv_id", "turn", chatml_block("role", "text").alias("block"))
-    return join_blocks(blocks, ["conv_id"], "turn", system=system, hot_group_rows=hot_group_rows)
+    return join_blocks(blocks, ["conv_id"], "turn", system=system)
 
 
 def trees_to_chatml(messages: DataFrame, system: str | None = DEFAULT_SYSTEM_PROMPT,
-                    key: str = "tree_id", hot_group_rows: int = 100_000) -> DataFrame:
+                    key: str = "tree_id") -> DataFrame:
     """TR6: message rows ``(tree_id, path, role, text)`` (TR1/TR2 output) -> one text per tree.
 
     Roles are mapped prompter->user (PR4, unknown roles raise); the system block is added
     once per tree before the root (S2); siblings are flattened in pre-order (S1).
     """
     blocks = messages.select(key, "path", chatml_block(map_role(F.col("role")), F.col("text")).alias("block"))
-    return join_blocks(blocks, [key], "path", system=system, hot_group_rows=hot_group_rows)
+    return join_blocks(blocks, [key], "path", system=system)
 
 
 # ---------------------------------------------------------------- CT1-CT6, PR5
@@ -200,7 +194,8 @@ def model_inputs(texts: DataFrame, chosen_scope: str = "conversation", template:
         if raw is None:
             raise ValueError("chosen_scope='completion' needs the raw pairs (answer contents)")
         return raw.select(
-            "*",
+            *[c for c in raw.columns if c != "prompt"],
+            render_prompt(F.col("prompt"), template).alias("prompt"),
             F.concat(render_prompt(F.col("prompt"), template), answer_content("chosen"),
                      F.lit(template.suffix)).alias("chosen_input"),
             F.concat(render_prompt(F.col("prompt"), template), answer_content("rejected"),

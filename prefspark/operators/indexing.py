@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from prefspark.session import materialize
 
 _LOCAL_BITS = 33
+BROADCAST_BYTES = 256 << 20
 
 
 def global_index(df: DataFrame, order: Sequence[Column | str], idx_col: str = "idx") -> DataFrame:
@@ -42,7 +43,8 @@ def global_index(df: DataFrame, order: Sequence[Column | str], idx_col: str = "i
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     if not offsets:
         return staged.withColumn(idx_col, local.cast("bigint")).drop("_mid")
-    table = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    # one string literal, whatever the number of partitions; the optimizer folds it to an array
+    table = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
     return staged.withColumn(idx_col, (F.element_at(table, (pid + 1).cast("int")) + local).cast("bigint")).drop("_mid")
 
 
@@ -57,15 +59,16 @@ def rank_within(
 
     Rows are numbered globally in (group, order) order; a group's rank is the distance
     from its first index. The group-start table is pre-aggregated map-side, so a hot
-    group shuffles one row per partition; it is broadcast only below a counted size.
+    group shuffles one row per partition; it is broadcast only below a counted size in rows and bytes.
     """
     indexed = global_index(df, [*group, *order], "_gidx")
-    starts = indexed.groupBy(*group).agg(F.min("_gidx").alias("_start"))
-    n_groups = starts.count()
-    if n_groups <= broadcast_groups_below:
+    named = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    starts = indexed.groupBy(*named).agg(F.min("_gidx").alias("_start"))
+    width = F.coalesce(F.octet_length(F.to_json(F.struct(*[F.col(f"_g{i}") for i in range(len(group))]))), F.lit(0)) + 8
+    size = starts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    if size["n"] <= broadcast_groups_below and size["bytes"] <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
-    return (
-        indexed.join(starts, list(group))
-        .withColumn(rank_col, F.col("_gidx") - F.col("_start"))
-        .drop("_gidx", "_start")
-    )
+    same = F.lit(True)
+    for i, g in enumerate(group):  # NULL is a group like any other
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return indexed.join(starts, same).withColumn(rank_col, F.col("_gidx") - F.col("_start")).select(*df.columns, rank_col)

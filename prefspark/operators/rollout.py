@@ -29,14 +29,15 @@ def expand_responses(df: DataFrame, ids: str = "response_ids", batch: str = "bat
 
     Each batch is padded to its longest response (pads are NULL tokens, or ``pad_id``), as
     the padded generation output is; ``drop_last`` (S9, literal) drops the last column of
-    that matrix, because values and taken actions cover R-1 positions. Positions come
+    that matrix, because values and taken actions cover R-1 positions; a matrix of one column keeps it,
+    so that no sequence is lost. Positions come
     from ``posexplode`` over the padded row, so no array is copied per position.
     """
     width = F.max(F.size(ids)).over(Window.partitionBy(batch))
     staged = df.withColumn("_w", width).withColumn("_n", F.size(ids))
     fill = F.lit(None).cast(df.schema[ids].dataType.elementType) if pad_id is None else F.lit(pad_id)
     padded = F.concat(F.col(ids), F.array_repeat(fill, F.col("_w") - F.col("_n")))
-    keep = F.greatest(F.col("_w") - F.lit(1 if drop_last else 0), F.lit(0))
+    keep = F.greatest(F.col("_w") - F.lit(1 if drop_last else 0), F.least(F.col("_w"), F.lit(1)))
     rows = staged.select("*", F.posexplode(F.slice(padded, 1, keep)).alias("pos", "token"))
     return rows.withColumn("is_pad", F.col("pos") >= F.col("_n")).drop("_w", "_n", ids)
 
@@ -95,11 +96,8 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     ``A_t = sum_{s >= t} (gamma*lam)^(s-t) delta_s`` as a running window sum in descending
     position order (an O(n) frame, WN2). Weights are taken relative to the start of a
     block of K positions, with K chosen so ``(gamma*lam)^K`` stays a normal double, so no
-    weight underflows and no division blows up. A block adds the head sum of the next
-    block through a ``RANGE 1 FOLLOWING`` frame over block numbers; blocks further on are
-    scaled by ``(gamma*lam)^K`` or less (<= 1e-17 relative) and drop out below double
-    precision. When ``gamma*lam`` is so close to 1 that this bound fails, the carries are
-    computed exactly per sequence instead. ``simple``: ``A = (r - V) * mask``, ``ret = r * mask``.
+    weight underflows and no division blows up. What the blocks after a block add is carried
+    exactly, from one number per (sequence, block). ``simple``: ``A = (r - V) * mask``, ``ret = r * mask``.
     """
     if method == "simple":
         r = F.col(reward)
@@ -120,12 +118,8 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     staged = staged.withColumn("_u", F.col(delta) * weight).withColumn(
         "_local", F.col(delta) + F.coalesce(F.sum("_u").over(later), F.lit(0.0)) / weight)
     tail = F.pow(F.lit(gl), F.lit(k) - F.col("_off"))
-    if gl ** k <= 1e-17:
-        nxt = _w(batch, seq).orderBy("_blk").rangeBetween(1, 1)
-        out = staged.withColumn("advantage", F.col("_local") + tail * F.coalesce(F.sum("_u").over(nxt), F.lit(0.0)))
-    else:
-        out = _exact_carries(staged, gl ** k, batch, seq).withColumn(
-            "advantage", F.col("_local") + tail * F.coalesce("_carry", F.lit(0.0)))
+    out = _exact_carries(staged, gl ** k, batch, seq).withColumn(
+        "advantage", F.col("_local") + tail * F.coalesce("_carry", F.lit(0.0)))
     return out.withColumn("returns", F.col("advantage") + F.col(value)).drop(
         "_blk", "_off", "_u", "_local", "_carry")
 

@@ -10,7 +10,8 @@ gathered back per row in position order. A user-supplied encoder plugs in throug
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,13 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefspark.functions.exprs import tokens
+from prefspark.functions.workers import worker_cache
 from prefspark.operators.indexing import global_index
 
-# Special tokens, in id order (pad = 0, unk = 1, bos = 2, eos = 3).
-SPECIALS = ("<pad>", "<unk>", "<bos>", "<eos>")
+# Special tokens, in id order (pad = 0, unk = 1, bos = 2, eos = 3, then the ChatML markers).
+SPECIALS = ("<pad>", "<unk>", "<bos>", "<eos>", "<|im_start|>", "<|im_end|>")
 PAD_ID, UNK_ID, BOS_ID, EOS_ID = 0, 1, 2, 3
 IGNORE_INDEX = -100
 BROADCAST_VOCAB_ROWS = 2_000_000
+# Words have no length limit, so a row count alone bounds nothing: broadcasts also have a bound in bytes.
+BROADCAST_BYTES = 256 << 20
 
 
 def _c(x) -> Column:
@@ -63,7 +67,10 @@ def _maybe_broadcast(vocab: DataFrame, max_rows: int) -> DataFrame:
 
 
 def _small(vocab: DataFrame, max_rows: int) -> bool:
-    return vocab.count() <= max_rows
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in vocab.schema if f.dataType.typeName() == "string"]
+    width = sum(text, F.lit(16))
+    size = vocab.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= max_rows and size["bytes"] <= BROADCAST_BYTES
 
 
 def _salted_lookup(stream: DataFrame, vocab: DataFrame, on: str, keys: Sequence[str], salt_buckets: int,
@@ -75,11 +82,20 @@ def _salted_lookup(stream: DataFrame, vocab: DataFrame, on: str, keys: Sequence[
     most frequent entries are a set of known, bounded size -- broadcast to flag hot rows.
     Hot rows get a deterministic salt in [0, salt_buckets) from their (row, position);
     the vocabulary rows of hot tokens are replicated once per salt. Every other row keeps
-    salt 0, so the join is exact and only the head is spread.
+    salt 0, so the join is exact and only the head is spread. Specials have no count but may be
+    any share of the rows, so they are always hot. Tokens outside the vocabulary match nothing,
+    whatever their salt, so those that are frequent in the stream itself, and NULL, are salted too.
     """
-    hot = vocab.orderBy(F.col("count").desc(), F.col(on)).limit(hot_tokens).select(on, F.lit(True).alias("_hot"))
-    s = stream.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt_buckets))).otherwise(F.lit(0)))
+    special = vocab.where(F.col("count") == 0).limit(1000)
+    head = vocab.orderBy(F.col("count").desc(), F.col(on)).limit(hot_tokens)
+    hot = head.unionByName(special).select(on, F.lit(True).alias("_hot")).distinct()
+    in_vocab = vocab.select(on, F.lit(True).alias("_listed"))
+    frequent = stream.sample(0.01, seed=7).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    strangers = frequent.orderBy(F.col("_n").desc(), F.col(on)).limit(hot_tokens).join(in_vocab, on, "left_anti").select(
+        on, F.lit(True).alias("_strange"))
+    salt = F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt_buckets))
+    s = stream.join(F.broadcast(hot), on, "left").join(F.broadcast(strangers), on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | F.col("_strange") | F.col(on).isNull(), salt).otherwise(F.lit(0))).drop("_strange")
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     v = vocab.join(F.broadcast(hot), on, "left").select(
         *[c for c in vocab.columns if c != "count"], F.explode(salts).alias("_salt"))
@@ -120,15 +136,11 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     # above the Generate would be re-evaluated (and the text carried) for every token.
     split = df.select(*keys, tokens(text_col).alias("_toks")).select(
         *keys, F.size("_toks").alias("n_tokens"), "_toks")
-    exploded = split.select(*keys, "n_tokens", F.posexplode_outer("_toks").alias("pos", "token"))
-    if budget is not None:
-        if side == "right":
-            keep = F.col("pos") < budget
-        elif side == "left":
-            keep = F.col("pos") >= F.col("n_tokens") - budget
-        else:
+    if budget is not None:  # cut before the generator: what truncation drops is never exploded
+        if side not in ("left", "right"):
             raise ValueError(f"unknown truncation side {side!r}")
-        exploded = exploded.where(F.col("pos").isNull() | keep)
+        split = split.withColumn("_toks", truncate("_toks", budget, side))
+    exploded = split.select(*keys, "n_tokens", F.posexplode_outer("_toks").alias("pos", "token"))
     if small:
         looked = exploded.join(F.broadcast(vocab.select("token", F.col("id").alias("_id"))), "token", "left")
     else:
@@ -137,9 +149,13 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_id", F.lit(unk_id)).alias("id")))
     grouped = looked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
-        F.first("n_tokens").alias("n_tokens"),
+        F.count(F.lit(1)).alias("_rows"), F.min("n_tokens").alias("_least"), F.max("n_tokens").alias("n_tokens"),
     )
-    ids = F.transform("_items", lambda x: x["id"])
+    # two texts of one key would be merged into one: positions or lengths that disagree give them away
+    places = F.size(F.array_distinct(F.transform("_items", lambda x: x["pos"])))
+    merged = (F.col("_least") != F.col("n_tokens")) | (F.col("_rows") != F.greatest(places, F.lit(1)))
+    repeated = F.raise_error(F.concat(F.lit("more than one text for key "), F.to_json(F.struct(*keys))))
+    ids = F.when(merged, repeated).otherwise(F.transform("_items", lambda x: x["id"]))
     if add_bos:
         ids = F.concat(F.array(F.lit(bos_id)), ids)
     return grouped.select(*keys, ids.alias(out), (F.col("n_tokens") + (1 if add_bos else 0)).cast("int")
@@ -201,14 +217,14 @@ def encode_columns(df: DataFrame, columns: dict[str, str], vocab: DataFrame, key
 
 
 def shape_pairs(pairs: DataFrame, vocab: DataFrame, keys: Sequence[str], max_length: int,
-                chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
+                chosen: str = "chosen", rejected: str = "rejected", add_bos: bool = False) -> DataFrame:
     """TK8: tokenize both sides independently (truncated) into the four RM columns (PR1).
 
     Also flags ``degenerate`` pairs that became identical after truncation (S16).
     Both sides are encoded in one pass (``encode_columns``), so the whole step has one exchange.
     """
     both = encode_columns(pairs, {"input_ids_chosen": chosen, "input_ids_rejected": rejected}, vocab, keys,
-                          max_length)
+                          max_length, add_bos=add_bos)
     return both.select(
         *keys,
         "input_ids_chosen", attention_mask("input_ids_chosen").alias("attention_mask_chosen"),
@@ -241,24 +257,20 @@ def decode(df: DataFrame, ids_col: str, vocab: DataFrame, keys: Sequence[str], o
 
 # ---------------------------------------------------------------- U1: user encoder hook
 
-_ENCODERS: dict[int, Callable[[str], list[int]]] = {}
-
 
 def encode_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Callable[[str], list[int]]],
                 out: str = "input_ids", max_length: int | None = None) -> DataFrame:
     """Encode with a user tokenizer through an Arrow ``pandas_udf``.
 
-    ``encoder_factory`` is called once per Python worker (cached), not per row or batch;
-    the UDF sees Arrow batches of texts and returns ``ARRAY<INT>``.
+    ``encoder_factory`` is called once per Python worker (see ``functions.workers``), not per
+    row, batch or task; the UDF sees Arrow batches of texts and returns ``ARRAY<INT>``.
     """
-    key = id(encoder_factory)
+    key = uuid.uuid4().hex
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _enc(texts: pd.Series) -> pd.Series:
-        fn = _ENCODERS.get(key)
-        if fn is None:
-            fn = _ENCODERS[key] = encoder_factory()
-        enc = [list(fn(t))[:max_length] if max_length else list(fn(t)) for t in texts]
-        return pd.Series(enc)
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = worker_cache(key, encoder_factory)
+        for texts in batches:
+            yield pd.Series([list(fn(t))[:max_length] if max_length else list(fn(t)) for t in texts])
 
     return df.withColumn(out, _enc(F.col(text_col)))

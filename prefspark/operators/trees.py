@@ -2,8 +2,8 @@
 
 A node's place is its ``path``: the ARRAY<INT> of sibling ordinals from the root (the
 root's path is empty). Sorting by path is pre-order, because Spark (and DuckDB) compare
-arrays element-wise with a prefix first. Both forms below are keyed by node, never by
-tree, so one huge tree is spread over many tasks.
+arrays element-wise with a prefix first. The adjacency form (TR2) is keyed by node, so one huge
+tree is spread over many tasks. A nested tree (TR1) is one VARIANT row until its levels are exploded.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def explode_tree(trees: DataFrame, tree_col: str = "tree", key: str = "tree_id",
     position, which extends the path. Every level is checkpointed (lineage stays flat and
     the level survives executor loss) and the loop ends at the first empty level. A
     missing ``replies`` or ``replies: null`` gives no children (S17, lenient); a
-    ``replies`` that is not a list raises.
+    ``replies`` that is not a list raises. The JSON reader's own nesting limit (1,000) allows some 400 levels.
     """
     level = materialize(
         trees.select(
@@ -78,9 +78,13 @@ def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int |
     rounds. Each round is one equi-join on the ancestor id, checkpointed. An orphan
     (parent id absent) or a cycle raises instead of being dropped.
     """
+    # ids are only unique within their tree, so every step is keyed by both
+    twice = nodes.groupBy(key, "id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1)
+    if not twice.isEmpty():
+        raise ValueError("a tree holds the same node id twice")
     state = materialize(
         nodes.select(
-            F.col("id"),
+            F.col(key).alias("k"), F.col("id"),
             F.col("parent_id").alias("anc"),
             F.when(F.col("parent_id").isNull(), F.array().cast("array<int>"))
             .otherwise(F.array(F.col("ord").cast("int"))).alias("seg"),
@@ -96,13 +100,13 @@ def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int |
         if rounds > limit:
             raise RuntimeError("parent links do not reach a root (cycle?)")
         s = state.alias("s")
-        a = state.select(F.col("id").alias("a_id"), F.col("anc").alias("a_anc"), F.col("seg").alias("a_seg"))
+        a = state.select(F.col("k").alias("a_k"), F.col("id").alias("a_id"), F.col("anc").alias("a_anc"), F.col("seg").alias("a_seg"))
         done = s.where(F.col("anc").isNull())
         step = (
             s.where(F.col("anc").isNotNull())
-            .join(a, F.col("anc") == F.col("a_id"), "left")
+            .join(a, F.col("k").eqNullSafe(F.col("a_k")) & (F.col("anc") == F.col("a_id")), "left")
             .select(
-                F.col("id"),
+                F.col("k"), F.col("id"),
                 F.when(F.col("a_id").isNull(), F.raise_error(F.concat(
                     F.lit("orphan node, parent not found: "), F.col("anc").cast("string"))))
                 .otherwise(F.col("a_anc")).alias("anc"),
@@ -111,5 +115,6 @@ def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int |
         )
         state = materialize(done.unionByName(step))
         pending = not state.where(F.col("anc").isNotNull()).isEmpty()
-    paths = state.select("id", F.col("seg").alias("path"))
-    return nodes.join(paths, "id").withColumn("depth", F.size("path"))
+    paths = state.select(F.col("k").alias("_k"), F.col("id").alias("_id"), F.col("seg").alias("path"))
+    found = nodes.join(paths, F.col(key).eqNullSafe(F.col("_k")) & (F.col("id") == F.col("_id")))
+    return found.drop("_k", "_id").withColumn("depth", F.size("path"))

@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def turn_id(conv_id="conv_id", turn="turn"):
+    """One long for a (conversation, turn), unlike for all others: Cantor's pairing, which no turn number outgrows."""
+    c, t = F.col(conv_id), F.col(turn)
+    return (((c + t) * (c + t + 1) / 2).cast("bigint") + t).cast("bigint")
+
+
 def c1_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacency trees ``(tree_id, id, parent_id, ord, role, text)`` from ``conversations``.
 
@@ -43,13 +49,13 @@ def c1_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     is_root = (F.col("rn") == 1) & (F.col("conv_id") == F.col("root_conv"))
     ranked = ranked.withColumn(
-        "root_id", F.min(F.when(is_root, F.col("conv_id") * 1000 + F.col("turn"))).over(by_tree))
+        "root_id", F.min(F.when(is_root, turn_id())).over(by_tree))
     return ranked.select(
         "tree_id",
-        (F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("id"),
+        turn_id().alias("id"),
         F.when(is_root, F.lit(None).cast("bigint"))
         .when(F.col("rn") == 1, F.col("root_id"))
-        .otherwise(F.col("conv_id") * 1000 + F.col("prev_turn")).cast("bigint").alias("parent_id"),
+        .otherwise(turn_id("conv_id", "prev_turn")).cast("bigint").alias("parent_id"),
         F.when(is_root, F.lit(0)).when(F.col("rn") == 1, F.col("conv_rank")).otherwise(F.lit(1))
         .cast("int").alias("ord"),
         "role", "text",
@@ -68,14 +74,23 @@ def c2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("chosen"))
     pairs = users.join(answers, ["conv_id", "turn"]).withColumn(
-        "pair_id", (F.col("conv_id") * 1000 + F.col("turn")).cast("bigint"))
-    indexed = global_index(pairs, ["conv_id", "turn"], "_i")
+        "pair_id", turn_id())
+    # only the keys are sorted and numbered; texts join in once, by key
+    indexed = global_index(pairs.select("conv_id", "turn"), ["conv_id", "turn"], "_i")
     n = indexed.count()
-    nxt = indexed.select(F.col("_i").alias("_j"), F.col("chosen").alias("rejected"))
-    return (
-        indexed.join(nxt, F.pmod(F.col("_i") + 1, F.lit(n)) == F.col("_j"))
-        .select("pair_id", "conv_id", "turn", "prompt", "chosen", "rejected")
-    )
+    following = indexed.select((F.pmod(F.col("_i") - 1, F.lit(n))).alias("_i"), F.col("conv_id").alias("_c"), F.col("turn").alias("_t"))
+    after = indexed.join(following, "_i").select("conv_id", "turn", "_c", "_t")
+    others = answers.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("chosen").alias("rejected"))
+    return pairs.join(after, ["conv_id", "turn"]).join(others, ["_c", "_t"]).select(
+        "pair_id", "conv_id", "turn", "prompt", "chosen", "rejected")
+
+
+def c2_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pair_id`` of every C2 pair, without its texts."""
+    conv = table(spark, sf_dir, "conversations")
+    users = conv.where(F.col("role") == "user").select("conv_id", "turn")
+    answers = conv.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"))
+    return users.join(answers, ["conv_id", "turn"]).select(turn_id().alias("pair_id"))
 
 
 def c2_message_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,12 +152,10 @@ def c5_long_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size: int = 2,
-                seed: int = 42) -> DataFrame:
+def c4_rollouts(spark: SparkSession, sf_dir: str, batch_size: int = 2, seed: int = 42) -> DataFrame:
     """C4: a padded rollout table ``(batch_id, seq_id, pos, token, policy_lp, ref_lp, value, is_pad, reward)``.
 
-    Responses are the first ``max_new`` words of C2 chosen; reward = distinct / total
-    words; batches of ``batch_size`` by md5(pair_id:seed) order; each batch is padded to
+    Responses are all words of C2 chosen; reward = distinct / total words; batches of ``batch_size`` by md5(pair_id:seed) order; each batch is padded to
     its longest response and, as in the reference, its last column is dropped (S9), so
     positions run 0..width-2. Log-probs come from C3 (0 at pads); value = word length / 10
     at tokens and 0.5 at pads (masked later by RO7).
@@ -153,7 +166,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, max_new: int = 64, batch_size:
 
     pairs = c2_pairs(spark, sf_dir)
     lps, dp, dr = c3_unigram_logps(spark, sf_dir)
-    seqs = pairs.select(F.col("pair_id").alias("seq_id"), F.slice(tokens("chosen"), 1, max_new).alias("toks"))
+    seqs = pairs.select(F.col("pair_id").alias("seq_id"), tokens("chosen").alias("toks"))
     seqs = seqs.withColumn("n", F.size("toks")).withColumn(
         "reward", F.coalesce(F.try_divide(F.size(F.array_distinct("toks")), F.col("n")), F.lit(0.0)).cast("double"))
     b = assign_batches(seqs, batch_size, "seq_id", seed=seed, step_col=None)
@@ -184,3 +197,32 @@ def c1_nested_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit('{"prompt":'), F.array_join(F.col("_o").getField("_open"), ""),
                     F.repeat(F.lit("]}"), F.col("_n").cast("int")), F.lit("}"))
     return trees.select("conv_id", F.parse_json(text).alias("tree"))
+
+
+def c1_nested_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 as nested trees: one VARIANT tree per four conversations.
+
+    The root is the lowest conversation's first turn. Its replies are the rest of that conversation,
+    if any, and then each other conversation; later turns reply to the turn before.
+    """
+    conv = table(spark, sf_dir, "conversations").where(F.col("role") != "system")
+    node = F.to_json(F.struct(
+        F.when(F.col("role") == "user", F.lit("prompter")).otherwise(F.col("role")).alias("role"),
+        F.col("text").alias("text")))
+    opening = F.concat(F.expr("substring(_node, 1, length(_node) - 1)"), F.lit(',"replies":['))
+    parts = conv.select("conv_id", "turn", node.alias("_node")).select("conv_id", "turn", opening.alias("_open"))
+    turns = F.sort_array(F.collect_list(F.struct("turn", "_open"))).getField("_open")
+    chains = parts.groupBy("conv_id").agg(turns.alias("_o")).withColumn("_n", F.size("_o"))
+
+    def chain(opens, n):
+        return F.concat(F.array_join(opens, ""), F.repeat(F.lit("]}"), n))
+
+    chains = chains.select(
+        F.floor(F.col("conv_id") / 4).cast("bigint").alias("tree_id"), "conv_id", F.col("_o")[0].alias("_root"),
+        chain(F.col("_o"), F.col("_n")).alias("_all"),
+        F.when(F.col("_n") > 1, chain(F.slice("_o", 2, F.col("_n")), F.col("_n") - 1)).alias("_rest"))
+    grouped = chains.groupBy("tree_id").agg(F.sort_array(F.collect_list(F.struct("conv_id", "_root", "_all", "_rest"))).alias("_c"))
+    others = F.slice(F.col("_c"), 2, F.size("_c")).getField("_all")
+    children = F.concat(F.filter(F.array(F.col("_c")[0]["_rest"]), lambda x: x.isNotNull()), others)
+    text = F.concat(F.lit('{"prompt":'), F.col("_c")[0]["_root"], F.array_join(children, ","), F.lit("]}}"))
+    return grouped.select("tree_id", F.parse_json(text).alias("tree"))

@@ -38,30 +38,49 @@ def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str
                          tokens.causal_labels("input_ids").alias("labels"))
 
 
-def prepare_rm(pairs: DataFrame, vocab: DataFrame, key: str = "pair_id", max_length: int = MAX_LENGTH,
-               batch_size: int = RM_BATCH, seed: int = 42) -> DataFrame:
-    """JB2: flat pairs -> TK8 (four columns) -> BA2 -> TK6 shared padding."""
-    shaped = tokens.shape_pairs(pairs, vocab, [key], max_length)
+def prepare_rm(pairs: DataFrame, vocab: DataFrame, split: str | None = None, key: str = "pair_id",
+               max_length: int = MAX_LENGTH, batch_size: int = RM_BATCH, seed: int = 42, add_bos: bool = False) -> DataFrame:
+    """JB2: IO4/IO6 -> TK8 (four columns) -> BA2 -> TK6 shared padding.
+
+    ``pairs`` with a ``split`` column must name the split to prepare, so that no batch mixes
+    splits; the column stays in the result. A split without rows raises.
+    """
+    pairs, kept = _one_split(pairs, split)
+    shaped = tokens.shape_pairs(pairs, vocab, [key], max_length, add_bos=add_bos)
     b = batching.assign_batches(shaped, batch_size, key, seed=seed, step_col=None)
-    return batching.pad_pairs(b)
+    return batching.pad_pairs(b).withColumns(kept)
+
 
+def _one_split(rows: DataFrame, split: str | None) -> tuple[DataFrame, dict]:
+    """The rows of ``split`` and the constant column that names it; rows without a split column pass as they are."""
+    if "split" not in rows.columns:
+        if split is not None:
+            raise ValueError("the input has no split column")
+        return rows, {}
+    if split is None:
+        raise ValueError("the input has splits: name the one to prepare")
+    chosen = io.select_split(rows, split)
+    if chosen.isEmpty():
+        raise ValueError(f"no rows in split {split!r}")
+    return chosen.drop("split"), {"split": F.lit(split)}
 
-def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = "train", key: str = "pair_id",
+
+def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = None, key: str = "pair_id",
                 template: chat.ChatTemplate = chat.CHATML, max_length: int = MAX_LENGTH, batch_size: int = DPO_BATCH,
-                chosen_scope: str = "conversation", seed: int = 42) -> DataFrame:
+                chosen_scope: str = "conversation", seed: int = 42, add_bos: bool = False) -> DataFrame:
     """JB3: IO6 -> CT4 -> CT6 -> TK2/TK3 + TK9 -> BA2 -> TK5.
 
     Returns per pair: padded chosen / rejected ids with masks, the untruncated prompt
-    length and whether either side lost its whole response to truncation (S7).
+    length (counting a begin token if ``add_bos``) and whether either side lost its whole response
+    to truncation (S7). Splits as in ``prepare_rm``.
     """
-    if split is not None and "split" in pairs.columns:
-        pairs = io.select_split(pairs, split)
+    pairs, kept = _one_split(pairs, split)
     texts = chat.preference_texts(pairs, template, keep=(key,))
     inputs = chat.model_inputs(texts, chosen_scope, template, raw=pairs if chosen_scope == "completion" else None)
     # Both sides encoded in one pass; the untruncated prompt length rides along.
-    with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt")))
+    with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt"), add_bos))
     joined = tokens.encode_columns(with_len, {"chosen_ids": "chosen_input", "rejected_ids": "rejected_input"},
-                                   vocab, [key], max_length, carry=["prompt_len"])
+                                   vocab, [key], max_length, carry=["prompt_len"], add_bos=add_bos)
     b = batching.assign_batches(joined, batch_size, key, seed=seed, step_col=None)
     # Each side is padded to its own batch maximum, as the two tokenizer calls do; the
     # response is cut off when the untruncated prompt fills the padded width.
@@ -71,17 +90,22 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = "train",
         .withColumn("rejected_cut", F.col("prompt_len") >= F.max(F.size("rejected_ids")).over(batch_w) - 1)
     )
     out = batching.pad_batch(out, "chosen_ids", mask_col="chosen_mask")
-    return batching.pad_batch(out, "rejected_ids", mask_col="rejected_mask")
+    return batching.pad_batch(out, "rejected_ids", mask_col="rejected_mask").withColumns(kept)
 
 
 def prepare_prompts(prompts: DataFrame, vocab: DataFrame, key: str = "prompt_id", text_col: str = "prompt",
                     max_length: int = MAX_LENGTH, batch_size: int = PPO_BATCH, num_epochs: int = PPO_EPOCHS,
-                    seed: int = 42) -> DataFrame:
-    """JB4: IO5 -> BA1/BA2 per epoch -> TK2/TK3 -> TK5 (prompt batches for rollouts)."""
-    enc = tokens.encode(prompts, text_col, vocab, [key], max_length=max_length)
-    e = batching.with_epochs(enc, num_epochs)
+                    seed: int = 42, split: str | None = None, add_bos: bool = False) -> DataFrame:
+    """JB4: IO5 -> BA1/BA2 per epoch -> TK2/TK3 -> TK5 (prompt batches for rollouts).
+
+    Only the keys are shuffled and numbered for each epoch; texts are encoded once and meet
+    their batches by key. Splits as in ``prepare_rm``.
+    """
+    prompts, kept = _one_split(prompts, split)
+    e = batching.with_epochs(prompts.select(key), num_epochs)
     b = batching.assign_batches(e, batch_size, key, seed=seed, epoch_col="epoch")
-    return batching.pad_batch(b, batch_col="step")
+    enc = tokens.encode(prompts, text_col, vocab, [key], max_length=max_length, add_bos=add_bos)
+    return batching.pad_batch(b.join(enc, key), batch_col="step").withColumns(kept)
 
 
 def evaluate_rm(scores: DataFrame, split: str = "split") -> DataFrame:

@@ -11,7 +11,11 @@ NL = "chr(10)"
 
 # ---------------------------------------------------------------- fixture CTEs
 
-C1 = """
+def turn_id(conv: str = "conv_id", turn: str = "turn") -> str:
+    return f"CAST(({conv} + {turn}) * ({conv} + {turn} + 1) // 2 + {turn} AS BIGINT)"
+
+
+C1 = f"""
 c1_base AS (
   SELECT CAST(floor(conv_id / 4) AS BIGINT) AS tree_id, conv_id, turn, text,
          CASE WHEN role = 'user' THEN 'prompter' ELSE role END AS role
@@ -23,14 +27,14 @@ c1_ranked AS (
          min(conv_id) OVER (PARTITION BY tree_id) AS root_conv
   FROM c1_base),
 c1_rooted AS (
-  SELECT *, min(CASE WHEN rn = 1 AND conv_id = root_conv THEN conv_id * 1000 + turn END)
+  SELECT *, min(CASE WHEN rn = 1 AND conv_id = root_conv THEN {turn_id()} END)
               OVER (PARTITION BY tree_id) AS root_id
   FROM c1_ranked),
 c1 AS (
-  SELECT tree_id, CAST(conv_id * 1000 + turn AS BIGINT) AS id,
+  SELECT tree_id, {turn_id()} AS id,
          CAST(CASE WHEN rn = 1 AND conv_id = root_conv THEN NULL
                    WHEN rn = 1 THEN root_id
-                   ELSE conv_id * 1000 + prev_turn END AS BIGINT) AS parent_id,
+                   ELSE {turn_id('conv_id', 'prev_turn')} END AS BIGINT) AS parent_id,
          CAST(CASE WHEN rn = 1 AND conv_id = root_conv THEN 0
                    WHEN rn = 1 THEN conv_rank ELSE 1 END AS INTEGER) AS ord,
          role, text
@@ -40,10 +44,10 @@ walk(tree_id, id, path) AS (
   UNION ALL
   SELECT c.tree_id, c.id, list_append(w.path, c.ord) FROM c1 c JOIN walk w ON c.parent_id = w.id)"""
 
-C2 = """
+C2 = f"""
 c2_u AS (SELECT conv_id, turn, text AS prompt FROM conversations WHERE role = 'user'),
 c2_a AS (SELECT conv_id, turn - 1 AS turn, text AS chosen FROM conversations WHERE role = 'assistant'),
-c2_p AS (SELECT u.conv_id, u.turn, CAST(u.conv_id * 1000 + u.turn AS BIGINT) AS pair_id, prompt, chosen
+c2_p AS (SELECT u.conv_id, u.turn, {turn_id('u.conv_id', 'u.turn')} AS pair_id, prompt, chosen
          FROM c2_u u JOIN c2_a a ON u.conv_id = a.conv_id AND u.turn = a.turn),
 c2 AS (SELECT pair_id, conv_id, turn, prompt, chosen,
               coalesce(lead(chosen) OVER (ORDER BY conv_id, turn),
@@ -104,7 +108,7 @@ FROM c2"""
 
 # ---------------------------------------------------------------- tokens (TK1-TK11)
 
-TOK = r"regexp_extract_all({t}, '[^ \t\r\n]+')"
+TOK = r"regexp_extract_all(regexp_replace({t}, '(<\|[a-z_]+\|>)', ' \1 ', 'g'), '[^ \t\r\n]+')"
 
 
 def tok(t: str) -> str:
@@ -112,14 +116,14 @@ def tok(t: str) -> str:
 
 
 VOCAB = f"""
-v_tok AS (SELECT unnest({tok('text')}) AS token FROM conversations),
+v_tok AS (SELECT unnest({tok(block('role', 'text'))}) AS token FROM conversations),
 v_cnt AS (SELECT token, count(*) AS count FROM v_tok
-          WHERE token NOT IN ('<pad>', '<unk>', '<bos>', '<eos>') GROUP BY token HAVING count(*) >= 2),
+          WHERE token NOT IN ('<pad>', '<unk>', '<bos>', '<eos>', '<|im_start|>', '<|im_end|>') GROUP BY token HAVING count(*) >= 2),
 vocab AS (
-  SELECT token, CAST(row_number() OVER (ORDER BY count DESC, token) + 3 AS BIGINT) AS id, CAST(count AS BIGINT) AS count
+  SELECT token, CAST(row_number() OVER (ORDER BY count DESC, token) + 5 AS BIGINT) AS id, CAST(count AS BIGINT) AS count
   FROM v_cnt
   UNION ALL SELECT '<pad>', 0, 0 UNION ALL SELECT '<unk>', 1, 0 UNION ALL SELECT '<bos>', 2, 0
-  UNION ALL SELECT '<eos>', 3, 0)"""
+  UNION ALL SELECT '<eos>', 3, 0 UNION ALL SELECT '<|im_start|>', 4, 0 UNION ALL SELECT '<|im_end|>', 5, 0)"""
 
 
 def encoded(name: str, source: str, keys: str, text: str, max_length: int | None = None) -> str:
@@ -153,7 +157,7 @@ WITH {VOCAB},
 d_t AS (SELECT conv_id, turn, {tok('text')} AS toks FROM conversations),
 d_x AS (SELECT conv_id, turn, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM d_t)
 SELECT d.conv_id, d.turn, coalesce(string_agg(v.token, ' ' ORDER BY d.pos), '') AS text
-FROM d_x d LEFT JOIN vocab v ON d.token = v.token AND v.id > 3
+FROM d_x d LEFT JOIN vocab v ON d.token = v.token AND v.id > 5
 GROUP BY d.conv_id, d.turn"""
 
 SQL["prompt_length"] = f"""
@@ -164,7 +168,7 @@ SQL["pad_batch"] = f"""
 WITH {VOCAB},
 chat AS (SELECT conv_id, string_agg({block('role', 'text')}, {NL} ORDER BY turn) || {NL} AS text
          FROM conversations GROUP BY conv_id),
-{encoded('enc', 'chat', 'conv_id', 'text', 64)},
+{encoded('enc', 'chat', 'conv_id', 'text')},
 b AS (SELECT conv_id, ids,
              (row_number() OVER (ORDER BY md5(CAST(conv_id AS VARCHAR) || ':42'), conv_id) - 1) // 4 AS batch_id
       FROM enc),
@@ -188,14 +192,14 @@ sp AS (SELECT ec.pair_id, ec.ids AS c_ids, er.ids AS r_ids FROM ec JOIN er ON ec
 
 
 SQL["shape_pairs"] = f"""
-WITH {C2}, {VOCAB}, {shaped(48)}
+WITH {C2}, {VOCAB}, {shaped(512)}
 SELECT pair_id, {ids_str('c_ids')} AS input_ids_chosen, {ids_str('list_transform(c_ids, lambda x: 1)')} AS attention_mask_chosen,
        {ids_str('r_ids')} AS input_ids_rejected, {ids_str('list_transform(r_ids, lambda x: 1)')} AS attention_mask_rejected,
        CAST(c_ids = r_ids AS BIGINT) AS degenerate
 FROM sp"""
 
 SQL["pad_pairs"] = f"""
-WITH {C2}, {VOCAB}, {shaped(48)},
+WITH {C2}, {VOCAB}, {shaped(512)},
 b AS (SELECT *, (row_number() OVER (ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 4 AS batch_id
       FROM sp),
 m AS (SELECT *, max(greatest(len(c_ids), len(r_ids))) OVER (PARTITION BY batch_id) AS width FROM b)
@@ -301,7 +305,7 @@ s_in AS (SELECT pair_id, 0 AS side, {prompt_sql('prompt')} AS ptxt,
          UNION ALL
          SELECT pair_id, 1 AS side, {prompt_sql('prompt')} AS ptxt,
                 {prompt_sql('prompt')} || {pair_sql('prompt', 'rejected')} AS inp FROM c2),
-s_t AS (SELECT pair_id, side, len({tok('ptxt')}) AS plen, list_slice({tok('inp')}, 1, 256) AS toks FROM s_in),
+s_t AS (SELECT pair_id, side, len({tok('ptxt')}) AS plen, list_slice({tok('inp')}, 1, 512) AS toks FROM s_in),
 s_x AS (SELECT pair_id, side, plen, len(toks) AS slen, unnest(toks) AS token,
                generate_subscripts(toks, 1) - 1 AS pos FROM s_t),
 s_a AS (SELECT x.pair_id, x.side, x.plen, x.slen,
@@ -343,29 +347,32 @@ WITH d AS (SELECT d.doc_id, l.quality, {tok('d.text')} AS toks FROM documents d
 s AS (SELECT doc_id, quality,
              CASE WHEN len(toks) = 0 THEN 0.0 ELSE 10.0 * len(list_distinct(toks)) / len(toks) END AS score,
              row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS k FROM d),
-p AS (SELECT g.k AS pair_id, g.doc_id AS chosen_doc, b.doc_id AS rejected_doc, g.score AS rc, b.score AS rr
-      FROM s g JOIN s b ON g.k = b.k AND g.quality = 1 AND b.quality = 0)
+n AS (SELECT count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 0) AS bad FROM s),
+p AS (SELECT greatest(g.k, b.k) AS pair_id, g.doc_id AS chosen_doc, b.doc_id AS rejected_doc, g.score AS rc, b.score AS rr
+      FROM s g, s b, n WHERE g.quality = 1 AND b.quality = 0
+        AND ((n.good >= n.bad AND b.k = g.k % n.bad) OR (n.good < n.bad AND g.k = b.k % n.good)))
 SELECT CAST(pair_id AS BIGINT) AS pair_id, chosen_doc, rejected_doc, {r6('rc')} AS reward_chosen,
        {r6('rr')} AS reward_rejected, {r6('ln(1 + exp(-(rc - rr)))')} AS loss FROM p"""
 
 SQL["score_texts"] = f"""
-SELECT conv_id, turn,
+WITH {C2}, both_texts AS (SELECT pair_id, prompt || chosen AS text FROM c2)
+SELECT pair_id,
        {r6(f"CASE WHEN len({tok('text')}) = 0 THEN 0.0 ELSE len(list_distinct({tok('text')})) / len({tok('text')}) END")}
        AS score
-FROM conversations WHERE role = 'assistant'"""
+FROM both_texts"""
 
 # ---------------------------------------------------------------- rollouts (C4, RO1-RO13)
 
 GL = repr(0.99 * 0.95)
 
 ROLL = f"""
-r_seq AS (SELECT pair_id AS seq_id, list_slice({tok('chosen')}, 1, 64) AS toks FROM c2),
+r_seq AS (SELECT pair_id AS seq_id, {tok('chosen')} AS toks FROM c2),
 r_b AS (SELECT seq_id, toks, len(toks) AS n,
                CASE WHEN len(toks) = 0 THEN 0.0 ELSE len(list_distinct(toks)) / len(toks) END AS reward,
                (row_number() OVER (ORDER BY md5(CAST(seq_id AS VARCHAR) || ':42'), seq_id) - 1) // 2 AS batch_id
         FROM r_seq),
 r_w AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS width FROM r_b),
-r_p AS (SELECT batch_id, seq_id, reward, n, toks, unnest(range(0, width - 1)) AS pos FROM r_w),
+r_p AS (SELECT batch_id, seq_id, reward, n, toks, unnest(range(0, greatest(width - 1, least(width, 1)))) AS pos FROM r_w),
 r_t AS (SELECT batch_id, seq_id, reward, pos, pos >= n AS is_pad, CASE WHEN pos < n THEN toks[pos + 1] END AS token
         FROM r_p),
 ro AS (SELECT r.batch_id, r.seq_id, r.pos, r.reward,
@@ -418,6 +425,14 @@ SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss
        {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean,
        CAST((batch_id + 1) % 10 = 0 AS BIGINT) AS logged FROM pb"""
 
-SQL["tree_explode"] = """
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS depth, role, text
-FROM conversations WHERE role <> 'system'"""
+SQL["tree_explode"] = f"""
+WITH {C1.split("walk(tree_id")[0].rstrip().rstrip(",")},
+t_last AS (SELECT tree_id, CAST(max(CASE WHEN conv_id = root_conv THEN rn END) > 1 AS INTEGER) AS has_rest FROM c1_ranked GROUP BY tree_id),
+t_path AS (
+  SELECT tree_id, role, text,
+         CASE WHEN conv_id = root_conv THEN list_transform(range(1, rn), lambda x: 0)
+              ELSE list_prepend(conv_rank - 2 + has_rest, list_transform(range(1, rn), lambda x: 0)) END AS path
+  FROM c1_ranked JOIN t_last USING (tree_id))
+SELECT tree_id, CAST(len(path) AS BIGINT) AS depth, array_to_string(path, ' ') AS path,
+       CASE role WHEN 'prompter' THEN 'user' ELSE role END AS role, text
+FROM t_path"""

@@ -15,11 +15,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.functions.exprs import TOKEN_PATTERN, ids_string, round6
+from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string, round6
 from prefspark.functions.exprs import tokens as word_tokens
 from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, trees
 from prefspark.operators.indexing import rank_within
 from prefspark.plans import fixtures as fx
+from prefspark.plans.jobs import MAX_LENGTH
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,8 +84,9 @@ def q_preference_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word vocabulary over all conversation turns, tokens seen at least twice."""
-    return tokens.build_vocab(fx.table(spark, sf_dir, "conversations"), "text", min_count=2)
+    """Word vocabulary over all rendered conversation turns (so role names are words), tokens seen at least twice."""
+    turns = fx.table(spark, sf_dir, "conversations").select(chat.chatml_block("role", "text").alias("text"))
+    return tokens.build_vocab(turns, "text", min_count=2)
 
 
 @query("vocab")
@@ -132,10 +134,10 @@ def q_prompt_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pad_batch")
 def q_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JB1 tail: ChatML texts -> encode (max 64) -> shuffled batches of 4 -> pad, mask, LM labels
+    """JB1 tail: ChatML texts -> encode (whole texts) -> shuffled batches of 4 -> pad, mask, LM labels
     (TK4, TK5, TK7, BA2, WN3)."""
     texts = chat.conversations_to_chatml(fx.table(spark, sf_dir, "conversations"))
-    enc = tokens.encode(texts, "text", _vocab(spark, sf_dir), ["conv_id"], max_length=64)
+    enc = tokens.encode(texts, "text", _vocab(spark, sf_dir), ["conv_id"])
     b = batching.assign_batches(enc, 4, "conv_id", seed=42, step_col=None)
     padded = batching.pad_batch(b)
     return padded.select(
@@ -152,8 +154,8 @@ def _pair_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shape_pairs")
 def q_shape_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TK8: both sides of a pair tokenized independently (max 48) into four columns."""
-    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], 48)
+    """TK8: both sides of a pair tokenized independently (max 512) into four columns."""
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], MAX_LENGTH)
     return shaped.select("pair_id", *[ids_string(c).alias(c) for c in (
         "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")],
         F.col("degenerate").cast("bigint").alias("degenerate"))
@@ -162,7 +164,7 @@ def q_shape_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pad_pairs")
 def q_pad_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JB2: shaped pairs -> shuffled batches of 4 -> shared per-batch padding (TK6)."""
-    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], 48)
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], MAX_LENGTH)
     b = batching.assign_batches(shaped, 4, "pair_id", seed=42, step_col=None)
     padded = batching.pad_pairs(b)
     return padded.select("pair_id", "batch_id", *[ids_string(c).alias(c) for c in (
@@ -190,7 +192,7 @@ def q_response_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("assign_batches")
 def q_assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BA1 + BA2 + WN4: two epochs, each shuffled by md5(pair_id:42:epoch), sliced into batches of 4."""
-    pairs = fx.c2_pairs(spark, sf_dir).select("pair_id")
+    pairs = fx.c2_keys(spark, sf_dir)
     e = batching.with_epochs(pairs, 2).withColumn("epoch", F.col("epoch").cast("bigint"))
     return batching.assign_batches(e, 4, "pair_id", seed=42, epoch_col="epoch").select(
         "pair_id", "epoch", "idx", "batch_id", "step")
@@ -199,7 +201,7 @@ def q_assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("plan_steps")
 def q_plan_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BA3 + SF6: ceil(N / batch) * epochs for batch 2, 10 epochs."""
-    return batching.plan_steps(fx.c2_pairs(spark, sf_dir), 2, 10)
+    return batching.plan_steps(fx.c2_keys(spark, sf_dir), 2, 10)
 
 
 # ---------------------------------------------------------------- sampling, log-probs, losses, rollouts
@@ -239,7 +241,7 @@ def q_shift_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("token").cast("bigint").alias("token"), F.col("label").cast("bigint").alias("label"))
 
 
-def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = 256) -> DataFrame:
+def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = MAX_LENGTH) -> DataFrame:
     """LP3/LP4 on C2 with C3 scorers: the S3-literal DPO inputs, truncated, prompt length untruncated.
 
     With a context-free scorer, the shifted log-prob at position j is the token log-prob
@@ -323,7 +325,10 @@ def _doc_score(text) -> Column:
 
 @query("pairwise_loss")
 def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LS1 + LS2: k-th good document vs k-th bad document (doc_id order), stable -log sigmoid."""
+    """LS1 + LS2: every labelled document, k-th good vs (k mod bad)-th bad (doc_id order), stable -log sigmoid.
+
+    The smaller class repeats until each document of the larger one has a partner.
+    """
     docs = fx.table(spark, sf_dir, "documents").join(fx.table(spark, sf_dir, "labels"), "doc_id")
     scored = docs.select("doc_id", "quality", _doc_score(F.col("text")).alias("score"))
     ranked = rank_within(scored, ["quality"], ["doc_id"], "k")
@@ -331,7 +336,11 @@ def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                        F.col("score").alias("reward_chosen"))
     bad = ranked.where(F.col("quality") == 0).select("k", F.col("doc_id").alias("rejected_doc"),
                                                       F.col("score").alias("reward_rejected"))
-    pl = losses.pairwise_loss(good.join(bad, "k"))
+    n_good, n_bad = good.count(), bad.count()
+    fewer, more = (bad, good) if n_bad <= n_good else (good, bad)
+    at = fewer.withColumnRenamed("k", "_k")
+    paired = more.join(at, F.pmod(F.col("k"), F.lit(max(1, min(n_good, n_bad)))) == F.col("_k"))
+    pl = losses.pairwise_loss(paired)
     return pl.select(F.col("k").cast("bigint").alias("pair_id"), "chosen_doc", "rejected_doc",
                      round6("reward_chosen").alias("reward_chosen"),
                      round6("reward_rejected").alias("reward_rejected"), round6("loss").alias("loss"))
@@ -339,12 +348,12 @@ def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _distinct_ratio_model():
     """Fixture scorer for the LP5 hook: distinct / total words of each text (numpy, per batch)."""
-    pat = re.compile(TOKEN_PATTERN)
+    pat, marker = re.compile(TOKEN_PATTERN), re.compile(MARKER_PATTERN)
 
     def predict(texts: np.ndarray) -> np.ndarray:
         out = np.empty(len(texts), dtype=np.float64)
         for i, t in enumerate(texts):
-            w = pat.findall(t)
+            w = pat.findall(marker.sub(r" \1 ", t))
             out[i] = len(set(w)) / len(w) if w else 0.0
         return out
 
@@ -353,10 +362,11 @@ def _distinct_ratio_model():
 
 @query("score_texts")
 def q_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LP5 + U5: every assistant turn scored by a user model through ``predict_batch_udf``."""
-    conv = fx.table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    s = logps.score_texts(conv, "text", _distinct_ratio_model)
-    return s.select("conv_id", "turn", round6("score").alias("score"))
+    """LP5 + U5 + CT6: prompt and response of every pair scored as one text by a user model
+    through ``predict_batch_udf``."""
+    pairs = fx.c2_pairs(spark, sf_dir).select("pair_id", chat.concat_text("prompt", "chosen").alias("text"))
+    s = logps.score_texts(pairs, "text", _distinct_ratio_model)
+    return s.select("pair_id", round6("score").alias("score"))
 
 
 def _rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,7 +417,7 @@ def q_rollout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tree_explode")
 def q_tree_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TR1 + SF2 + SF4: nested VARIANT trees (built from conversations) -> message rows with paths."""
-    msgs = trees.explode_tree(fx.c1_nested_chains(spark, sf_dir), key="conv_id")
-    return msgs.select("conv_id", F.size("path").cast("bigint").alias("depth"),
+    """TR1 + SF2 + SF4: nested, branched VARIANT trees (built from conversations) -> message rows with paths."""
+    msgs = trees.explode_tree(fx.c1_nested_trees(spark, sf_dir))
+    return msgs.select("tree_id", F.size("path").cast("bigint").alias("depth"), ids_string("path").alias("path"),
                        trees.map_role(F.col("role")).alias("role"), "text")
