@@ -96,8 +96,10 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     ``A_t = sum_{s >= t} (gamma*lam)^(s-t) delta_s`` as a running window sum in descending
     position order (an O(n) frame, WN2). Weights are taken relative to the start of a
     block of K positions, with K chosen so ``(gamma*lam)^K`` stays a normal double, so no
-    weight underflows and no division blows up. What the blocks after a block add is carried
-    exactly, from one number per (sequence, block). ``simple``: ``A = (r - V) * mask``, ``ret = r * mask``.
+    weight underflows and no division blows up. A block adds the next block's head sum through a
+    ``RANGE 1 FOLLOWING`` frame; blocks further on are scaled by ``(gamma*lam)^K``, which a full-size
+    block makes smaller than 1e-200, and so cannot change a double unless deltas differ by 180 orders of
+    magnitude. For every other block size the carries are exact, from one number per (sequence, block). ``simple``: ``A = (r - V) * mask``, ``ret = r * mask``.
     """
     if method == "simple":
         r = F.col(reward)
@@ -118,8 +120,12 @@ def gae(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, method: str = "ga
     staged = staged.withColumn("_u", F.col(delta) * weight).withColumn(
         "_local", F.col(delta) + F.coalesce(F.sum("_u").over(later), F.lit(0.0)) / weight)
     tail = F.pow(F.lit(gl), F.lit(k) - F.col("_off"))
-    out = _exact_carries(staged, gl ** k, batch, seq).withColumn(
-        "advantage", F.col("_local") + tail * F.coalesce("_carry", F.lit(0.0)))
+    if gl ** k <= 1e-200:
+        nxt = _w(batch, seq).orderBy("_blk").rangeBetween(1, 1)
+        out = staged.withColumn("advantage", F.col("_local") + tail * F.coalesce(F.sum("_u").over(nxt), F.lit(0.0)))
+    else:
+        out = _exact_carries(staged, gl ** k, batch, seq).withColumn(
+            "advantage", F.col("_local") + tail * F.coalesce("_carry", F.lit(0.0)))
     return out.withColumn("returns", F.col("advantage") + F.col(value)).drop(
         "_blk", "_off", "_u", "_local", "_carry")
 

@@ -232,7 +232,7 @@ i AS (SELECT pair_id, epoch,
                                 pair_id) - 1 AS idx
       FROM e)
 SELECT pair_id, epoch, CAST(idx AS BIGINT) AS idx, CAST(idx // 4 AS BIGINT) AS batch_id,
-       CAST(epoch * ((SELECT count(*) FROM c2) + 3) // 4 + idx // 4 + 1 AS BIGINT) AS step
+       CAST(epoch * (((SELECT count(*) FROM c2) + 3) // 4) + idx // 4 + 1 AS BIGINT) AS step
 FROM i"""
 
 SQL["plan_steps"] = f"""
@@ -436,3 +436,65 @@ t_path AS (
 SELECT tree_id, CAST(len(path) AS BIGINT) AS depth, array_to_string(path, ' ') AS path,
        CASE role WHEN 'prompter' THEN 'user' ELSE role END AS role, text
 FROM t_path"""
+
+# ---------------------------------------------------------------- jobs on splits
+
+
+def split_sql(key: str) -> str:
+    return f"CASE WHEN CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 2)) AS INTEGER) < 51 THEN 'test' ELSE 'train' END"
+
+
+SQL["prepare_rm"] = f"""
+WITH {C2}, {VOCAB},
+{encoded('ec', 'c2', 'pair_id', 'chosen', 512)},
+{encoded('er', 'c2', 'pair_id', 'rejected', 512)},
+sp AS (SELECT ec.pair_id, {split_sql('ec.pair_id')} AS split, ec.ids AS c_ids, er.ids AS r_ids
+       FROM ec JOIN er ON ec.pair_id = er.pair_id),
+b AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 4
+             AS batch_id FROM sp),
+m AS (SELECT *, max(greatest(len(c_ids), len(r_ids))) OVER (PARTITION BY split, batch_id) AS width FROM b)
+SELECT pair_id, split, CAST(batch_id AS BIGINT) AS batch_id,
+       {ids_str('list_resize(c_ids, width, 0)')} AS input_ids_chosen,
+       {ids_str('list_resize(list_transform(c_ids, lambda x: 1), width, 0)')} AS attention_mask_chosen,
+       {ids_str('list_resize(r_ids, width, 0)')} AS input_ids_rejected,
+       {ids_str('list_resize(list_transform(r_ids, lambda x: 1), width, 0)')} AS attention_mask_rejected
+FROM m"""
+
+SQL["prepare_dpo"] = f"""
+WITH {C2}, {VOCAB},
+s_in AS (SELECT pair_id, {prompt_sql('prompt')} || {pair_sql('prompt', 'chosen')} AS c,
+                {prompt_sql('prompt')} || {pair_sql('prompt', 'rejected')} AS r,
+                len({tok(prompt_sql('prompt'))}) + 1 AS prompt_len
+         FROM c2 WHERE {split_sql('pair_id')} = 'train'),
+{encoded('ec', 's_in', 'pair_id, prompt_len', 'c', 511)},
+{encoded('er', 's_in', 'pair_id, prompt_len', 'r', 511)},
+sp AS (SELECT ec.pair_id, ec.prompt_len, list_prepend(2, ec.ids) AS c_ids, list_prepend(2, er.ids) AS r_ids
+       FROM ec JOIN er ON ec.pair_id = er.pair_id),
+b AS (SELECT *, (row_number() OVER (ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 2 AS batch_id FROM sp),
+m AS (SELECT *, max(len(c_ids)) OVER (PARTITION BY batch_id) AS cw, max(len(r_ids)) OVER (PARTITION BY batch_id) AS rw FROM b)
+SELECT pair_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(prompt_len AS BIGINT) AS prompt_len,
+       {ids_str('list_resize(c_ids, cw, 0)')} AS chosen_ids, {ids_str('list_resize(r_ids, rw, 0)')} AS rejected_ids,
+       CAST(prompt_len >= cw - 1 AS BIGINT) AS chosen_cut, CAST(prompt_len >= rw - 1 AS BIGINT) AS rejected_cut
+FROM m"""
+
+SQL["prepare_prompts"] = f"""
+WITH {VOCAB}, {encoded('en', 'benchmark', 'item_id', 'text', 512)},
+e AS (SELECT item_id, ids, CAST(unnest(range(0, 3)) AS BIGINT) AS epoch FROM en),
+i AS (SELECT *, (row_number() OVER (PARTITION BY epoch
+                   ORDER BY md5(CAST(item_id AS VARCHAR) || ':42:' || CAST(epoch AS VARCHAR)), item_id) - 1) // 2 AS batch_id
+      FROM e),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY epoch, batch_id) AS width FROM i)
+SELECT item_id AS prompt_id, epoch, CAST(batch_id AS BIGINT) AS batch_id,
+       CAST(epoch * (((SELECT count(*) FROM benchmark) + 1) // 2) + batch_id + 1 AS BIGINT) AS step,
+       {ids_str('list_resize(ids, width, 0)')} AS input_ids
+FROM m"""
+
+SQL["log_steps"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss
+FROM pb WHERE (batch_id + 1) % 10 = 0"""
+
+SQL["simple_advantages"] = f"""
+WITH {C2}, {C3}, {ROLL}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, seq_id, CAST(pos AS BIGINT) AS pos, {r6('(rc - value) * mask')} AS advantage,
+       {r6('rc * mask')} AS returns FROM ce"""

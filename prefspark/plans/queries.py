@@ -20,6 +20,7 @@ from prefspark.functions.exprs import tokens as word_tokens
 from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, trees
 from prefspark.operators.indexing import rank_within
 from prefspark.plans import fixtures as fx
+from prefspark.plans import jobs
 from prefspark.plans.jobs import MAX_LENGTH
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -421,3 +422,57 @@ def q_tree_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = trees.explode_tree(fx.c1_nested_trees(spark, sf_dir))
     return msgs.select("tree_id", F.size("path").cast("bigint").alias("depth"), ids_string("path").alias("path"),
                        trees.map_role(F.col("role")).alias("role"), "text")
+
+
+# ---------------------------------------------------------------- jobs on splits
+
+
+def _split(key: str) -> Column:
+    """A fifth of the rows is the test split, by a hash of the key."""
+    bucket = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 2), 16, 10).cast("int")
+    return F.when(bucket < 51, F.lit("test")).otherwise(F.lit("train"))
+
+
+@query("prepare_rm")
+def q_prepare_rm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB2 on both splits of C2, each batched on its own."""
+    pairs = fx.c2_pairs(spark, sf_dir).select("pair_id", "chosen", "rejected").withColumn("split", _split("pair_id"))
+    vocab = _vocab(spark, sf_dir)
+    both = [jobs.prepare_rm(pairs, vocab, split=s) for s in ("train", "test")]
+    return both[0].unionByName(both[1]).select("pair_id", "split", "batch_id", *[ids_string(c).alias(c) for c in (
+        "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")])
+
+
+@query("prepare_dpo")
+def q_prepare_dpo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB3 on the train split of C2 message lists, with a begin token: padded ids, prompt length, cut flags."""
+    pairs = fx.c2_message_pairs(spark, sf_dir).withColumn("split", _split("pair_id"))
+    d = jobs.prepare_dpo(pairs, _vocab(spark, sf_dir), split="train", add_bos=True)
+    return d.select("pair_id", "batch_id", F.col("prompt_len").cast("bigint").alias("prompt_len"),
+                    *[ids_string(c).alias(c) for c in ("chosen_ids", "rejected_ids")],
+                    *[F.col(c).cast("bigint").alias(c) for c in ("chosen_cut", "rejected_cut")])
+
+
+@query("prepare_prompts")
+def q_prepare_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB4 on the benchmark prompts: three epochs of padded batches of 2."""
+    prompts = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("prompt_id"), F.col("text").alias("prompt"))
+    p = jobs.prepare_prompts(prompts, _vocab(spark, sf_dir), num_epochs=3)
+    return p.select("prompt_id", F.col("epoch").cast("bigint").alias("epoch"), "batch_id", "step",
+                    ids_string("input_ids").alias("input_ids"))
+
+
+@query("log_steps")
+def q_log_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB6 with the PR7 filter: every tenth step of the rollout evaluation."""
+    m = jobs.evaluate_rollouts(fx.c4_rollouts(spark, sf_dir))
+    return m.select(F.col("step").cast("bigint").alias("step"), round6("loss").alias("loss"))
+
+
+@query("simple_advantages")
+def q_simple_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO6: masked reward minus value, and masked reward."""
+    r = rollout.mask_values(rollout.center_rewards(fx.c4_rollouts(spark, sf_dir)))
+    g = rollout.gae(r, method="simple")
+    return g.select("batch_id", "seq_id", F.col("pos").cast("bigint").alias("pos"),
+                    round6("advantage").alias("advantage"), round6("returns").alias("returns"))

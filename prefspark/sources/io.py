@@ -21,7 +21,7 @@ def read_trees(spark: SparkSession, path: str, key: str | None = None, tree_col:
     top-level field that identifies the tree; otherwise ``monotonically_increasing_id``
     numbers the lines right after the scan (a content hash would merge duplicate trees,
     which the reference keeps); ``explode_tree`` checkpoints that numbering at once.
-    Gzip input is not splittable, so it is spread over ``partitions`` (default: the
+    Gzip input (a file, or any file of a folder or glob) is not splittable, so it is spread over ``partitions`` (default: the
     cluster's parallelism) right after the scan.
     """
     df = (
@@ -33,7 +33,7 @@ def read_trees(spark: SparkSession, path: str, key: str | None = None, tree_col:
         df = df.withColumn(id_col, F.variant_get(F.col(tree_col), f"$.{key}", "string"))
     else:
         df = df.withColumn(id_col, F.monotonically_increasing_id())
-    if path.endswith(".gz") or partitions is not None:
+    if partitions is not None or any(f.endswith(".gz") for f in df.inputFiles()):
         df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     return df
 
@@ -55,19 +55,28 @@ def _read_split_root(spark: SparkSession, root: str, schema: str, fmt: str) -> D
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def read_pairs(spark: SparkSession, root: str, kind: str = "flat", fmt: str = "parquet") -> DataFrame:
-    """IO4: a multi-split pair dataset laid out as ``root/split=<name>/``.
+def _keyed(df: DataFrame, key: str, fmt: str) -> DataFrame:
+    """A string key for each row: file and row number where the format has row numbers (so that split
+    filters still reach the scan), else the place in the scan, which holds for as long as the files do."""
+    if fmt == "parquet":
+        file = F.regexp_extract("_metadata.file_path", "[^/]*/[^/]*$", 0)
+        return df.select(F.concat_ws(":", file, F.col("_metadata.row_index").cast("string")).alias(key), "*")
+    return df.select(F.monotonically_increasing_id().cast("string").alias(key), "*")
+
+
+def read_pairs(spark: SparkSession, root: str, kind: str = "flat", fmt: str = "parquet", key: str = "pair_id") -> DataFrame:
+    """IO4: a multi-split pair dataset laid out as ``root/split=<name>/``, each row with a ``key`` of its own.
 
     ``kind='flat'`` is D5 (chosen / rejected strings), ``'messages'`` is D6. The split is a
     partition column, so ``select_split`` prunes whole directories.
     """
     schema = FLAT_PAIR_SCHEMA if kind == "flat" else MESSAGE_PAIR_SCHEMA
-    return _read_split_root(spark, root, schema, fmt)
+    return _keyed(_read_split_root(spark, root, schema, fmt), key, fmt)
 
 
-def read_prompts(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+def read_prompts(spark: SparkSession, root: str, fmt: str = "parquet", key: str = "prompt_id") -> DataFrame:
     """IO5: a prompt dataset (D7) laid out like ``read_pairs``."""
-    return _read_split_root(spark, root, PROMPT_SCHEMA, fmt)
+    return _keyed(_read_split_root(spark, root, PROMPT_SCHEMA, fmt), key, fmt)
 
 
 def select_split(df: DataFrame, split: str) -> DataFrame:

@@ -43,18 +43,19 @@ def _vocab(spark):
 def test_build_vocab_order(spark):
     v = {r["token"]: (r["id"], r["count"]) for r in _vocab(spark).collect()}
     assert v["<pad>"] == (0, 0) and v["<unk>"] == (1, 0)
-    assert v["b"] == (4, 4) and v["a"] == (5, 2) and v["c"] == (6, 1) and v["d"] == (7, 1)
+    assert v["<|im_start|>"] == (4, 0) and v["<|im_end|>"] == (5, 0)
+    assert v["b"] == (6, 4) and v["a"] == (7, 2) and v["c"] == (8, 1) and v["d"] == (9, 1)
 
 
 def test_encode_truncate_decode(spark):
     v = _vocab(spark)
     df = spark.createDataFrame([(1, "a b zz c"), (2, ""), (3, "d")], "k long, text string")
     enc = {r["k"]: (r["input_ids"], r["n_tokens"]) for r in tokens.encode(df, "text", v, ["k"]).collect()}
-    assert enc == {1: ([5, 4, 1, 6], 4), 2: ([], 0), 3: ([7], 1)}
+    assert enc == {1: ([7, 6, 1, 8], 4), 2: ([], 0), 3: ([9], 1)}
     right = {r["k"]: r["input_ids"] for r in tokens.encode(df, "text", v, ["k"], max_length=2).collect()}
     left = {r["k"]: r["input_ids"] for r in tokens.encode(df, "text", v, ["k"], max_length=2, side="left").collect()}
     bos = {r["k"]: r["input_ids"] for r in tokens.encode(df, "text", v, ["k"], max_length=2, add_bos=True).collect()}
-    assert right[1] == [5, 4] and left[1] == [1, 6] and bos[1] == [2, 5] and bos[2] == [2]
+    assert right[1] == [7, 6] and left[1] == [1, 8] and bos[1] == [2, 7] and bos[2] == [2]
     dec = {r["k"]: r["text"] for r in tokens.decode(tokens.encode(df, "text", v, ["k"]), "input_ids", v,
                                                    ["k"]).collect()}
     assert dec == {1: "a b c", 2: "", 3: "d"}  # unk is a special token and is skipped

@@ -50,7 +50,7 @@ def test_encode_decode_round_trip(spark, texts):
     df = spark.createDataFrame(rows, "k long, text string")
     vocab = tokens.build_vocab(df, "text")
     enc = tokens.encode(df, "text", vocab, ["k"])
-    got = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", vocab, ["k"]).collect()}
+    got = {r["k"]: r["text"] for r in tokens.decode(enc, "input_ids", vocab, ["k"], skip_special=False).collect()}
     assert got == {i: " ".join(w for w, _ in t) for i, t in enumerate(texts)}
     lengths = {r["k"]: r["n_tokens"] for r in enc.collect()}
     assert lengths == {i: len(t) for i, t in enumerate(texts)}

@@ -1,0 +1,116 @@
+"""Rows that used to vanish, merge or land in the wrong batch."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from prefspark.operators import batching, rollout, tokens
+from prefspark.operators.indexing import global_index, rank_within
+from prefspark.plans import jobs
+from prefspark.sources import io
+
+
+def test_rank_within_keeps_null_groups(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "g string, x int")
+    for below in (10, 0):
+        got = sorted((r["g"] or "", r["x"], r["rank"]) for r in rank_within(df, ["g"], ["x"], broadcast_groups_below=below).collect())
+        assert got == [("", 2, 0), ("", 3, 1), ("a", 1, 0)]
+
+
+def test_one_token_batches_stay(spark):
+    df = spark.createDataFrame([(0, 1, [7]), (0, 2, [8]), (1, 3, [1, 2, 3])], "batch_id long, seq_id long, response_ids array<int>")
+    got = rollout.expand_responses(df).collect()
+    assert sorted((r["seq_id"], r["pos"], r["token"]) for r in got) == [(1, 0, 7), (2, 0, 8), (3, 0, 1), (3, 1, 2)]
+
+
+@pytest.mark.parametrize("texts", [["a b", "c d"], ["a", "a b"], ["", ""], ["", "a"]])
+def test_two_texts_of_one_key_raise(spark, texts):
+    vocab = tokens.build_vocab(spark.createDataFrame([("a b c d",)], "text string"))
+    df = spark.createDataFrame([(1, t) for t in texts], "k long, text string")
+    with pytest.raises(Exception, match="more than one text"):
+        tokens.encode(df, "text", vocab, ["k"]).collect()
+
+
+@pytest.mark.parametrize("epochs, sizes", [((0, 1), (5, 5)), ((1, 2), (5, 5)), ((3, 7, 9), (5, 2, 4))])
+def test_batches_of_any_epoch_numbering(spark, epochs, sizes):
+    rows = [(k, e) for e, n in zip(epochs, sizes) for k in range(n)]
+    got = batching.assign_batches(spark.createDataFrame(rows, "k long, epoch long"), 2, "k", epoch_col="epoch").collect()
+    step = 0
+    for e, n in zip(epochs, sizes):
+        own = sorted(r["idx"] for r in got if r["epoch"] == e)
+        assert own == list(range(n))
+        assert {(r["idx"] // 2, r["idx"] // 2 + 1 + step) for r in got if r["epoch"] == e} == {(r["batch_id"], r["step"]) for r in got if r["epoch"] == e}
+        step += -(-n // 2)
+
+
+def test_markers_are_tokens(spark):
+    texts = spark.createDataFrame([(1, "<|im_start|>user\nhello there<|im_end|>\n")], "k long, text string")
+    vocab = tokens.build_vocab(texts)
+    enc = tokens.encode(texts, "text", vocab, ["k"])
+    assert tokens.UNK_ID not in enc.first()["input_ids"]
+    assert tokens.decode(enc, "input_ids", vocab, ["k"], skip_special=False).first()["text"] == "<|im_start|> user hello there <|im_end|>"
+
+
+def test_shuffled_lookup_with_a_third_unknown(spark):
+    rows = [(i, " ".join(["zzz"] * 20 + [f"w{i % 7}"] * 20 + ["the"] * 20)) for i in range(60)] + [(100, "")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    vocab = tokens.build_vocab(df.select(F.regexp_replace("text", "zzz", "").alias("text")))
+    small = tokens.encode(df, "text", vocab, ["k"])
+    large = tokens.encode(df, "text", vocab, ["k"], broadcast_max_rows=0, hot_tokens=2, salt_buckets=8)
+    assert sorted(small.collect()) == sorted(large.collect())
+    a = tokens.decode(small, "input_ids", vocab, ["k"], skip_special=False)
+    b = tokens.decode(small, "input_ids", vocab, ["k"], skip_special=False, broadcast_max_rows=0, hot_tokens=2, salt_buckets=8)
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_many_partitions_number_quickly(spark):
+    df = spark.range(4000).repartition(400)
+    began = time.time()
+    got = global_index(df, ["id"]).agg(F.min(F.col("idx") - F.col("id")), F.max(F.col("idx") - F.col("id"))).first()
+    assert tuple(got) == (0, 0) and time.time() - began < 60
+
+
+def test_readers_feed_the_jobs(spark, tmp):
+    flat = spark.createDataFrame([(f"a b {i}", f"a c {i}", "train" if i % 3 else "test") for i in range(12)], "chosen string, rejected string, split string")
+    flat.write.partitionBy("split").parquet(f"{tmp}/flat")
+    pairs = io.read_pairs(spark, f"{tmp}/flat")
+    assert pairs.select("pair_id").distinct().count() == 12
+    vocab = tokens.build_vocab(pairs.select(F.concat_ws(" ", "chosen", "rejected").alias("text")))
+    rm = jobs.prepare_rm(pairs, vocab, split="train")
+    assert rm.count() == 8 and {r["split"] for r in rm.collect()} == {"train"}
+    for bad in (None, "nowhere"):
+        with pytest.raises(ValueError, match="split"):
+            jobs.prepare_rm(pairs, vocab, split=bad)
+    lists = flat.select(
+        F.lit("q one two").alias("prompt"), *[F.array(*[F.struct(c.alias("content"), F.lit(r).alias("role")) for c, r in ((F.lit("q one two"), "user"), (F.col(x), "assistant"))]).alias(x)
+                                              for x in ("chosen", "rejected")], "split")
+    lists.write.partitionBy("split").parquet(f"{tmp}/lists")
+    messages = io.read_pairs(spark, f"{tmp}/lists", kind="messages")
+    for bos in (False, True):
+        dpo = jobs.prepare_dpo(messages, vocab, split="test", chosen_scope="completion", add_bos=bos).collect()
+        # <|im_start|> user q one two <|im_end|> <|im_start|> assistant
+        assert len(dpo) == 4 and {r["prompt_len"] for r in dpo} == {8 + bos}
+        assert all((r["chosen_ids"][0] == tokens.BOS_ID) == bos for r in dpo)
+    spark.createDataFrame([(f"p {i}", "train") for i in range(5)], "prompt string, split string").write.partitionBy("split").json(f"{tmp}/prompts")
+    prompts = io.read_prompts(spark, f"{tmp}/prompts", fmt="json")
+    out = jobs.prepare_prompts(prompts, vocab, split="train", num_epochs=3)
+    assert out.count() == 15 and out.select("epoch", "batch_id").distinct().count() == 9
+
+
+
+def test_user_encoder_is_built_once_a_worker(spark, tmp):
+    log = f"{tmp}/builds"
+
+    def factory():
+        import os
+
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda text: [len(text)]
+
+    df = spark.range(64).select(F.col("id").cast("string").alias("text")).repartition(16)
+    assert tokens.encode_with(df, "text", factory).count() == 64
+    tokens.encode_with(df, "text", factory).write.format("noop").mode("overwrite").save()
+    pids = open(log).read().split()
+    assert len(pids) <= 2 * len(set(pids))  # two plans, each at most once a worker

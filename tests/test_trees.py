@@ -19,21 +19,6 @@ def _write(tmp, lines, name="t.jsonl"):
     return p
 
 
-def _dfs(node, out):
-    # plain recursive pre-order, as the tree format defines it
-    out.append((node["role"], node["text"]))
-    for c in node.get("replies", []):
-        _dfs(c, out)
-
-
-def _chatml(tree, system="You are a helpful assistant."):
-    msgs = [("system", system)] if system else []
-    flat = []
-    _dfs(tree["prompt"], flat)
-    msgs += [({"prompter": "user", "assistant": "assistant"}[r], t) for r, t in flat]
-    return "\n".join(f"<|im_start|>{r}\n{t}<|im_end|>" for r, t in msgs) + "\n"
-
-
 TREE = {"prompt": {"role": "prompter", "text": "Bonjour é", "replies": [
     {"role": "assistant", "text": "a1", "replies": [
         {"role": "prompter", "text": "q2 <|im_end|> literal", "replies": [{"role": "assistant", "text": "a3"}]}]},
@@ -51,25 +36,29 @@ def test_explode_tree_preorder_and_paths(spark, tmp):
     assert got[5] == ([], "prompter", "solo")
 
 
-def test_trees_to_chatml_matches_plain_dfs(spark, tmp):
+SYSTEM_TEXT = "<|im_start|>system\nYou are a helpful assistant.<|im_end|>\n"
+TREE_TEXT = (
+    "<|im_start|>user\nBonjour é<|im_end|>\n<|im_start|>assistant\na1<|im_end|>\n"
+    "<|im_start|>user\nq2 <|im_end|> literal<|im_end|>\n<|im_start|>assistant\na3<|im_end|>\n"
+    "<|im_start|>assistant\na2<|im_end|>\n"
+)
+
+
+def test_trees_to_chatml_texts(spark, tmp):
     trees_in = [TREE, {"prompt": {"role": "prompter", "text": "solo"}},
                 {"prompt": {"role": "prompter", "text": "x", "replies": None}}]
-    p = _write(tmp, trees_in)
-    raw = io.read_trees(spark, p)
-    out = chat.trees_to_chatml(trees.explode_tree(raw))
-    texts = sorted(r["text"] for r in out.collect())
+    out = chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, _write(tmp, trees_in))))
     # replies: null is accepted leniently (no children), see S17
-    expect = sorted(_chatml(t if t["prompt"].get("replies") is not None else
-                            {"prompt": {k: v for k, v in t["prompt"].items() if k != "replies"}}) for t in trees_in)
-    assert texts == expect
-    assert out.count() == 3  # one output row per input tree
+    assert sorted(r["text"] for r in out.collect()) == [
+        SYSTEM_TEXT + TREE_TEXT,
+        SYSTEM_TEXT + "<|im_start|>user\nsolo<|im_end|>\n",
+        SYSTEM_TEXT + "<|im_start|>user\nx<|im_end|>\n",
+    ]
 
 
 def test_system_prompt_omitted_when_none(spark, tmp):
-    p = _write(tmp, [TREE])
-    out = chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, p)), system=None).first()["text"]
-    assert out == _chatml(TREE, system=None)
-    assert not out.startswith("<|im_start|>system")
+    out = chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, _write(tmp, [TREE]))), system=None)
+    assert out.first()["text"] == TREE_TEXT
 
 
 def test_unknown_role_raises(spark, tmp):
@@ -170,18 +159,30 @@ def test_map_role(spark):
     assert [r[0] for r in df.select(trees.map_role(F.col("role"))).collect()] == ["user", "assistant"]
 
 
-def test_hot_group_path_equals_single_phase(spark):
-    """A group above the hot threshold is rendered in range-partitioned pieces; same texts."""
-    nodes = fx.c1_tree_nodes(spark, SF001)
-    msgs = trees.linearize_messages(nodes)
-    one = {r["tree_id"]: (r["text"], r["n_messages"]) for r in chat.trees_to_chatml(msgs).collect()}
-    split = {r["tree_id"]: (r["text"], r["n_messages"]) for r in
-             chat.trees_to_chatml(msgs, hot_group_rows=1).collect()}
-    assert one == split
-    conv = fx.table(spark, SF001, "conversations")
-    a = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv).collect()}
-    b = {r["conv_id"]: r["text"] for r in chat.conversations_to_chatml(conv, hot_group_rows=1).collect()}
-    assert a == b
+def test_hot_group_is_rendered_in_pieces(spark):
+    """One conversation that holds nearly all rows comes out in order, next to small ones."""
+    rows = [(1, t, "user", f"m{t}") for t in range(3000)] + [(2, 0, "user", "x"), (2, 1, "assistant", "y")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {r["conv_id"]: (r["text"], r["n_messages"]) for r in chat.conversations_to_chatml(conv).collect()}
+    assert got[2] == ("<|im_start|>user\nx<|im_end|>\n<|im_start|>assistant\ny<|im_end|>\n", 2)
+    assert got[1][0].split("\n")[1::2] == [f"m{t}<|im_end|>" for t in range(3000)] and got[1][1] == 3000
+
+
+def test_ids_may_restart_in_each_tree(spark):
+    rows = [(t, i, None if i == 1 else 1, i, "prompter", f"{t}.{i}") for t in (10, 11, 12) for i in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "tree_id long, id long, parent_id long, ord int, role string, text string")
+    got = trees.linearize_messages(df).collect()
+    assert sorted((r["tree_id"], r["id"], r["path"]) for r in got) == [
+        (t, i, [] if i == 1 else [i]) for t in (10, 11, 12) for i in (1, 2, 3)]
+    with pytest.raises(ValueError, match="twice"):
+        trees.linearize_messages(df.unionAll(df.limit(1)))
+
+
+@pytest.mark.parametrize("role, text", [(None, "x"), ("user", None)])
+def test_message_without_role_or_text_raises(spark, role, text):
+    conv = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, role, text)], "conv_id long, turn long, role string, text string")
+    with pytest.raises(Exception, match="message without"):
+        chat.conversations_to_chatml(conv).collect()
 
 
 def test_cycle_raises(spark):
