@@ -498,3 +498,30 @@ SQL["simple_advantages"] = f"""
 WITH {C2}, {C3}, {ROLL}
 SELECT CAST(batch_id AS BIGINT) AS batch_id, seq_id, CAST(pos AS BIGINT) AS pos, {r6('(rc - value) * mask')} AS advantage,
        {r6('rc * mask')} AS returns FROM ce"""
+
+PADDED = f"""
+p_b AS (SELECT pair_id, (row_number() OVER (ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 2 AS batch_id FROM c2),
+p_w AS (SELECT t.*, len(toks) AS n, max(len(toks)) OVER (PARTITION BY batch_id, side) AS width
+        FROM (SELECT pair_id, side, plen, toks FROM s_t) t JOIN p_b USING (pair_id)),
+p_x AS (SELECT pair_id, side, plen, n, width, toks, unnest(range(0, width - 1)) AS pos FROM p_w),
+p_t AS (SELECT x.pair_id, x.side, x.plen, x.width, x.pos, x.pos + 1 >= x.n AS is_pad,
+               CASE WHEN x.pos + 1 >= x.n THEN -0.5 ELSE coalesce(c.policy_lp, (SELECT dp FROM c3_d)) END AS pl,
+               CASE WHEN x.pos + 1 >= x.n THEN -0.25 ELSE coalesce(c.ref_lp, (SELECT dr FROM c3_d)) END AS rl
+        FROM p_x x LEFT JOIN c3 c ON c.token = CASE WHEN x.pos + 1 < x.n THEN x.toks[x.pos + 2] END),
+p_m AS (SELECT pair_id, side, masked, CAST(plen >= width - 1 AS BIGINT) AS response_cut,
+               coalesce(avg(CASE WHEN pos >= plen AND (masked = 0 OR NOT is_pad) THEN pl END), 0.0) AS policy_logp,
+               coalesce(avg(CASE WHEN pos >= plen AND (masked = 0 OR NOT is_pad) THEN rl END), 0.0) AS ref_logp
+        FROM p_t, (SELECT unnest([0, 1]) AS masked) GROUP BY pair_id, side, masked, plen, width)"""
+
+SQL["padded_logps"] = f"""
+WITH {C2}, {C3}, {SEQ}, {PADDED}
+SELECT pair_id, CAST(side AS BIGINT) AS side, CAST(masked AS BIGINT) AS masked, {r6('policy_logp')} AS policy_logp,
+       {r6('ref_logp')} AS ref_logp, response_cut FROM p_m"""
+
+SQL["evaluate_dpo"] = f"""
+WITH {C2}, {C3}, {SEQ}, {PADDED},
+q AS (SELECT pair_id, sum(CASE side WHEN 0 THEN policy_logp - ref_logp ELSE ref_logp - policy_logp END) AS m
+      FROM p_m WHERE masked = 0 GROUP BY pair_id)
+SELECT {split_sql('pair_id')} AS split, {r6('avg(ln(1 + exp(-0.1 * m)))')} AS mean_loss,
+       {r6('avg(CASE WHEN m > 0 THEN 0.0 ELSE 1.0 END)')} AS error_rate, count(*) AS n_rows
+FROM q GROUP BY 1"""

@@ -12,7 +12,7 @@ import re
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string, round6
@@ -476,3 +476,55 @@ def q_simple_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = rollout.gae(r, method="simple")
     return g.select("batch_id", "seq_id", F.col("pos").cast("bigint").alias("pos"),
                     round6("advantage").alias("advantage"), round6("returns").alias("returns"))
+
+
+def _padded_token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shifted rows (pair_id, side, pos, policy_lp, ref_lp, prompt_len, length, is_pad) of C2 in padded batches of 2.
+
+    Row ``pos`` scores token ``pos + 1``; each side is padded to its longest row in the batch. A pad
+    scores -0.5 under the policy and -0.25 under the reference, so that means over pads show.
+    """
+    from prefspark.operators.tokens import _maybe_broadcast
+
+    texts = chat.preference_texts(fx.c2_message_pairs(spark, sf_dir), keep=("pair_id",))
+    batches = batching.assign_batches(fx.c2_keys(spark, sf_dir), 2, "pair_id", seed=42, step_col=None).select("pair_id", "batch_id")
+    inputs = chat.model_inputs(texts, "conversation").join(batches, "pair_id")
+    sides = inputs.select("pair_id", "batch_id", tokens.token_count(F.col("prompt")).alias("prompt_len"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("side"), F.slice(word_tokens(F.col(c)), 1, MAX_LENGTH).alias("toks"))
+        for i, c in enumerate(("chosen_input", "rejected_input"))])).alias("s")).select("pair_id", "batch_id", "prompt_len", "s.*")
+    length = F.max(F.size("toks")).over(Window.partitionBy("batch_id", "side"))
+    padded = sides.withColumn("length", length).withColumn(
+        "row", F.concat("toks", F.array_repeat(F.lit(None).cast("string"), F.col("length") - F.size("toks"))))
+    rows = padded.select("pair_id", "side", "prompt_len", "length", F.posexplode(F.slice("row", 2, F.col("length"))).alias("pos", "token"))
+    lps, dp, dr = fx.c3_unigram_logps(spark, sf_dir)
+    scored = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left").withColumn("is_pad", F.col("token").isNull())
+    keys = ["pair_id", "side", "pos"]
+    policy = scored.select(*keys, "prompt_len", "length", "is_pad",
+                           F.when(F.col("is_pad"), -0.5).otherwise(F.coalesce("policy_lp", F.lit(dp))).alias("logp"))
+    ref = scored.select(*keys, F.when(F.col("is_pad"), -0.25).otherwise(F.coalesce("ref_lp", F.lit(dr))).alias("logp"))
+    return logps.pair_logp_tables(policy, ref, keys)
+
+
+@query("padded_logps")
+def q_padded_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP3 + LP4 + JN4 on padded batches: S5 literal (pads in the mean) and masked, S7 against the padded width."""
+    table = _padded_token_logps(spark, sf_dir)
+    both = [logps.response_mean(table, ["pair_id", "side"], ["policy_lp", "ref_lp"], pad_col="is_pad", mask_padding=m)
+            .withColumn("masked", F.lit(int(m)).cast("bigint")) for m in (False, True)]
+    return both[0].unionByName(both[1]).select(
+        "pair_id", F.col("side").cast("bigint").alias("side"), "masked", round6("policy_lp").alias("policy_logp"),
+        round6("ref_lp").alias("ref_logp"), F.col("response_cut").cast("bigint").alias("response_cut"))
+
+
+@query("evaluate_dpo")
+def q_evaluate_dpo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB5: token log-probs -> LP3 -> LP4 -> LS3 -> LS4 per split, with an own loss expression too (U4)."""
+    means = logps.response_mean(_padded_token_logps(spark, sf_dir), ["pair_id", "side"], ["policy_lp", "ref_lp"])
+    side = lambda i, c: F.max(F.when(F.col("side") == i, F.col(c)))
+    per_pair = means.groupBy("pair_id").agg(
+        side(0, "policy_lp").alias("policy_chosen"), side(1, "policy_lp").alias("policy_rejected"),
+        side(0, "ref_lp").alias("ref_chosen"), side(1, "ref_lp").alias("ref_rejected")).withColumn("split", _split("pair_id"))
+    e = jobs.evaluate_dpo(per_pair)
+    wrong = losses.eval_loss(losses.dpo_loss(per_pair), loss=F.when(F.col("margin") > 0, 0.0).otherwise(1.0))
+    return e.join(wrong.select("split", F.col("mean_loss").alias("error_rate")), "split").select(
+        "split", round6("mean_loss").alias("mean_loss"), round6("error_rate").alias("error_rate"), "n_rows")
