@@ -52,8 +52,12 @@ def assign_batches(df: DataFrame, batch_size: int, key: str, seed: int | None =
     if epoch_col:
         # a row an epoch: its first index and how many batches the epochs before it have, however epochs are numbered
         per = indexed.groupBy(F.col(epoch_col).alias("_e")).agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        earlier = Window.orderBy("_e").rowsBetween(Window.unboundedPreceding, -1)
-        per = per.withColumn("_before", F.coalesce(F.sum(F.ceil(F.col("_n") / batch_size)).over(earlier), F.lit(0)))
+        table, before = [], 0
+        for r in sorted(per.collect(), key=lambda r: r["_first"]):
+            table.append((r["_e"], r["_first"], r["_n"], before))
+            before += -(-r["_n"] // batch_size)
+        kind = df.schema[epoch_col].dataType.simpleString()
+        per = df.sparkSession.createDataFrame(table, f"_e {kind}, _first long, _n long, _before long")
         out = indexed.join(F.broadcast(per), F.col(epoch_col).eqNullSafe(F.col("_e")))
         out = out.withColumn(idx_col, F.col("_g") - F.col("_first"))
         out = out.withColumn(batch_col, F.floor(F.col(idx_col) / batch_size).cast("bigint"))
