@@ -42,7 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: ids of the whole text, their number, and whether they decode to the very bytes of the text."""
     vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    coded = bpe.encode(docs, vocabulary, bytes_col="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"),

@@ -28,8 +28,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from prefspark.llm.common import map_batches
 
-#: Entries a worker remembers at most; pre-tokens longer than this many characters are not remembered.
-MEMO_ENTRIES = 1_000_000
+#: Entries in each of a worker's two generations; pre-tokens longer than this many characters are not remembered.
+MEMO_ENTRIES = 100_000
 MEMO_CHARS = 64
 
 
@@ -179,7 +179,34 @@ class Vocabulary:
         return pa.array(table, pa.binary())
 
 
-class Encoder(dict):
+class Memo(dict):
+    """Key -> what ``resolve`` gives for it, remembered in two generations of bounded size.
+
+    When the young generation is full, it becomes the old one. What is looked up again in time moves
+    back, so frequent keys stay while memory stays bounded, however many keys there are.
+    """
+
+    def __init__(self, entries: int = MEMO_ENTRIES):
+        super().__init__()
+        self.entries, self.old = entries, {}
+
+    def resolve(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.resolve(key)
+            if len(key) > MEMO_CHARS:
+                return value
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Encoder(Memo):
     """Pre-token (str) -> tuple of ids; a missing entry is resolved by the two tiers and remembered."""
 
     def __init__(self, vocabulary: Vocabulary):
@@ -189,15 +216,8 @@ class Encoder(dict):
         self.ids = [self.ranks[k] for k in self.hash.keys]
         self.find_all = regex.compile(vocabulary.pattern).findall
 
-    def __missing__(self, pre: str) -> tuple[int, ...]:
-        ids = self.resolve(pre.encode())
-        if len(pre) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[pre] = ids
-        return ids
-
-    def resolve(self, piece: bytes) -> tuple[int, ...]:
+    def resolve(self, pre: str) -> tuple[int, ...]:
+        piece = pre.encode()
         slot = self.hash.find(piece)
         if slot >= 0:
             return (self.ids[slot],)
@@ -219,20 +239,25 @@ def worker_encoder(name: str, vocabulary: Callable[[], Vocabulary]) -> Encoder:
     return _ENCODERS[name]
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids", bytes_col: str | None = None) -> DataFrame:
     """Add ``ids_col`` (array<int>): the ids of the whole text. Null text counts as empty: no ids.
 
-    Every row stays, in its partition; an existing column of that name is replaced.
+    With ``bytes_col``, the ids are decoded in the same pass, as ``decode`` would. Every row stays, in
+    its partition; existing columns of these names are replaced.
     """
-    kept = [c for c in df.columns if c != ids_col]
+    kept = [c for c in df.columns if c not in (ids_col, bytes_col)]
     source = df.select(*kept)
-    schema = StructType([*source.schema.fields, StructField(ids_col, ArrayType(IntegerType(), False), False)])
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    added = [StructField(ids_col, ArrayType(IntegerType(), False), False)]
+    if bytes_col:
+        added.append(StructField(bytes_col, BinaryType(), True))
+    schema = StructType([*source.schema.fields, *added])
+    shared = df.sparkSession.sparkContext.broadcast((vocabulary, vocabulary.token_table() if bytes_col else None))
     name = vocabulary.name()
     at = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(name, lambda: shared.value)
+        vocabulary, table = shared.value
+        encoder = worker_encoder(name, lambda: vocabulary)
         for batch in batches:
             for part in slices(batch, at):
                 offsets, flat = [0], []
@@ -241,12 +266,13 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_co
                         flat.extend(encoder.encode(text))
                     offsets.append(len(flat))
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*kept, ids_col])
+                more = [ids, _join_tokens(ids, table)] if bytes_col else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], schema.names)
 
     return map_batches(source, run, schema)
 
 
-def slices(batch: pa.RecordBatch, at: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, at: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a piece come to about ``most`` bytes (one row at least)."""
     column = batch.column(at)
     if column.nbytes <= most or batch.num_rows <= 1:

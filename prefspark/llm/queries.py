@@ -45,7 +45,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document and the bytes they decode to, as digests."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = multi_vocabulary()
-    coded = bpe.decode(bpe.encode(docs, vocabulary).select("doc_id", "ids"), vocabulary)
+    coded = bpe.encode(docs, vocabulary, bytes_col="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

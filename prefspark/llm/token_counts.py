@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from prefspark.llm.bpe import MEMO_CHARS, MEMO_ENTRIES, merge_heap, slices
+from prefspark.llm.bpe import Memo, merge_heap, slices
 from prefspark.llm.common import map_batches
 
 #: The split of byte-level tokenizers (fixed value of the format).
@@ -69,27 +69,19 @@ class ByteLevelModel:
         return frozenset(proven)
 
 
-class TokenCounter(dict):
-    """Pre-token -> number of tokens: starts with the proven set; the rest is merged and remembered."""
+class TokenCounter(Memo):
+    """Pre-token -> number of tokens: 1 if it is in the proven set; the rest is merged. Both are remembered."""
 
     def __init__(self, model: ByteLevelModel):
+        super().__init__()
         self.model = model
         self.find_all = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.cut = regex.compile("|".join(map(regex.escape, model.specials))) if model.specials else None
-        super().__init__()
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.update(dict.fromkeys(self.model.whole, 1))
-
-    def __missing__(self, pre: str) -> int:
-        n = len(merge_heap(pre.encode(), self.model.merges, self.model.left))
-        if len(pre) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES + len(self.model.whole):
-                self.reset()
-            self[pre] = n
-        return n
+
+    def resolve(self, pre: str) -> int:
+        if pre in self.model.whole:
+            return 1
+        return len(merge_heap(pre.encode(), self.model.merges, self.model.left))
 
     def count(self, text: str) -> int:
         if not text:

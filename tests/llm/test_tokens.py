@@ -59,6 +59,28 @@ def test_encode_decode_match_library(make_docs, encoding, vocabulary):
         assert bytes(r.decoded) == (r.text or "").encode()
 
 
+def test_decoding_in_the_same_pass(make_docs, vocabulary):
+    docs = make_docs(list(enumerate(TEXTS))).withColumnRenamed("source", "decoded")
+    one = bpe.encode(docs, vocabulary, bytes_col="decoded").select("doc_id", "ids", "decoded").collect()
+    two = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).select("doc_id", "ids", "decoded").collect()
+    assert sorted(one) == sorted(two)
+
+
+def test_memo_keeps_frequent_keys_and_its_bound():
+    class Length(bpe.Memo):
+        asked = 0
+
+        def resolve(self, key):
+            self.asked += 1
+            return len(key)
+
+    memo = Length(entries=10)
+    for i in range(500):
+        assert memo["often"] == 5 and memo[f"w{i}"] == len(f"w{i}")
+        assert len(memo) + len(memo.old) <= 20
+    assert memo.asked == 501
+
+
 def test_empty_table(make_docs, vocabulary):
     empty = make_docs([])
     assert token_counts.count_tokens(empty, P.path("byte_bpe_50k.json")).count() == 0
