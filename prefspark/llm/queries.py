@@ -80,10 +80,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_reshard")
 def op5_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lie in 6 shards by source (so of very unequal sizes) resharded to 8 of equally many rows."""
+    """Documents that lie in 6 shards by source (so of very unequal sizes) rewritten to 8 of equally many rows."""
     docs = read_table(spark, sf_dir, "documents")
     old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(6)).cast("int")
-    placed = reshard.reshard(docs.select("doc_id", "text", old.alias("old")), "old", shards=8)
+    row = [F.col("_metadata.file_path").alias("row_file"), F.col("_metadata.row_index").alias("row_at")]
+    lying = docs.select("doc_id", "text", old.alias("old"), *row)
+    placed = reshard.resharded(lying, "old", ["row_file", "row_at"], shards=8, rows_a_file=2_000)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )

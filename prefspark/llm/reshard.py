@@ -9,17 +9,22 @@ where; it moves the fewest bytes at block level, since the smallest documents of
 first block. The network has a node a block and shard, whatever the size of the data.
 
 The moves are rank intervals of old shards, so a document's new shard and slot follow from its
-rank by a join with a few intervals, and only files of shards that gain or lose rows are rewritten.
+rank by a join with a few intervals, and only files of shards that gain or lose rows are rewritten:
+whole rows are dealt to their new shard and slot and written there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from prefspark.operators.indexing import global_index
+from prefspark.session import ensure_checkpoint_dir
 
 
 class Network:
@@ -112,21 +117,24 @@ def solve_moves(blocks: list[tuple[int, int, int, int]], shards: int) -> list[tu
 
 
 def reshard(
-    docs: DataFrame, old_col: str, shards: int = 8, blocks: int = 64, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, old_col: str, shards: int = 8, blocks: int = 64, id_col: str = "doc_id", text_col: str = "text",
+    row_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, size, text_crc32, old_shard, shard, slot) for every row of ``docs``.
+    """(id, size, text_crc32, old_shard, shard, slot) and ``row_cols`` for every row of ``docs``.
 
     ``old_col`` numbers a row's present shard (an int; null and numbers beyond the new shards mean that
     its rows have no shard to stay in). size: UTF-8 bytes of the text plus 1, a null text has none and
     the CRC of the empty text. Row counts of the new shards differ by one at most; slots of a shard run
     from 0 without gaps. Equal rows are told apart by their rank only. An empty table gives no rows.
+    ``row_cols`` name a row of ``docs`` for ``rewrite``, the same at each reading: a file and a row number in it, say.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.coalesce(F.col(old_col).cast("int"), F.lit(-1)).alias("old_shard"),
+        *row_cols,
     )
-    ranked = global_index(narrow, ["old_shard", "size", "id", "text_crc32"], "idx")
+    ranked = global_index(narrow, ["old_shard", "size", "id", "text_crc32", *row_cols], "idx")
     spans = ranked.groupBy("old_shard").agg(F.min("idx").alias("first"), F.count(F.lit(1)).alias("rows"))
     spans = F.broadcast(spans)  # a row an old shard
     ranked = ranked.join(spans, "old_shard").withColumn("rank", F.col("idx") - F.col("first"))
@@ -144,21 +152,53 @@ def reshard(
     return (
         ranked.join(F.broadcast(plan), "old_shard").where("rank >= a AND rank < b")
         .select(F.col("id").alias(id_col), "size", "text_crc32", "old_shard", "shard",
-                (F.col("base") + F.col("rank") - F.col("a")).alias("slot"))
+                (F.col("base") + F.col("rank") - F.col("a")).alias("slot"), *row_cols)
     )
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", rows_a_file: int = 100_000) -> list[int]:
+def rewrite(
+    docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", rows_a_file: int = 100_000, row_cols: Sequence[str] = ()
+) -> list[int]:
     """Write the new content of the shards that gain or lose rows to ``path``/shard=<n>; returns their numbers.
 
-    ``placed`` is the result of ``reshard`` with unique ids. Shards that keep exactly their rows are left
-    alone. Rows are dealt by shard and slot range, so a large shard becomes several files, in slot order.
+    ``placed`` is the result of ``reshard`` for the same rows and ``row_cols``, which both tables have: each row
+    finds its place by them, whatever its id. Without them rows are found by id, and null or repeated ids raise.
+    Shards that keep exactly their rows are left alone. Rows are dealt by shard and slot range, so a large shard
+    becomes several files, in slot order.
     """
+    keys = list(row_cols) or [id_col]
+    if not row_cols:
+        bad = placed.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col(id_col).isNull() | (F.col("n") > 1))
+        if bad.limit(1).count():
+            raise ValueError(f"null or repeated {id_col}: rewrite needs row_cols")
     changed = placed.where("old_shard <> shard")
     sides = changed.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
     affected = sorted(r.s for r in sides.collect() if r.s >= 0)
-    target = placed.select(id_col, "shard", "slot").where(F.col("shard").isin(affected))
-    rows = docs.drop("shard", "slot").join(target, id_col)
+    target = placed.select(*keys, "old_shard", "shard", "slot").where(F.col("shard").isin(affected))
+    rows = docs.drop("old_shard", "shard", "slot").join(target, keys).drop(*row_cols)
     part = F.floor(F.col("slot") / rows_a_file)
-    rows.repartition("shard", part).sortWithinPartitions("shard", "slot").write.mode("append").partitionBy("shard").parquet(path)
+    dealt = rows.repartition("shard", part).sortWithinPartitions("shard", "slot")
+    dealt.write.mode("append").partitionBy("shard").option("compression", "zstd").parquet(path)
     return affected
+
+
+def resharded(
+    docs: DataFrame, old_col: str, row_cols: Sequence[str], shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
+    rows_a_file: int = 100_000,
+) -> DataFrame:
+    """(id, size, text_crc32, old_shard, shard, slot) of every row after the affected shards were written anew.
+
+    Sizes and CRCs of rewritten shards are those of the texts read back from their files; shards that were left
+    alone are the old rows. The files lie in a fresh folder under ``spark.checkpoint.dir``.
+    """
+    spark = docs.sparkSession
+    placed = reshard(docs, old_col, shards, id_col=id_col, text_col=text_col, row_cols=row_cols)
+    path = f"{ensure_checkpoint_dir(spark)}/shards-{uuid.uuid4().hex}"
+    affected = rewrite(docs.select(id_col, text_col, *row_cols), placed, path, id_col, rows_a_file, row_cols)
+    schema = StructType([*docs.select(id_col, text_col).schema.fields, *placed.select("old_shard", "slot", "shard").schema.fields])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    written = spark.read.schema(schema).parquet(path).select(
+        id_col, (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        "old_shard", "shard", "slot",
+    )
+    return written.unionByName(placed.where(~F.col("shard").isin(affected)).drop(*row_cols))

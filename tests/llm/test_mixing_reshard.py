@@ -137,3 +137,34 @@ def test_rewrite_only_affected_shards(spark, make_docs, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.groupBy("shard").count().orderBy("shard").collect() == [(2, 8), (3, 8)]
     assert {r.doc_id for r in out.collect()} == set(range(16, 32))
+
+
+def test_rewrite_keeps_null_and_repeated_ids(spark, make_docs, tmp_path):
+    ids = [None] * 5 + [7] * 9 + list(range(20, 30))
+    docs = make_docs([(i, f"text {n % 6} {n}" if n % 4 else None) for n, i in enumerate(ids)])
+    docs.withColumn("old", F.when(F.col("doc_id") == 7, 0).otherwise(2)).write.parquet(str(tmp_path / "old"))
+    rows = spark.read.parquet(str(tmp_path / "old")).select(
+        "doc_id", "text", "old", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    key = ["file", "at"]
+    placed = reshard.reshard(rows, "old", shards=4, row_cols=key)
+    reshard.rewrite(rows, placed, str(tmp_path / "out"), rows_a_file=3, row_cols=key)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    pairs = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert pairs(out) == pairs(docs)
+    with pytest.raises(ValueError, match="doc_id"):
+        reshard.rewrite(docs, placed, str(tmp_path / "by_id"))
+    done = reshard.resharded(rows, "old", key, shards=4, rows_a_file=3).collect()
+    assert sorted((r.shard, r.slot, r.size, r.text_crc32) for r in done) == sorted((r.shard, r.slot, r.size, r.text_crc32) for r in placed.collect())
+
+
+def test_query_writes_its_shards(spark, tmp_path):
+    """The query's rows come from written shards, and no row is lost; shards left alone are not written."""
+    from prefspark.llm.queries import QUERIES
+
+    rows = [(i % 5 or None, f"t{i}", f"s{i % 3}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op5_reshard"](spark, str(tmp_path))
+    assert any("/shards-" in f for f in out.inputFiles())
+    got = out.collect()
+    assert sorted(r.text_crc32 for r in got) == sorted(zlib.crc32(t.encode()) for _, t, _ in rows)
+    assert all(sorted(r.slot for r in got if r.shard == j) == list(range(5)) for j in range(8))
