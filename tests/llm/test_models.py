@@ -204,3 +204,23 @@ def test_quality_odd_rows(spark, make_docs):
     nothing = quality.classify(docs, labels.limit(0)).collect()
     assert len(nothing) == 45 and all(r.kept and r.perplexity is None for r in nothing)
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("share", [1, 8])
+def test_windows_of_all_lengths_train(spark, share):
+    """Every window is for gradient steps; a share of them is drawn alike from texts of every length."""
+    docs = spark.createDataFrame([(i, " ".join("a" for _ in range(i % 40))) for i in range(4000)], "key long, text string")
+    learned = lm.learn_counts(docs.select("text", F.xxhash64("key").alias("key")), queries.subword_vocabulary(512), share)
+    windows = 100 * sum(-(-(n + 1) // lm.STRIDE) for n in range(40))
+    got = learned.where("kind = 2").agg(F.sum("n")).first()[0]
+    assert got == windows if share == 1 else abs(got - windows / share) < 0.15 * windows / share
+    for blocks in range(1, 41):
+        keys = np.random.default_rng(blocks).integers(-(1 << 62), 1 << 62, 500)
+        taken = lm.drawn(keys, np.repeat(np.arange(500), blocks), share).mean()
+        assert abs(taken - 1 / share) < 0.07
+
+
+def test_score_trains_on_every_window():
+    import inspect
+
+    assert inspect.signature(lm.score).parameters["window_share"].default == 1
