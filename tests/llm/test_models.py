@@ -224,3 +224,16 @@ def test_score_trains_on_every_window():
     import inspect
 
     assert inspect.signature(lm.score).parameters["window_share"].default == 1
+
+
+def test_every_language_has_its_own_thresholds(spark):
+    """A language with a fiftieth of the trusted documents, yet hundreds of them, is judged by its own quantiles."""
+    rng = np.random.default_rng(9)
+    many, few = [f"m{i}" for i in range(40)], [f"f{i}" for i in range(4000)]
+    rows = [(i, "aa", " ".join(rng.choice(many, 20))) for i in range(9800)] + [(20_000 + i, "bb", " ".join(rng.choice(few, 20))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = quality.classify(docs, labels, trusted_docs=400).groupBy("lang").agg(
+        F.countDistinct("most").alias("bounds"), F.first("most").alias("most"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    most = {r.lang: r.most for r in got}
+    assert all(r.bounds == 1 and r.kept > 0.98 for r in got) and most["bb"] > 3 * most["aa"]
