@@ -169,13 +169,17 @@ def _visits(router: Router, queries: np.ndarray, rows: np.ndarray, top: int, rec
 
 
 def nearest_in_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, top: int):
-    """(query id, row id, score) of the ``top`` rows of each query but those of its own id; ties to the smaller id.
+    """(query id, row id, score) of the ``top`` distinct ids of each query but its own; ties to the smaller id.
+
+    An id with several rows counts once, with its best score.
 
     A product of matrices picks candidates; the scores returned are sums in one fixed order, so equal vectors tie.
     """
     out_q, out_r, out_s = [], [], []
     order = np.argsort(row_ids, kind="stable")
     rows, row_ids = rows[order], row_ids[order]
+    firsts = np.flatnonzero(np.concatenate([[True], row_ids[1:] != row_ids[:-1]]))
+    distinct = len(firsts) == len(row_ids)
     norm = np.sqrt((rows * rows).sum(axis=1)).max()
     step = max(1, 4_000_000 // max(1, len(rows)))
     for at in range(0, len(queries), step):
@@ -183,12 +187,16 @@ def nearest_in_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarra
         for offset, scores in enumerate(product):
             q = at + offset
             scores[row_ids == query_ids[q]] = -np.inf
-            k = min(top, len(scores)) - 1
-            least = np.partition(scores, len(scores) - 1 - k)[len(scores) - 1 - k]
+            ranked = scores if distinct else np.maximum.reduceat(scores, firsts)  # a row of several vectors has its best score
+            k = min(top, len(ranked)) - 1
+            least = np.partition(ranked, len(ranked) - 1 - k)[len(ranked) - 1 - k]
             slack = 1e-12 * (1 + norm * np.sqrt((queries[q] * queries[q]).sum()))
             close = np.flatnonzero((scores >= least - slack) & (scores > -np.inf))
             exact = (rows[close] * queries[q]).sum(axis=1)
-            best = np.argsort(-exact, kind="stable")[:top]  # rows are in id order
+            best = np.argsort(-exact, kind="stable")  # rows are in id order
+            if not distinct:
+                best = best[np.sort(np.unique(row_ids[close[best]], return_index=True)[1])]
+            best = best[:top]
             out_q.append(np.full(len(best), query_ids[q]))
             out_r.append(row_ids[close[best]])
             out_s.append(exact[best])
@@ -205,7 +213,8 @@ def search(
     Rows and queries whose id is null, or whose vector is null, empty, zero or holds null or non-finite
     components take no part; vectors of another width than most of the sample are never near. A query's own id is left out.
     The sample is the ``sample_rows`` distinct vectors of smallest hash, whatever the table's size: the fit's only bound.
-    A query that finds fewer than ``top`` rows in the partitions it visits visits all of them.
+    A query that finds fewer than ``top`` ids in the partitions it visits visits all of them. Equal rows count once; an id
+    with several vectors is one neighbour with its best score, and one query with the best of each neighbour.
     """
     source = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.lit(False).alias("asks"))
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.lit(True).alias("asks"))
@@ -218,7 +227,8 @@ def search(
             kept = [v for v, k in zip(vectors, keep, strict=True) if k]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(kept, pa.list_(pa.float64())), rows.column(2)], ["id", "vector", "asks"])
 
-    everything = materialized(map_batches(source.unionAll(asked), clean, "id long, vector array<double>, asks boolean"))
+    cleaned = map_batches(source.unionAll(asked), clean, "id long, vector array<double>, asks boolean")
+    everything = materialized(cleaned.distinct())  # a row repeated near a query must not fill its lists
     draw = F.xxhash64("vector", F.lit(seed))
     drawn = (
         everything.where("NOT asks").select(draw.alias("h"), F.col("vector")).dropDuplicates(["h"])
@@ -248,14 +258,15 @@ def search(
     visits = int(shared.value.visits) if shared.value.visits < shared.value.parts else shared.value.parts
     found = _visit(rows, routed.where("asks"), F.slice("order", 1, visits), width, top, block_rows, block_queries)
     found = materialized(found)
-    counts_ = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    counts_ = found.groupBy("query_id").agg(F.countDistinct("id").alias("n"))
     short = routed.where("asks").join(counts_, F.col("id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < top)
     if visits < shared.value.parts:
         short = materialized(short.select("id", "vector", "order"))
         rest = _visit(rows, short, F.slice("order", visits + 1, shared.value.parts - visits), width, top, block_rows, block_queries)
         found = found.unionAll(rest)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.dropDuplicates(["query_id", "id"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
+    nearest = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    return nearest.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
         "query_id", "rank", F.col("id").alias(id_col), "score"
     )
 
@@ -266,7 +277,8 @@ def _visit(rows: DataFrame, asked: DataFrame, to: object, width: int, top: int,
     row_blocks = rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("rb"))
     query_blocks = visiting.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("qb"))
     blocks = F.broadcast(row_blocks.join(query_blocks, "part"))  # a row a partition
-    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    # by id and vector, so that an id of many vectors is dealt too; blocks overlap in ids, and the merge counts an id once
+    spread = lambda n: F.pmod(F.xxhash64("id", "vector"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt_rows = rows.join(blocks, "part").withColumn("r", spread("rb")).withColumn("q", all_of("qb"))
     dealt_queries = visiting.join(blocks, "part").withColumn("q", spread("qb")).withColumn("r", all_of("rb"))

@@ -237,3 +237,19 @@ def test_every_language_has_its_own_thresholds(spark):
         F.countDistinct("most").alias("bounds"), F.first("most").alias("most"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     most = {r.lang: r.most for r in got}
     assert all(r.bounds == 1 and r.kept > 0.98 for r in got) and most["bb"] > 3 * most["aa"]
+
+
+def test_search_counts_an_id_once(spark):
+    """Rows repeated near a query, alike or with other vectors, take one place of its list."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, x[0].tolist())] * 60 + [(8, (x[0] * (1 + k / 1000)).tolist()) for k in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = ann.search(table, table.where("vec_id = 0"), top=20, recall=1.0).orderBy("rank").collect()
+    best = {}
+    for i, v in rows:
+        best[i] = max(best.get(i, -np.inf), float(np.dot(x[0], v)))
+    best.pop(0)
+    want = sorted(best, key=lambda i: (-best[i], i))[:20]
+    assert [r.vec_id for r in got] == want and [r.rank for r in got] == list(range(1, 21))
+    assert np.allclose([r.score for r in got], [best[i] for i in want])
