@@ -49,6 +49,8 @@ BAD_WORDS = frozenset(
     "skip search searchbox form contentinfo complementary alert alertdialog teaser teasers trending popular".split()
 )
 HEAD_WORDS = frozenset("header masthead topbar banner".split())
+#: Elements whose class, id and role say what a page has or is about, not that their content is boilerplate.
+FRAMES = frozenset("html body main article".split())
 GOOD_WORDS = frozenset("article articlebody articletext entry post story content maincontent main body".split())
 WEIGHT = {"good": 6.0, "bad": -14.0, "head": -2.0, "outside": -9.0, "links": -5.0, "bare": -1.5, "word": 0.6, "words_most": 3.0, "stop": 1.0}
 SMOOTH, SIBLING = 2.0, 0.5
@@ -62,7 +64,11 @@ TOKEN = re.compile(r"[a-z]+")
 
 @dataclass(slots=True)
 class Element:
-    """An open element; the flags hold if it or an element around it has them. block: the block it stands in."""
+    """An open element; the flags hold if it or an element around it has them. block: the block it stands in.
+
+    hard: bad by its element or because it is hidden. A class, id or role that is only a word's guess ends at a
+    nearer article or main, which is judged anew.
+    """
 
     name: str
     number: int
@@ -71,6 +77,7 @@ class Element:
     bad: bool
     head: bool
     link: bool
+    hard: bool = False
     block: Element | None = None
 
 
@@ -86,20 +93,21 @@ class Block:
     near: int
 
 
-def _judge(name: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element's name and attributes speak for content, for boilerplate, for a page header."""
+def _judge(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element's name and attributes speak for content, for boilerplate, for a page header; whether it is surely not shown as text."""
     good, bad, head = name in ("article", "main"), name in BAD_TAGS, name == "header"
+    hard = bad
     if attributes:
         for key, *values in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "").lower()
             if key in ("class", "id", "role", "itemprop"):
                 words = set(TOKEN.findall(value))
-                bad = bad or bool(words & BAD_WORDS)
-                head = head or bool(words & HEAD_WORDS)
+                bad = bad or (bool(words & BAD_WORDS) and name not in FRAMES)
+                head = head or (bool(words & HEAD_WORDS) and name not in FRAMES)
                 good = good or (bool(words & GOOD_WORDS) and name != "body")
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                bad = True
-    return good, bad, head
+                bad = hard = True
+    return good, bad, head, hard
 
 
 class PageReader:
@@ -190,10 +198,12 @@ class PageReader:
         if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
             return
         top = self.stack[-1]
-        good, bad, head = _judge(name, attributes)
-        raw = name in RAW
+        good, bad, head, hard = _judge(name, attributes)
+        hard = top.hard or hard or name in RAW or name == "head"
+        anew = name in ("article", "main")
         self.made += 1
-        new = Element(name, self.made, len(self.stack) + 1, top.good or good, top.bad or bad or raw or name == "head", top.head or head, top.link or name == "a")
+        new = Element(name, self.made, len(self.stack) + 1, top.good or good, hard or bad or (top.bad and not anew), head or (top.head and not anew),
+                      top.link or name == "a", hard)
         new.block = new if name in BLOCK else top.block
         self.stack.append(new)
         self.open[name] = self.open.get(name, 0) + 1

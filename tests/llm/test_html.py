@@ -69,3 +69,18 @@ def test_minimum_cut_is_minimal(data):
         c for a, b, c in edges if s[a] != s[b])
     best = min(value(s) for s in product([False, True], repeat=n))
     assert value(h.minimum_cut(net, edges)) == best
+
+
+def test_bad_words_of_frames_and_wrappers_leave_the_article():
+    """Words on html, body, main and article, and on a wrapper outside of an article, do not drop its text."""
+    from prefspark.llm.html_text import main_text
+
+    text = "The long first paragraph of the story has many words, and it ends with a full stop."
+    page = "<html{h}><body{b}><div{w}><main{m}><article{a}><p>" + text + "</p><div class='share'>Share this now</div></article></main></div></body></html>"
+    none = dict.fromkeys("hbwma", "")
+    for odd in ({}, {"h": " class='no-comments'"}, {"b": " class='has-sidebar'"}, {"b": " class='menu-closed'"}, {"b": " id='popup banner'"},
+                {"a": " class='post category-legal'"}, {"m": " class='header'"}, {"w": " class='with-sidebar'"}):
+        assert main_text(page.format(**none | odd)) == text, odd
+    for hidden in (" hidden", " style='display:none'"):
+        assert main_text(page.format(**none | {"w": hidden})) == ""
+    assert main_text(f"<body><div class='sidebar'><p>{text}</p></div><article><p>{text}</p></article></body>") == text
