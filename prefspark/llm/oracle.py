@@ -69,3 +69,95 @@ FROM embeddings e JOIN components c ON c.a = e.vec_id LEFT JOIN counts ON counts
 """
 
 SQL: dict[str, str] = {"op7_mixing": OP7, "op9_embed_dedup": OP9}
+
+
+SQL["op11_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+SQL["op12_fim"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+u AS (
+  SELECT doc_id, t, n, [CAST('0x' || substr(h, 1 + 8 * i, 8) AS BIGINT) FOR i IN [0, 1, 2, 3]] AS h FROM d),
+f AS (
+  SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+o AS (
+  SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+         CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+              ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END AS output FROM f),
+x AS (
+  SELECT *, split_part(split_part(output, '<M>', 1), '<P>', 2) AS after_p, split_part(split_part(output, '<M>', 1), '<S>', 2) AS after_s,
+         split_part(output, '<M>', 2) AS middle FROM o)
+SELECT doc_id, n, form, prefix_chars, middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+                   WHEN 'psm' THEN split_part(after_p, '<S>', 1) || middle || after_s
+                   ELSE after_p || middle || split_part(after_s, '<P>', 1) END) AS restored_sha256
+FROM x"""
+
+
+def _merkle_levels(name: str, group: str, levels: int) -> str:
+    """CTEs from ``{name}0`` (group, i, h, n: nodes of a tree a group) up: ``{name}r<l>`` the runs, ``{name}<l>`` the nodes."""
+    steps = []
+    for at in range(levels):
+        steps.append(f"""
+{name}r{at} AS MATERIALIZED (SELECT {group}, i // 3 AS run, n, list(h ORDER BY i) AS hs FROM {name}{at} GROUP BY {group}, i // 3, n),
+{name}{at + 1} AS MATERIALIZED (
+  SELECT {group}, run AS i, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h, (n + 2) // 3 AS n FROM {name}r{at})""")
+    return ",".join(steps)
+
+
+def _merkle_folds(name: str, tree: str, first: str, group: str, levels: int) -> str:
+    """CTEs that lead rows (doc, group, i, folded, proof) of ``first`` up the tree: the siblings of each level join proof and folded."""
+    steps, before = [], first
+    for at in range(levels):
+        left, right = "array_to_string(hs[:i % 3], '')", "array_to_string(hs[i % 3 + 2:], '')"
+        steps.append(f"""
+{name}{at} AS MATERIALIZED (
+  SELECT d.* EXCLUDE (i, folded, proof), i // 3 AS i, proof || CASE WHEN n > 1 THEN {left} || {right} ELSE '' END AS proof,
+         CASE WHEN n > 1 THEN sha256({left} || folded || {right}) ELSE folded END AS folded
+  FROM {before} d JOIN {tree}r{at} r ON d.{group} = r.{group} AND d.i // 3 = r.run)""")
+        before = f"{name}{at}"
+    return ",".join(steps)
+
+
+def _merkle_field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || {column}, '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_merkle_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: CRC-32 of the decimal id, bit by bit (3988292384 is its reversed polynomial, a fixed value); null ids have none.
+_CRC = """xor(list_reduce([CASE c WHEN '?' THEN 4294967295 ELSE ord(c) END FOR c IN string_split('?' || CAST(doc_id AS VARCHAR), '')],
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
+#: Levels that the SQL spells out: 3 ** 14 documents of a source and 3 ** 9 sources.
+_IN_SOURCE, _OF_SOURCES = 14, 9
+
+SQL["op13_merkle"] = f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, coalesce('1' || source, '0') AS g, {_merkle_leaf("text")} AS leaf, {_merkle_leaf("replace(text, chr(10), '')")} AS changed FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM docs),
+s0 AS MATERIALIZED (SELECT g, i, leaf AS h, n FROM placed),{_merkle_levels("s", "g", _IN_SOURCE)},
+t AS MATERIALIZED (SELECT g, h, row_number() OVER (ORDER BY CAST(g AS BLOB)) - 1 AS i, count(*) OVER () AS n, 0 AS w FROM s{_IN_SOURCE}),
+t0 AS MATERIALIZED (SELECT w, i, h, n FROM t),{_merkle_levels("t", "w", _OF_SOURCES)},
+d AS MATERIALIZED (SELECT doc_id, g, leaf, i, CASE WHEN {_CRC} % 2 = 0 THEN changed ELSE leaf END AS folded, '' AS proof FROM placed),{_merkle_folds("f", "s", "d", "g", _IN_SOURCE)},
+e AS MATERIALIZED (
+  SELECT f.doc_id, f.leaf, t.h AS subroot, t.w, t.i, f.folded, f.proof FROM f{_IN_SOURCE - 1} f JOIN t ON f.g = t.g),{_merkle_folds("k", "t", "e", "w", _OF_SOURCES)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM t{_OF_SOURCES}) AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = (SELECT h FROM t{_OF_SOURCES}) AS verified
+FROM k{_OF_SOURCES - 1}"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import ann, bpe, embed_dedup, html_text, lm, mixing, quality, reshard, simhash, token_counts
+from prefspark.llm import ann, bpe, embed_dedup, fim, html_text, lm, merkle, mixing, quality, reshard, simhash, token_counts, topk
 from prefspark.llm.common import materialized, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,34 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every whole document under the model of trusted text, and whether it is kept."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality.classify(docs, read_table(spark, sf_dir, "labels"))
+
+
+@query("op11_topk")
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every embedding whose id is divisible by 50."""
+    table = read_table(spark, sf_dir, "embeddings")
+    return topk.search(table, table.where("vec_id % 50 = 0"), top=5, scale=256.0)
+
+
+@query("op12_fim")
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document cut and reordered, as digests of the output and of the text rebuilt from it."""
+    made = fim.transform(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(fim.restored()).alias("restored_sha256"),
+    )
+
+
+@query("op13_merkle")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; every second document's text loses its line feeds before it is verified."""
+    docs = read_table(spark, sf_dir, "documents")
+    digest = lambda text: merkle.fields_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    leaves = docs.select(
+        "doc_id", "source", digest(F.col("text")).alias("leaf"), F.when(tampered, digest(F.replace("text", F.lit("\n"), F.lit("")))).alias("changed")
+    )
+    proven = merkle.manifest(leaves).withColumn("changed", F.coalesce("changed", "leaf"))
+    return merkle.checked(proven, "changed").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
