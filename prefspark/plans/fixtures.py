@@ -226,3 +226,41 @@ def c1_nested_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     children = F.concat(F.filter(F.array(F.col("_c")[0]["_rest"]), lambda x: x.isNotNull()), others)
     text = F.concat(F.lit('{"prompt":'), F.col("_c")[0]["_root"], F.array_join(children, ","), F.lit("]}}"))
     return grouped.select("tree_id", F.parse_json(text).alias("tree"))
+
+
+def c6_sequences(spark: SparkSession, sf_dir: str, max_length: int = 512) -> DataFrame:
+    """The scored sequences of C2 ``(pair_id, side, prompt_len, length, n_tokens, toks)``: the S3-literal inputs cut to
+    ``max_length`` tokens, in shuffled batches of 2, each side as long as its longest row of the batch."""
+    from prefspark.operators import batching, chat
+    from prefspark.operators.tokens import token_count
+
+    texts = chat.preference_texts(c2_message_pairs(spark, sf_dir), keep=("pair_id",))
+    batches = batching.assign_batches(c2_keys(spark, sf_dir), 2, "pair_id", seed=42, step_col=None).select("pair_id", "batch_id")
+    inputs = chat.model_inputs(texts, "conversation").join(batches, "pair_id")
+    sides = inputs.select("pair_id", "batch_id", token_count(F.col("prompt")).alias("prompt_len"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("side"), F.slice(tokens(F.col(c)), 1, max_length).alias("toks"))
+        for i, c in enumerate(("chosen_input", "rejected_input"))])).alias("s")).select("pair_id", "batch_id", "prompt_len", "s.*")
+    return sides.withColumn("n_tokens", F.size("toks")).withColumn("length", F.max("n_tokens").over(Window.partitionBy("batch_id", "side")))
+
+
+def c6_logits(spark: SparkSession, sf_dir: str, sequences: DataFrame, model: int, slices: int = 4) -> DataFrame:
+    """C6 logits ``(pair_id, side, pos, offset, logits, label)`` of every position of ``sequences``, in vocabulary slices.
+
+    The vocabulary is the width of the embeddings; a position's logits are ten times an embedding that pair, side and
+    position name by its number in id order, another one for each ``model``. Its label is the next token's
+    length modulo the width, 0 for a pad.
+    """
+    vectors = global_index(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), ["vec_id"], "_e")
+    n = vectors.count()
+    a, b = ((31, 17), (29, 11))[model]
+    placed = sequences.select("pair_id", "side", "toks", F.explode(F.sequence(F.lit(0), F.col("length") - 2)).alias("pos")) \
+        .where("pos >= 0")
+    rows = placed.select(
+        "pair_id", "side", "pos", F.coalesce(F.length(F.get("toks", F.col("pos") + 1)), F.lit(0)).alias("_l"),
+        F.pmod(F.col("pair_id") + F.col("pos") * a + F.col("side") * b, F.lit(max(1, n))).alias("_e"))
+    width = F.size("embedding")
+    step = F.ceil(width / slices).cast("int")
+    joined = rows.join(vectors, "_e").withColumn("offset", F.explode(F.sequence(F.lit(0), width - 1, step)))
+    return joined.select(
+        "pair_id", "side", "pos", "offset", (F.col("_l") % width).alias("label"),
+        F.transform(F.slice("embedding", F.col("offset") + 1, step), lambda x: x.cast("double") * 10).alias("logits"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prefspark.operators import batching, chat, losses, rollout, tokens, trees
+from prefspark.operators import batching, chat, logps, logsumexp, losses, rollout, tokens, trees
 from prefspark.sources import io
 
 # Default run settings of the pipelines -- maximum length, batch sizes
@@ -118,6 +118,60 @@ def evaluate_dpo(seq_logps: DataFrame, beta: float = 0.1, split: str = "split")
     return losses.eval_loss(losses.dpo_loss(seq_logps, beta), split=split)
 
 
+def evaluate_rm_logits(logits: DataFrame, key: str = "pair_id", split: str = "split") -> DataFrame:
+    """JB5 (RM) from the scorer's logits: rows ``(key, split, side, logits)``, side 0 chosen and 1 rejected.
+
+    A reward head has one logit (it raises on more or fewer). A pair without one of its sides, or with one twice, raises.
+    """
+    one = F.when(F.size("logits") == 1, F.col("logits")[0].cast("double")).otherwise(F.raise_error(F.lit("a reward head has one logit")))
+    scores = _sides(logits.select(key, split, "side", one.alias("reward")), [key, split], {"reward": ("reward_chosen", "reward_rejected")})
+    return evaluate_rm(scores, split)
+
+
+def _sides(rows: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Rows of sides 0 and 1 pivoted to one row per key: ``columns`` names a value's columns of both sides."""
+    whole = (F.count(F.lit(1)) == 2) & (F.min("side") == 0) & (F.max("side") == 1)
+    pivoted = rows.groupBy(*keys).agg(whole.alias("_whole"), *[
+        F.max(F.when(F.col("side") == i, F.col(c))).alias(name) for c, names in columns.items() for i, name in enumerate(names)])
+    broken = F.raise_error(F.concat(F.lit("not one row per side for "), F.to_json(F.struct(*keys))))
+    names = [n for pair in columns.values() for n in pair]
+    return pivoted.select(*keys, *[F.when(F.col("_whole"), F.col(n)).otherwise(broken).alias(n) for n in names])
+
+
+def sequence_logps(policy: DataFrame, reference: DataFrame, sequences: DataFrame, key: str = "pair_id",
+                   skip_first: bool = True, mask_padding: bool = False) -> DataFrame:
+    """LP1 -> JN4 -> LP3 from logits: ``(key, side, policy_lp, ref_lp, response_cut)`` for every row of ``sequences``.
+
+    ``policy`` and ``reference`` are logits ``(key, side, pos, logits, label)`` (D11), row ``pos`` scoring token
+    ``pos + 1`` (LP2); with a column ``offset`` they are slices of the vocabulary, any number a position. They are
+    reduced to mergeable states where they lie, so no logits are shuffled. ``sequences`` has ``(key, side,
+    prompt_len, length, n_tokens)``: untruncated prompt length, padded width, tokens without pads. A position
+    that one model scores and the other does not raises; a sequence without scored positions has mean 0.0 (S7).
+    """
+    keys = [key, "side", "pos"]
+
+    def scored(logits: DataFrame, out: str) -> DataFrame:
+        whole = logits if "offset" in logits.columns else logits.withColumn("offset", F.lit(0))
+        return logsumexp.sliced_token_logps(whole, keys, out=out)
+
+    both = scored(policy, "policy_lp").join(scored(reference, "ref_lp"), keys, "full")
+    lone = F.raise_error(F.concat(F.lit("scored by one model only: "), F.to_json(F.struct(*keys))))
+    table = both.select(*keys, *[F.when(F.col("policy_lp").isNull() | F.col("ref_lp").isNull(), lone).otherwise(F.col(c)).alias(c)
+                                 for c in ("policy_lp", "ref_lp")])
+    rows = sequences.select(key, "side", "prompt_len", "length", "n_tokens").join(table, [key, "side"], "left")
+    rows = rows.withColumn("is_pad", F.col("pos") + 1 >= F.col("n_tokens"))
+    return logps.response_mean(rows, [key, "side"], ["policy_lp", "ref_lp"], skip_first=skip_first, pad_col="is_pad", mask_padding=mask_padding)
+
+
+def evaluate_dpo_logits(policy: DataFrame, reference: DataFrame, sequences: DataFrame, beta: float = losses.DPO_BETA,
+                        key: str = "pair_id", split: str = "split", skip_first: bool = True, mask_padding: bool = False) -> DataFrame:
+    """JB5 (DPO) from logits: LP1 -> LP3 -> LP4 -> LS3 -> LS4, inputs as in ``sequence_logps``; ``sequences`` also has ``split``."""
+    means = sequence_logps(policy, reference, sequences, key, skip_first, mask_padding)
+    per_pair = _sides(means, [key], {"policy_lp": ("policy_chosen", "policy_rejected"), "ref_lp": ("ref_chosen", "ref_rejected")})
+    splits = sequences.where(F.col("side") == 0).select(key, split)
+    return evaluate_dpo(per_pair.join(splits, key), beta, split)
+
+
 def evaluate_rollouts(rollouts: DataFrame, gamma: float = rollout.GAMMA, lam: float = rollout.LAM,
                       clip: float = rollout.CLIP, kl_coef: float = rollout.KL_COEF,
                       logging_steps: int | None = LOGGING_STEPS, reward_at: str = "last_column") -> DataFrame:

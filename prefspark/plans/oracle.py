@@ -525,3 +525,47 @@ q AS (SELECT pair_id, sum(CASE side WHEN 0 THEN policy_logp - ref_logp ELSE ref_
 SELECT {split_sql('pair_id')} AS split, {r6('avg(ln(1 + exp(-0.1 * m)))')} AS mean_loss,
        {r6('avg(CASE WHEN m > 0 THEN 0.0 ELSE 1.0 END)')} AS error_rate, count(*) AS n_rows
 FROM q GROUP BY 1"""
+
+# ---------------------------------------------------------------- evaluation from logits
+
+
+def logit_lp(name: str, a: int, b: int) -> str:
+    """CTE ``name(pair_id, side, pos, lp)``: log-softmax of the position's whole row of logits at its label."""
+    return f"""
+{name} AS (SELECT x.pair_id, x.side, x.pos,
+    lg[CASE WHEN x.pos + 1 < x.n THEN length(x.toks[x.pos + 2]) % len(lg) ELSE 0 END + 1]
+      - (list_max(lg) + ln(list_sum([exp(v - list_max(lg)) FOR v IN lg]))) AS lp
+  FROM p_x x JOIN l_e e ON e.e = (x.pair_id + x.pos * {a} + x.side * {b}) % (SELECT count(*) FROM embeddings))"""
+
+
+LOGIT_MEANS = f"""
+l_e AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS e, [CAST(v AS DOUBLE) * 10 FOR v IN embedding] AS lg FROM embeddings),
+{logit_lp('l_p', 31, 17)},{logit_lp('l_r', 29, 11)},
+l_m AS (SELECT w.pair_id, w.side, masked, max(w.plen >= w.width - 1) AS response_cut,
+               coalesce(avg(CASE WHEN x.pos >= w.plen AND (masked = 0 OR x.pos + 1 < w.n) THEN l_p.lp END), 0.0) AS policy_logp,
+               coalesce(avg(CASE WHEN x.pos >= w.plen AND (masked = 0 OR x.pos + 1 < w.n) THEN l_r.lp END), 0.0) AS ref_logp
+        FROM (SELECT unnest([0, 1]) AS masked), p_w w LEFT JOIN p_x x ON w.pair_id = x.pair_id AND w.side = x.side
+        LEFT JOIN l_p ON x.pair_id = l_p.pair_id AND x.side = l_p.side AND x.pos = l_p.pos
+        LEFT JOIN l_r ON x.pair_id = l_r.pair_id AND x.side = l_r.side AND x.pos = l_r.pos
+        GROUP BY w.pair_id, w.side, masked)"""
+
+SQL["logit_logps"] = f"""
+WITH {C2}, {C3}, {SEQ}, {PADDED}, {LOGIT_MEANS}
+SELECT pair_id, CAST(side AS BIGINT) AS side, {r6('policy_logp')} AS policy_logp, {r6('ref_logp')} AS ref_logp,
+       CAST(response_cut AS BIGINT) AS response_cut FROM l_m WHERE masked = 1"""
+
+SQL["evaluate_dpo_logits"] = f"""
+WITH {C2}, {C3}, {SEQ}, {PADDED}, {LOGIT_MEANS},
+q AS (SELECT pair_id, sum(CASE side WHEN 0 THEN policy_logp - ref_logp ELSE ref_logp - policy_logp END) AS m
+      FROM l_m WHERE masked = 0 GROUP BY pair_id)
+SELECT {split_sql('pair_id')} AS split, {r6('avg(ln(1 + exp(-0.1 * m)))')} AS mean_loss, count(*) AS n_rows
+FROM q GROUP BY 1"""
+
+
+def score_sql(text: str) -> str:
+    return f"CASE WHEN len({tok(text)}) = 0 THEN 0.0 ELSE 10.0 * len(list_distinct({tok(text)})) / len({tok(text)}) END"
+
+
+SQL["evaluate_rm"] = f"""
+WITH {C2}, s AS (SELECT pair_id, {score_sql('chosen')} - {score_sql('rejected')} AS m FROM c2)
+SELECT {split_sql('pair_id')} AS split, {r6('avg(ln(1 + exp(-m)))')} AS mean_loss, count(*) AS n_rows FROM s GROUP BY 1"""

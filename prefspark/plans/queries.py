@@ -528,3 +528,32 @@ def q_evaluate_dpo(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = losses.eval_loss(losses.dpo_loss(per_pair), loss=F.when(F.col("margin") > 0, 0.0).otherwise(1.0))
     return e.join(wrong.select("split", F.col("mean_loss").alias("error_rate")), "split").select(
         "split", round6("mean_loss").alias("mean_loss"), round6("error_rate").alias("error_rate"), "n_rows")
+
+
+@query("evaluate_dpo_logits")
+def q_evaluate_dpo_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB5 from logits in vocabulary slices (LP1, D11): both models' logits of every position to the mean loss of each split."""
+    sequences = fx.c6_sequences(spark, sf_dir).withColumn("split", _split("pair_id"))
+    policy, reference = (fx.c6_logits(spark, sf_dir, sequences, m) for m in (0, 1))
+    e = jobs.evaluate_dpo_logits(policy, reference, sequences)
+    return e.select("split", round6("mean_loss").alias("mean_loss"), "n_rows")
+
+
+@query("logit_logps")
+def q_logit_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP1 -> LP3 -> JN4 from sliced logits: both models' mean response log-prob of every sequence, pads masked."""
+    sequences = fx.c6_sequences(spark, sf_dir)
+    policy, reference = (fx.c6_logits(spark, sf_dir, sequences, m) for m in (0, 1))
+    means = jobs.sequence_logps(policy, reference, sequences, mask_padding=True)
+    return means.select("pair_id", F.col("side").cast("bigint").alias("side"), round6("policy_lp").alias("policy_logp"),
+                        round6("ref_lp").alias("ref_logp"), F.col("response_cut").cast("bigint").alias("response_cut"))
+
+
+@query("evaluate_rm")
+def q_evaluate_rm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB5 (RM): one reward logit per side of every C2 pair to the mean ranking loss of each split (LS1, LS2, LS4)."""
+    pairs = fx.c2_pairs(spark, sf_dir).withColumn("split", _split("pair_id"))
+    sides = pairs.select("pair_id", "split", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("side"), F.array(_doc_score(F.col(c))).alias("logits")) for i, c in enumerate(("chosen", "rejected"))])).alias("s"))
+    e = jobs.evaluate_rm_logits(sides.select("pair_id", "split", "s.*"))
+    return e.select("split", round6("mean_loss").alias("mean_loss"), "n_rows")
