@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import md5_key
 from prefspark.operators.indexing import global_index
+from prefspark.operators.permute import permuted
 from prefspark.operators.tokens import PAD_ID
 
 
@@ -72,6 +73,28 @@ def assign_batches(df: DataFrame, batch_size: int, key: str, seed: int | None =
     return out.drop("_g")
 
 
+def epoch_batches(df: DataFrame, batch_size: int, key: str, num_epochs: int, seed: int = 42) -> DataFrame:
+    """BA1 + BA2 without a sort per epoch: ``(key, epoch, idx, batch_id, step)`` for every row of ``df`` in every epoch.
+
+    Rows are numbered once, in key order (the only exchange); each epoch's order is a seeded permutation of these numbers
+    (``permute.permuted``), which a row computes for itself. Batches and steps are as ``assign_batches`` gives them.
+    """
+    indexed = global_index(df.select(key), [F.col(key)], "_i")
+    n = indexed.count()
+    batches = -(-n // batch_size)
+    rows = with_epochs(indexed, num_epochs).withColumn("epoch", F.col("epoch").cast("bigint"))
+    placed = rows.withColumn("idx", permuted("_i", n, seed, "epoch"))
+    batch = F.floor(F.col("idx") / batch_size).cast("bigint")
+    return placed.select(key, "epoch", "idx", batch.alias("batch_id"), (F.col("epoch") * batches + batch + 1).alias("step"))
+
+
+def with_batches(rows: DataFrame, keys: DataFrame, batch_size: int, key: str, seed: int | None = 42) -> DataFrame:
+    """BA2 for wide rows: only ``keys`` (every key of ``rows`` once) is sorted and numbered; rows meet their batch by key."""
+    numbered = assign_batches(keys.select(key), batch_size, key, seed=seed, step_col=None)
+    numbered = numbered.select(F.col(key).alias("_k"), "idx", "batch_id")
+    return rows.join(numbered, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
+
+
 def plan_steps(df: DataFrame, batch_size: int, num_epochs: int) -> DataFrame:
     """BA3: one row ``(n_rows, batch_size, num_epochs, steps)`` with ``steps = ceil(n / b) * epochs``."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -126,5 +149,5 @@ def logged(step, every: int) -> Column:
     return (_c(step) % F.lit(every) == 0)
 
 
-__all__ = ["assign_batches", "log_steps", "logged", "pad_batch", "pad_pairs", "plan_steps",
-           "shuffle_key", "with_epochs"]
+__all__ = ["assign_batches", "epoch_batches", "log_steps", "logged", "pad_batch", "pad_pairs", "plan_steps",
+           "shuffle_key", "with_batches", "with_epochs"]

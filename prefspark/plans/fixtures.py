@@ -160,7 +160,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, batch_size: int = 2, seed: int
     positions run 0..width-2. Log-probs come from C3 (0 at pads); value = word length / 10
     at tokens and 0.5 at pads (masked later by RO7).
     """
-    from prefspark.operators.batching import assign_batches
+    from prefspark.operators.batching import with_batches
     from prefspark.operators.rollout import expand_responses
     from prefspark.operators.tokens import _maybe_broadcast
 
@@ -169,7 +169,8 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, batch_size: int = 2, seed: int
     seqs = pairs.select(F.col("pair_id").alias("seq_id"), tokens("chosen").alias("toks"))
     seqs = seqs.withColumn("n", F.size("toks")).withColumn(
         "reward", F.coalesce(F.try_divide(F.size(F.array_distinct("toks")), F.col("n")), F.lit(0.0)).cast("double"))
-    b = assign_batches(seqs, batch_size, "seq_id", seed=seed, step_col=None)
+    keys = c2_keys(spark, sf_dir).withColumnRenamed("pair_id", "seq_id")
+    b = materialize(with_batches(seqs, keys, batch_size, "seq_id", seed=seed))
     rows = expand_responses(b.select("batch_id", "seq_id", "reward", "toks"), "toks")
     looked = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left")
     return looked.select(

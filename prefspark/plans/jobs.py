@@ -32,7 +32,7 @@ def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str
         io.write_texts(texts, text_path)
     keyed = texts.select("tree_id", "text")
     enc = tokens.encode(keyed, "text", vocab, ["tree_id"], max_length=max_length)
-    b = batching.assign_batches(enc, batch_size, "tree_id", seed=seed, step_col=None)
+    b = batching.with_batches(enc, raw.select(F.col(key).alias("tree_id")), batch_size, "tree_id", seed=seed)
     padded = batching.pad_batch(b)
     return padded.select("tree_id", "batch_id", "input_ids", "attention_mask",
                          tokens.causal_labels("input_ids").alias("labels"))
@@ -47,7 +47,7 @@ def prepare_rm(pairs: DataFrame, vocab: DataFrame, split: str | None = None, key
     """
     pairs, kept = _one_split(pairs, split)
     shaped = tokens.shape_pairs(pairs, vocab, [key], max_length, add_bos=add_bos)
-    b = batching.assign_batches(shaped, batch_size, key, seed=seed, step_col=None)
+    b = batching.with_batches(shaped, pairs, batch_size, key, seed=seed)
     return batching.pad_pairs(b).withColumns(kept)
 
 
@@ -81,7 +81,7 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = None, ke
     with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt"), add_bos))
     joined = tokens.encode_columns(with_len, {"chosen_ids": "chosen_input", "rejected_ids": "rejected_input"},
                                    vocab, [key], max_length, carry=["prompt_len"], add_bos=add_bos)
-    b = batching.assign_batches(joined, batch_size, key, seed=seed, step_col=None)
+    b = batching.with_batches(joined, pairs, batch_size, key, seed=seed)
     # Each side is padded to its own batch maximum, as the two tokenizer calls do; the
     # response is cut off when the untruncated prompt fills the padded width.
     batch_w = Window.partitionBy("batch_id")
@@ -95,15 +95,21 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = None, ke
 
 def prepare_prompts(prompts: DataFrame, vocab: DataFrame, key: str = "prompt_id", text_col: str = "prompt",
                     max_length: int = MAX_LENGTH, batch_size: int = PPO_BATCH, num_epochs: int = PPO_EPOCHS,
-                    seed: int = 42, split: str | None = None, add_bos: bool = False) -> DataFrame:
+                    seed: int = 42, split: str | None = None, add_bos: bool = False, order: str = "sorted") -> DataFrame:
     """JB4: IO5 -> BA1/BA2 per epoch -> TK2/TK3 -> TK5 (prompt batches for rollouts).
 
     Only the keys are shuffled and numbered for each epoch; texts are encoded once and meet
-    their batches by key. Splits as in ``prepare_rm``.
+    their batches by key. ``order``: ``"sorted"`` sorts every epoch by its seeded hashes, ``"permuted"`` numbers the keys
+    once and permutes the numbers (``batching.epoch_batches``). Splits as in ``prepare_rm``.
     """
     prompts, kept = _one_split(prompts, split)
-    e = batching.with_epochs(prompts.select(key), num_epochs)
-    b = batching.assign_batches(e, batch_size, key, seed=seed, epoch_col="epoch")
+    if order == "permuted":
+        b = batching.epoch_batches(prompts, batch_size, key, num_epochs, seed)
+    elif order == "sorted":
+        e = batching.with_epochs(prompts.select(key), num_epochs)
+        b = batching.assign_batches(e, batch_size, key, seed=seed, epoch_col="epoch")
+    else:
+        raise ValueError(f"unknown order {order!r}")
     enc = tokens.encode(prompts, text_col, vocab, [key], max_length=max_length, add_bos=add_bos)
     return batching.pad_batch(b.join(enc, key), batch_col="step").withColumns(kept)
 

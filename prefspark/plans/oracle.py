@@ -569,3 +569,27 @@ def score_sql(text: str) -> str:
 SQL["evaluate_rm"] = f"""
 WITH {C2}, s AS (SELECT pair_id, {score_sql('chosen')} - {score_sql('rejected')} AS m FROM c2)
 SELECT {split_sql('pair_id')} AS split, {r6('avg(ln(1 + exp(-m)))')} AS mean_loss, count(*) AS n_rows FROM s GROUP BY 1"""
+
+# ---------------------------------------------------------------- permuted epochs
+
+
+def mixed_sql(source: str, where: str) -> str:
+    """``source`` (i, epoch, x) with x mixed once: six half rounds, a subquery each."""
+    draw = "CAST('0x' || substr(md5('{r}:' || CAST({half} AS VARCHAR) || ':42:' || CAST(epoch AS VARCHAR)), 1, 8) AS BIGINT)"
+    sql = f"(SELECT i, epoch, x // b AS l, x % b AS r, a, b, n FROM {source}, e_size WHERE {where})"
+    for r in range(6):
+        own, half, side = ("l", "r", "a") if r % 2 == 0 else ("r", "l", "b")
+        cols = f"({own} + {draw.format(r=r, half=half)}) % {side} AS {own}, {half}"
+        sql = f"(SELECT i, epoch, {cols}, a, b, n FROM {sql})"
+    return f"(SELECT i, epoch, CAST(l * b + r AS BIGINT) AS x, n FROM {sql})"
+
+
+SQL["epoch_batches"] = f"""
+WITH RECURSIVE {C2},
+e_size AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM c2)),
+e_rows AS (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS i FROM c2),
+e_all AS (SELECT i, CAST(unnest(range(0, 10)) AS BIGINT) AS epoch, i AS x FROM e_rows),
+e_walk AS (SELECT i, epoch, x, n FROM {mixed_sql('e_all', 'true')}
+           UNION ALL SELECT i, epoch, x, n FROM {mixed_sql('e_walk', 'x >= e_size.n').replace('e_walk, e_size', '(SELECT i, epoch, x FROM e_walk), e_size')})
+SELECT pair_id, epoch, x AS idx, x // 2 AS batch_id, CAST(epoch * ((n + 1) // 2) + x // 2 + 1 AS BIGINT) AS step
+FROM e_walk JOIN e_rows USING (i) WHERE x < n"""

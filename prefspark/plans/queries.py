@@ -137,9 +137,9 @@ def q_prompt_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JB1 tail: ChatML texts -> encode (whole texts) -> shuffled batches of 4 -> pad, mask, LM labels
     (TK4, TK5, TK7, BA2, WN3)."""
-    texts = chat.conversations_to_chatml(fx.table(spark, sf_dir, "conversations"))
-    enc = tokens.encode(texts, "text", _vocab(spark, sf_dir), ["conv_id"])
-    b = batching.assign_batches(enc, 4, "conv_id", seed=42, step_col=None)
+    conv = fx.table(spark, sf_dir, "conversations")
+    enc = tokens.encode(chat.conversations_to_chatml(conv), "text", _vocab(spark, sf_dir), ["conv_id"])
+    b = batching.with_batches(enc, conv.select("conv_id").distinct(), 4, "conv_id", seed=42)
     padded = batching.pad_batch(b)
     return padded.select(
         "conv_id", "batch_id", ids_string("input_ids").alias("input_ids"),
@@ -166,7 +166,7 @@ def q_shape_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pad_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JB2: shaped pairs -> shuffled batches of 4 -> shared per-batch padding (TK6)."""
     shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], MAX_LENGTH)
-    b = batching.assign_batches(shaped, 4, "pair_id", seed=42, step_col=None)
+    b = batching.with_batches(shaped, fx.c2_keys(spark, sf_dir), 4, "pair_id", seed=42)
     padded = batching.pad_pairs(b)
     return padded.select("pair_id", "batch_id", *[ids_string(c).alias(c) for c in (
         "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")])
@@ -557,3 +557,9 @@ def q_evaluate_rm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(i).alias("side"), F.array(_doc_score(F.col(c))).alias("logits")) for i, c in enumerate(("chosen", "rejected"))])).alias("s"))
     e = jobs.evaluate_rm_logits(sides.select("pair_id", "split", "s.*"))
     return e.select("split", round6("mean_loss").alias("mean_loss"), "n_rows")
+
+
+@query("epoch_batches")
+def q_epoch_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA1 + BA2 by permutation: ten epochs of batches of 2 over all C2 pairs, one index and no sort per epoch."""
+    return batching.epoch_batches(fx.c2_keys(spark, sf_dir), 2, "pair_id", num_epochs=10)
