@@ -11,12 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prefspark.operators.logsumexp import let
 from prefspark.session import materialize
 
 # The role mapping of the tree format.
 ROLE_MAPPING = {"prompter": "user", "assistant": "assistant"}
 
 
+#: More levels than JSON text can have: its readers stop at 1,000 nested values, two a level.
+DEEPEST = 1_000
+
+
 def map_role(role: Column) -> Column:
     """PR4: prompter -> user, assistant -> assistant, anything else (or NULL) raises."""
     out = None
@@ -37,36 +42,53 @@ def _node_fields(node: Column) -> list[Column]:
     ]
 
 
+def _levels(tree: Column, max_depth: int) -> Column:
+    """All nodes of one nested tree as ``array<struct<path, role, text>>``, level by level.
+
+    A fold over levels: the state holds the nodes found so far and the open level, whose children are the next one.
+    It runs as often as the tree can be deep (no deeper than it has lists of replies), and does nothing once a
+    level is empty.
+    """
+    root = F.variant_get(tree, "$.prompt", "variant")
+    path = F.array().cast("array<int>")
+    # the state keeps its very type, or every round would convert all of it
+    messages = "array<struct<path: array<int>, role: string, text: string>>"
+    nodes = "array<struct<path: array<int>, node: variant>>"
+
+    def message(x: Column) -> Column:
+        role, text, _ = _node_fields(x["node"])
+        return F.struct(x["path"].alias("path"), role.alias("role"), text.alias("text"))
+
+    def children(x: Column) -> Column:
+        replies = F.coalesce(_node_fields(x["node"])[2], F.array().cast("array<variant>"))
+        return F.transform(replies, lambda child, i: F.struct(F.array_append(x["path"], i).alias("path"), child.alias("node")))
+
+    def deeper(state: Column, _: Column) -> Column:
+        return F.when(F.size(state["open"]) == 0, state).otherwise(let(
+            F.flatten(F.transform(state["open"], children)).cast(nodes),
+            lambda level: F.struct(F.concat(state["done"], F.transform(level, message).cast(messages)).alias("done"), level.alias("open"))))
+
+    first = F.struct(path.alias("path"), root.alias("node"))
+    start = F.struct(
+        F.array(message(first)).cast(messages).alias("done"),
+        F.array(first).cast(nodes).alias("open"))
+    lists = F.regexp_count(F.to_json(tree), F.lit('"replies"\\s*:\\s*\\[\\s*\\{'))
+    rounds = F.least(F.lit(min(max_depth, DEEPEST)), lists)
+    unfinished = F.raise_error(F.lit(f"tree deeper than max_depth={min(max_depth, DEEPEST)}"))
+    return F.aggregate(F.sequence(F.lit(0), rounds), start, deeper,
+                       lambda state: F.when(F.size(state["open"]) > 0, unfinished).otherwise(state["done"]))
+
+
 def explode_tree(trees: DataFrame, tree_col: str = "tree", key: str = "tree_id", max_depth: int = 100_000) -> DataFrame:
     """TR1: nested trees (one VARIANT per row, ``{prompt: node}``) -> ``(key, path, role, text)``.
 
-    Level by level: ``posexplode`` of the ``replies`` list yields each child with its list
-    position, which extends the path. Every level is checkpointed (lineage stays flat and
-    the level survives executor loss) and the loop ends at the first empty level. A
-    missing ``replies`` or ``replies: null`` gives no children (S17, lenient); a
-    ``replies`` that is not a list raises. The JSON reader's own nesting limit (1,000) allows some 400 levels.
+    One pass over the rows, without a shuffle, a join or a checkpoint: each row's levels are folded into an array
+    of its messages (``_levels``), which is then exploded. A row holds its whole tree anyway, so this needs no more than a
+    few copies of it; a tree too large for a row comes in the adjacency form (TR2). A missing ``replies`` or ``replies: null``
+    gives no children (S17, lenient); a ``replies`` that is not a list raises. The JSON reader's own nesting
+    limit (1,000) allows some 400 levels.
     """
-    level = materialize(
-        trees.select(
-            F.col(key),
-            F.array().cast("array<int>").alias("path"),
-            *_node_fields(F.variant_get(F.col(tree_col), "$.prompt", "variant")),
-        )
-    )
-    parts = []
-    for _ in range(max_depth):
-        parts.append(level.select(key, "path", "role", "text"))
-        children = level.select(key, "path", F.posexplode("_replies").alias("_pos", "node")).select(
-            key, F.concat("path", F.array(F.col("_pos").cast("int"))).alias("path"), "node")
-        level = materialize(children.select(key, "path", *_node_fields(F.col("node"))))
-        if level.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"tree deeper than max_depth={max_depth}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return trees.select(F.col(key), F.inline(_levels(F.col(tree_col), max_depth))).select(key, "path", "role", "text")
 
 
 def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ def read_trees(spark: SparkSession, path: str, key: str | None = None, tree_col:
     FAILFAST turns a malformed line into an error instead of a NULL row. ``key`` names a
     top-level field that identifies the tree; otherwise ``monotonically_increasing_id``
     numbers the lines right after the scan (a content hash would merge duplicate trees,
-    which the reference keeps); ``explode_tree`` checkpoints that numbering at once.
+    which the reference keeps); the numbers hold for as long as the files do.
     Gzip input (a file, or any file of a folder or glob) is not splittable, so it is spread over ``partitions`` (default: the
     cluster's parallelism) right after the scan.
     """

@@ -203,3 +203,32 @@ def test_replies_not_a_list_raises(spark, tmp):
     p = _write(tmp, [{"prompt": {"role": "prompter", "text": "x", "replies": {"role": "assistant", "text": "y"}}}])
     with pytest.raises(Exception):
         trees.explode_tree(io.read_trees(spark, p)).collect()
+
+
+def test_chain_of_400_and_star_in_one_pass(spark, tmp):
+    """No checkpoint, shuffle or join per level, however deep or wide a tree is."""
+    node = {"role": "assistant", "text": "leaf"}
+    for i in range(400):
+        node = {"role": "prompter" if i % 2 else "assistant", "text": f"n{i}", "replies": [node]}
+    star = {"role": "prompter", "text": "root", "replies": [{"role": "assistant", "text": f"r{i}", "replies": []} for i in range(50_000)]}
+    msgs = trees.explode_tree(io.read_trees(spark, _write(tmp, [{"prompt": node, "k": "chain"}, {"prompt": star, "k": "star"}]), key="k"))
+    plan = msgs._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Exchange", "Join", "ExistingRDD", "Union"))
+    got = {}
+    for r in msgs.collect():
+        got.setdefault(r["tree_id"], []).append((r["path"], r["text"]))
+    assert sorted(got["chain"]) == sorted(([0] * d, "leaf" if d == 400 else f"n{399 - d}") for d in range(401))
+    assert sorted(got["star"]) == sorted([([], "root")] + [([i], f"r{i}") for i in range(50_000)])
+
+
+def test_branching_levels_and_max_depth(spark, tmp):
+    def grow(depth):
+        node = {"role": "prompter" if depth % 2 else "assistant", "text": f"{depth} \"replies\": ["}
+        return node | ({"replies": [grow(depth - 1) for _ in range(3)]} if depth else {})
+
+    raw = io.read_trees(spark, _write(tmp, [{"prompt": grow(5)}]))
+    paths = sorted(tuple(r["path"]) for r in trees.explode_tree(raw).collect())
+    assert len(paths) == sum(3**d for d in range(6)) == len(set(paths)) and max(map(len, paths)) == 5
+    assert trees.explode_tree(raw, max_depth=5).count() == len(paths)
+    with pytest.raises(Exception, match="max_depth"):
+        trees.explode_tree(raw, max_depth=3).collect()
