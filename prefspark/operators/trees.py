@@ -8,11 +8,14 @@ tree is spread over many tasks. A nested tree (TR1) is one VARIANT row until its
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.operators.logsumexp import let
-from prefspark.session import materialize
+from prefspark.operators.skew import HOT_ROWS, lookup
+from prefspark.session import Scratch, materialize
 
 # The role mapping of the tree format.
 ROLE_MAPPING = {"prompter": "user", "assistant": "assistant"}
@@ -91,52 +94,51 @@ def explode_tree(trees: DataFrame, tree_col: str = "tree", key: str = "tree_id",
     return trees.select(F.col(key), F.inline(_levels(F.col(tree_col), max_depth))).select(key, "path", "role", "text")
 
 
-def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int | None = None) -> DataFrame:
+def linearize_messages(nodes: DataFrame, key: str = "tree_id", max_rounds: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """TR2: adjacency rows ``(key, id, parent_id, ord, role, text)`` -> adds ``path`` and ``depth``.
 
     Pointer jumping: every node holds (ancestor, path segment from that ancestor); a
     round joins each unresolved node with its ancestor's row and concatenates segments,
     so the ancestor distance doubles per round and the loop ends after ceil(log2 depth)
-    rounds. Each round is one equi-join on the ancestor id, checkpointed. An orphan
-    (parent id absent) or a cycle raises instead of being dropped.
+    rounds. Each round is one lookup of the ancestors, in which a node that is the ancestor of
+    more than ``hot_rows`` others is dealt over several tasks (``skew.lookup``); only nodes not yet resolved are
+    joined and written. An orphan (parent id absent) or a cycle raises instead of being dropped.
     """
     # ids are only unique within their tree, so every step is keyed by both
     twice = nodes.groupBy(key, "id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1)
     if not twice.isEmpty():
         raise ValueError("a tree holds the same node id twice")
-    state = materialize(
-        nodes.select(
-            F.col(key).alias("k"), F.col("id"),
-            F.col("parent_id").alias("anc"),
-            F.when(F.col("parent_id").isNull(), F.array().cast("array<int>"))
-            .otherwise(F.array(F.col("ord").cast("int"))).alias("seg"),
+    with Scratch(nodes.sparkSession) as scratch:
+        # a tree key may be NULL: as a struct it is a value like any other
+        state = scratch.written(
+            nodes.select(
+                F.struct(F.col(key)).alias("k"), F.col("id"),
+                F.col("parent_id").alias("anc"),
+                F.when(F.col("parent_id").isNull(), F.array().cast("array<int>"))
+                .otherwise(F.array(F.col("ord").cast("int"))).alias("seg"),
+            )
         )
-    )
-    # Each round doubles the resolved distance, so 64 rounds cover any depth a long can
-    # count; running out means a parent chain that never reaches a root.
-    pending = not state.where(F.col("anc").isNotNull()).isEmpty()
-    rounds = 0
-    limit = max_rounds or 64
-    while pending:
-        rounds += 1
-        if rounds > limit:
-            raise RuntimeError("parent links do not reach a root (cycle?)")
-        s = state.alias("s")
-        a = state.select(F.col("k").alias("a_k"), F.col("id").alias("a_id"), F.col("anc").alias("a_anc"), F.col("seg").alias("a_seg"))
-        done = s.where(F.col("anc").isNull())
-        step = (
-            s.where(F.col("anc").isNotNull())
-            .join(a, F.col("k").eqNullSafe(F.col("a_k")) & (F.col("anc") == F.col("a_id")), "left")
-            .select(
+        resolved, pending = [state.where(F.col("anc").isNull())], state.where(F.col("anc").isNotNull())
+        # Each round doubles the resolved distance, so 64 rounds cover any depth a long can
+        # count; running out means a parent chain that never reaches a root.
+        rounds = 0
+        limit = max_rounds or 64
+        while not pending.isEmpty():
+            rounds += 1
+            if rounds > limit:
+                raise RuntimeError("parent links do not reach a root (cycle?)")
+            a = reduce(DataFrame.unionByName, [pending, *resolved]).select(
+                F.col("k").alias("a_k"), F.col("id").alias("a_id"), F.col("anc").alias("a_anc"), F.col("seg").alias("a_seg"))
+            step = scratch.written(lookup(pending, a, [("k", "a_k"), ("anc", "a_id")], ["id"], limit=hot_rows).select(
                 F.col("k"), F.col("id"),
                 F.when(F.col("a_id").isNull(), F.raise_error(F.concat(
                     F.lit("orphan node, parent not found: "), F.col("anc").cast("string"))))
                 .otherwise(F.col("a_anc")).alias("anc"),
                 F.concat(F.col("a_seg"), F.col("seg")).alias("seg"),
-            )
-        )
-        state = materialize(done.unionByName(step))
-        pending = not state.where(F.col("anc").isNotNull()).isEmpty()
-    paths = state.select(F.col("k").alias("_k"), F.col("id").alias("_id"), F.col("seg").alias("path"))
+            ))
+            resolved.append(step.where(F.col("anc").isNull()))
+            pending = step.where(F.col("anc").isNotNull())
+        paths = materialize(reduce(DataFrame.unionByName, resolved).select(
+            F.col("k")[key].alias("_k"), F.col("id").alias("_id"), F.col("seg").alias("path")))
     found = nodes.join(paths, F.col(key).eqNullSafe(F.col("_k")) & (F.col("id") == F.col("_id")))
     return found.drop("_k", "_id").withColumn("depth", F.size("path"))

@@ -593,3 +593,5 @@ e_walk AS (SELECT i, epoch, x, n FROM {mixed_sql('e_all', 'true')}
            UNION ALL SELECT i, epoch, x, n FROM {mixed_sql('e_walk', 'x >= e_size.n').replace('e_walk, e_size', '(SELECT i, epoch, x FROM e_walk), e_size')})
 SELECT pair_id, epoch, x AS idx, x // 2 AS batch_id, CAST(epoch * ((n + 1) // 2) + x // 2 + 1 AS BIGINT) AS step
 FROM e_walk JOIN e_rows USING (i) WHERE x < n"""
+
+SQL["tour_preorder"] = f"SELECT tree_id, id, depth, preorder FROM ({SQL['tree_preorder']})"

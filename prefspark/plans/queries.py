@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string, round6
 from prefspark.functions.exprs import tokens as word_tokens
-from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, trees
+from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, tour, trees
 from prefspark.operators.indexing import rank_within
 from prefspark.plans import fixtures as fx
 from prefspark.plans import jobs
@@ -563,3 +563,9 @@ def q_evaluate_rm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_epoch_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BA1 + BA2 by permutation: ten epochs of batches of 2 over all C2 pairs, one index and no sort per epoch."""
     return batching.epoch_batches(fx.c2_keys(spark, sf_dir), 2, "pair_id", num_epochs=10)
+
+
+@query("tour_preorder")
+def q_tour_preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TR2 + JN3 by Euler tour and list ranking: pre-order and depth of every node, without a key that can be hot."""
+    return tour.preorder(fx.c1_tree_nodes(spark, sf_dir)).select("tree_id", "id", "depth", "preorder")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,33 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Intermediate tables of an iterative operator, under the shared checkpoint folder, removed when the block ends.
+
+    A table that is written and read back is a plain scan: it has no lineage, and unlike a checkpoint it brings no
+    constraints of the plan behind it, which the optimizer multiplies from round to round. The operator's result has
+    to be materialized inside the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def written(self, df):
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def spread_scan(df):
     """Input-parallelism guard for a *raw file scan* about to be exploded into many rows.
 
