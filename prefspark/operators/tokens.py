@@ -216,15 +216,15 @@ def encode_columns(df: DataFrame, columns: dict[str, str], vocab: DataFrame, key
         *[F.max(F.when(F.col("_col") == i, F.col("_ids"))).alias(n) for i, n in enumerate(names)])
 
 
-def shape_pairs(pairs: DataFrame, vocab: DataFrame, keys: Sequence[str], max_length: int,
+def shape_pairs(pairs: DataFrame, vocab: DataFrame | EncoderFactory, keys: Sequence[str], max_length: int,
                 chosen: str = "chosen", rejected: str = "rejected", add_bos: bool = False) -> DataFrame:
     """TK8: tokenize both sides independently (truncated) into the four RM columns (PR1).
 
     Also flags ``degenerate`` pairs that became identical after truncation (S16).
     Both sides are encoded in one pass (``encode_columns``), so the whole step has one exchange.
     """
-    both = encode_columns(pairs, {"input_ids_chosen": chosen, "input_ids_rejected": rejected}, vocab, keys,
-                          max_length, add_bos=add_bos)
+    both = encode_any(pairs, {"input_ids_chosen": chosen, "input_ids_rejected": rejected}, vocab, keys,
+                      max_length, add_bos=add_bos)
     return both.select(
         *keys,
         "input_ids_chosen", attention_mask("input_ids_chosen").alias("attention_mask_chosen"),
@@ -274,3 +274,55 @@ def encode_with(df: DataFrame, text_col: str, encoder_factory: Callable[[], Call
             yield pd.Series([list(fn(t))[:max_length] if max_length else list(fn(t)) for t in texts])
 
     return df.withColumn(out, _enc(F.col(text_col)))
+
+
+#: A user tokenizer: called once per Python worker, it gives a function from a text to its ids.
+EncoderFactory = Callable[[], Callable[[str], list[int]]]
+
+
+def encode_columns_with(df: DataFrame, columns: dict[str, str], encoder_factory: EncoderFactory, max_length: int | None = None,
+                        side: str = "right", add_bos: bool = False, bos_id: int = BOS_ID) -> DataFrame:
+    """U1 (+ TK3, TK9): ``df`` with, for each entry of ``columns`` (output name -> text column), its ids, cut to
+    ``max_length``, as ``name``, the untruncated length as ``name_len`` and whether ids were cut off as ``name_cut``.
+
+    All columns of a row are encoded in one Arrow pass, where the rows lie. NULL texts have no ids. ``add_bos`` puts
+    ``bos_id`` before the ids, for encoders that do not add a begin token themselves; it counts as a token.
+    """
+    if side not in ("left", "right"):
+        raise ValueError(f"unknown truncation side {side!r}")
+    key = uuid.uuid4().hex
+    names = list(columns)
+    fields = []
+    for n in names:
+        fields += [T.StructField(n, T.ArrayType(T.IntegerType())), T.StructField(f"{n}_len", T.IntegerType()), T.StructField(f"{n}_cut", T.BooleanType())]
+    head = [bos_id] if add_bos else []
+    room = None if max_length is None else max(max_length - len(head), 0)
+
+    def cut(ids: list[int]) -> list[int]:
+        if room is None or len(ids) <= room:
+            return head + ids
+        return head + (ids[:room] if side == "right" else ids[len(ids) - room:])
+
+    @F.pandas_udf(T.StructType(fields))
+    def _enc(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:  # one column comes as a series
+        fn = worker_cache(key, encoder_factory)
+        for texts in batches:
+            out = {}
+            for n, series in zip(names, (texts,) if isinstance(texts, pd.Series) else texts, strict=True):
+                whole = [list(fn(t)) if t is not None else [] for t in series]
+                out[n] = [cut(ids) for ids in whole]
+                out[f"{n}_len"] = [len(ids) + len(head) for ids in whole]
+                out[f"{n}_cut"] = [room is not None and len(ids) > room for ids in whole]
+            yield pd.DataFrame(out)
+
+    # one call for all columns; its fields are taken from the written struct
+    made = df.withColumn("_encoded", _enc(*[F.col(columns[n]) for n in names]))
+    return made.select(*[c for c in df.columns if c not in {f.name for f in fields}], "_encoded.*")
+
+
+def encode_any(df: DataFrame, columns: dict[str, str], vocab: DataFrame | EncoderFactory, keys: Sequence[str],
+               max_length: int | None = None, carry: Sequence[str] = (), add_bos: bool = False) -> DataFrame:
+    """``keys`` + ``carry`` + one id array per entry of ``columns``, by a word vocabulary (TK2) or a user's encoder."""
+    if isinstance(vocab, DataFrame):
+        return encode_columns(df, columns, vocab, keys, max_length, carry, add_bos=add_bos)
+    return encode_columns_with(df, columns, vocab, max_length, add_bos=add_bos).select(*keys, *carry, *columns)

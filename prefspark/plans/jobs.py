@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prefspark.operators import batching, chat, logps, logsumexp, losses, rollout, tokens, trees
+from prefspark.operators import batching, chat, logps, logsumexp, losses, rollout, skew, tokens, trees
 from prefspark.sources import io
 
 # Default run settings of the pipelines -- maximum length, batch sizes
@@ -15,15 +15,16 @@ SFT_BATCH, RM_BATCH, DPO_BATCH, PPO_BATCH = 4, 4, 2, 2
 PPO_EPOCHS, LOGGING_STEPS = 10, 10
 
 
-def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str | None, vocab: DataFrame,
+def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str | None,
+                vocab: DataFrame | tokens.EncoderFactory,
                 max_length: int = MAX_LENGTH, batch_size: int = SFT_BATCH, system: str | None = chat.DEFAULT_SYSTEM_PROMPT,
-                seed: int = 42, key: str = "tree_id") -> DataFrame:
+                seed: int = 42, key: str = "tree_id", pad_id: int = tokens.PAD_ID) -> DataFrame:
     """JB1: IO1 -> TR1 -> TR6 -> IO7, then IO3 -> TK2/TK3 -> BA2 -> TK5/TK7.
 
     ``trees_path`` is a JSONL path or an already loaded VARIANT tree frame (column
     ``tree`` plus ``key``). Returns ``(key, batch_id, input_ids, attention_mask, labels)``;
     with ``text_path`` the ChatML texts are also written as JSONL on the way (the
-    reference's hand-over file).
+    reference's hand-over file). ``vocab`` is a word vocabulary, or the factory of an encoder (U1) whose pad is ``pad_id``.
     """
     raw = io.read_trees(spark, trees_path) if isinstance(trees_path, str) else trees_path
     msgs = trees.explode_tree(raw, key=key)
@@ -31,24 +32,25 @@ def prepare_sft(spark: SparkSession, trees_path: str | DataFrame, text_path: str
     if text_path is not None:
         io.write_texts(texts, text_path)
     keyed = texts.select("tree_id", "text")
-    enc = tokens.encode(keyed, "text", vocab, ["tree_id"], max_length=max_length)
+    enc = tokens.encode_any(keyed, {"input_ids": "text"}, vocab, ["tree_id"], max_length)
     b = batching.with_batches(enc, raw.select(F.col(key).alias("tree_id")), batch_size, "tree_id", seed=seed)
-    padded = batching.pad_batch(b)
+    padded = batching.pad_batch(b, pad_id=pad_id)
     return padded.select("tree_id", "batch_id", "input_ids", "attention_mask",
-                         tokens.causal_labels("input_ids").alias("labels"))
+                         tokens.causal_labels("input_ids", pad_id).alias("labels"))
 
 
-def prepare_rm(pairs: DataFrame, vocab: DataFrame, split: str | None = None, key: str = "pair_id",
-               max_length: int = MAX_LENGTH, batch_size: int = RM_BATCH, seed: int = 42, add_bos: bool = False) -> DataFrame:
+def prepare_rm(pairs: DataFrame, vocab: DataFrame | tokens.EncoderFactory, split: str | None = None, key: str = "pair_id",
+               max_length: int = MAX_LENGTH, batch_size: int = RM_BATCH, seed: int = 42, add_bos: bool = False,
+               pad_id: int = tokens.PAD_ID) -> DataFrame:
     """JB2: IO4/IO6 -> TK8 (four columns) -> BA2 -> TK6 shared padding.
 
     ``pairs`` with a ``split`` column must name the split to prepare, so that no batch mixes
-    splits; the column stays in the result. A split without rows raises.
+    splits; the column stays in the result. A split without rows raises. ``vocab`` as in ``prepare_sft``.
     """
     pairs, kept = _one_split(pairs, split)
     shaped = tokens.shape_pairs(pairs, vocab, [key], max_length, add_bos=add_bos)
     b = batching.with_batches(shaped, pairs, batch_size, key, seed=seed)
-    return batching.pad_pairs(b).withColumns(kept)
+    return batching.pad_pairs(b, pad_id=pad_id).withColumns(kept)
 
 
 def _one_split(rows: DataFrame, split: str | None) -> tuple[DataFrame, dict]:
@@ -65,22 +67,26 @@ def _one_split(rows: DataFrame, split: str | None) -> tuple[DataFrame, dict]:
     return chosen.drop("split"), {"split": F.lit(split)}
 
 
-def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = None, key: str = "pair_id",
+def prepare_dpo(pairs: DataFrame, vocab: DataFrame | tokens.EncoderFactory, split: str | None = None, key: str = "pair_id",
                 template: chat.ChatTemplate = chat.CHATML, max_length: int = MAX_LENGTH, batch_size: int = DPO_BATCH,
-                chosen_scope: str = "conversation", seed: int = 42, add_bos: bool = False) -> DataFrame:
+                chosen_scope: str = "conversation", seed: int = 42, add_bos: bool = False, pad_id: int = tokens.PAD_ID) -> DataFrame:
     """JB3: IO6 -> CT4 -> CT6 -> TK2/TK3 + TK9 -> BA2 -> TK5.
 
     Returns per pair: padded chosen / rejected ids with masks, the untruncated prompt
     length (counting a begin token if ``add_bos``) and whether either side lost its whole response
-    to truncation (S7). Splits as in ``prepare_rm``.
+    to truncation (S7). Splits as in ``prepare_rm``, ``vocab`` as in ``prepare_sft``; an encoder also gives the prompt's length.
     """
     pairs, kept = _one_split(pairs, split)
     texts = chat.preference_texts(pairs, template, keep=(key,))
     inputs = chat.model_inputs(texts, chosen_scope, template, raw=pairs if chosen_scope == "completion" else None)
     # Both sides encoded in one pass; the untruncated prompt length rides along.
-    with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt"), add_bos))
-    joined = tokens.encode_columns(with_len, {"chosen_ids": "chosen_input", "rejected_ids": "rejected_input"},
-                                   vocab, [key], max_length, carry=["prompt_len"], add_bos=add_bos)
+    sides = {"chosen_ids": "chosen_input", "rejected_ids": "rejected_input"}
+    if isinstance(vocab, DataFrame):
+        with_len = inputs.withColumn("prompt_len", tokens.token_count(F.col("prompt"), add_bos))
+        joined = tokens.encode_columns(with_len, sides, vocab, [key], max_length, carry=["prompt_len"], add_bos=add_bos)
+    else:
+        made = tokens.encode_columns_with(inputs, {**sides, "prompt_ids": "prompt"}, vocab, max_length, add_bos=add_bos)
+        joined = made.select(key, F.col("prompt_ids_len").alias("prompt_len"), *sides)
     b = batching.with_batches(joined, pairs, batch_size, key, seed=seed)
     # Each side is padded to its own batch maximum, as the two tokenizer calls do; the
     # response is cut off when the untruncated prompt fills the padded width.
@@ -89,18 +95,19 @@ def prepare_dpo(pairs: DataFrame, vocab: DataFrame, split: str | None = None, ke
         b.withColumn("chosen_cut", F.col("prompt_len") >= F.max(F.size("chosen_ids")).over(batch_w) - 1)
         .withColumn("rejected_cut", F.col("prompt_len") >= F.max(F.size("rejected_ids")).over(batch_w) - 1)
     )
-    out = batching.pad_batch(out, "chosen_ids", mask_col="chosen_mask")
-    return batching.pad_batch(out, "rejected_ids", mask_col="rejected_mask").withColumns(kept)
+    out = batching.pad_batch(out, "chosen_ids", pad_id=pad_id, mask_col="chosen_mask")
+    return batching.pad_batch(out, "rejected_ids", pad_id=pad_id, mask_col="rejected_mask").withColumns(kept)
 
 
-def prepare_prompts(prompts: DataFrame, vocab: DataFrame, key: str = "prompt_id", text_col: str = "prompt",
+def prepare_prompts(prompts: DataFrame, vocab: DataFrame | tokens.EncoderFactory, key: str = "prompt_id", text_col: str = "prompt",
                     max_length: int = MAX_LENGTH, batch_size: int = PPO_BATCH, num_epochs: int = PPO_EPOCHS,
-                    seed: int = 42, split: str | None = None, add_bos: bool = False, order: str = "sorted") -> DataFrame:
+                    seed: int = 42, split: str | None = None, add_bos: bool = False, order: str = "sorted",
+                    pad_id: int = tokens.PAD_ID) -> DataFrame:
     """JB4: IO5 -> BA1/BA2 per epoch -> TK2/TK3 -> TK5 (prompt batches for rollouts).
 
     Only the keys are shuffled and numbered for each epoch; texts are encoded once and meet
     their batches by key. ``order``: ``"sorted"`` sorts every epoch by its seeded hashes, ``"permuted"`` numbers the keys
-    once and permutes the numbers (``batching.epoch_batches``). Splits as in ``prepare_rm``.
+    once and permutes the numbers (``batching.epoch_batches``). Splits as in ``prepare_rm``, ``vocab`` as in ``prepare_sft``.
     """
     prompts, kept = _one_split(prompts, split)
     if order == "permuted":
@@ -110,8 +117,8 @@ def prepare_prompts(prompts: DataFrame, vocab: DataFrame, key: str = "prompt_id"
         b = batching.assign_batches(e, batch_size, key, seed=seed, epoch_col="epoch")
     else:
         raise ValueError(f"unknown order {order!r}")
-    enc = tokens.encode(prompts, text_col, vocab, [key], max_length=max_length, add_bos=add_bos)
-    return batching.pad_batch(b.join(enc, key), batch_col="step").withColumns(kept)
+    enc = tokens.encode_any(prompts, {"input_ids": text_col}, vocab, [key], max_length, add_bos=add_bos)
+    return batching.pad_batch(b.join(enc, key), batch_col="step", pad_id=pad_id).withColumns(kept)
 
 
 def evaluate_rm(scores: DataFrame, split: str = "split") -> DataFrame:
@@ -134,6 +141,21 @@ def evaluate_rm_logits(logits: DataFrame, key: str = "pair_id", split: str = "sp
     return evaluate_rm(scores, split)
 
 
+def evaluate_texts(rollouts: DataFrame, texts: DataFrame, make_predict_fn, max_length: int | None = None, **options) -> DataFrame:
+    """JB6 from texts: LP5 -> ``evaluate_rollouts``. ``rollouts`` has no reward yet; ``texts`` has ``(seq_id, prompt, response)``.
+
+    The reward of a sequence is the model's score of prompt + response (CT6), cut to ``max_length`` words; equal texts are
+    scored once (``logps.score_distinct``). A sequence without a text raises. ``options`` go to ``evaluate_rollouts``.
+    """
+    joined = texts.select("seq_id", chat.concat_text("prompt", "response").alias("_text"))
+    rewards = logps.score_distinct(joined, "_text", make_predict_fn, ["seq_id"], out="_reward", max_length=max_length).select(
+        F.col("seq_id").alias("_seq"), "_reward")
+    found = skew.lookup(rollouts, rewards, [("seq_id", "_seq")], ["pos"])
+    lost = F.raise_error(F.concat(F.lit("no text for sequence "), F.coalesce(F.col("seq_id").cast("string"), F.lit("NULL"))))
+    scored = found.withColumn("reward", F.when(F.col("_seq").isNull(), lost).otherwise(F.col("_reward"))).drop("_seq", "_reward")
+    return evaluate_rollouts(scored, **options)
+
+
 def _sides(rows: DataFrame, keys: list[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
     """Rows of sides 0 and 1 pivoted to one row per key: ``columns`` names a value's columns of both sides."""
     whole = (F.count(F.lit(1)) == 2) & (F.min("side") == 0) & (F.max("side") == 1)

@@ -460,21 +460,50 @@ SELECT pair_id, split, CAST(batch_id AS BIGINT) AS batch_id,
        {ids_str('list_resize(list_transform(r_ids, lambda x: 1), width, 0)')} AS attention_mask_rejected
 FROM m"""
 
+DPO_ROWS = f"""
+b AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 2 AS batch_id FROM sp),
+m AS (SELECT *, max(len(c_ids)) OVER (PARTITION BY split, batch_id) AS cw, max(len(r_ids)) OVER (PARTITION BY split, batch_id) AS rw FROM b)
+SELECT pair_id, split, CAST(batch_id AS BIGINT) AS batch_id, CAST(prompt_len AS BIGINT) AS prompt_len,
+       {ids_str('list_resize(c_ids, cw, 0)')} AS chosen_ids, {ids_str('list_resize(r_ids, rw, 0)')} AS rejected_ids,
+       CAST(prompt_len >= cw - 1 AS BIGINT) AS chosen_cut, CAST(prompt_len >= rw - 1 AS BIGINT) AS rejected_cut
+FROM m"""
+
 SQL["prepare_dpo"] = f"""
 WITH {C2}, {VOCAB},
-s_in AS (SELECT pair_id, {prompt_sql('prompt')} || {pair_sql('prompt', 'chosen')} AS c,
+s_in AS (SELECT pair_id, {split_sql('pair_id')} AS split, {prompt_sql('prompt')} || {pair_sql('prompt', 'chosen')} AS c,
                 {prompt_sql('prompt')} || {pair_sql('prompt', 'rejected')} AS r,
                 len({tok(prompt_sql('prompt'))}) + 1 AS prompt_len
-         FROM c2 WHERE {split_sql('pair_id')} = 'train'),
-{encoded('ec', 's_in', 'pair_id, prompt_len', 'c', 511)},
-{encoded('er', 's_in', 'pair_id, prompt_len', 'r', 511)},
-sp AS (SELECT ec.pair_id, ec.prompt_len, list_prepend(2, ec.ids) AS c_ids, list_prepend(2, er.ids) AS r_ids
-       FROM ec JOIN er ON ec.pair_id = er.pair_id),
-b AS (SELECT *, (row_number() OVER (ORDER BY md5(CAST(pair_id AS VARCHAR) || ':42'), pair_id) - 1) // 2 AS batch_id FROM sp),
-m AS (SELECT *, max(len(c_ids)) OVER (PARTITION BY batch_id) AS cw, max(len(r_ids)) OVER (PARTITION BY batch_id) AS rw FROM b)
-SELECT pair_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(prompt_len AS BIGINT) AS prompt_len,
-       {ids_str('list_resize(c_ids, cw, 0)')} AS chosen_ids, {ids_str('list_resize(r_ids, rw, 0)')} AS rejected_ids,
-       CAST(prompt_len >= cw - 1 AS BIGINT) AS chosen_cut, CAST(prompt_len >= rw - 1 AS BIGINT) AS rejected_cut
+         FROM c2),
+{encoded('ec', 's_in', 'pair_id, split, prompt_len', 'c', 511)},
+{encoded('er', 's_in', 'pair_id, split, prompt_len', 'r', 511)},
+sp AS (SELECT ec.pair_id, ec.split, ec.prompt_len, list_prepend(2, ec.ids) AS c_ids, list_prepend(2, er.ids) AS r_ids
+       FROM ec JOIN er ON ec.pair_id = er.pair_id),{DPO_ROWS}"""
+
+
+def lengths(text: str) -> str:
+    return f"[CAST(length(w) + 6 AS INTEGER) FOR w IN list_slice({tok(text)}, 1, 512)]"
+
+
+SQL["prepare_dpo_encoder"] = f"""
+WITH {C2},
+sp AS (SELECT pair_id, {split_sql('pair_id')} AS split, len({tok(prompt_sql('prompt'))}) AS prompt_len,
+              {lengths(prompt_sql('prompt') + ' || ' + pair_sql('prompt', 'chosen'))} AS c_ids,
+              {lengths(prompt_sql('prompt') + ' || ' + pair_sql('prompt', 'rejected'))} AS r_ids
+       FROM c2),{DPO_ROWS}"""
+
+TREE_TEXTS = SQL["tree_explode"].split("SELECT tree_id, CAST(len(path)")[0].rstrip()
+
+SQL["prepare_sft"] = f"""{TREE_TEXTS},
+{VOCAB},
+chat AS (SELECT tree_id, '<|im_start|>system' || {NL} || 'You are a helpful assistant.<|im_end|>' || {NL} ||
+                string_agg({block("CASE role WHEN 'prompter' THEN 'user' ELSE role END", 'text')}, {NL} ORDER BY path) || {NL} AS text
+         FROM t_path GROUP BY tree_id),
+{encoded('enc', 'chat', 'tree_id', 'text', 512)},
+b AS (SELECT tree_id, ids, (row_number() OVER (ORDER BY md5(CAST(tree_id AS VARCHAR) || ':42'), tree_id) - 1) // 4 AS batch_id FROM enc),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM b)
+SELECT tree_id, CAST(batch_id AS BIGINT) AS batch_id, {ids_str('list_resize(ids, width, 0)')} AS input_ids,
+       {ids_str('list_resize([1 FOR x IN ids], width, 0)')} AS attention_mask,
+       {ids_str('[CASE WHEN x = 0 THEN -100 ELSE x END FOR x IN list_resize(ids, width, 0)]')} AS labels
 FROM m"""
 
 SQL["prepare_prompts"] = f"""
@@ -595,3 +624,14 @@ SELECT pair_id, epoch, x AS idx, x // 2 AS batch_id, CAST(epoch * ((n + 1) // 2)
 FROM e_walk JOIN e_rows USING (i) WHERE x < n"""
 
 SQL["tour_preorder"] = f"SELECT tree_id, id, depth, preorder FROM ({SQL['tree_preorder']})"
+
+
+TEXT_REWARD = ROLL.replace(
+    "r_seq AS (SELECT pair_id AS seq_id,", f"r_seq AS (SELECT pair_id AS seq_id, list_slice({tok('prompt || chosen')}, 1, 512) AS scored,").replace(
+    "CASE WHEN len(toks) = 0 THEN 0.0 ELSE len(list_distinct(toks)) / len(toks) END AS reward",
+    "CASE WHEN len(scored) = 0 THEN 0.0 ELSE len(list_distinct(scored)) / len(scored) END AS reward")
+
+SQL["evaluate_rollouts"] = f"""
+WITH {C2}, {C3}, {TEXT_REWARD}
+SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss,
+       {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean FROM pb"""

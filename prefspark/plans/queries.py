@@ -445,12 +445,38 @@ def q_prepare_rm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("prepare_dpo")
 def q_prepare_dpo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JB3 on the train split of C2 message lists, with a begin token: padded ids, prompt length, cut flags."""
+    """JB3 on both splits of C2 message lists, each batched on its own, with a begin token: padded ids, prompt length, cut flags."""
     pairs = fx.c2_message_pairs(spark, sf_dir).withColumn("split", _split("pair_id"))
-    d = jobs.prepare_dpo(pairs, _vocab(spark, sf_dir), split="train", add_bos=True)
-    return d.select("pair_id", "batch_id", F.col("prompt_len").cast("bigint").alias("prompt_len"),
-                    *[ids_string(c).alias(c) for c in ("chosen_ids", "rejected_ids")],
-                    *[F.col(c).cast("bigint").alias(c) for c in ("chosen_cut", "rejected_cut")])
+    vocab = _vocab(spark, sf_dir)
+    return _dpo_rows(*[jobs.prepare_dpo(pairs, vocab, split=s, add_bos=True) for s in ("train", "test")])
+
+
+def _dpo_rows(train: DataFrame, test: DataFrame) -> DataFrame:
+    return train.unionByName(test).select(
+        "pair_id", "split", "batch_id", F.col("prompt_len").cast("bigint").alias("prompt_len"),
+        *[ids_string(c).alias(c) for c in ("chosen_ids", "rejected_ids")],
+        *[F.col(c).cast("bigint").alias(c) for c in ("chosen_cut", "rejected_cut")])
+
+
+def _length_encoder():
+    """Fixture encoder for the U1 hook: a word's id is its length, after the special ids."""
+    pat, marker = re.compile(TOKEN_PATTERN), re.compile(MARKER_PATTERN)
+    return lambda text: [len(w) + len(tokens.SPECIALS) for w in pat.findall(marker.sub(r" \1 ", text))]
+
+
+@query("prepare_dpo_encoder")
+def q_prepare_dpo_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB3 with a user's encoder (U1) in place of a vocabulary, on both splits: three texts of a row in one pass."""
+    pairs = fx.c2_message_pairs(spark, sf_dir).withColumn("split", _split("pair_id"))
+    return _dpo_rows(*[jobs.prepare_dpo(pairs, _length_encoder, split=s) for s in ("train", "test")])
+
+
+@query("prepare_sft")
+def q_prepare_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB1 on nested trees: TR1 -> TR6 -> TK2 / TK3 -> BA2 -> TK5 / TK7, batches of 4."""
+    trees_ = fx.c1_nested_trees(spark, sf_dir)
+    p = jobs.prepare_sft(spark, trees_, None, _vocab(spark, sf_dir))
+    return p.select("tree_id", "batch_id", *[ids_string(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])
 
 
 @query("prepare_prompts")
@@ -569,3 +595,15 @@ def q_epoch_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tour_preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TR2 + JN3 by Euler tour and list ranking: pre-order and depth of every node, without a key that can be hot."""
     return tour.preorder(fx.c1_tree_nodes(spark, sf_dir)).select("tree_id", "id", "depth", "preorder")
+
+
+@query("evaluate_rollouts")
+def q_evaluate_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JB6 from texts (LP5 -> RO1 .. RO13): rewards of a user's model for prompt + response cut to 512 words, every step."""
+    texts = fx.c2_pairs(spark, sf_dir).select(F.col("pair_id").alias("seq_id"), "prompt", F.col("chosen").alias("response"))
+    m = jobs.evaluate_texts(fx.c4_rollouts(spark, sf_dir).drop("reward"), texts, _distinct_ratio_model, max_length=MAX_LENGTH, logging_steps=None)
+    return m.select(F.col("step").cast("bigint").alias("step"), *[round6(c).alias(c) for c in ("loss", "kl", "reward_mean", "raw_reward_mean")])
+
+
+#: Queries that run a user's Python by design (U1, U5); all others stay in the JVM.
+USER_HOOKS = ("score_texts", "prepare_dpo_encoder", "evaluate_rollouts")

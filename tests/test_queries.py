@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from prefspark.plans.queries import QUERIES
+from prefspark.plans.queries import QUERIES, USER_HOOKS
 from tests.conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -71,7 +71,7 @@ def test_entry_smoke(spark):
     assert df.columns == ["conv_id", "text", "n_messages"] and df.count() > 0
 
 
-CORE = [n for n in NAMES if n != "score_texts"]
+CORE = [n for n in NAMES if n not in USER_HOOKS]
 
 
 @pytest.mark.parametrize("name", CORE)
