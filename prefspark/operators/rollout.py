@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prefspark.operators import scan, skew
+
 # Discount, GAE lambda, clip range and KL coefficient of the PPO objective.
 GAMMA, LAM, CLIP, KL_COEF = 0.99, 0.95, 0.2, 0.05
 
@@ -163,14 +165,8 @@ def ppo_terms(df: DataFrame, clip: float = CLIP, policy_lp: str = "policy_lp", r
     )
 
 
-def ppo_loss(df: DataFrame, clip: float = CLIP, kl_coef: float = KL_COEF, batch: str = "batch_id",
-             value: str = "value", mask: str = "mask", mask_padding: bool = False) -> DataFrame:
-    """RO9-RO12 in one grouped aggregation per batch.
-
-    policy = -mean(min(ratio*A, clip(ratio)*A)); value = mean((V - returns)^2); both over
-    every position including pads (S13, literal) unless ``mask_padding``; kl = masked
-    mean of the log-ratio (NULL for an all-pad batch); total = policy + 0.5 value + c kl.
-    """
+def _batch_losses(df: DataFrame, clip: float, kl_coef: float, batch: str, value: str, mask: str, mask_padding: bool,
+                  more: dict[str, Column]) -> DataFrame:
     t = ppo_terms(df, clip, mask=mask)
     sq = F.pow(F.col(value) - F.col("returns"), 2)
     if mask_padding:
@@ -182,29 +178,30 @@ def ppo_loss(df: DataFrame, clip: float = CLIP, kl_coef: float = KL_COEF, batch:
     kl = F.try_divide(F.sum(F.col("logratio") * F.col(mask)), F.sum(mask))
     return (
         t.groupBy(batch)
-        .agg(policy.alias("policy_loss"), vloss.alias("value_loss"), kl.alias("kl"))
+        .agg(policy.alias("policy_loss"), vloss.alias("value_loss"), kl.alias("kl"), *[c.alias(n) for n, c in more.items()])
         .withColumn("loss", F.col("policy_loss") + F.lit(0.5) * F.col("value_loss")
                     + F.lit(kl_coef) * F.col("kl"))
     )
 
 
+def ppo_loss(df: DataFrame, clip: float = CLIP, kl_coef: float = KL_COEF, batch: str = "batch_id",
+             value: str = "value", mask: str = "mask", mask_padding: bool = False) -> DataFrame:
+    """RO9-RO12 in one grouped aggregation per batch.
+
+    policy = -mean(min(ratio*A, clip(ratio)*A)); value = mean((V - returns)^2); both over
+    every position including pads (S13, literal) unless ``mask_padding``; kl = masked
+    mean of the log-ratio (NULL for an all-pad batch); total = policy + 0.5 value + c kl.
+    """
+    return _batch_losses(df, clip, kl_coef, batch, value, mask, mask_padding, {})
+
+
 def rollout_metrics(df: DataFrame, clip: float = CLIP, kl_coef: float = KL_COEF, batch: str = "batch_id",
-                    reward: str = "reward", centered: str = "reward_centered", pos: str = "pos") -> DataFrame:
-    """RO13: per-batch loss, KL and mean reward -- centred (~0, as logged, S11) and raw."""
-    t = ppo_terms(df, clip)
+                    reward: str = "reward", centered: str = "reward_centered", pos: str = "pos",
+                    value: str = "value", mask: str = "mask", mask_padding: bool = False) -> DataFrame:
+    """RO13: ``ppo_loss`` and, in the same aggregation, the mean reward -- centred (~0, as logged, S11) and raw."""
     first = F.col(pos) == 0
-    sq = F.pow(F.col("value") - F.col("returns"), 2)
-    return (
-        t.groupBy(batch)
-        .agg(
-            (-F.avg("surrogate")).alias("policy_loss"),
-            F.avg(sq).alias("value_loss"),
-            F.try_divide(F.sum(F.col("logratio") * F.col("mask")), F.sum("mask")).alias("kl"),
-            F.avg(F.when(first, F.col(centered))).alias("reward_mean"),
-            F.avg(F.when(first, F.col(reward))).alias("raw_reward_mean"),
-        )
-        .withColumn("loss", F.col("policy_loss") + F.lit(0.5) * F.col("value_loss") + F.lit(kl_coef) * F.col("kl"))
-    )
+    means = {"reward_mean": F.avg(F.when(first, F.col(centered))), "raw_reward_mean": F.avg(F.when(first, F.col(reward)))}
+    return _batch_losses(df, clip, kl_coef, batch, value, mask, mask_padding, means)
 
 
 def advantages(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, reward_at: str = "last_column",
@@ -224,6 +221,31 @@ def advantages(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, reward_at:
     return gae(out, gamma, lam, method)
 
 
-def logged_step(step: Column | str, every: int) -> Column:
-    s = F.col(step) if isinstance(step, str) else step
-    return (s % F.lit(every) == 0)
+def long_advantages(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, reward_at: str = "last_column",
+                    piece: int = scan.PIECE) -> DataFrame:
+    """RO1 -> RO7 -> RO2 -> RO3 -> RO4/RO5 as ``advantages``, for sequences and batches of any length.
+
+    No window spans a sequence or a batch: batch figures are aggregated and looked up by dealt rows
+    (``skew.lookup``), values and advantages of a sequence are scanned in pieces of ``piece`` positions (``scan``).
+    """
+    first = F.col("pos") == 0
+    figures = df.groupBy(F.col("batch_id").alias("_b")).agg(F.avg(F.when(first, F.col("reward"))).alias("_mean"), F.max("pos").alias("_end"))
+    out = skew.lookup(df, figures, [("batch_id", "_b")], ["seq_id", "pos"])
+    out = mask_values(out.withColumn("reward_centered", F.col("reward") - F.col("_mean")))
+    if reward_at == "last_column":
+        end = F.col("pos") == F.col("_end")
+    elif reward_at == "last_token":
+        ends = out.where(F.col("mask") > 0).groupBy(F.col("seq_id").alias("_s"), F.col("batch_id").alias("_sb")).agg(F.max("pos").alias("_last"))
+        out = skew.lookup(out, ends, [("seq_id", "_s"), ("batch_id", "_sb")], ["pos"]).drop("_s", "_sb")
+        end = F.col("pos") == F.col("_last")
+    else:
+        raise ValueError(f"unknown reward placement {reward_at!r}")
+    out = out.withColumn("reward_t", F.when(end, F.col("reward_centered")).otherwise(F.lit(0.0))).drop("_b", "_mean", "_end", "_last")
+    keys = ["batch_id", "seq_id"]
+    out = scan.next_value(out, keys, "pos", "value", "_next", piece)
+    out = out.withColumn("delta", F.col("reward_t") + F.lit(gamma) * F.col("_next") - F.col("value")).drop("_next")
+    if gamma * lam == 0.0:
+        out = out.withColumn("advantage", F.col("delta"))
+    else:
+        out = scan.discounted_sums(out, keys, "pos", "delta", gamma * lam, "advantage", piece)
+    return out.withColumn("returns", F.col("advantage") + F.col("value"))

@@ -635,3 +635,5 @@ SQL["evaluate_rollouts"] = f"""
 WITH {C2}, {C3}, {TEXT_REWARD}
 SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss + 0.05 * kl')} AS loss,
        {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean FROM pb"""
+
+SQL["gae_long"] = SQL["gae"]

@@ -413,7 +413,7 @@ def q_rollout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = rollout.rollout_metrics(_rollouts(spark, sf_dir)).withColumn("step", F.col("batch_id") + 1)
     return m.select(F.col("step").cast("bigint").alias("step"), round6("loss").alias("loss"), round6("kl").alias("kl"),
                     round6("reward_mean").alias("reward_mean"), round6("raw_reward_mean").alias("raw_reward_mean"),
-                    rollout.logged_step("step", 10).cast("bigint").alias("logged"))
+                    batching.logged("step", 10).cast("bigint").alias("logged"))
 
 
 @query("tree_explode")
@@ -605,5 +605,13 @@ def q_evaluate_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("step").cast("bigint").alias("step"), *[round6(c).alias(c) for c in ("loss", "kl", "reward_mean", "raw_reward_mean")])
 
 
+@query("gae_long")
+def q_gae_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RO1 .. RO5 by scans over pieces of 64 positions: the advantages of ``gae`` without a window over a sequence or batch."""
+    r = rollout.long_advantages(fx.c4_rollouts(spark, sf_dir), piece=64)
+    return r.select("batch_id", "seq_id", F.col("pos").cast("bigint").alias("pos"),
+                    round6("advantage").alias("advantage"), round6("returns").alias("returns"))
+
+
 #: Queries that run a user's Python by design (U1, U5); all others stay in the JVM.
 USER_HOOKS = ("score_texts", "prepare_dpo_encoder", "evaluate_rollouts")
