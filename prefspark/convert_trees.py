@@ -3,7 +3,8 @@
     spark-submit -m prefspark.convert_trees --input_file trees.jsonl --output_dir out/
     python -m prefspark.convert_trees --input_file trees.jsonl.gz --output_dir out/ --system ""
 
-Output is a folder of JSON-lines part files with one ``{"text": ...}`` per input tree.
+Output is a folder of JSON-lines part files with one ``{"text": ...}`` per input tree, in input order: line n of the
+parts, taken by name, is tree n.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from prefspark.sources import io
 
 
 def run(spark: SparkSession, input_file: str, output_dir: str, system: str | None = chat.DEFAULT_SYSTEM_PROMPT) -> int:
-    """IO1 -> TR1 -> TR6 -> IO7; returns the number of texts written."""
+    """IO1 -> TR1 -> TR6 -> IO7 in input order; returns the number of texts written."""
     ensure_checkpoint_dir(spark)
     texts = chat.trees_to_chatml(trees.explode_tree(io.read_trees(spark, input_file)), system=system or None)
-    io.write_texts(texts, output_dir)
-    return io.read_texts(spark, output_dir).count()
+    return io.write_texts_ordered(texts, output_dir, order="tree_id")
 
 
 def main(argv: list[str] | None = None) -> None:

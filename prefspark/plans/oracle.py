@@ -637,3 +637,8 @@ SELECT CAST(batch_id + 1 AS BIGINT) AS step, {r6('policy_loss + 0.5 * value_loss
        {r6('kl')} AS kl, {r6('reward_mean')} AS reward_mean, {r6('raw_reward_mean')} AS raw_reward_mean FROM pb"""
 
 SQL["gae_long"] = SQL["gae"]
+
+SQL["batch_files"] = SQL["pad_pairs"]
+
+SQL["ordered_texts"] = f"""
+SELECT row_number() OVER (ORDER BY conv_id) - 1 AS line, text FROM ({SQL['chatml_conversations']})"""

@@ -9,6 +9,7 @@ value hashes are engine-independent.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -22,6 +23,8 @@ from prefspark.operators.indexing import rank_within
 from prefspark.plans import fixtures as fx
 from prefspark.plans import jobs
 from prefspark.plans.jobs import MAX_LENGTH
+from prefspark.session import ensure_checkpoint_dir
+from prefspark.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -613,5 +616,29 @@ def q_gae_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round6("advantage").alias("advantage"), round6("returns").alias("returns"))
 
 
+@query("batch_files")
+def q_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO8 + D10: shaped pairs written as batch-sorted bucket files, read back and padded per batch without an exchange (TK6)."""
+    shaped = tokens.shape_pairs(_pair_texts(spark, sf_dir), _vocab(spark, sf_dir), ["pair_id"], MAX_LENGTH)
+    path = f"{ensure_checkpoint_dir(spark)}/batches-{uuid.uuid4().hex}"
+    io.write_batches(batching.with_batches(shaped, fx.c2_keys(spark, sf_dir), 4, "pair_id", seed=42), path)
+    padded = batching.pad_pairs(io.read_batches(spark, path))
+    return padded.select("pair_id", "batch_id", *[ids_string(c).alias(c) for c in (
+        "input_ids_chosen", "attention_mask_chosen", "input_ids_rejected", "attention_mask_rejected")])
+
+
+@query("ordered_texts")
+def q_ordered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO7 in input order, read back with line numbers (IO3): line n over all parts is conversation n."""
+    texts = chat.conversations_to_chatml(fx.table(spark, sf_dir, "conversations"))
+    path = f"{ensure_checkpoint_dir(spark)}/texts-{uuid.uuid4().hex}"
+    io.write_texts_ordered(texts, path, order="conv_id")
+    parts = io.read_manifest(spark, path)["parts"]
+    firsts = spark.createDataFrame([(p["file"], p["first"]) for p in parts], "_name string, _first long")
+    lines = io.line_numbers(spark.read.schema(io.TEXT_SCHEMA).json(path))
+    named = lines.withColumn("_name", F.element_at(F.split("file", "/"), -1))
+    return named.join(F.broadcast(firsts), "_name").select((F.col("_first") + F.col("line")).alias("line"), F.col("text"))
+
+
 #: Queries that run a user's Python by design (U1, U5); all others stay in the JVM.
 USER_HOOKS = ("score_texts", "prepare_dpo_encoder", "evaluate_rollouts")
