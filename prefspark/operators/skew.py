@@ -59,3 +59,15 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], dea
     for a, b in on:
         same = same & (F.col(a) == F.col(b))
     return dealt.drop("_pieces").join(repeated.drop("_pieces"), same, how).drop("_piece", "_spare")
+
+
+def frequent(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """``(column)``: up to ``most`` frequent values of a column, from one mergeable sketch of all its rows.
+
+    The sketch (frequent items) keeps counters for ``16 * most`` values, 1,024 to 1,000,000, and is merged like any
+    aggregate, so its size does not depend on the data. A counter is wrong by at most 3.5 rows in each ``counters``
+    rows: a value that holds a larger share cannot be missed among the ``most`` largest. NULL is left out.
+    """
+    counters = max(1024, min(1_000_000, 16 * most))
+    top = rows.where(F.col(column).isNotNull()).agg(F.expr(f"approx_top_k(`{column}`, {int(most)}, {counters})").alias("_top"))
+    return top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias(column))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from prefspark.functions.exprs import tokens
 from prefspark.functions.workers import worker_cache
 from prefspark.operators.indexing import global_index
+from prefspark.operators.skew import frequent, lookup
 
 # Special tokens, in id order (pad = 0, unk = 1, bos = 2, eos = 3, then the ChatML markers).
 SPECIALS = ("<pad>", "<unk>", "<bos>", "<eos>", "<|im_start|>", "<|im_end|>")
@@ -61,11 +62,6 @@ def build_vocab(texts: DataFrame, text_col: str = "text", specials: Sequence[str
     return special_rows.unionByName(words)
 
 
-def _maybe_broadcast(vocab: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast the vocabulary only behind a counted size bound."""
-    return F.broadcast(vocab) if _small(vocab, max_rows) else vocab
-
-
 def _small(vocab: DataFrame, max_rows: int) -> bool:
     text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in vocab.schema if f.dataType.typeName() == "string"]
     width = sum(text, F.lit(16))
@@ -73,29 +69,30 @@ def _small(vocab: DataFrame, max_rows: int) -> bool:
     return size["n"] <= max_rows and size["bytes"] <= BROADCAST_BYTES
 
 
+def with_table(rows: DataFrame, table: DataFrame, deal: Sequence[str], on: str = "token", max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+    """``rows`` left-joined with a table of one row per token: broadcast when its counted size is small, else a lookup
+    that deals tokens with many rows, and rows without a token, over tasks by the columns ``deal``."""
+    if _small(table, max_rows):
+        return rows.join(F.broadcast(table), on, "left")
+    named = table.withColumnRenamed(on, "_of")
+    return lookup(rows, named, [(on, "_of")], deal).drop("_of")
+
+
 def _salted_lookup(stream: DataFrame, vocab: DataFrame, on: str, keys: Sequence[str], salt_buckets: int,
                    hot_tokens: int) -> DataFrame:
     """Shuffle join of exploded tokens against a vocabulary too large to broadcast.
 
     Word frequencies are Zipfian: a handful of tokens can hold a large share of all rows
-    and would land in one join task. The vocabulary carries counts, so its ``hot_tokens``
-    most frequent entries are a set of known, bounded size -- broadcast to flag hot rows.
-    Hot rows get a deterministic salt in [0, salt_buckets) from their (row, position);
-    the vocabulary rows of hot tokens are replicated once per salt. Every other row keeps
-    salt 0, so the join is exact and only the head is spread. Specials have no count but may be
-    any share of the rows, so they are always hot. Tokens outside the vocabulary match nothing,
-    whatever their salt, so those that are frequent in the stream itself, and NULL, are salted too.
+    and would land in one join task. A sketch of the stream (``skew.frequent``) names its ``hot_tokens`` most
+    frequent tokens, specials and tokens outside the vocabulary alike -- a set of bounded size,
+    broadcast to flag hot rows. Hot rows get a deterministic salt in [0, salt_buckets) from their
+    (row, position), as do NULLs, which match nothing; the vocabulary rows of hot tokens are replicated once per
+    salt. Every other row keeps salt 0, so the join is exact and only the head is spread.
     """
-    special = vocab.where(F.col("count") == 0).limit(1000)
-    head = vocab.orderBy(F.col("count").desc(), F.col(on)).limit(hot_tokens)
-    hot = head.unionByName(special).select(on, F.lit(True).alias("_hot")).distinct()
-    in_vocab = vocab.select(on, F.lit(True).alias("_listed"))
-    frequent = stream.sample(0.01, seed=7).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    strangers = frequent.orderBy(F.col("_n").desc(), F.col(on)).limit(hot_tokens).join(in_vocab, on, "left_anti").select(
-        on, F.lit(True).alias("_strange"))
+    hot = frequent(stream.select(on), on, hot_tokens).withColumn("_hot", F.lit(True))
     salt = F.pmod(F.xxhash64(*keys, "pos"), F.lit(salt_buckets))
-    s = stream.join(F.broadcast(hot), on, "left").join(F.broadcast(strangers), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col("_strange") | F.col(on).isNull(), salt).otherwise(F.lit(0))).drop("_strange")
+    s = stream.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), salt).otherwise(F.lit(0)))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
     v = vocab.join(F.broadcast(hot), on, "left").select(
         *[c for c in vocab.columns if c != "count"], F.explode(salts).alias("_salt"))
@@ -107,11 +104,9 @@ def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     With a broadcast lookup the exploded rows then stay in place and the regrouping
     needs no second exchange, so the shuffle moves raw text instead of exploded
-    (key, pos, id) tuples. The explicit partition count keeps AQE from folding the
-    CPU-heavy explode into one task when the text itself is small.
+    (key, pos, id) tuples. The number of partitions is the session's; adaptive execution folds small ones.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism), *keys)
+    return df.repartition(*keys)
 
 
 def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str], out: str = "input_ids",
@@ -149,11 +144,12 @@ def encode(df: DataFrame, text_col: str, vocab: DataFrame, keys: Sequence[str],
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_id", F.lit(unk_id)).alias("id")))
     grouped = looked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(item)).alias("_items"),
-        F.count(F.lit(1)).alias("_rows"), F.min("n_tokens").alias("_least"), F.max("n_tokens").alias("n_tokens"),
+        F.count(F.lit(1)).alias("_rows"), F.max("pos").alias("_last"),
+        F.min("n_tokens").alias("_least"), F.max("n_tokens").alias("n_tokens"),
     )
-    # two texts of one key would be merged into one: positions or lengths that disagree give them away
-    places = F.size(F.array_distinct(F.transform("_items", lambda x: x["pos"])))
-    merged = (F.col("_least") != F.col("n_tokens")) | (F.col("_rows") != F.greatest(places, F.lit(1)))
+    # two texts of one key would be merged into one: lengths that disagree, or more rows than places, give them away
+    places = F.greatest(F.coalesce(F.col("_last"), F.lit(0)) + 1, F.lit(1))
+    merged = (F.col("_least") != F.col("n_tokens")) | (F.col("_rows") != places)
     repeated = F.raise_error(F.concat(F.lit("more than one text for key "), F.to_json(F.struct(*keys))))
     ids = F.when(merged, repeated).otherwise(F.transform("_items", lambda x: x["id"]))
     if add_bos:

@@ -20,9 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def turn_id(conv_id="conv_id", turn="turn"):
-    """One long for a (conversation, turn), unlike for all others: Cantor's pairing, which no turn number outgrows."""
-    c, t = F.col(conv_id), F.col(turn)
-    return (((c + t) * (c + t + 1) / 2).cast("bigint") + t).cast("bigint")
+    """One long for a (conversation, turn), unlike for all others: Cantor's pairing, in integers.
+
+    It has room for conversation and turn numbers whose sum is below 2 ** 32; a larger one raises (overflow).
+    """
+    s = f"({conv_id} + {turn})"
+    half = f"IF({s} % 2 = 0, ({s} DIV 2) * ({s} + 1), {s} * (({s} + 1) DIV 2))"
+    return F.expr(f"CAST({half} + {turn} AS BIGINT)")
 
 
 def c1_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +166,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, batch_size: int = 2, seed: int
     """
     from prefspark.operators.batching import with_batches
     from prefspark.operators.rollout import expand_responses
-    from prefspark.operators.tokens import _maybe_broadcast
+    from prefspark.operators.tokens import with_table
 
     pairs = c2_pairs(spark, sf_dir)
     lps, dp, dr = c3_unigram_logps(spark, sf_dir)
@@ -172,7 +176,7 @@ def c4_rollouts(spark: SparkSession, sf_dir: str, batch_size: int = 2, seed: int
     keys = c2_keys(spark, sf_dir).withColumnRenamed("pair_id", "seq_id")
     b = materialize(with_batches(seqs, keys, batch_size, "seq_id", seed=seed))
     rows = expand_responses(b.select("batch_id", "seq_id", "reward", "toks"), "toks")
-    looked = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left")
+    looked = with_table(rows, lps, ["seq_id", "pos"])
     return looked.select(
         "batch_id", "seq_id", "pos", "token",
         F.when(F.col("is_pad"), F.lit(0.0)).otherwise(F.coalesce("policy_lp", F.lit(dp))).alias("policy_lp"),

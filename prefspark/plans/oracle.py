@@ -642,3 +642,6 @@ SQL["batch_files"] = SQL["pad_pairs"]
 
 SQL["ordered_texts"] = f"""
 SELECT row_number() OVER (ORDER BY conv_id) - 1 AS line, text FROM ({SQL['chatml_conversations']})"""
+
+SQL["nucleus_rows"] = SQL["nucleus"]
+SQL["draw_rows"] = SQL["sample_one"]

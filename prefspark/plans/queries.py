@@ -20,6 +20,7 @@ from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string,
 from prefspark.functions.exprs import tokens as word_tokens
 from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, tour, trees
 from prefspark.operators.indexing import rank_within
+from prefspark.operators.skew import lookup
 from prefspark.plans import fixtures as fx
 from prefspark.plans import jobs
 from prefspark.plans.jobs import MAX_LENGTH
@@ -227,6 +228,21 @@ def q_sample_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("seq_id", F.col("item").cast("bigint").alias("item"))
 
 
+@query("nucleus_rows")
+def q_nucleus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA4 on rows of logits: the candidate sets of ``nucleus`` without exploding, shuffling or sorting across rows."""
+    rows = fx.c5_logits(spark, sf_dir).select("seq_id", F.posexplode(sampling.nucleus_of("logits")).alias("_at", "_c"))
+    return rows.select("seq_id", F.col("_c.item").cast("bigint").alias("item"), round6("_c.prob").alias("prob"),
+                       (F.col("_at") + 1).cast("bigint").alias("rank"))
+
+
+@query("draw_rows")
+def q_draw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BA5 on rows of logits: the draw of ``sample_one`` as an expression."""
+    rows = fx.c5_logits(spark, sf_dir).select("seq_id", sampling.nucleus_of("logits").alias("c"))
+    return rows.select("seq_id", sampling.drawn_of("c", "seq_id").cast("bigint").alias("item"))
+
+
 @query("token_logps")
 def q_token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LP1 + JN2: log-softmax of each logits row gathered at its label (row layout, no shuffle)."""
@@ -252,8 +268,6 @@ def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = MAX_LENG
     at j+1, so the response mean needs no window: it averages the tokens after the
     first response token (S4) -- the response slice is cut out *before* the scorer join.
     """
-    from prefspark.operators.tokens import _maybe_broadcast
-
     texts = chat.preference_texts(fx.c2_message_pairs(spark, sf_dir), keep=("pair_id",))
     inputs = chat.model_inputs(texts, "conversation")
     sides = inputs.select(
@@ -270,9 +284,9 @@ def _sequence_logps(spark: SparkSession, sf_dir: str, max_length: int = MAX_LENG
         F.slice(word_tokens(F.col("s.inp")), 1, max_length).alias("toks"),
     ).withColumn("length", F.size("toks"))
     resp = seqs.select("pair_id", "side", "prompt_len", "length",
-                       F.explode_outer(F.slice("toks", F.col("prompt_len") + 2, F.col("length"))).alias("token"))
+                       F.posexplode_outer(F.slice("toks", F.col("prompt_len") + 2, F.col("length"))).alias("pos", "token"))
     lps, dp, dr = fx.c3_unigram_logps(spark, sf_dir)
-    scored = resp.join(_maybe_broadcast(lps, 2_000_000), "token", "left").select(
+    scored = tokens.with_table(resp, lps, ["pair_id", "side", "pos"]).select(
         "pair_id", "side", "prompt_len", "length",
         F.when(F.col("token").isNotNull(), F.coalesce("policy_lp", F.lit(dp))).alias("policy_lp"),
         F.when(F.col("token").isNotNull(), F.coalesce("ref_lp", F.lit(dr))).alias("ref_lp"),
@@ -343,7 +357,8 @@ def q_pairwise_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_good, n_bad = good.count(), bad.count()
     fewer, more = (bad, good) if n_bad <= n_good else (good, bad)
     at = fewer.withColumnRenamed("k", "_k")
-    paired = more.join(at, F.pmod(F.col("k"), F.lit(max(1, min(n_good, n_bad)))) == F.col("_k"))
+    turn = more.withColumn("_turn", F.pmod(F.col("k"), F.lit(max(1, min(n_good, n_bad)))))
+    paired = lookup(turn, at, [("_turn", "_k")], ["k"], how="inner")  # few partners meet many documents each
     pl = losses.pairwise_loss(paired)
     return pl.select(F.col("k").cast("bigint").alias("pair_id"), "chosen_doc", "rejected_doc",
                      round6("reward_chosen").alias("reward_chosen"),
@@ -513,8 +528,6 @@ def _padded_token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
     Row ``pos`` scores token ``pos + 1``; each side is padded to its longest row in the batch. A pad
     scores -0.5 under the policy and -0.25 under the reference, so that means over pads show.
     """
-    from prefspark.operators.tokens import _maybe_broadcast
-
     texts = chat.preference_texts(fx.c2_message_pairs(spark, sf_dir), keep=("pair_id",))
     batches = batching.assign_batches(fx.c2_keys(spark, sf_dir), 2, "pair_id", seed=42, step_col=None).select("pair_id", "batch_id")
     inputs = chat.model_inputs(texts, "conversation").join(batches, "pair_id")
@@ -526,7 +539,7 @@ def _padded_token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row", F.concat("toks", F.array_repeat(F.lit(None).cast("string"), F.col("length") - F.size("toks"))))
     rows = padded.select("pair_id", "side", "prompt_len", "length", F.posexplode(F.slice("row", 2, F.col("length"))).alias("pos", "token"))
     lps, dp, dr = fx.c3_unigram_logps(spark, sf_dir)
-    scored = rows.join(_maybe_broadcast(lps, 2_000_000), "token", "left").withColumn("is_pad", F.col("token").isNull())
+    scored = tokens.with_table(rows, lps, ["pair_id", "side", "pos"]).withColumn("is_pad", F.col("token").isNull())
     keys = ["pair_id", "side", "pos"]
     policy = scored.select(*keys, "prompt_len", "length", "is_pad",
                            F.when(F.col("is_pad"), -0.5).otherwise(F.coalesce("policy_lp", F.lit(dp))).alias("logp"))
