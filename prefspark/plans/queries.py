@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string, round6
+from prefspark.functions.exprs import MARKER_PATTERN, TOKEN_PATTERN, ids_string, last_segment, round6
 from prefspark.functions.exprs import tokens as word_tokens
 from prefspark.operators import batching, chat, logps, losses, rollout, sampling, tokens, tour, trees
 from prefspark.operators.indexing import rank_within
@@ -649,7 +649,7 @@ def q_ordered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = io.read_manifest(spark, path)["parts"]
     firsts = spark.createDataFrame([(p["file"], p["first"]) for p in parts], "_name string, _first long")
     lines = io.line_numbers(spark.read.schema(io.TEXT_SCHEMA).json(path))
-    named = lines.withColumn("_name", F.element_at(F.split("file", "/"), -1))
+    named = lines.withColumn("_name", last_segment("file"))
     return named.join(F.broadcast(firsts), "_name").select((F.col("_first") + F.col("line")).alias("line"), F.col("text"))
 
 
