@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
+from prefspark.llm.bpe import slices
 from prefspark.llm.common import map_batches
 
 # Fixed values of HTML: elements that start a block, that have no content, and whose content is not markup.
@@ -44,20 +45,29 @@ BAD_TAGS = frozenset("nav footer aside form menu dialog button select option dat
 BAD_WORDS = frozenset(
     "ad ads adbox adslot adunit advert advertisement adverts advertising banner sponsor sponsored promo promos promotion promoted sidebar sidebars "
     "sidenav menu menus nav navbar navigation navigate breadcrumb breadcrumbs footer footers foot bottombar cookie cookies consent gdpr notice notices notification "
-    "notifications disclaimer popup modal overlay newsletter subscribe subscription signup login signin share sharing sharebar social related "
-    "recommended recommendations comment comments commentlist reply replies respond discussion disqus responses widget widgets copyright legal toolbar pagination pager "
-    "skip search searchbox form contentinfo complementary alert alertdialog teaser teasers trending popular".split()
+    "notifications disclaimer popup modal overlay newsletter subscribe subscription signup login signin share sharing sharebar "
+    "recommended recommendations widget widgets copyright toolbar pagination pager "
+    "skip searchbox contentinfo complementary alertdialog teaser teasers".split()
+)
+#: What readers write; an article element inside is one of their comments.
+TALK_WORDS = frozenset("comment comments commentlist commenter reply replies respond disqus responses readers reader thread threads discussion".split())
+#: Words that may as well name what a text is about: they lower a block's score only a little.
+WEAK_WORDS = frozenset("legal social related search form alert trending popular".split())
+#: Words that say nothing of their own in a compound such as ``ad-box`` or ``site_footer``.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box button buttons center col column container content fixed group header inline inner item items js large left link links list main mobile "
+    "module new outer page panel post primary right row secondary section site small sticky text title top ui unit widget wrap wrapper".split()
 )
 HEAD_WORDS = frozenset("header masthead topbar banner".split())
 #: Elements whose class, id and role say what a page has or is about, not that their content is boilerplate.
 FRAMES = frozenset("html body main article".split())
 GOOD_WORDS = frozenset("article articlebody articletext entry post story content maincontent main body".split())
-WEIGHT = {"good": 6.0, "bad": -14.0, "head": -2.0, "outside": -9.0, "links": -5.0, "bare": -1.5, "word": 0.6, "words_most": 3.0, "stop": 1.0}
+WEIGHT = {"good": 6.0, "bad": -14.0, "weak": -4.0, "head": -2.0, "outside": -9.0, "links": -5.0, "bare": -1.5, "word": 0.6, "words_most": 3.0, "stop": 1.0}
 SMOOTH, SIBLING = 2.0, 0.5
 
-TAG = re.compile(
-    r"""<(?:!--(?:.*?--!?>|.*)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[!?/][^>]*+>)""", re.S
-)
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
+STOP = re.compile("""["'>]""")
+COMMENT_END = re.compile("--!?>")
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 TOKEN = re.compile(r"[a-z]+")
 
@@ -67,7 +77,7 @@ class Element:
     """An open element; the flags hold if it or an element around it has them. block: the block it stands in.
 
     hard: bad by its element or because it is hidden. A class, id or role that is only a word's guess ends at a
-    nearer article or main, which is judged anew.
+    nearer article or main, which is judged anew, but readers' comments stay comments.
     """
 
     name: str
@@ -78,7 +88,9 @@ class Element:
     head: bool
     link: bool
     hard: bool = False
+    weak: bool = False
     block: Element | None = None
+    texts: int = 0  # an article's own blocks of several words
 
 
 @dataclass(slots=True)
@@ -91,23 +103,38 @@ class Block:
     depth: int
     parent: int
     near: int
+    weak: bool = False
+
+
+def _named(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names in ``value`` consists of ``words`` and plain words: ``ad-box`` does, ``form-of-government`` does not."""
+    for name in value.split():
+        parts = set(TOKEN.findall(name))
+        if parts & words and parts <= words | PLAIN_WORDS:
+            return True
+    return False
 
 
-def _judge(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
-    """Whether an element's name and attributes speak for content, for boilerplate, for a page header; whether it is surely not shown as text."""
-    good, bad, head = name in ("article", "main"), name in BAD_TAGS, name == "header"
+def _judge(name: str, attributes: str) -> tuple[bool, bool, bool, bool, bool]:
+    """Whether an element's name and attributes speak for content, for boilerplate, for a page header; whether it is surely
+    not shown as the page's text; whether they speak against it a little."""
+    good, bad, head, weak = name in ("article", "main"), name in BAD_TAGS, name == "header", False
     hard = bad
     if attributes:
         for key, *values in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "").lower()
             if key in ("class", "id", "role", "itemprop"):
                 words = set(TOKEN.findall(value))
-                bad = bad or (bool(words & BAD_WORDS) and name not in FRAMES)
+                if name not in FRAMES:
+                    talk = _named(value, TALK_WORDS)
+                    hard = hard or talk
+                    bad = bad or talk or _named(value, BAD_WORDS)
+                    weak = weak or _named(value, WEAK_WORDS)
                 head = head or (bool(words & HEAD_WORDS) and name not in FRAMES)
                 good = good or (bool(words & GOOD_WORDS) and name != "body")
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 bad = hard = True
-    return good, bad, head, hard
+    return good, bad, head, hard, weak
 
 
 class PageReader:
@@ -122,30 +149,69 @@ class PageReader:
         self.linked = 0
         self.low = 0  # least depth since the last block
         self.made = 0
+        self.articles: list[Element] = []
 
     def read(self, html: str) -> list[Block]:
         at, end = 0, len(html)
+        self.html, self.dead, self.empty_from = html, set(), end + 1
+        self.last = {c: html.rfind(c) for c in "\"'>"}
         while at < end:
-            m = TAG.search(html, at)
-            if m is None:
+            start = html.find("<", at)
+            if start < 0:
                 self.text(html[at:])
                 break
-            if m.start() > at:
-                self.text(html[at : m.start()])
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
-            if not name:
+            if html.startswith("<!--", start):
+                self.text(html[at:start])
+                m = COMMENT_END.search(html, start + 4)
+                at = m.end() if m else end
+                continue
+            m = NAME.match(html, start + 1)
+            stop = self.tag_end(m.end()) if m else html.find(">", start) if start < self.last[">"] and html[start + 1] in "!?/" else -1
+            if stop < 0:  # no tag after all
+                self.text(html[at : start + 1])
+                at = start + 1
+                continue
+            if start > at:
+                self.text(html[at:start])
+            at = stop + 1
+            if not m:
                 continue
-            if m[1] or m[4]:
+            name = m[2].lower()
+            if m[1]:
                 self.end_tag(name)
                 continue
-            self.start_tag(name, m[3] or m[6] or "")
+            self.start_tag(name, html[m.end() : stop])
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
                 at = close.start() if close else end
         self.flush()
         return self.blocks
 
+    def tag_end(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``: at the first ``>`` outside of quotes, or if quotes do not close, at the
+        first one; -1 if there is none.
+
+        Nothing is read twice for long: an opening quote from which no end was found is remembered, so a
+        later tag that comes to it gives up at once, and so is the place after which neither quotes nor ends follow.
+        """
+        html, first, tried = self.html, at, []
+        while at < self.empty_from:
+            m = STOP.search(html, at)
+            if m is None:
+                self.empty_from = at
+                break
+            mark = m.start()
+            if html[mark] == ">":
+                return mark
+            if mark in self.dead:
+                break
+            tried.append(mark)
+            if mark >= self.last[html[mark]]:
+                break
+            at = html.find(html[mark], mark + 1) + 1
+        self.dead.update(tried)
+        return html.find(">", first) if first <= self.last[">"] else -1
+
     def text(self, raw: str) -> None:
         top = self.stack[-1]
         if top.name in RAW or (top.bad and not top.block.bad):  # code, or an advert, button and the like inside a line
@@ -164,12 +230,16 @@ class PageReader:
                 depth = top.depth
                 self.low = min(self.low, depth)
                 distance = 0 if not self.blocks else depth + self.blocks[-1].depth - 2 * self.low
-                self.blocks.append(Block(text, self.linked, top.good, top.bad, top.head, depth, top.number, distance))
+                self.blocks.append(Block(text, self.linked, top.good, top.bad, top.head, depth, top.number, distance, top.weak))
+                if self.articles and not top.bad and text.count(" ") >= 4:
+                    self.articles[-1].texts += 1
                 self.low = depth
         self.linked = 0
 
     def pop(self) -> None:
         gone = self.stack.pop()
+        if self.articles and self.articles[-1] is gone:
+            self.articles.pop()
         self.open[gone.name] -= 1
         self.low = min(self.low, len(self.stack))
 
@@ -198,13 +268,16 @@ class PageReader:
         if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
             return
         top = self.stack[-1]
-        good, bad, head, hard = _judge(name, attributes)
-        hard = top.hard or hard or name in RAW or name == "head"
+        good, bad, head, hard, weak = _judge(name, attributes)
+        # an article inside an article that has text of its own is a comment on it
+        hard = top.hard or hard or name in RAW or name == "head" or (name == "article" and bool(self.articles) and self.articles[-1].texts > 0)
         anew = name in ("article", "main")
         self.made += 1
         new = Element(name, self.made, len(self.stack) + 1, top.good or good, hard or bad or (top.bad and not anew), head or (top.head and not anew),
-                      top.link or name == "a", hard)
+                      top.link or name == "a", hard, weak or (top.weak and not anew))
         new.block = new if name in BLOCK else top.block
+        if name == "article":
+            self.articles.append(new)
         self.stack.append(new)
         self.open[name] = self.open.get(name, 0) + 1
 
@@ -235,6 +308,8 @@ def costs(blocks: list[Block]) -> list[float]:
             score += WEIGHT["head"] if b.good else WEIGHT["bad"]
         if b.bad:
             score += WEIGHT["bad"]
+        elif b.weak:
+            score += WEIGHT["weak"]
         out.append(score)
     return out
 
@@ -338,7 +413,7 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
     """Add ``text_col``: the main text of the whole page. Every row stays; null html gives an empty text.
 
     White space in a block becomes single spaces, blocks are joined by two line ends. An existing column of
-    that name is replaced.
+    that name is replaced. Repeated rows have equal texts, an empty table stays empty, pages of any length are read whole.
     """
     kept = [c for c in pages.columns if c != text_col]
     source = pages.select(*kept)
@@ -347,7 +422,8 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page) for page in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, text_col])
+            for part in slices(batch, at):
+                texts = [main_text(page) for page in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*kept, text_col])
 
     return map_batches(source, run, schema)

@@ -84,3 +84,44 @@ def test_bad_words_of_frames_and_wrappers_leave_the_article():
     for hidden in (" hidden", " style='display:none'"):
         assert main_text(page.format(**none | {"w": hidden})) == ""
     assert main_text(f"<body><div class='sidebar'><p>{text}</p></div><article><p>{text}</p></article></body>") == text
+
+
+LONG = "The long paragraph of the story has many words in it, and it ends with a full stop."
+
+
+@pytest.mark.parametrize("markup", ["section class='legal'", "div class='form-of-government'", "ul class='social-history'", "div class='comment-on-law'",
+                                    "div class='share-price-report'", "div id='search'", "div class='no-comments'"])
+def test_article_text_with_a_class_that_names_its_subject_stays(markup):
+    name = markup.split()[0]
+    inner = f"<li>{LONG}</li>" if name == "ul" else f"<p>{LONG}</p>"
+    assert h.main_text(f"<article><p>{LONG}</p><{markup}>{inner}</{name}><p>Last words.</p></article>") == f"{LONG}\n\n{LONG}\n\nLast words."
+
+
+@pytest.mark.parametrize("markup", ["div class='ad-box'", "div class='site_footer'", "div class='x cookie-notice'", "div class='comments'", "div id='share-buttons'", "nav", "aside"])
+def test_boilerplate_inside_of_an_article_goes(markup):
+    assert h.main_text(f"<article><p>{LONG}</p><{markup}><p>{LONG} Not this.</p></{markup.split()[0]}></article>") == LONG
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>{0}</p></article><div class='reader-thread'><article><p>{0} I say.</p></article></div>",
+    "<article><p>{0}</p><section class='comments'><article class='post'><p>{0} I say.</p></article></section></article>",
+    "<article><h1>Title</h1><p>{0}</p><div class='below'><article><p>{0} I say.</p><article><p>{0} So do I.</p></article></article></div></article>",
+])
+def test_comments_marked_up_as_articles_go(page):
+    assert "say" not in h.main_text(page.format(LONG)) and LONG in h.main_text(page.format(LONG))
+
+
+def test_an_article_that_only_wraps_articles_keeps_them():
+    page = f"<article class='page'><header><a href=1>Home</a></header><article><p>{LONG}</p></article></article>"
+    assert h.main_text(page) == LONG
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a ", "<a '", "<!x", "</", "<a \"'", '<a ">', "<a '\">", '<a " b=\'">x', "<", "&", "<b x='>\"", "<!--"])
+@pytest.mark.parametrize("tail", ["", ">", '">', "' \">"])
+def test_hostile_pages_are_linear(piece, tail):
+    import time
+
+    page = piece * (400_000 // len(piece)) + tail
+    begin = time.perf_counter()
+    assert isinstance(h.main_text(page), str)
+    assert time.perf_counter() - begin < 5
