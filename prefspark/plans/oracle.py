@@ -645,3 +645,14 @@ SELECT row_number() OVER (ORDER BY conv_id) - 1 AS line, text FROM ({SQL['chatml
 
 SQL["nucleus_rows"] = SQL["nucleus"]
 SQL["draw_rows"] = SQL["sample_one"]
+
+SQL["tree_files"] = SQL["tree_lines"] = SQL["tree_explode"]
+
+SQL["pair_files"] = f"""
+WITH {C2}
+SELECT {split_sql('pair_id')} AS split, chosen, rejected, count(*) AS n_rows, count(*) AS n_keys FROM c2 GROUP BY ALL"""
+
+SQL["prompt_files"] = f"""
+SELECT {split_sql('item_id')} AS split, text AS prompt, count(*) AS n_rows, count(*) AS n_keys FROM benchmark GROUP BY ALL"""
+
+SQL["token_logps_long"] = SQL["token_logps"]

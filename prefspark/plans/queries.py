@@ -648,10 +648,68 @@ def q_ordered_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     io.write_texts_ordered(texts, path, order="conv_id")
     parts = io.read_manifest(spark, path)["parts"]
     firsts = spark.createDataFrame([(p["file"], p["first"]) for p in parts], "_name string, _first long")
-    lines = io.line_numbers(spark.read.schema(io.TEXT_SCHEMA).json(path))
+    lines = io.line_numbers(io.read_texts(spark, path))
     named = lines.withColumn("_name", last_segment("file"))
     return named.join(F.broadcast(firsts), "_name").select((F.col("_first") + F.col("line")).alias("line"), F.col("text"))
 
 
+def _tree_rows(msgs: DataFrame, tree_id: Column) -> DataFrame:
+    return msgs.select(tree_id.cast("bigint").alias("tree_id"), F.size("path").cast("bigint").alias("depth"), ids_string("path").alias("path"),
+                       trees.map_role(F.col("role")).alias("role"), "text")
+
+
+def _tree_lines(spark: SparkSession, sf_dir: str, indent: str = "") -> str:
+    """A folder of tree JSONL: every nested tree of C1 with its number as ``k``, one a line."""
+    nested = fx.c1_nested_trees(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+    line = F.concat(F.lit(indent + '{"k":"'), F.col("tree_id"), F.lit('",'), F.expr("substring(to_json(tree), 2)"), F.lit(indent))
+    nested.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("tree_files")
+def q_tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO1 + IO2 -> TR1: tree JSONL files read as one VARIANT a line, keyed by a field, to message rows."""
+    raw = io.read_trees(spark, _tree_lines(spark, sf_dir), key="k")
+    return _tree_rows(trees.explode_tree(raw), F.col("tree_id"))
+
+
+@query("tree_lines")
+def q_tree_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO2 + SF1 -> TR1: the same trees from lines of text with white space around them."""
+    raw = io.trees_from_lines(spark.read.text(_tree_lines(spark, sf_dir, indent=" \t")))
+    keyed = raw.withColumn("tree_id", F.variant_get("tree", "$.k", "string"))
+    return _tree_rows(trees.explode_tree(keyed), F.col("tree_id"))
+
+
+@query("pair_files")
+def q_pair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO4 + IO6: C2 as a multi-split pair dataset in files, read back by split; ``n_keys`` distinct keys of ``n_rows`` rows."""
+    pairs = fx.c2_pairs(spark, sf_dir).select("chosen", "rejected", _split("pair_id").alias("split"))
+    path = f"{ensure_checkpoint_dir(spark)}/pairs-{uuid.uuid4().hex}"
+    pairs.write.partitionBy("split").parquet(path)
+    read = io.read_pairs(spark, path)
+    both = io.select_split(read, "train").unionByName(io.select_split(read, "test"))
+    return both.groupBy("split", "chosen", "rejected").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("pair_id").alias("n_keys"))
+
+
+@query("prompt_files")
+def q_prompt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO5 + IO6: benchmark prompts as a JSON dataset of two splits, read back with keys of file and line number."""
+    prompts = fx.table(spark, sf_dir, "benchmark").select(F.col("text").alias("prompt"), _split("item_id").alias("split"))
+    path = f"{ensure_checkpoint_dir(spark)}/prompts-{uuid.uuid4().hex}"
+    prompts.write.partitionBy("split").json(path)
+    read = io.read_prompts(spark, path, fmt="json")
+    return read.groupBy("split", "prompt").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("prompt_id").alias("n_keys"))
+
+
+@query("token_logps_long")
+def q_token_logps_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP1 + JN2 on the long layout: a row per item, the label's log-softmax by windows."""
+    rows = fx.c5_logits(spark, sf_dir).select("seq_id", F.lit(0).alias("pos"), "label", F.posexplode("logits").alias("item", "logit"))
+    t = logps.token_logps_long(rows)
+    return t.select("seq_id", F.col("label").cast("bigint").alias("label"), round6("logp").alias("logp"))
+
+
 #: Queries that run a user's Python by design (U1, U5); all others stay in the JVM.
 USER_HOOKS = ("score_texts", "prepare_dpo_encoder", "evaluate_rollouts")

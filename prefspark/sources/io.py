@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from prefspark.functions.exprs import strip_line
 from prefspark.operators.indexing import global_index
 from prefspark.session import materialize
 
@@ -44,6 +45,16 @@ def read_trees(spark: SparkSession, path: str, key: str | None = None, tree_col:
     return df
 
 
+def trees_from_lines(lines: DataFrame, col: str = "value", tree_col: str = "tree") -> DataFrame:
+    """IO2 on lines that are already rows of text (a text scan, a stream): each line stripped (SF1) and parsed to VARIANT.
+
+    Blank lines are left out (S17); a malformed line raises. All other columns stay.
+    """
+    stripped = lines.withColumn(tree_col, strip_line(col)).where(F.col(tree_col) != "")
+    kept = [c for c in lines.columns if c not in (col, tree_col)]
+    return stripped.select(*kept, F.parse_json(tree_col).alias(tree_col))
+
+
 def read_texts(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
     """IO3: JSONL ``{text}`` records into a named split."""
     return (

@@ -100,3 +100,11 @@ def test_batches_are_overwritten(spark, tmp):
     for n in (30, 20):
         io.write_batches(spark.range(n).select((F.col("id") % 5).alias("batch_id"), "id"), path, buckets=3)
         assert io.read_batches(spark, path).count() == n == io.read_manifest(spark, path)["rows"]
+
+
+def test_trees_from_lines(spark):
+    lines = spark.createDataFrame([(1, ' \t{"prompt": {"role": "prompter", "text": "a"}} \r'), (2, ""), (3, " \x0b ")], "n long, value string")
+    got = io.trees_from_lines(lines).select("n", F.variant_get("tree", "$.prompt.text", "string").alias("t")).collect()
+    assert [(r["n"], r["t"]) for r in got] == [(1, "a")]
+    with pytest.raises(Exception):
+        io.trees_from_lines(spark.createDataFrame([("{broken",)], "value string")).collect()
