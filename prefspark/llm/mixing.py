@@ -8,12 +8,14 @@ including it go to the sources with the highest quotients target / (2k + 1); a s
 difference to the shard before. A source's seats can differ from its exact share by a known factor
 only, so the quotients that could win or lose are a few for each source; the rest are not listed.
 
-Selection: a source's documents, in seeded order, form a ring of words. Its blocks are taken one after
-the other from a seeded block on, whole laps first, so a document gives its words once a lap and, at
-the end of the last lap, the words inside the remaining arc.
-
-Only one row a source (and shard) is ever ordered in one task. Documents are dealt by source and one of
-``BUCKETS`` hash buckets, so a source that holds a third of all rows spreads over all of them.
+Selection: a source's documents, in seeded order, form a ring of words, cut into blocks. A keyed permutation gives each
+block its place in the source's order, row by row and without a sort; seat i of a source takes the block at place
+i mod blocks, so every block is taken once before any is taken again. The seats of a shard are those its quota gives it.
+A document's share is the sum over the blocks it reaches into.
+
+One row a source and shard is ordered in one task, so sources (not documents) must be fewer than some hundred
+thousand. Documents are ordered by source and one of ``BUCKETS`` hash buckets, so a source that holds a third of
+all rows spreads over all of them; rows of one id and size are counted in ``SALTS`` cells before they are ordered.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import WORD
+from prefspark.llm.common import WORD, materialized
+from prefspark.operators.logsumexp import let
+from prefspark.operators.permute import permuted
 
 BUCKETS = 4096
+SALTS = 256
 WEIGHTS = 3
 
 
@@ -95,76 +100,106 @@ def quotas(aimed: DataFrame, shards: int = 8, block_words: int = 256) -> DataFra
     return seats.select("src", "shard", (F.col("upto") - previous).alias("quota"), "upto", "block")
 
 
-def _draw(text: Column) -> Column:
-    """32 bits of the MD5 of a string as a long."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
-
-
 def mix(
     docs: DataFrame, size_col: str, source_col: str = "source", id_col: str = "doc_id",
     shards: int = 8, block_words: int = 256, most: int = 3, seed: int = 42,
 ) -> DataFrame:
-    """``docs`` with source_size, target, laps, cut_from, cut_to and taken (existing columns of these names are replaced).
+    """``docs`` with source_size, target, laps, cuts, shard_words and taken (existing columns of these names are replaced).
+
+    A document gives its words ``laps`` times, and once more those inside ``cuts`` (an array of structs ``a``, ``b``:
+    0-based, end excluded, ascending); taken = laps * size + the lengths of the cuts. ``shard_words`` splits taken by
+    the shard whose seats take the blocks. Documents without words, and all documents if none has words, take 0.
+    A null source is a source of its own, the last. Null ids and repeated rows take their place in the seeded order
+    like any other; which of several rows of one id and size is cut is left open. An empty table stays empty.
 
-    A document gives its words ``laps`` times, and its words cut_from..cut_to (0-based, end excluded) once
-    more; taken = laps * size + cut_to - cut_from. Documents without words, and all documents if none has
-    words, take 0. A null source is a source of its own, the last. Null ids and repeated rows take their place
-    in the seeded order like any other; which of several equal rows is cut is left open. An empty table stays empty.
+    ``docs`` is written once, numbered, to the shared folder; only numbers, keys and sizes are ordered.
     """
-    added = ("source_size", "target", "laps", "cut_from", "cut_to", "taken")
+    added = ("source_size", "target", "laps", "cuts", "shard_words", "taken")
     kept = [c for c in docs.columns if c not in added]
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    size = F.col(size_col).cast("bigint")
     # the row travels as one struct, so that its columns cannot clash with those added here
-    keyed = docs.select(
-        F.struct(*kept).alias("row"), F.col(id_col).alias("id"), F.col(size_col).cast("bigint").alias("size"),
-        _source_key(source_col).alias("src"), F.md5(F.concat(ident, F.lit(f":{seed}")).cast("binary")).alias("draw"),
-    ).withColumn("bucket", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int"))
+    numbered = materialized(docs.select(
+        F.struct(*kept).alias("row"), F.monotonically_increasing_id().alias("row_no"), size.alias("size"), _source_key(source_col).alias("src"),
+        F.md5(F.concat_ws(":", ident, size.cast("string"), F.lit(str(seed)))).alias("draw"),
+    ))
+    cell = ["src", "bucket", "draw", "size", "salt"]
+    keyed = (
+        numbered.select("row_no", "src", "size", "draw")
+        .withColumn("bucket", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int"))
+        .withColumn("salt", F.pmod(F.xxhash64("row_no"), F.lit(SALTS)).cast("int"))
+    )
+    cells = keyed.groupBy(*cell).agg((F.count(F.lit(1)) * F.col("size")).alias("cell_size"))
     buckets = keyed.groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size"))
-    totals = buckets.groupBy("src").agg(F.sum("bucket_size").cast("bigint").alias("source_size"))
-    aimed = targets(totals, most)
-    seats = quotas(aimed, shards, block_words).groupBy("src").agg(F.max("upto").alias("seats"), F.max("block").alias("block"))
-    start = _draw(F.concat("src", F.lit(f":{seed}"))) % F.ceil(F.col("source_size") / F.col("block")) * F.col("block")
-    some = F.col("source_size") > 0
-    # a row a source: whole laps, and the arc [arc_from, arc_to) of the ring of its words, which may run over the end
+    aimed = targets(buckets.groupBy("src").agg(F.sum("bucket_size").cast("bigint").alias("source_size")), most)
+    seats = quotas(aimed, shards, block_words).groupBy("src").agg(
+        F.array_sort(F.collect_list("upto")).alias("upto"), F.max("block").alias("block"))  # a number a shard; upto rises with it
+    # a row a source
     plans = (
-        aimed.join(seats, "src", "left").na.fill(0, ["seats"]).na.fill(1, ["block"])
-        .withColumn("words", F.least(most * F.col("source_size"), F.col("seats") * F.col("block")))
-        .withColumn("laps", F.when(some, F.floor(F.col("words") / F.col("source_size"))).otherwise(0).cast("bigint"))
-        .withColumn("arc_from", F.when(some, start).otherwise(0).cast("bigint"))
-        .withColumn("arc_to", F.col("arc_from") + F.col("words") - F.col("laps") * F.col("source_size"))
-        .select("src", "source_size", "target", "laps", "arc_from", "arc_to")
+        aimed.join(seats, "src", "left").na.fill(1, ["block"])
+        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("block"))).cast("bigint"))
+        .withColumn("upto", F.transform(
+            F.coalesce("upto", F.array_repeat(F.lit(0).cast("bigint"), shards)), lambda u: F.least(u, most * F.col("blocks"))))
+        .withColumn("seats", F.element_at("upto", -1))
+        .select("src", "source_size", "target", "block", "blocks", "upto", "seats")
     )
     so_far = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("src", "bucket", F.coalesce(F.sum("bucket_size").over(so_far), F.lit(0)).alias("offset"))
-    planned = offsets.join(plans, "src")
-    place = Window.partitionBy("src", "bucket").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = lambda a, b: F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), b) - F.greatest(F.col("at"), a))
-    first = inside(F.col("arc_from"), F.least("arc_to", "source_size"))
-    wrapped = inside(F.lit(0), F.col("arc_to") - F.col("source_size"))
-    begins = F.when(F.col("first") > 0, F.greatest(F.col("arc_from") - F.col("at"), F.lit(0))).otherwise(F.lit(0))
-    # one document of a source may hold both ends of its arc: it gives as many words, in one piece
-    return (
-        keyed.join(planned, ["src", "bucket"])
-        .withColumn("at", F.col("offset") + F.coalesce(F.sum("size").over(place), F.lit(0)))
-        .withColumn("first", first)
-        .withColumn("extra", (F.col("first") + wrapped).cast("bigint"))
-        .withColumn("cut_from", F.least(begins, F.col("size") - F.col("extra")).cast("bigint"))
+    ahead = Window.partitionBy("src", "bucket").orderBy("draw", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    begins = cells.withColumn("begin", F.coalesce(F.sum("cell_size").over(ahead), F.lit(0))).drop("cell_size")
+    nth = F.row_number().over(Window.partitionBy(*cell).orderBy("row_no")) - 1
+    placed = (
+        keyed.join(begins, cell).withColumn("nth", nth).join(offsets, ["src", "bucket"]).join(plans, "src")
+        .withColumn("at", F.col("offset") + F.col("begin") + F.col("nth") * F.col("size"))
+    )
+
+    def reached(b: Column) -> Column:
+        ends = F.least((b + 1) * F.col("block") - F.col("at"), "size")
+        place = permuted(b, F.col("blocks"), seed, F.col("src"))
+        return F.struct(F.greatest(b * F.col("block") - F.col("at"), F.lit(0).cast("bigint")).alias("a"), ends.alias("b"), place.alias("place"))
+
+    whole = lambda x, y: F.floor(x / y).cast("bigint")
+    numbers = F.sequence(whole(F.col("at"), F.col("block")), whole(F.col("at") + F.col("size") - 1, F.col("block")))
+    touched = F.when((F.col("size") > 0) & (F.col("seats") > 0), F.transform(numbers, reached))
+    # seats before x that take the block at a place
+    times = lambda x, place: whole(x + F.col("blocks") - 1 - place, F.col("blocks"))
+    none = F.lit(0).cast("bigint")
+    before = lambda u: F.aggregate("touched", none, lambda sum_, t: sum_ + (t["b"] - t["a"]) * times(u, t["place"]))
+    rising = F.transform("upto", before)
+    per_shard = lambda r: F.transform(r, lambda v, i: v - F.when(i > 0, F.get(r, i - 1)).otherwise(none))
+    extra = F.filter("touched", lambda t: t["place"] < F.col("seats") - F.col("laps") * F.col("blocks"))
+    found = (
+        placed.withColumn("touched", F.coalesce(touched, F.array().cast("array<struct<a:bigint,b:bigint,place:bigint>>")))
+        .withColumn("laps", F.when(F.col("source_size") > 0, whole(F.col("seats"), F.col("blocks"))).otherwise(none))
         .select(
-            "row.*", "source_size", "target", "laps", "cut_from", (F.col("cut_from") + F.col("extra")).alias("cut_to"),
-            (F.col("laps") * F.col("size") + F.col("extra")).cast("bigint").alias("taken"),
+            "row_no", "source_size", "target", "laps", F.transform(extra, lambda t: F.struct(t["a"], t["b"])).alias("cuts"),
+            let(rising, per_shard).alias("shard_words"),
         )
+        .withColumn("taken", F.aggregate("shard_words", none, lambda sum_, v: sum_ + v))
     )
+    return numbered.select("row_no", "row").join(found, "row_no").select("row.*", *added)
 
 
 def take(mixed: DataFrame, text_col: str = "text") -> DataFrame:
-    """The mix itself: each document once a lap, and its cut as a row of its own; the columns of ``mix`` are dropped.
+    """The mix itself: each document once a lap, and each stretch of its cuts as a row of its own; the columns of ``mix`` are dropped.
 
-    A cut keeps the white space between its words. Documents of which nothing is taken go.
+    Cuts that touch are one stretch, and it keeps the white space between its words. Documents of which nothing is taken go.
     """
-    added = ("source_size", "target", "laps", "cut_from", "cut_to", "taken")
+    added = ("source_size", "target", "laps", "cuts", "shard_words", "taken")
     columns = [c for c in mixed.columns if c not in added]
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    piece = F.array_join(F.slice(pieces, F.col("cut_from").cast("int") + 1, (F.col("cut_to") - F.col("cut_from")).cast("int")), "")
-    whole = mixed.where("laps > 0 AND taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("laps").cast("int")))).select(*columns)
-    cut = mixed.where("cut_to > cut_from").withColumn(text_col, piece).select(*columns)
-    return whole.unionByName(cut)
+    stretch = "array<struct<a:bigint,b:bigint>>"
+
+    def grown(done: Column, cut: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["a"].alias("a"), cut["b"].alias("b"))))
+        apart = F.concat(done, F.array(cut))
+        return F.when(F.size(done) == 0, F.array(cut)).when(last["b"] == cut["a"], longer).otherwise(apart).cast(stretch)
+
+    stretches = F.aggregate("cuts", F.array().cast(stretch), grown)
+    words = F.regexp_extract_all(F.col(text_col), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
+    text_of = lambda w: F.transform(
+        stretches, lambda s: F.array_join(F.slice(w, s["a"].cast("int") + 1, (s["b"] - s["a"]).cast("int")), ""))
+    copies = F.array_repeat(F.col(text_col), F.col("laps").cast("int"))
+    pieces = F.when(F.size("cuts") == 0, copies).otherwise(F.concat(copies, let(words, text_of)))
+    own = [F.col("piece").alias(c) if c == text_col else F.col(c) for c in columns]
+    return mixed.where("taken > 0").withColumn("piece", F.explode(pieces)).select(*own)

@@ -1,11 +1,21 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-#: Sainte-Lague over all quotients, one by one; the word ring of a source is cut where its blocks end.
-OP7 = """
-WITH docs AS (
-  SELECT doc_id, coalesce('s' || source, 't') AS src, md5(coalesce(doc_id::VARCHAR, 'null') || ':42') AS draw,
-         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
-  FROM documents
+
+def _permuted_sql(rows: str) -> str:
+    """``rows`` (src, b, x, n, side_a, side_b) with x mixed once: three rounds over its two halves, by draws of 32 bits."""
+    out = f"SELECT *, x // side_b AS l, x % side_b AS r FROM {rows}"
+    draw = "('0x' || substr(md5('{step}:' || {half} || ':42:' || src), 1, 8))::BIGINT"
+    for i in range(3):
+        out = f"SELECT * REPLACE ((l + {draw.format(step=2 * i, half='r')}) % side_a AS l) FROM ({out})"
+        out = f"SELECT * REPLACE ((r + {draw.format(step=2 * i + 1, half='l')}) % side_b AS r) FROM ({out})"
+    return f"SELECT src, b, l * side_b + r AS x, n, side_a, side_b FROM ({out})"
+
+
+#: Sainte-Lague over all quotients, one by one; each seat takes one block of its source's ring of words.
+OP7 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('s' || source, 't') AS src, md5(coalesce(doc_id::VARCHAR, 'null') || ':' || size || ':42') AS draw, size
+  FROM (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents)
 ), sources AS (
   SELECT src, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY src) AS pos FROM docs GROUP BY src
 ), weighed AS (
@@ -25,24 +35,37 @@ WITH docs AS (
 ), quotients AS (
   SELECT src, pos, k, target / (2 * k + 1) AS quotient, floor(total / block + 0.5)::BIGINT AS houses
   FROM sized, LATERAL (SELECT unnest(range(0, floor(total / block + 0.5)::BIGINT)) AS k) WHERE target > 0
+), won AS (
+  SELECT src, pos, row_number() OVER (ORDER BY quotient DESC, pos, k) AS place, houses FROM quotients
+), blocks AS (
+  SELECT src, block, ceil(source_size / block)::BIGINT AS n FROM sized WHERE source_size > 0
+), shards AS (
+  SELECT unnest(range(0, 8)) AS shard
+), upto AS (
+  SELECT src, shard, least(3 * any_value(n), count(w.place))::BIGINT AS upto
+  FROM blocks CROSS JOIN shards
+  LEFT JOIN (SELECT src AS won_src, place, houses FROM won) w ON won_src = src AND place <= houses * (shard + 1) // 8
+  GROUP BY src, shard
 ), seats AS (
-  SELECT src, count(*) AS seats
-  FROM (SELECT src, houses, row_number() OVER (ORDER BY quotient DESC, pos, k) AS place FROM quotients) WHERE place <= houses GROUP BY src
-), plans AS (
-  SELECT s.src, s.source_size, s.target, least(3 * s.source_size, coalesce(q.seats, 0) * s.block) AS words,
-         CASE WHEN s.source_size > 0 THEN ('0x' || substr(md5(s.src || ':42'), 1, 8))::BIGINT
-           % ceil(s.source_size / s.block)::BIGINT * s.block ELSE 0 END AS arc_from
-  FROM sized s LEFT JOIN seats q USING (src)
+  SELECT src, shard, unnest(range(coalesce(lag(upto) OVER (PARTITION BY src ORDER BY shard), 0), upto)) AS seat FROM upto
+), walk AS (
+  {_permuted_sql("(SELECT src, b, b AS x, n, side_a, ceil(n / side_a)::BIGINT AS side_b FROM (SELECT src, n, ceil(sqrt(n))::BIGINT AS side_a, unnest(range(0, n)) AS b FROM blocks))")}
+  UNION ALL {_permuted_sql("(SELECT * FROM walk WHERE x >= n)")}
+), chosen AS (
+  SELECT w.src, w.b, s.shard, count(*) AS times FROM (SELECT * FROM walk WHERE x < n) w JOIN seats s ON s.src = w.src AND s.seat % w.n = w.x GROUP BY ALL
 ), placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
-         CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS laps
-  FROM docs JOIN plans USING (src)
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY src ORDER BY draw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead,
+         row_number() OVER () AS row_no
+  FROM docs JOIN sized USING (src)
+), reached AS (
+  SELECT row_no, src, size, ahead, block, unnest(range(ahead // block, (ahead + size - 1) // block + 1)) AS b FROM placed WHERE size > 0
+), taken AS (
+  SELECT row_no, shard, sum((least((r.b + 1) * block, ahead + size) - greatest(r.b * block, ahead)) * times)::BIGINT AS words
+  FROM reached r JOIN chosen c ON c.src = r.src AND c.b = r.b GROUP BY row_no, shard
 )
-SELECT doc_id, size, source_size, target,
-       (laps * size
-        + greatest(0, least(ahead + size, least(arc_from + words - laps * source_size, source_size)) - greatest(ahead, arc_from))
-        + greatest(0, least(ahead + size, arc_from + words - laps * source_size - source_size) - ahead))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, coalesce(sum(words), 0)::BIGINT AS taken,
+       {", ".join(f"coalesce(sum(words) FILTER (shard = {i}), 0)::BIGINT AS shard_{i}" for i in range(8))}
+FROM placed LEFT JOIN taken USING (row_no) GROUP BY row_no, doc_id, size, source_size, target
 """
 
 #: All pairs of a label, and reachability by a recursive union.

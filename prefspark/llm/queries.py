@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.llm import ann, bpe, embed_dedup, fim, html_text, lm, merkle, mixing, quality, reshard, simhash, token_counts, topk
-from prefspark.llm.common import materialized, read_table
+from prefspark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,9 +73,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources; sizes in words."""
     docs = read_table(spark, sf_dir, "documents")
-    sized = materialized(docs.select("doc_id", "source", mixing.word_count().alias("size")))
-    mixed = mixing.mix(sized, "size")
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(docs.select("doc_id", "source", mixing.word_count().alias("size")), "size")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *[F.col("shard_words")[i].alias(f"shard_{i}") for i in range(8)])
 
 
 @query("op5_reshard")

@@ -87,6 +87,23 @@ def test_take_keeps_words(spark, make_docs):
     assert mixing.mix(docs.limit(0), "size").count() == 0
 
 
+def test_blocks_fill_the_quotas_of_shards(spark):
+    """Half of the rows of the largest source have no id, most of them one size; every shard gets the blocks of its quota."""
+    rows = [(None if i % 2 else i, "a", 20 if i % 4 else i % 97) for i in range(3000)] + [(9000 + i, "b", 15) for i in range(400)]
+    got = mixed(spark, rows)
+    assert sorted((r.doc_id or -1, r.source, r.size) for r in got) == sorted((i or -1, s, n) for i, s, n in rows)
+    totals = spark.createDataFrame([("sa", sum(n for _, s, n in rows if s == "a")), ("sb", 6000)], "src string, source_size long")
+    for q in mixing.quotas(mixing.targets(totals), shards=8, block_words=4).collect():
+        words = sum(r.shard_words[q.shard] for r in got if "s" + r.source == q.src)
+        assert q.quota * q.block - 3 * q.block <= words <= q.quota * q.block  # less by the last block of a source, once a lap
+    for r in got:
+        assert r.taken == sum(r.shard_words) == r.laps * r.size + sum(c.b - c.a for c in r.cuts)
+        assert all(0 <= c.a < c.b <= r.size for c in r.cuts) and all(c.b <= d.a for c, d in zip(r.cuts, r.cuts[1:]))
+    assert sum(1 for r in got if r.cuts) > 1000  # blocks are drawn from all over the source, not from one stretch
+    key = lambda r: (r.doc_id or -1, r.size, r.source, r.taken, r.shard_words)
+    assert sorted(map(key, got)) == sorted(map(key, mixed(spark, rows[::-1])))
+
+
 def test_no_words_at_all(spark):
     assert [(r.target, r.taken) for r in mixed(spark, [(1, "a", 0), (None, None, 0)])] == [(0.0, 0), (0.0, 0)]
 

@@ -26,7 +26,7 @@ def test_stages(spark):
     assert single.count() == groups
     assert simhash.near_duplicates(single).where("doc_id <> component_id").count() == 0
     sized = single.withColumn("size", mixing.word_count())
-    taken = {r.doc_id: r.taken for r in mixing.mix(sized, "size").collect() if r.taken}
+    taken = {r.doc_id: r.taken for r in mixing.mix(sized, "size", block_words=2048).collect() if r.taken}
     words = {r.doc_id: r.n for r in mixed.groupBy("doc_id").agg({"text": "count"}).withColumnRenamed("count(text)", "n").collect()}
     assert set(words) == set(taken)
     ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
