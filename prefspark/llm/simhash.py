@@ -3,7 +3,8 @@
 A document's fingerprint takes the majority of each bit over the XXH64 hashes of its word
 shingles. Two fingerprints within the radius agree on at least ``blocks - radius`` of the
 ``blocks`` bit ranges, so each choice of that many ranges is a shard key: linked fingerprints
-share a key. In each shard, a BK-tree holds children by their integer Hamming distance to the
+share a key. The number of ranges follows the number of distinct fingerprints, so that a shard has ``tree_rows`` of them
+on average at any size: with few ranges a fingerprint has few keys, with many a key has many bits. In each shard, a BK-tree holds children by their integer Hamming distance to the
 parent, and a search only follows edges within the radius of the distance just measured.
 
 Equal fingerprints collapse before the search, so copies cost nothing. A shard of more than
@@ -79,6 +80,18 @@ def shard_keys(blocks: int, radius: int, fp: str = "fp") -> Column:
     return F.array(*keys)
 
 
+def ranges_for(distinct: int, radius: int, tree_rows: int = 512) -> int:
+    """The least number of bit ranges whose shards hold at most ``tree_rows`` of ``distinct`` random fingerprints on average.
+
+    Every number of ranges finds every link; it only sets how the work is cut. The more ranges, the more keys a fingerprint
+    has (5, 15, 35, .. for radius 4) and the more values a key (13, 21, 27, .. bits).
+    """
+    blocks = radius + 1
+    while blocks < 16 and distinct >> (64 * (blocks - radius) // blocks) > tree_rows:
+        blocks += 1
+    return blocks
+
+
 class Forest:
     """BK-trees of several groups at once, built and searched level by level.
 
@@ -88,6 +101,7 @@ class Forest:
 
     def __init__(self, fps: np.ndarray, group: np.ndarray):
         self.fps = fps
+        self.visited = 0  # nodes that searches so far measured a distance to
         n = len(fps)
         parent, distance = np.full(n, -1, np.int64), np.zeros(n, np.int64)
         order = np.argsort(group, kind="stable")
@@ -118,6 +132,7 @@ class Forest:
         known = self.root_group[at] == group if len(self.root_group) else np.zeros(len(group), bool)
         who, node = np.flatnonzero(known), self.root[at[known]]
         while len(who):
+            self.visited += len(who)
             gap = np.bitwise_count(queries[who] ^ self.fps[node]).astype(np.int64)
             near = gap <= radius
             yield who[near], node[near]
@@ -166,12 +181,14 @@ def link_shards(keys: np.ndarray, fps: np.ndarray, ids: np.ndarray, in_tree: np.
     return ids[order[:-1][same]], ids[order[1:][same]]
 
 
-def near_links(prints: DataFrame, radius: int = 4, blocks: int = 6, shard_rows: int = 16_384) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = 4, blocks: int | None = None, shard_rows: int = 16_384) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of fingerprints within ``radius`` bits.
 
     ``prints``: (fp, rep), distinct fp, rep a long that names it. ``shard_rows`` bounds a tree
-    and a block of queries; larger shards are dealt into several of each.
+    and a block of queries; larger shards are dealt into several of each. ``blocks``: bit ranges, by default
+    those of ``ranges_for`` the number of fingerprints.
     """
+    blocks = blocks or ranges_for(prints.count(), radius)
     keyed = prints.select("fp", "rep", F.explode(shard_keys(blocks, radius)).alias("k")).select(
         F.xxhash64("k.choice", "k.value").alias("key"), "fp", "rep"
     )
@@ -198,33 +215,49 @@ def near_links(prints: DataFrame, radius: int = 4, blocks: int = 6, shard_rows:
     return map_batches(grouped, run, schema)
 
 
+def _labelled(named: DataFrame, radius: int, blocks: int | None, shard_rows: int) -> DataFrame:
+    """``named`` (fp, rep: a long) with label, the smallest rep of the fingerprint's component."""
+    reached = connected_components(near_links(named, radius, blocks, shard_rows))
+    return named.join(reached, named["rep"] == reached["node"], "left").select("fp", "rep", F.coalesce("component", "rep").alias("label"))
+
+
 def near_duplicates(
-    docs: DataFrame, words_each: int = 4, radius: int = 4, blocks: int = 6, shard_rows: int = 16_384, text_col: str = "text"
+    docs: DataFrame, words_each: int = 4, radius: int = 4, blocks: int | None = None, shard_rows: int = 16_384, text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, fp, component_id) for every row of ``docs``; ``doc_id`` is a long.
 
     component_id is the smallest doc_id reachable over links of at most ``radius`` differing bits,
     the row's own included. Null text counts as empty; all texts without words share fingerprint 0.
     A null doc_id takes part through its fingerprint but is never a component_id; component_id is
-    null only if no linked row has an id. Repeated rows give repeated result rows.
+    null only if no linked row has an id. Repeated rows give repeated result rows. An empty table gives no rows;
+    a very long text is one row of one task, held as its words and a hash for each.
     """
     prints = materialized(fingerprints(docs, words_each, text_col))
     distinct = materialized(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     # a fingerprint whose rows all lack an id still carries links: it is named by its own hash, below all ids
     named = distinct.select("fp", F.coalesce("rep", F.lit(-(1 << 62)) - F.abs(F.shiftright(F.xxhash64("fp"), 2))).alias("rep"))
-    reached = connected_components(near_links(named, radius, blocks, shard_rows))
-    joined = named.join(reached, named["rep"] == reached["node"], "left").select("fp", "rep", F.coalesce("component", "rep").alias("label"))
+    joined = _labelled(named, radius, blocks, shard_rows)
     real = F.min(F.when(F.col("rep") >= -(1 << 62), F.col("rep")))
     ids = joined.groupBy("label").agg(real.alias("component_id"))
     labels = joined.join(ids, "label").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, words_each: int = 4, radius: int = 4, text_col: str = "text") -> DataFrame:
-    """One document of each component: the row of its smallest doc_id, all columns kept.
+def keep_one(docs: DataFrame, words_each: int = 4, radius: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row of each component of linked fingerprints, all columns kept.
 
-    Of several rows with that doc_id one stays. Rows without an id cannot be told apart and stay.
+    The row of the smallest id stays, an id before none; of several rows with that id the one of the smallest fingerprint, then the
+    first as written. So rows without an id go if they are copies, and of rows that share an id but not a component
+    each stays. An empty table stays empty. ``docs`` is written once, numbered, to the shared folder.
     """
-    found = near_duplicates(docs, words_each, radius, text_col=text_col)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    # the row travels as one struct, so that its columns cannot clash with those added here
+    numbered = materialized(docs.select(
+        F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    prints = materialized(fingerprints(
+        numbered.select(F.struct("id", "row_no").alias("doc_id"), "text"), words_each).select("doc_id.id", "doc_id.row_no", "fp"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no"))
+    distinct = materialized(prints.groupBy("fp").agg(first.alias("first")))
+    labelled = _labelled(distinct.select("fp", F.col("fp").alias("rep")), radius, None, 16_384).select("fp", "label")
+    best = F.min(F.struct("first.no_id", "first.id", "fp", "first.row_no"))
+    keep = distinct.join(labelled, "fp").groupBy("label").agg(best.alias("best")).select(F.col("best.row_no").alias("row_no"))
+    return numbered.join(keep, "row_no", "left_semi").select("row.*")

@@ -59,11 +59,49 @@ def test_fingerprint_and_components(spark, make_docs):
 
 
 def test_keep_one(spark, make_docs):
-    docs = make_docs([(5, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (9, "something else entirely here"), (None, "a b c d e")]).withColumn("fp", F.lit(1)).withColumn("component_id", F.lit("x"))
+    docs = make_docs([
+        (5, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (9, "something else entirely here"), (None, "a b c d e"),
+        (9, "one id but quite another text"), (None, "no id on either"), (None, "no id on either"), (None, None), (7, ""),
+    ]).withColumn("fp", F.lit(1)).withColumn("component_id", F.lit("x")).withColumn("row_no", F.lit("y"))
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 9]
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [
+        (-1, "no id on either"), (3, "a b c d e"), (7, ""), (9, "one id but quite another text"), (9, "something else entirely here")]
     assert simhash.keep_one(make_docs([])).count() == 0
+    assert simhash.near_duplicates(make_docs([])).count() == 0
+
+
+def test_ranges_follow_the_fingerprints(spark):
+    """Shards stay about as large as the table grows, and every number of ranges gives the same components."""
+    assert [simhash.ranges_for(n, 4) for n in (0, 10**6, 10**8, 10**10)] == [5, 5, 6, 7]
+    rng = np.random.default_rng(2)
+    base = rng.integers(-(2**63), 2**63 - 1, 400)
+    fps = {int(x) for x in base} | {int(x) ^ (1 << int(a)) ^ (1 << int(b)) for x, a, b in zip(base, rng.integers(0, 63, 400), rng.integers(0, 63, 400))}
+    prints = spark.createDataFrame([(f, f) for f in fps], "fp long, rep long")
+    found = [
+        {(r.node, r.component) for r in connected_components(simhash.near_links(prints, 4, blocks)).collect()} for blocks in (5, 6, 7)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 600
+
+
+def test_search_follows_only_edges_within_the_radius():
+    """A tree of clustered fingerprints is searched without measuring most of its nodes; one of random ones with some left out."""
+    rng = np.random.default_rng(3)
+    centres = rng.integers(0, 2**64 - 1, 40, dtype=np.uint64)
+    bits = np.left_shift(np.uint64(1), rng.integers(0, 64, (4000, 6)).astype(np.uint64))
+    clustered = np.unique(np.bitwise_xor.reduce(bits, axis=1) ^ np.repeat(centres, 100))
+    for fps, share in ((clustered, 0.6), (np.unique(rng.integers(0, 2**64 - 1, 4000, dtype=np.uint64)), 0.9)):
+        one = np.zeros(len(fps), np.int64)
+        forest = simhash.Forest(fps, one)
+        found = sum(len(who) for who, _ in forest.search(fps[::40], one[::40], 4))
+        gaps = np.bitwise_count(fps[::40, None] ^ fps[None, :])
+        assert found == int((gaps <= 4).sum())
+        print("visited", forest.visited / gaps.size)
+        assert forest.visited <= share * gaps.size
+
+
+def test_very_long_text_is_read_whole():
+    text = " ".join(f"w{i % 5003}" for i in range(60_000))
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
 
 
 @settings(max_examples=40, deadline=None)
