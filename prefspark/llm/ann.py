@@ -2,9 +2,9 @@
 
 Fit, on a bounded sample: a neighbour graph of the sample, a balanced partition of that graph by
 recursive bisection (spectral order, cut at the median, improved by gainful swaps), and a small
-classifier that learns from a vector how its neighbours spread over the partitions. The fit also
-finds how many partitions a query must visit: the least number with which sample queries, held out of
-the graph, reach the wanted recall.
+classifier that learns from a vector how its neighbours spread over the partitions. The fit also finds the
+probability mass a query must visit: the least with which sample queries reach the wanted recall of sample rows, both
+held out of graph and training. A query the classifier is sure of visits few partitions, an unsure one more.
 
 Search, over all rows: the classifier puts each row into its most probable partition and sends each
 query to its several most probable ones. Partitions and their queries are dealt into blocks, so a
@@ -91,26 +91,35 @@ class Router:
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
-    visits: int
+    mass: float  # a query visits its most probable partitions until they have this probability
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         unit = x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
         return np.maximum(unit @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
+    def order(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Partitions of each row by falling probability, and the probability of those before each."""
+        z = self.scores(x)
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        order = np.argsort(-p, axis=1, kind="stable")
+        sorted_p = np.take_along_axis(p, order, axis=1)
+        return order, np.cumsum(sorted_p, axis=1) - sorted_p
+
     @property
     def parts(self) -> int:
         return len(self.b2)
 
 
 def fit(sample: np.ndarray, parts: int, seed: int, recall: float, neighbours: int = 10, top: int = 20, hidden: int = 128) -> Router:
-    """Graph, partition, classifier and number of visits from the rows of ``sample``."""
+    """Graph, partition, classifier and mass to visit from the rows of ``sample``."""
     n, width = sample.shape
     rng = np.random.default_rng(seed)
     levels = 0
     while 2 ** (levels + 1) <= parts and n // 2 ** (levels + 1) >= 64:
         levels += 1
     count = 2**levels
-    held = rng.permutation(n)[: n // 8] if levels else np.zeros(0, np.int64)
+    held = rng.permutation(n)[: n // 4] if levels else np.zeros(0, np.int64)
     used = np.setdiff1d(np.arange(n), held)
     x = sample[used]
     a, b = neighbour_graph(x, neighbours)
@@ -121,10 +130,10 @@ def fit(sample: np.ndarray, parts: int, seed: int, recall: float, neighbours: in
     wanted[np.arange(len(x)), part] += neighbours / 2
     wanted /= wanted.sum(axis=1, keepdims=True)
     router = Router(rng.standard_normal((width, hidden)) * np.sqrt(2 / width), np.zeros(hidden),
-                    rng.standard_normal((hidden, count)) * 0.01, np.zeros(count), count)
+                    rng.standard_normal((hidden, count)) * 0.01, np.zeros(count), 2.0)
     if count > 1:
         _train(router, x, wanted, rng)
-        router.visits = _visits(router, sample[held], x, top, recall)
+        router.mass = _mass(router, sample[held], top, recall)
     return router
 
 
@@ -155,17 +164,21 @@ def _train(router: Router, x: np.ndarray, wanted: np.ndarray, rng: np.random.Gen
                 setattr(router, k, getattr(router, k) - change)
 
 
-def _visits(router: Router, queries: np.ndarray, rows: np.ndarray, top: int, recall: float) -> int:
-    """The least number of visits with which held-out queries find the share ``recall`` of their nearest rows."""
-    home = router.scores(rows).argmax(axis=1)
-    order = np.argsort(-router.scores(queries), axis=1, kind="stable")
-    place = np.argsort(order, axis=1)  # place[q, p]: how many visits until query q reaches part p
-    near = np.argsort(-(queries @ rows.T), axis=1, kind="stable")[:, :top]
-    needed = np.take_along_axis(place, home[near], axis=1)
-    for visits in range(1, router.parts):
-        if (needed < visits).mean() >= recall:
-            return visits
-    return router.parts
+def _mass(router: Router, held: np.ndarray, top: int, recall: float) -> float:
+    """The least mass with which held-out rows find the share ``recall`` of their nearest held-out rows."""
+    order, before = router.order(held)
+    place = np.argsort(order, axis=1)  # place[q, p]: how many partitions come before p
+    product = held @ held.T
+    np.fill_diagonal(product, -np.inf)
+    near = np.argsort(-product, axis=1, kind="stable")[:, : min(top, len(held) - 1)]
+    needed = np.take_along_axis(before, np.take_along_axis(place, order[:, 0][near], axis=1), axis=1).reshape(-1)
+    least = np.sort(needed)[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]
+    return float(np.nextafter(least, 2.0))
+
+
+def parts_for(rows: int, sample_rows: int) -> int:
+    """Partitions: the power of two nearest to the root of the rows, as far as the sample has 64 rows for each."""
+    return 2 ** max(0, min(round(np.log2(max(1, rows)) / 2), int(np.log2(max(1, sample_rows // 64)))))
 
 
 def nearest_in_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, top: int):
@@ -204,18 +217,11 @@ def nearest_in_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarra
     return join(out_q, np.int64), join(out_r, np.int64), join(out_s, np.float64)
 
 
-def search(
-    table: DataFrame, queries: DataFrame, top: int = 20, parts: int = 16, sample_rows: int = 6144, recall: float = 0.97,
-    id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 42, block_rows: int = 4096, block_queries: int = 1024,
-) -> DataFrame:
-    """(query_id, rank, <id_col>, score): the ``top`` nearest rows found for each row of ``queries``.
-
-    Rows and queries whose id is null, or whose vector is null, empty, zero or holds null or non-finite
-    components take no part; vectors of another width than most of the sample are never near. A query's own id is left out.
-    The sample is the ``sample_rows`` distinct vectors of smallest hash, whatever the table's size: the fit's only bound.
-    A query that finds fewer than ``top`` ids in the partitions it visits visits all of them. Equal rows count once; an id
-    with several vectors is one neighbour with its best score, and one query with the best of each neighbour.
-    """
+def routed_rows(
+    table: DataFrame, queries: DataFrame, top: int, parts: int | None, sample_rows: int, recall: float, id_col: str, vector_col: str, seed: int,
+) -> tuple[DataFrame, int, int] | None:
+    """((id, vector, asks, order, visits), width, parts): each row's partition as ``order[0]``, all partitions by falling probability
+    of each query (``asks``) and how many of them it visits. None if no vector takes part."""
     source = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.lit(False).alias("asks"))
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.lit(True).alias("asks"))
 
@@ -234,14 +240,14 @@ def search(
         everything.where("NOT asks").select(draw.alias("h"), F.col("vector")).dropDuplicates(["h"])
         .orderBy("h").limit(sample_rows).collect()  # bounded by the parameter
     )
-    spark = table.sparkSession
-    result = f"query_id long, rank int, {id_col} long, score double"
     if not drawn:
-        return spark.createDataFrame([], result)
+        return None
     widths, counts = np.unique([len(r.vector) for r in drawn], return_counts=True)
     width = int(widths[counts.argmax()])
     sample = np.array([r.vector for r in drawn if len(r.vector) == width])
-    shared = spark.sparkContext.broadcast(fit(sample, parts, seed, recall, top=top))
+    parts = parts or parts_for(everything.where("NOT asks").count(), sample_rows)
+    router = fit(sample, parts, seed, recall, top=top)
+    shared = table.sparkSession.sparkContext.broadcast(router)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         router = shared.value
@@ -249,21 +255,50 @@ def search(
             rows = batch.filter(pa.compute.equal(pa.compute.list_value_length(batch.column(1)), width))
             if not rows.num_rows:
                 continue
-            scores = router.scores(vector_matrix(rows.column(1), width))
-            order = np.argsort(-scores, axis=1, kind="stable").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(order.tolist(), pa.list_(pa.int32()))], ["id", "vector", "asks", "order"])
-
-    routed = materialized(map_batches(everything, route, "id long, vector array<double>, asks boolean, order array<int>"))
-    rows = routed.where("NOT asks").withColumn("part", F.element_at("order", 1))
-    visits = int(shared.value.visits) if shared.value.visits < shared.value.parts else shared.value.parts
-    found = _visit(rows, routed.where("asks"), F.slice("order", 1, visits), width, top, block_rows, block_queries)
-    found = materialized(found)
+            order, before = router.order(vector_matrix(rows.column(1), width))
+            asks = rows.column(2).to_numpy(zero_copy_only=False)
+            listed = [o.tolist() if q else [int(o[0])] for o, q in zip(order.astype(np.int32), asks, strict=True)]
+            visits = (before < router.mass).sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(listed, pa.list_(pa.int32())), pa.array(visits, pa.int32())], ["id", "vector", "asks", "order", "visits"])
+
+    routed = map_batches(everything, route, "id long, vector array<double>, asks boolean, order array<int>, visits int")
+    return materialized(routed), width, router.parts
+
+
+def scanned_share(routed: DataFrame) -> float:
+    """The share of all pairs of a query and a row that lie in a partition the query visits (``routed``: of ``routed_rows``)."""
+    rows = routed.where("NOT asks").groupBy(F.element_at("order", 1).alias("part")).agg(F.count(F.lit(1)).alias("r"))
+    asks = routed.where("asks").select(F.explode(F.slice("order", F.lit(1), F.col("visits"))).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("q"))
+    met = rows.join(asks, "part").agg(F.sum(F.col("r") * F.col("q"))).first()[0] or 0
+    asking = routed.where("asks").count()
+    return met / max(1, asking * (routed.count() - asking))
+
+
+def search(
+    table: DataFrame, queries: DataFrame, top: int = 20, parts: int | None = None, sample_rows: int = 6144, recall: float = 0.93,
+    id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 42, block_rows: int = 4096, block_queries: int = 1024,
+) -> DataFrame:
+    """(query_id, rank, <id_col>, score): the ``top`` nearest rows found for each row of ``queries``.
+
+    Rows and queries whose id is null, or whose vector is null, empty, zero or holds null or non-finite
+    components take no part; vectors of another width than most of the sample are never near. A query's own id is left out.
+    The sample is the ``sample_rows`` distinct vectors of smallest hash, whatever the table's size: the fit's only bound.
+    ``parts`` follows the rows by default (``parts_for``). A query that finds fewer than ``top`` ids in the partitions it
+    visits visits all of them. Equal rows count once; an id with several vectors is one neighbour with its best score, and
+    one query with the best of each neighbour.
+    """
+    indexed = routed_rows(table, queries, top, parts, sample_rows, recall, id_col, vector_col, seed)
+    if indexed is None:
+        return table.sparkSession.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    routed, width, count = indexed
+    rows, asked = routed.where("NOT asks").withColumn("part", F.element_at("order", 1)), routed.where("asks")
+    found = materialized(_visit(rows, asked, F.slice("order", F.lit(1), F.col("visits")), width, top, block_rows, block_queries))
     counts_ = found.groupBy("query_id").agg(F.countDistinct("id").alias("n"))
-    short = routed.where("asks").join(counts_, F.col("id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < top)
-    if visits < shared.value.parts:
-        short = materialized(short.select("id", "vector", "order"))
-        rest = _visit(rows, short, F.slice("order", visits + 1, shared.value.parts - visits), width, top, block_rows, block_queries)
-        found = found.unionAll(rest)
+    short = asked.join(counts_, F.col("id") == F.col("query_id"), "left").where((F.coalesce("n", F.lit(0)) < top) & (F.col("visits") < count))
+    short = materialized(short.select("id", "vector", "order", "visits"))
+    rest = F.slice("order", F.col("visits") + 1, F.lit(count) - F.col("visits"))
+    found = found.unionAll(_visit(rows, short, rest, width, top, block_rows, block_queries))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     nearest = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     return nearest.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
