@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,6 +34,18 @@ def materialized(df: DataFrame, *partition_hint: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scanned(df: DataFrame) -> DataFrame:
+    """``df`` if it is a plain scan of files, else a written copy of it: rows that ``row_number_of`` can tell apart."""
+    plain = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    return df if plain and "_metadata" not in df.columns else materialized(df)
+
+
+def row_number_of(scan: DataFrame) -> Column:
+    """A struct (file, place in the file) that names each row of a scan, also where it is read again."""
+    meta = scan.metadataColumn("_metadata")
+    return F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("at"))
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:

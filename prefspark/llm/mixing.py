@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import WORD, materialized
+from prefspark.llm.common import WORD, materialized, row_number_of, scanned
 from prefspark.operators.logsumexp import let
 from prefspark.operators.permute import permuted
 
@@ -101,7 +101,7 @@ def quotas(aimed: DataFrame, shards: int = 8, block_words: int = 256) -> DataFra
 
 
 def mix(
-    docs: DataFrame, size_col: str, source_col: str = "source", id_col: str = "doc_id",
+    docs: DataFrame, size: str | Column, source_col: str = "source", id_col: str = "doc_id",
     shards: int = 8, block_words: int = 256, most: int = 3, seed: int = 42,
 ) -> DataFrame:
     """``docs`` with source_size, target, laps, cuts, shard_words and taken (existing columns of these names are replaced).
@@ -112,21 +112,21 @@ def mix(
     A null source is a source of its own, the last. Null ids and repeated rows take their place in the seeded order
     like any other; which of several rows of one id and size is cut is left open. An empty table stays empty.
 
-    ``docs`` is written once, numbered, to the shared folder; only numbers, keys and sizes are ordered.
+    ``size`` is a column of ``docs`` or an expression on its columns. Only row numbers, keys and sizes are ordered, from a narrow
+    table in the shared folder; ``docs`` is written there too unless it is a plain scan of files.
     """
     added = ("source_size", "target", "laps", "cuts", "shard_words", "taken")
     kept = [c for c in docs.columns if c not in added]
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    size = F.col(size_col).cast("bigint")
-    # the row travels as one struct, so that its columns cannot clash with those added here
-    numbered = materialized(docs.select(
-        F.struct(*kept).alias("row"), F.monotonically_increasing_id().alias("row_no"), size.alias("size"), _source_key(source_col).alias("src"),
+    size = (F.col(size) if isinstance(size, str) else size).cast("bigint")
+    lying = scanned(docs)
+    narrow = materialized(lying.select(
+        row_number_of(lying).alias("row_no"), size.alias("size"), _source_key(source_col).alias("src"),
         F.md5(F.concat_ws(":", ident, size.cast("string"), F.lit(str(seed)))).alias("draw"),
     ))
     cell = ["src", "bucket", "draw", "size", "salt"]
     keyed = (
-        numbered.select("row_no", "src", "size", "draw")
-        .withColumn("bucket", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int"))
+        narrow.withColumn("bucket", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int"))
         .withColumn("salt", F.pmod(F.xxhash64("row_no"), F.lit(SALTS)).cast("int"))
     )
     cells = keyed.groupBy(*cell).agg((F.count(F.lit(1)) * F.col("size")).alias("cell_size"))
@@ -177,7 +177,9 @@ def mix(
         )
         .withColumn("taken", F.aggregate("shard_words", none, lambda sum_, v: sum_ + v))
     )
-    return numbered.select("row_no", "row").join(found, "row_no").select("row.*", *added)
+    # the row travels as one struct, so that its columns cannot clash with those added here
+    rows = lying.select(row_number_of(lying).alias("row_no"), F.struct(*kept).alias("row"))
+    return rows.join(found, "row_no").select("row.*", *added)
 
 
 def take(mixed: DataFrame, text_col: str = "text") -> DataFrame:

@@ -73,7 +73,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources; sizes in words."""
     docs = read_table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs.select("doc_id", "source", mixing.word_count().alias("size")), "size")
+    sized = docs.select("doc_id", "source", mixing.word_count().alias("size"))  # texts are read once, for their words
+    mixed = mixing.mix(sized, "size")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", *[F.col("shard_words")[i].alias(f"shard_{i}") for i in range(8)])
 
 

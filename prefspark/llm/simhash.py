@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from prefspark.llm.common import binary_list, group_bounds, map_batches, materialized, whole_groups
+from prefspark.llm.common import binary_list, group_bounds, map_batches, materialized, row_number_of, scanned, whole_groups
 from prefspark.llm.components import connected_components
 
 SEED = 42
@@ -248,11 +248,11 @@ def keep_one(docs: DataFrame, words_each: int = 4, radius: int = 4, text_col: st
 
     The row of the smallest id stays, an id before none; of several rows with that id the one of the smallest fingerprint, then the
     first as written. So rows without an id go if they are copies, and of rows that share an id but not a component
-    each stays. An empty table stays empty. ``docs`` is written once, numbered, to the shared folder.
+    each stays. An empty table stays empty. ``docs`` is written to the shared folder unless it is a plain scan of files.
     """
     # the row travels as one struct, so that its columns cannot clash with those added here
-    numbered = materialized(docs.select(
-        F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    lying = scanned(docs)
+    numbered = lying.select(F.struct(*docs.columns).alias("row"), row_number_of(lying).alias("row_no"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     prints = materialized(fingerprints(
         numbered.select(F.struct("id", "row_no").alias("doc_id"), "text"), words_each).select("doc_id.id", "doc_id.row_no", "fp"))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no"))
@@ -260,4 +260,4 @@ def keep_one(docs: DataFrame, words_each: int = 4, radius: int = 4, text_col: st
     labelled = _labelled(distinct.select("fp", F.col("fp").alias("rep")), radius, None, 16_384).select("fp", "label")
     best = F.min(F.struct("first.no_id", "first.id", "fp", "first.row_no"))
     keep = distinct.join(labelled, "fp").groupBy("label").agg(best.alias("best")).select(F.col("best.row_no").alias("row_no"))
-    return numbered.join(keep, "row_no", "left_semi").select("row.*")
+    return numbered.select("row_no", "row").join(keep, "row_no", "left_semi").select("row.*")
