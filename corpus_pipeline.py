@@ -35,7 +35,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A cut has the document's id, the cut text, and its number of characters.
     """
-    mixed = mixing.take(mixing.mix(docs.withColumn("_words", mixing.word_count()), "_words", block_words=2048))
+    mixed = mixing.take(mixing.mix(docs, mixing.word_count(), block_words=2048))
     return mixed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
