@@ -1,20 +1,19 @@
 """Quality by an interpolated modified Kneser-Ney trigram model of trusted text (operator 4).
 
-Learning: of the trusted documents (labelled good, not toxic) of each language, up to a documented number are drawn
-by hash and counted: n-grams of word hashes are grouped and joined as sharded tables, giving each trigram,
-bigram and word its discounted share, and each context its weight for the order below. All other trusted
-documents calibrate.
-
-Scoring: the tables have a bound that does not depend on the corpus (the n-grams of the trusted documents),
-so they travel to the tasks as sorted arrays and the join is made there by binary search: a
-shuffle of every n-gram of every document would move many times the corpus. A document's perplexity is
-over its words, with ``prior_words`` words at its language's mean added, so that a few words decide
-little. Thresholds are quantiles of all calibration documents of each language (see ``classify``).
+Learning: three quarters of the trusted documents (labelled good, not toxic) of each language, told apart by a hash of
+their ids, are counted whole: n-grams of word hashes are grouped and joined as sharded tables, giving each
+trigram, bigram and word its discounted share, and each context its weight for the order below. All other
+trusted documents calibrate, so every trusted document is used.
+
+Scoring: the tables grow with the trusted text, so they stay sharded by a hash of the n-gram. A block of documents asks
+each shard for its distinct n-grams, packed; a shard answers what it knows, and the answers meet the block's texts. A
+document's perplexity is over its words, with ``prior_words`` words at its language's mean added, so that a few words
+decide little. Thresholds are quantiles of all calibration documents of each language (see ``classify``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,11 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.llm.bpe import Memo, slices
-from prefspark.llm.common import binary_list, map_batches, materialized
+from prefspark.llm.common import binary_list, map_batches, materialized, row_number_of, scanned
 
 #: Stands before the first word of a text (twice).
 START = 0
 
+#: Bytes of text in a block of documents, and n-grams asked of one shard by all blocks, about.
+BLOCK_BYTES = 4 << 20
+SHARD_GRAMS = 4 << 20
+
 
 class Hashes(Memo):
     """Word (bytes) -> 64-bit hash as a signed integer, remembered."""
@@ -92,14 +95,16 @@ class KneserNey:
     pairs: Table  # share; weight its trigram context leaves
     triples: Table  # share
     floor: float  # probability of a word never seen
+    key: Callable[..., np.ndarray] = join_key
 
     def log10(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         """log10 p(w | u v)."""
-        one, _ = self.words.find(join_key(w))
-        _, leave_v = self.words.find(join_key(v))
-        two, _ = self.pairs.find(join_key(v, w))
-        _, leave_uv = self.pairs.find(join_key(u, v))
-        (three,) = self.triples.find(join_key(u, v, w))
+        key = self.key
+        one, _ = self.words.find(key(w))
+        _, leave_v = self.words.find(key(v))
+        two, _ = self.pairs.find(key(v, w))
+        _, leave_uv = self.pairs.find(key(u, v))
+        three = self.triples.find(key(u, v, w))[0]
         p = three + leave_uv * (two + leave_v * (one + self.floor))
         return np.log10(p, dtype=np.float64)
 
@@ -126,8 +131,8 @@ def _discounted(grams: DataFrame, context: list[str], count: str) -> tuple[DataF
     return joined.withColumn("share", (F.col(count) - cut) / F.col("total")), contexts.withColumn("leave", F.col("cut") / F.col("total"))
 
 
-def learn(trusted: DataFrame, text_col: str = "text") -> KneserNey:
-    """The model of the words of ``trusted``: counts by n-gram in Spark, final tables as arrays.
+def learned_tables(trusted: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, float]:
+    """Words (w, share, leave), pairs (v, w, share, leave) and triples (u, v, w, share) of ``trusted``, and the floor of ``KneserNey``.
 
     Continuation counts (how many words precede an n-gram) take the place of counts below the highest order.
     """
@@ -147,21 +152,46 @@ def learn(trusted: DataFrame, text_col: str = "text") -> KneserNey:
     one, leave_one = _discounted(words, [], "c")
     # the share of a pair and what it leaves as a context meet in one row; contexts at a text's start are no pairs
     pair_rows = two.select("v", "w", "share").join(leave_three.select(F.col("u").alias("v"), F.col("v").alias("w"), "leave"), ["v", "w"], "full")
-    word_rows = one.select("w", "share").join(leave_two.select(F.col("v").alias("w"), "leave"), "w", "full")
-    column = lambda t, c, kind: t.column(c).to_numpy().astype(kind)
-    t3 = three.select("u", "v", "w", "share").toArrow()
-    t2 = pair_rows.na.fill(0.0, ["share"]).na.fill(1.0, ["leave"]).toArrow()
-    t1 = word_rows.na.fill(0.0, ["share"]).na.fill(1.0, ["leave"]).toArrow()
+    word_rows = materialized(one.select("w", "share").join(leave_two.select(F.col("v").alias("w"), "leave"), "w", "full"))
     left = leave_one.first().leave
-    known = t1.num_rows
+    filled = lambda rows: rows.na.fill(0.0, ["share"]).na.fill(1.0, ["leave"])
+    return filled(word_rows), filled(pair_rows), three.select("u", "v", "w", "share"), float(left if left is not None else 1.0) / (word_rows.count() + 1)
+
+
+def learn(trusted: DataFrame, text_col: str = "text") -> KneserNey:
+    """The model of the words of a small ``trusted`` as arrays; ``classify`` leaves the tables sharded."""
+    words, pairs, triples, floor = learned_tables(trusted, text_col)
+    column = lambda t, c, kind: t.column(c).to_numpy().astype(kind)
+    t3, t2, t1 = triples.toArrow(), pairs.toArrow(), words.toArrow()
     return KneserNey(
         Table.build(join_key(column(t1, "w", np.int64)), [column(t1, "share", np.float64), column(t1, "leave", np.float64)], [0.0, 1.0]),
         Table.build(join_key(column(t2, "v", np.int64), column(t2, "w", np.int64)), [column(t2, "share", np.float64), column(t2, "leave", np.float64)], [0.0, 1.0]),
         Table.build(join_key(*(column(t3, c, np.int64) for c in ("u", "v", "w"))), [column(t3, "share", np.float64)], [0.0]),
-        float(left if left is not None else 1.0) / (known + 1),
+        floor,
     )
 
 
+def gram_keys(*parts: np.ndarray) -> np.ndarray:
+    """``join_key`` of n-grams of any order in one table: the order is a part, so that no two orders share keys."""
+    return join_key(np.full(len(parts[0]), len(parts), np.int64), *parts)
+
+
+def gram_table(words: DataFrame, pairs: DataFrame, triples: DataFrame) -> DataFrame:
+    """(gram, share, leave) of all three orders, by ``gram_keys`` as a signed integer."""
+
+    def keyed(rows: DataFrame, *parts: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = gram_keys(*(batch.column(i).to_numpy() for i in range(len(parts))))
+                values = [batch.column(len(parts) + i).cast(pa.float32()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *values], ["gram", "share", "leave"])
+
+        return map_batches(rows.select(*parts, "share", "leave"), run, "gram long, share float, leave float")
+
+    whole = triples.withColumn("leave", F.lit(1.0))
+    return materialized(keyed(words, "w").unionByName(keyed(pairs, "v", "w")).unionByName(keyed(whole, "u", "v", "w")))
+
+
 _MEMO = Hashes()
 
 
@@ -178,40 +208,83 @@ def window_means(logs: np.ndarray, counts: np.ndarray, words_each: int) -> tuple
     return np.add.reduceat(logs, starts) / lengths, stretches
 
 
-def measure(docs: DataFrame, model: KneserNey, text_col: str = "text", lang_col: str | None = None,
-            least: dict[str | None, float] | None = None, words_each: int = 8, keep_text: bool = False) -> DataFrame:
-    """``docs`` (without its text unless ``keep_text``), with n_words, log_prob (sum of log10 over the words; 0 for null and empty text),
-    stretches of ``words_each`` words, and ``rough``, how many of them have a mean below ``least`` of the text's language
-    (key None: all others). Without ``least``, ``means`` lists the means of all stretches instead."""
-    kept = [c for c in docs.columns if c not in (text_col, "n_words", "log_prob", "stretches", "rough", "means")]
-    source = docs.select(text_col, *kept)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = kept.index(lang_col) if lang_col else None
-    skip, shown = (0, [text_col, *kept]) if keep_text else (1, kept)
+def measure(docs: DataFrame, grams: DataFrame, floor: float, deal: str, text_col: str = "text", words_each: int = 8, keep_text: bool = False) -> DataFrame:
+    """``docs`` (without ``deal``, and its text unless ``keep_text``), with n_words, log_prob (sum of log10 over the words; 0 for null and empty text),
+    stretches of ``words_each`` words, and ``means``, the mean of every stretch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
+    Blocks of documents, dealt by the hash ``deal``, ask the shards of ``grams`` (``gram_table``) for their distinct n-grams. The
+    number of blocks and of shards follows the text, so neither grows; nothing of the tables is broadcast.
+    """
+    added = ("n_words", "log_prob", "stretches", "means")
+    kept = [c for c in docs.columns if c not in (text_col, deal, *added)]
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first().n
+    blocks, shards = size // BLOCK_BYTES + 1, size // 3 // SHARD_GRAMS + 1  # some two distinct n-grams a word of six bytes
+    texts = docs.select(text_col, *kept, F.pmod(F.col(deal), F.lit(blocks)).alias("_block"))
+
+    def shard_of(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(33)).astype(np.int64) % shards
+
+    def distinct(texts: list[bytes]) -> np.ndarray:
+        u, v, w, _ = word_hashes(texts, _MEMO)
+        # each word as predicted word and as context: contexts of a text's first words are no pairs of it
+        return np.unique(np.concatenate([gram_keys(w), gram_keys(v), gram_keys(v, w), gram_keys(u, v), gram_keys(u, v, w)]))
+
+    def ask(table: pa.Table) -> pa.Table:
+        keys = np.concatenate([distinct(binary_list(part.column(0))) for batch in table.to_batches() for part in slices(batch, 0)] or [np.zeros(0, np.uint64)])
+        keys = np.unique(keys)
+        shard = shard_of(keys)
+        order = np.argsort(shard, kind="stable")
+        keys, cuts = keys[order], np.searchsorted(shard[order], np.arange(shards + 1))
+        asked = np.flatnonzero(np.diff(cuts))
+        return pa.table({
+            "shard": pa.array(asked, pa.int64()), "_block": pa.array(np.full(len(asked), table.column(1)[0].as_py()), pa.int64()),
+            "keys": pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in asked.tolist()], pa.binary())})
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        out = {"_block": [], "keys": [], "share": [], "leave": []}
+        if not asked.num_rows or not known.num_rows:
+            return pa.table({c: pa.array([], pa.binary() if c != "_block" else pa.int64()) for c in out})
+        order = np.argsort(known.column("gram").to_numpy().view(np.uint64))
+        table = [known.column(c).to_numpy()[order] for c in ("gram", "share", "leave")]
+        names = table[0].view(np.uint64)
+        for block, packed in zip(asked.column("_block").to_pylist(), asked.column("keys").to_pylist(), strict=True):
+            keys = np.frombuffer(packed, np.uint64)
+            at = np.searchsorted(names, keys)
+            at[at == len(names)] = 0
+            hit = names[at] == keys
+            if hit.any():
+                for c, values in zip(out, (block, keys[hit].tobytes(), table[1][at[hit]].tobytes(), table[2][at[hit]].tobytes()), strict=True):
+                    out[c].append(values)
+        return pa.table({"_block": pa.array(out["_block"], pa.int64()), **{c: pa.array(out[c], pa.binary()) for c in ("keys", "share", "leave")}})
+
+    shown = [text_col, *kept] if keep_text else kept
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*shown).schema)
+
+    def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.frombuffer(b"".join(answers.column(c).to_pylist() if answers.num_rows else []), kind)
+        known = Table.build(joined("keys", np.uint64), [joined("share", np.float32), joined("leave", np.float32)], [0.0, 1.0])
+        model = KneserNey(known, known, known, floor, gram_keys)
+        done = []
+        for batch in rows.to_batches():
             for part in slices(batch, 0):
                 u, v, w, counts = word_hashes(binary_list(part.column(0)), _MEMO)
                 logs = model.log10(u, v, w) if len(w) else np.zeros(0)
-                owner = np.repeat(np.arange(len(counts)), counts)
-                sums = np.bincount(owner, logs, len(counts))
+                sums = np.bincount(np.repeat(np.arange(len(counts)), counts), logs, len(counts))
                 means, stretches = window_means(logs, counts, words_each)
-                if least is None:
-                    cuts = np.concatenate([[0], np.cumsum(stretches)])
-                    last = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(means, pa.float64()))
-                else:
-                    langs = part.column(1 + at).to_pylist() if at is not None else [None] * len(counts)
-                    bound = np.array([least.get(x, least[None]) for x in langs])
-                    holder = np.repeat(np.arange(len(counts)), stretches)
-                    last = pa.array(np.bincount(holder[means < bound[holder]], minlength=len(counts)))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[skip:], pa.array(counts), pa.array(sums.astype(np.float64)), pa.array(stretches), last],
-                    [*shown, "n_words", "log_prob", "stretches", "means" if least is None else "rough"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*shown).schema)
-    return map_batches(source, run, f"{fields}, n_words long, log_prob double, stretches long, " + ("means array<double>" if least is None else "rough long"))
+                cuts = np.concatenate([[0], np.cumsum(stretches)])
+                last = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(means, pa.float64()))
+                done.append(pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in shown), pa.array(counts), pa.array(sums.astype(np.float64)), pa.array(stretches), last], [*shown, *added]))
+        if not done:
+            return pa.table({c: pa.nulls(0) for c in (*shown, *added)})
+        return pa.Table.from_batches(done)
+
+    asked = texts.select(text_col, "_block").groupBy("_block").applyInArrow(ask, "shard long, _block long, keys binary")
+    # the place of a n-gram's shard is the same arithmetic as ``shard_of``: the upper bits, without sign
+    placed = grams.withColumn("shard", F.pmod(F.shiftrightunsigned("gram", 33), F.lit(shards)))
+    answers = asked.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(answer, "_block long, keys binary, share binary, leave binary")
+    return texts.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(
+        score, f"{fields}, n_words long, log_prob double, stretches long, means array<double>")
 
 
 def _bounds(part: DataFrame, by: str, high: float, margin: float, prior_words: int) -> dict:
@@ -231,14 +304,15 @@ def _bounds(part: DataFrame, by: str, high: float, margin: float, prior_words: i
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, trusted_docs: int = 3000, high: float = 0.999, margin: float = 1.1,
+    docs: DataFrame, labels: DataFrame, trusted_docs: int | None = None, high: float = 0.999, margin: float = 1.1,
     prior_words: int = 10, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep_text: bool = False,
 ) -> DataFrame:
     """``docs`` (without its text unless ``keep_text``) with n_words, perplexity, most, rough_share, most_rough and kept.
 
     Columns of those names that ``docs`` has are replaced. Trusted are documents with quality 1 and not toxic in
-    ``labels``. The model learns from a sample of their ids by hash: three quarters of ``trusted_docs`` shared equally
-    between the languages, about so many of each, and at most three quarters of a language's. All other trusted
+    ``labels``. The model learns from three quarters of each language's, told apart by a hash of their ids. With
+    ``trusted_docs`` it learns from fewer: three quarters of so many, shared equally between the languages, and at most
+    three quarters of a language's. All other trusted
     documents calibrate. Two thresholds of each language are quantiles ``high`` of its calibration documents times
     ``margin``: ``most`` of the perplexity, and ``most_rough`` of the share of short stretches that are less probable
     than all but 1 - ``high`` of the calibration stretches (a word repeated on and on gives rough stretches even where
@@ -255,22 +329,23 @@ def classify(
     columns = [c for c in docs.columns if c not in added and (keep_text or c != text_col)]
     # columns travel under numbers, so that none can clash with those added here
     number = {c: f"_{i}" for i, c in enumerate(docs.columns)}
-    source = docs.select(*[F.col(c).alias(n) for c, n in number.items()])
+    scan = scanned(docs)
+    source = scan.select(*[F.col(c).alias(n) for c, n in number.items()])
     text, lang = number[text_col], number[lang_col]
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     named = source.select(F.col(number[id_col]).cast("long").alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     trusted = materialized(named.select("id", "lang").join(good, "id"))
     sizes = {r.lang: r.n for r in trusted.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
-    each = trusted_docs * 3 / 4 / max(1, len(sizes))
+    each = float("inf") if trusted_docs is None else trusted_docs * 3 / 4 / max(1, len(sizes))
     shares = F.broadcast(spark.createDataFrame([(x, min(0.75, each / n)) for x, n in sizes.items()], "of string, part double"))
     draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     learned = materialized(trusted.join(shares, F.col("lang").eqNullSafe(F.col("of"))).where(draw < F.col("part")).select("id").distinct())
-    model = learn(named.join(F.broadcast(learned), "id").select("text"))  # about three quarters of trusted_docs ids
-    measured = materialized(measure(source, model, text, keep_text=keep_text))
+    *tables, floor = learned_tables(named.join(learned, "id").select("text"))
+    measured = materialized(measure(source.withColumn("_row", F.xxhash64(row_number_of(scan))), gram_table(*tables), floor, "_row", text, keep_text=keep_text))
     worded = measured.where("n_words > 0").select(
         F.col(number[id_col]).cast("long").alias("id"), F.col(lang).alias("lang"), "n_words", "log_prob", "stretches", "means", F.lit("all").alias("everywhere")
     ).join(good, "id")
-    calibration = materialized(worded.join(F.broadcast(learned), "id", "left_anti"))
+    calibration = materialized(worded.join(learned, "id", "left_anti"))
     if not calibration.limit(1).count():  # too few trusted documents for both
         calibration = materialized(worded)
     shown = [*[F.col(number[c]).alias(c) for c in columns], *added]

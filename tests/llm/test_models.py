@@ -223,6 +223,31 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert judged[judged.quality == 0].kept.mean() <= 0.25
 
 
+def test_all_trusted_text_is_learned_or_calibrates(spark, monkeypatch):
+    """Three quarters of 8,000 trusted documents are learned and all others calibrate; joined tables score like the arrays of ``learn``."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, "aa", " ".join(rng.choice(words, 8))) for i in range(8000)] + [(9000, "aa", "w1 w2 nowhere w3"), (9001, "aa", None), (9002, None, "w1")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    labels = docs.where("doc_id < 8000").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    seen, measured = {}, {}
+    tables, bounds, measure = quality.learned_tables, quality._bounds, quality.measure
+    monkeypatch.setattr(quality, "learned_tables", lambda trusted, *a: seen.setdefault("trusted", trusted) and tables(trusted, *a))
+    monkeypatch.setattr(quality, "_bounds", lambda part, *a: (seen.setdefault(a[0], part.count()), bounds(part, *a))[1])
+    monkeypatch.setattr(quality, "measure", lambda *a, **k: measured.setdefault("rows", measure(*a, **k)))
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 1 << 16)  # several blocks and shards
+    monkeypatch.setattr(quality, "SHARD_GRAMS", 1 << 14)
+    assert quality.classify(docs, labels).count() == 8003
+    learned = seen["trusted"].count()
+    assert 5800 < learned < 6200 and learned + seen["everywhere"] == 8000
+    model = quality.learn(seen["trusted"])
+    got = {r._0: (r.n_words, r.log_prob) for r in measured["rows"].collect()}
+    assert got[9001] == (0, 0.0) and len(got) == 8003
+    for i, text in ((9000, rows[8000][2]), (9002, "w1"), *((i, rows[i][2]) for i in range(0, 8000, 371))):
+        u, v, w, counts = quality.word_hashes([text.encode()], quality.Hashes())
+        assert got[i][0] == counts[0] and got[i][1] == pytest.approx(model.log10(u, v, w).sum(), abs=1e-4)
+
+
 def test_quality_odd_rows(spark, make_docs):
     clean = "one two three four five six seven eight nine ten"
     docs = make_docs([(i, clean) for i in range(40)] + [(50, None), (51, ""), (52, "x " * 20_000, None, "s"), (None, clean), (1, clean)]).withColumn("kept", F.lit("clash"))
