@@ -118,3 +118,14 @@ def test_query_digests(spark, tmp_path, make_docs, encoding):
     assert (rows[2].n_tokens, rows[2].ids_sha256) == (0, hashlib.sha256(b"").hexdigest())
     counts = {r.doc_id: r for r in queries.QUERIES["op1_token_counts"](spark, str(tmp_path)).collect()}
     assert (counts[2].n_bytes, counts[2].n_tokens, counts[2].over_limit) == (0, 0, False)
+
+
+def test_encoder_remembers_the_words_of_a_large_vocabulary(monkeypatch):
+    """240,000 distinct pre-tokens met again in turn cost no merges."""
+    encoder = queries.multi_vocabulary().encoder()
+    resolved = []
+    monkeypatch.setattr(encoder, "resolve", lambda key: resolved.append(key) or (0,))
+    for _ in range(2):
+        for i in range(240_000):
+            encoder[f"w{i}"]
+    assert len(resolved) == 240_000 and len(encoder) + len(encoder.old) <= 2 * bpe.ENCODER_ENTRIES
