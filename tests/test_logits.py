@@ -113,3 +113,18 @@ def test_rm_from_logits(spark):
         jobs.evaluate_rm_logits(logits.where("side = 0")).collect()
     with pytest.raises(Exception, match="one logit"):
         jobs.evaluate_rm_logits(logits.withColumn("logits", F.array(F.lit(1.0), F.lit(2.0)))).collect()
+
+
+def test_states_take_one_pass_and_logits_are_cut_before_the_join(spark):
+    """A state folds its entries once, over a maximum bound once; odd entries keep their meaning."""
+    rows = [(0, [1.0, None, -math.inf]), (1, [-math.inf]), (2, []), (3, [math.nan, 1.0]), (4, [math.inf, 1.0]), (5, None), (6, [None]), (7, [-70.0, -70.0])]
+    df = spark.createDataFrame(rows, "i int, logits array<double>")
+    got = {r.i: (r.s.level, r.s.mass) for r in df.select("i", logsumexp.state_of("logits").alias("s")).collect()}
+    assert got[0] == (0.0, pytest.approx(math.e)) and got[7] == (-2.0, pytest.approx(2 * math.exp(58)))
+    assert all(got[i] == (None, None) for i in (1, 2, 5, 6))
+    assert got[3][0] == 0.0 and math.isnan(got[3][1]) and got[4] == (0.0, math.inf)
+    plan = df.select(logsumexp.state_of("logits").alias("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array_max(") == 1 and "filter(" not in plan
+    sequences = fx.c6_sequences(spark, SF001)
+    optimized = fx.c6_logits(spark, SF001, sequences, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (_e" in optimized and "transform(" not in optimized[: optimized.index("Join Inner, (_e")]
