@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.operators import scan, skew
+from prefspark.session import materialize
 
 # Discount, GAE lambda, clip range and KL coefficient of the PPO objective.
 GAMMA, LAM, CLIP, KL_COEF = 0.99, 0.95, 0.2, 0.05
@@ -229,8 +230,10 @@ def long_advantages(df: DataFrame, gamma: float = GAMMA, lam: float = LAM, rewar
     (``skew.lookup``), values and advantages of a sequence are scanned in pieces of ``piece`` positions (``scan``).
     """
     first = F.col("pos") == 0
-    figures = df.groupBy(F.col("batch_id").alias("_b")).agg(F.avg(F.when(first, F.col("reward"))).alias("_mean"), F.max("pos").alias("_end"))
-    out = skew.lookup(df, figures, [("batch_id", "_b")], ["seq_id", "pos"])
+    # a row a batch, kept: the chain below reads it wherever it reads ``df``
+    figures = materialize(df.groupBy(F.col("batch_id").alias("_b")).agg(
+        F.avg(F.when(first, F.col("reward"))).alias("_mean"), F.max("pos").alias("_end"), F.count(F.lit(1)).alias("_rows")))
+    out = skew.lookup(df, figures, [("batch_id", "_b")], ["seq_id", "pos"], counted="_rows")
     out = mask_values(out.withColumn("reward_centered", F.col("reward") - F.col("_mean")))
     if reward_at == "last_column":
         end = F.col("pos") == F.col("_end")

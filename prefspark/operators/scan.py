@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.operators.logsumexp import let
+from prefspark.session import materialize
 
 PIECE = 1 << 16
 FOLD = 1 << 10
@@ -36,15 +37,15 @@ def _piece(pos: str, size: int) -> Column:
 
 def next_value(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str, piece: int = PIECE) -> DataFrame:
     """WN1: ``value`` at the next position of the sequence (0.0 after its last), a piece at a time. Positions have no gaps."""
-    staged = df.withColumn("_piece", _piece(pos, piece))
-    firsts = staged.where(F.col(pos) % piece == 0).select(
-        *[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], (F.col("_piece") - 1).alias("_fp"), F.col(value).alias("_first"))
-    same = F.col("_piece") == F.col("_fp")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_f{i}"))
-    met = staged.join(firsts, same, "left")
-    inside = F.lead(value).over(Window.partitionBy(*keys, "_piece").orderBy(pos))
-    return met.withColumn(out, F.coalesce(inside, F.col("_first"), F.lit(0.0))).drop("_piece", "_fp", "_first", *[f"_f{i}" for i in range(len(keys))])
+    own = _piece(pos, piece)
+    # a piece's first row also lies at the end of the piece before it, so each row is worked out and moved once
+    both = F.when((F.col(pos) > 0) & (F.col(pos) % piece == 0), F.array(own, own - 1)).otherwise(F.array(own))
+    staged = df.withColumn("_piece", F.explode(both)).withColumn("_after", F.coalesce(F.col("_piece") != own, F.lit(False)))
+    group = Window.partitionBy(*keys, "_piece")
+    after = F.collect_list(F.when(F.col("_after"), F.struct(F.col(value).alias("first")))).over(group)
+    met = staged.withColumn("_firsts", after).where(~F.col("_after")).withColumn("_first", F.explode_outer("_firsts"))
+    inside = F.lead(value).over(group.orderBy(pos))
+    return met.withColumn(out, F.coalesce(inside, F.col("_first.first"), F.lit(0.0))).drop("_piece", "_after", "_firsts", "_first")
 
 
 def _scanned(heads: DataFrame, keys: list[str], factor: float, last: int) -> DataFrame:
@@ -103,7 +104,8 @@ def discounted_sums(df: DataFrame, keys: Sequence[str], pos: str, value: str, fa
     staged = staged.withColumn("_u", F.col(value) * weight)
     later = Window.partitionBy(*keys, "_piece").orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, -1)
     local = staged.withColumn("_local", F.col(value) + F.coalesce(F.sum("_u").over(later), F.lit(0.0)) / weight)
-    heads = staged.groupBy(*keys, F.col("_piece").alias("at")).agg(F.sum("_u").alias("x"))
+    # a number a piece, kept: checked below and scanned, without working out ``df`` for each
+    heads = materialize(staged.groupBy(*keys, F.col("_piece").alias("at")).agg(F.sum("_u").alias("x")))
     size_of = heads.groupBy(*keys).agg(F.max("at").alias("last"), F.count(F.lit(1)).alias("n")).agg(
         F.max("last").alias("last"), F.max((F.col("last") + 1 != F.col("n")).cast("int")).alias("gap")).first()
     if size_of["gap"]:

@@ -22,25 +22,32 @@ def _c(x) -> Column:
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
     """``(_h0, _h1, .., _pieces)`` of the keys with more than ``limit`` rows; a key with a NULL matches nothing and is none."""
-    counted = rows.groupBy(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    return _hot_of(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n", limit)
+
+
+def _hot_of(counts: DataFrame, keys: Sequence[str], counted: str, limit: int) -> DataFrame:
     known = F.lit(True)
-    for i in range(len(keys)):
-        known = known & F.col(f"_h{i}").isNotNull()
-    return counted.where((F.col("_n") > limit) & known).select(
-        *[f"_h{i}" for i in range(len(keys))], F.ceil(F.col("_n") / limit).cast("int").alias("_pieces"))
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return counts.where((F.col(counted) > limit) & known).select(
+        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.ceil(F.col(counted) / limit).cast("int").alias("_pieces"))
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[tuple[str, str]], deal: Sequence[str], how: str = "left",
-           limit: int = HOT_ROWS) -> DataFrame:
+           limit: int = HOT_ROWS, counted: str | None = None) -> DataFrame:
     """``rows`` joined with ``table`` on pairs of (column of rows, column of table), whose names all differ.
 
     ``deal`` names columns of ``rows`` that tell the rows of one key apart: their hash picks a hot row's piece. Rows whose key has
-    a NULL match nothing; they are dealt by the same hash, so they do not meet in one task either.
+    a NULL match nothing; they are dealt by the same hash, so they do not meet in one task either. If ``table`` comes from
+    grouping ``rows`` by the keys, ``counted`` names its column of how many rows each key has, and ``rows`` are not counted again.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join {how!r}")
     mine, theirs = [a for a, _ in on], [b for _, b in on]
-    hot = hot_keys(rows, mine, limit)
+    if counted is None:
+        hot = hot_keys(rows, mine, limit)
+    else:
+        hot, table = _hot_of(table, theirs, counted, limit), table.drop(counted)
 
     def pieces(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         same = F.lit(True)
