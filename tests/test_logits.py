@@ -128,3 +128,43 @@ def test_states_take_one_pass_and_logits_are_cut_before_the_join(spark):
     sequences = fx.c6_sequences(spark, SF001)
     optimized = fx.c6_logits(spark, SF001, sequences, 0)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner, (_e" in optimized and "transform(" not in optimized[: optimized.index("Join Inner, (_e")]
+
+
+def _of(table, calls):
+    """A model that has the logits of ``table`` for the sequences it is asked for, and lists them."""
+    def logits(part):
+        calls.append({(r.pair_id, r.side) for r in part.select("pair_id", "side").collect()})
+        return table.join(part.select("pair_id", "side"), ["pair_id", "side"], "left_semi")
+    return logits
+
+
+def test_models_score_sequences_in_turns(spark):
+    """Functions give the means that tables give; each sequence is asked for once, in one of several turns."""
+    _, _, (policy, reference), sequences = _dpo_inputs(spark, 3)
+    calls = []
+    models = _of(policy, calls), _of(reference, calls)
+    got = jobs.sequence_logps(*models, sequences.repartition(2), mask_padding=True, turn_positions=8, most_turns=3)
+    want = jobs.sequence_logps(policy, reference, sequences, mask_padding=True)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert len(calls) == 6 and calls[::2] == calls[1::2]
+    assert sum(map(len, calls[::2])) == 8 and len(set().union(*calls)) == 8 and max(map(len, calls)) < 8
+    with pytest.raises(ValueError, match="both"):
+        jobs.sequence_logps(models[0], reference, sequences)
+    none = jobs.sequence_logps(*models, sequences.where("pair_id = 'none'"))
+    assert none.count() == 0 and none.columns == want.columns
+    with pytest.raises(Exception, match="one model only"):
+        jobs.sequence_logps(models[0], _of(reference.where("pair_id <> 'b' OR pos <> 2"), []), sequences, turn_positions=8)
+
+
+def test_turns_remove_what_they_shuffled(spark):
+    """After the last turn no more than one turn's shuffles are held, whatever the number of turns."""
+    sequences = fx.c6_sequences(spark, SF001).drop("toks")
+    models = fx.c6_models(spark, SF001)
+
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()))
+
+    before = held()
+    jobs.sequence_logps(*models, sequences, turn_positions=1 << 11)
+    assert held() - before < 1 << 20
