@@ -168,3 +168,11 @@ def test_turns_remove_what_they_shuffled(spark):
     before = held()
     jobs.sequence_logps(*models, sequences, turn_positions=1 << 11)
     assert held() - before < 1 << 20
+
+
+def test_dpo_of_models_is_the_dpo_of_their_logits(spark):
+    _, _, (policy, reference), sequences = _dpo_inputs(spark, 3)
+    got = jobs.evaluate_dpo_logits(_of(policy, []), _of(reference, []), sequences).collect()
+    want = {r.split: r for r in jobs.evaluate_dpo_logits(policy, reference, sequences).collect()}
+    assert len(got) == len(want) == 2
+    assert all(r.n_rows == want[r.split].n_rows and r.mean_loss == pytest.approx(want[r.split].mean_loss) for r in got)
